@@ -5,14 +5,34 @@ from __future__ import annotations
 import operator
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import TimestampType
 
 from millrace.functions.columns import as_list, quoted
+from millrace.session import stage
 
 # Fixed value: stands in for a NULL high-water mark.
 EARLIEST = "1900-01-01"
 
 
+def constants(one_row: DataFrame) -> dict[str, Column]:
+    """The values of a one-row frame as literals of the same type.
+
+    Literals let a scan skip row groups, also where several are combined by OR; subqueries combined
+    that way would not. They also fix the marks before anything is appended.
+    """
+    fields = one_row.schema.fields
+    moments = {f.name for f in fields if isinstance(f.dataType, TimestampType)}
+    texts = one_row.select([
+        F.unix_micros(quoted(f.name)).alias(f.name) if f.name in moments else quoted(f.name).cast("string").alias(f.name)
+        for f in fields
+    ]).first()
+    return {
+        f.name: F.timestamp_micros(F.lit(texts[f.name])) if f.name in moments else F.lit(texts[f.name]).cast(f.dataType)
+        for f in fields
+    }
+
+
 def high_water_marks(target: DataFrame, keys: list[str], stamp: str) -> DataFrame:
     """Greatest ``stamp`` per key, in ``__mark``."""
     return target.groupBy(*[quoted(k) for k in keys]).agg(F.max(quoted(stamp)).alias("__mark"))
@@ -34,17 +54,22 @@ def newer_than_target(staged: DataFrame, target: DataFrame | None, keys: list[st
     if target is None:
         return staged if new_keys == "keep" else staged.limit(0)
     marks = high_water_marks(target, keys, stamp)
-    key_match = (lambda a, b: a == b) if new_keys == "drop" else (lambda a, b: a.eqNullSafe(b))
-    renamed = marks.select(*[quoted(k).alias(f"__{k}") for k in keys], "__mark", F.lit(True).alias("__known"))
-    on = reduce(operator.and_, [key_match(quoted(k), quoted(f"__{k}")) for k in keys])
     columns = [quoted(c) for c in staged.columns]
     newer = quoted(stamp) > F.col("__mark")
     if new_keys == "keep":
-        joined = staged.join(renamed, on, "left")
-        return joined.where(F.col("__known").isNull() | newer).select(columns)
-    # No row at or below the smallest mark can pass; as a constant this prunes whole files.
-    oldest = marks.agg(F.min("__mark")).scalar()
-    return staged.where(quoted(stamp) > oldest).join(renamed, on, "inner").where(newer).select(columns)
+        known, on = _for_join(marks, keys, Column.eqNullSafe)
+        return staged.join(known, on, "left").where(F.col("__known").isNull() | newer).select(columns)
+    # The marks are needed twice, and reading the target is the expensive part.
+    marks = stage(marks, "marks")
+    # No row at or below the smallest mark can pass.
+    oldest = constants(marks.agg(F.min("__mark").alias("oldest")))["oldest"]
+    known, on = _for_join(marks, keys, operator.eq)
+    return staged.where(quoted(stamp) > oldest).join(known, on, "inner").where(newer).select(columns)
+
+
+def _for_join(marks: DataFrame, keys: list[str], same) -> tuple[DataFrame, Column]:
+    known = marks.select(*[quoted(k).alias(f"__{k}") for k in keys], "__mark", F.lit(True).alias("__known"))
+    return known, reduce(operator.and_, [same(quoted(k), quoted(f"__{k}")) for k in keys])
 
 
 def newer_than_any(df: DataFrame, target: DataFrame, fields) -> DataFrame:
@@ -52,12 +77,12 @@ def newer_than_any(df: DataFrame, target: DataFrame, fields) -> DataFrame:
 
     An empty target has no greatest value, so nothing passes.
     """
-    conditions = []
-    for name in as_list(fields):
-        floor = F.lit(EARLIEST).cast(target.schema[name].dataType)
-        mark = target.agg(F.max(F.coalesce(quoted(name), floor))).scalar()
-        conditions.append(quoted(name) > mark)
-    return df.where(reduce(operator.or_, conditions))
+    fields = as_list(fields)
+    greatest = [
+        F.max(F.coalesce(quoted(name), F.lit(EARLIEST).cast(target.schema[name].dataType))).alias(name) for name in fields
+    ]
+    marks = constants(target.agg(*greatest))
+    return df.where(reduce(operator.or_, [quoted(name) > marks[name] for name in fields]))
 
 
 def current_rows(source: DataFrame, keys: list[str], stamp: str) -> DataFrame:

@@ -151,7 +151,8 @@ SELECT o_orderkey,
   o_orderdate + INTERVAL 3 MONTH AS plus_months,
   o_orderdate + INTERVAL 36 HOUR AS plus_hours,
   date_diff('day', o_orderdate, TIMESTAMP '1998-08-02 13:30:00') AS days,
-  date_diff('week', o_orderdate + INTERVAL 1 DAY, TIMESTAMP '1998-08-03 13:30:00') AS weeks,
+  date_diff('day', date_trunc('week', o_orderdate + INTERVAL 1 DAY), date_trunc('week', TIMESTAMP '1998-08-03 13:30:00'))
+    // 7 AS weeks,
   date_diff('month', o_orderdate, TIMESTAMP '1998-08-02 13:30:00') AS months,
   date_diff('quarter', o_orderdate, TIMESTAMP '1998-08-02 13:30:00') AS quarters,
   date_diff('hour', o_orderdate, TIMESTAMP '1998-08-02 13:30:00') AS hours,
