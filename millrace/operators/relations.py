@@ -13,8 +13,8 @@ from millrace.session import shuffle_partitions
 # Fixed value: name of the column that tells which relation a row of a union came from.
 SOURCE_COLUMN = "_dbt_source_relation"
 
-# Rows one task makes at most from one counted row.
-COPIES_PER_BLOCK = 1 << 20
+# A counted row is repeated in blocks of 2 ** BLOCK_BITS copies.
+BLOCK_BITS = 20
 
 
 def union_relations(relations: Mapping[str, DataFrame], column_override: Mapping[str, str] | None = None,
@@ -109,11 +109,12 @@ def single_value(query: DataFrame, default=None, name: str = "value") -> DataFra
 
 def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     """Every row as often as its count says. Large counts are cut into blocks spread over the tasks."""
-    block = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / COPIES_PER_BLOCK))
-    blocks = df.where(F.col(copies) > 0).withColumn("__block", F.explode(block))
+    last_block = F.shiftright(F.col(copies) - 1, BLOCK_BITS)
+    blocks = df.where(F.col(copies) > 0).withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
     spread = blocks.repartition(shuffle_partitions(df.sparkSession))
-    left = F.least(F.lit(COPIES_PER_BLOCK), F.col(copies) - F.col("__block") * COPIES_PER_BLOCK).cast("int")
-    return spread.withColumn("__copy", F.explode(F.sequence(F.lit(1), left))).drop("__copy", "__block", copies)
+    left = F.col(copies) - F.shiftleft(F.col("__block"), BLOCK_BITS)
+    here = F.least(F.lit(1 << BLOCK_BITS), left).cast("int")
+    return spread.withColumn("__copy", F.explode(F.sequence(F.lit(1), here))).drop("__copy", "__block", copies)
 
 
 def differences(a: DataFrame, b: DataFrame, columns: list[str] | None = None, multiset: bool = False,

@@ -1,0 +1,214 @@
+from __future__ import annotations
+
+from collections import Counter
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import quality as q
+from millrace.operators.suite import Rating, RowCheck, TableCheck, run_checks
+from tests.conftest import bag
+
+
+def failures(df, fail_calc: str) -> int:
+    return df.agg(F.expr(fail_calc)).first()[0]
+
+
+def test_equal_rowcount(rows):
+    a, b = rows("k int", 1, 1, 2, None, 5), rows("k int", 1, 2, 2, None, 6)
+    assert bag(q.equal_rowcount(a, b)) == Counter([(5, 5, 0)])
+    grouped = q.equal_rowcount(a, b, ["k"])
+    assert grouped.columns == ["k_a", "k_b", "count_a", "count_b", "diff_count"]
+    assert bag(grouped) == Counter([
+        (1, 1, 2, 1, 1), (2, 2, 1, 2, 1), (5, None, 1, None, None), (None, 6, None, 1, None),
+        (None, None, 1, None, None), (None, None, None, 1, None)])
+    assert failures(grouped, q.EQUAL_ROWCOUNT_FAILURES) == 2
+    assert failures(q.equal_rowcount(a, b, ["k"], strict=True), q.EQUAL_ROWCOUNT_FAILURES) == 6
+
+
+def test_fewer_rows_than(rows):
+    a, b = rows("k int", 1, 1, 1, 2, 3, 5), rows("k int", 1, 2, 3, 3, 6)
+    assert bag(q.fewer_rows_than(a, b)) == Counter([(6, 5, 1)])
+    assert bag(q.fewer_rows_than(b, a)) == Counter([(5, 6, 0)])
+    assert bag(q.fewer_rows_than(a, a)) == Counter([(6, 6, 1)])
+    grouped = q.fewer_rows_than(a, b, ["k"])
+    assert bag(grouped.select("k_a", "row_count_delta")) == Counter([(1, 2), (2, 1), (3, 0), (5, 0), (None, 0)])
+    assert failures(grouped, q.FEWER_ROWS_FAILURES) == 3
+    assert failures(q.fewer_rows_than(a, b, ["k"], strict=True), q.FEWER_ROWS_FAILURES) == 4
+
+
+def test_equality_failures(rows):
+    a, b = rows("x int", 1, 2, 3, 3), rows("x int", 1, 4, 3)
+    diff = q.equality(a, b)
+    assert bag(diff) == Counter([("a_minus_b", 2), ("b_minus_a", 4)])
+    assert failures(diff, q.EQUALITY_FAILURES) == 2
+    assert failures(q.equality(a, rows("x int", 1, 3)), q.EQUALITY_FAILURES) == 2
+    assert failures(q.equality(a, a), q.EQUALITY_FAILURES) == 0
+    assert failures(q.equality(a, b, strict=True), q.EQUALITY_FAILURES) == 4
+
+
+def test_expression_is_true(rows):
+    df = rows("a double, b double", (0.5, 0.5), (0.2, 0.9), (None, 1.0))
+    assert bag(q.expression_is_true(df, "a + b = 1")) == Counter([(0.2, 0.9)])
+    assert bag(q.expression_is_true(df, "= 0.5", column="a")) == Counter([(0.2, 0.9)])
+    assert bag(q.expression_is_true(df, "+ b = 1", column="a")) == Counter([(0.2, 0.9)])
+
+
+def test_recency(rows):
+    df = rows("k string, t timestamp_ntz", ("old", datetime(2024, 1, 1, 5)), ("new", datetime(2024, 1, 9, 13)), ("none", None))
+    now = F.lit(datetime(2024, 1, 10, 12)).cast("timestamp_ntz")
+    assert q.recency(df, "t", "day", 1, now=now).isEmpty()
+    assert q.recency(df.where("k = 'none'"), "t", "day", 1, now=now).isEmpty()
+    late = q.recency(df, "t", "day", 1, group_by=["k"], now=now)
+    assert late.columns == ["k", "most_recent", "threshold"]
+    assert bag(late) == Counter([("old", datetime(2024, 1, 1, 5), datetime(2024, 1, 9, 12))])
+    assert bag(q.recency(df, "t", "hour", 12, now=now)) == Counter([(datetime(2024, 1, 9, 13), datetime(2024, 1, 10))])
+    assert q.recency(df, "t", "hour", 24, ignore_time=True, now=now).isEmpty()
+    assert bag(q.recency(df, "t", "hour", 12, ignore_time=True, now=now)) == Counter([(date(2024, 1, 9), date(2024, 1, 10))])
+    assert q.recency(df, "t", "day", 1).count() == 1
+
+
+def test_at_least_one(rows):
+    df = rows("g string, x int", ("a", None), ("a", 1), ("b", None), (None, None))
+    assert q.at_least_one(df, "x").isEmpty()
+    assert bag(q.at_least_one(df.where("g = 'b'"), "x")) == Counter([(0,)])
+    assert bag(q.at_least_one(df.limit(0), "x")) == Counter([(0,)])
+    assert bag(q.at_least_one(df, "x", ["g"])) == Counter([("b", 0), (None, 0)])
+
+
+def test_not_constant(rows):
+    df = rows("g string, x string", ("a", "u"), ("a", "v"), ("b", "w"), ("b", None), ("c", None), (None, "z"), (None, "z"))
+    assert q.not_constant(df, "x").isEmpty()
+    assert bag(q.not_constant(df.where("g = 'b'"), "x")) == Counter([(1,)])
+    assert q.not_constant(df.where("g = 'c'"), "x").isEmpty()
+    assert bag(q.not_constant(df, "x", ["g"])) == Counter([("b", 1), (None, 1)])
+
+
+def test_not_empty_string(rows):
+    df = rows("id int, s string", (1, "x"), (2, "  "), (3, ""), (4, None), (5, "y "))
+    assert bag(q.not_empty_string(df, "s")) == Counter({("",): 2})
+    assert bag(q.not_empty_string(df, "s", trim_whitespace=False)) == Counter({("",): 1})
+
+
+def test_cardinality_equality(rows):
+    a, b = rows("x string", "u", "u", "v", None, "w"), rows("y string", "u", "v", "v", None, "z")
+    found = q.cardinality_equality(a, "x", b, "y")
+    assert found.columns == ["x", "num_rows"]
+    assert bag(found) == Counter([("u", 2), ("u", 1), ("v", 1), ("v", 2), ("w", 1), ("z", 1)])
+    assert q.cardinality_equality(a, "x", a, "x").isEmpty()
+
+
+def test_not_null_proportion(rows):
+    df = rows("g int, x int", (1, 1), (1, None), (2, 1), (2, 1))
+    assert q.not_null_proportion(df, "x", 0.75).isEmpty()
+    assert bag(q.not_null_proportion(df, "x", 0.8)) == Counter([(0.75,)])
+    assert bag(q.not_null_proportion(df, "x", 0.5, 0.9, ["g"])) == Counter([(2, 1.0)])
+
+
+def test_value_lists(rows):
+    df = rows("city string", "Ede", "Ede", "Gent", None)
+    assert bag(q.not_accepted_values(df, "city", ["Ede", "Rome"])) == Counter([("Ede",)])
+    assert bag(q.accepted_values(df, "city", ["Gent"])) == Counter([("Ede", 2)])
+
+
+def test_relationships_where(rows):
+    a, b = rows("id int, ok int", (1, 1), (4, 1), (4, 1), (5, 0), (None, 1)), rows("ref int, live int", (1, 1), (4, 0), (None, 1))
+    assert bag(q.relationships_where(a, "id", b, "ref")) == Counter([(5, None)])
+    assert q.relationships_where(a, "id", b, "ref", from_condition="id <> 5").isEmpty()
+    found = q.relationships_where(a, "id", b, "ref", "ok = 1", "live = 1")
+    assert found.columns == ["id", "right_id"] and bag(found) == Counter({(4, None): 2})
+
+
+def test_mutually_exclusive_ranges(rows):
+    df = rows("s int, lo int, hi int", (1, 0, 2), (1, 2, 4), (1, 5, 5), (2, 3, 1), (2, 4, 9), (2, 6, 7), (3, None, 1))
+    broken = q.mutually_exclusive_ranges(df, "lo", "hi", "s")
+    assert broken.columns == ["partition_by_col", "lower_bound", "upper_bound", "next_lower_bound", "is_last_record",
+                              "lower_bound_less_than_upper_bound",
+                              "upper_bound_less_than_or_equal_to_next_lower_bound"]
+    assert bag(broken.select("partition_by_col", "lower_bound", "upper_bound")) == Counter(
+        [(1, 5, 5), (2, 3, 1), (2, 4, 9), (3, None, 1)])
+    assert q.mutually_exclusive_ranges(df.where("s = 1"), "lo", "hi", zero_length_range_allowed=True).isEmpty()
+    gap = q.mutually_exclusive_ranges(df.where("s = 1"), "lo", "hi", gaps="not_allowed", zero_length_range_allowed=True)
+    assert bag(gap.select("lower_bound", "next_lower_bound")) == Counter([(2, 5)])
+    touching = q.mutually_exclusive_ranges(df.where("s = 1"), "lo", "hi + 0", "s * 1", gaps="required", zero_length_range_allowed=True)
+    assert bag(touching.select("lower_bound", "next_lower_bound")) == Counter([(0, 2)])
+    with pytest.raises(ValueError):
+        q.mutually_exclusive_ranges(df, "lo", "hi", gaps="some")
+    with pytest.raises(ValueError):
+        q.mutually_exclusive_ranges(df, "lo", "hi", zero_length_range_allowed="yes")
+
+
+def test_missing_successor_is_fine_but_missing_bound_is_not(rows):
+    df = rows("lo int, hi int", (1, 2), (3, None), (None, 9))
+    found = q.mutually_exclusive_ranges(df, "lo", "hi").select("lower_bound", "next_lower_bound", "is_last_record")
+    assert bag(found) == Counter([(3, None, False), (None, None, True)])
+
+
+def test_sequential_values(rows):
+    df = rows("g int, `My Even` int", (1, 2), (1, 4), (1, 6), (2, 2), (2, 8), (2, None))
+    assert q.sequential_values(df.where("g = 1"), "My Even", 2).isEmpty()
+    found = q.sequential_values(df, "My Even", 2, group_by=["g"])
+    assert found.columns == ["g", "My Even", "previous_my_even"] and bag(found) == Counter([(2, 8, 2)])
+
+
+def test_sequential_times(rows):
+    days = rows("d date", date(2024, 1, 31), date(2024, 2, 29), date(2024, 3, 31))
+    assert bag(q.sequential_values(days, "d", unit="month")) == Counter([(date(2024, 3, 31), date(2024, 2, 29))])
+    hours = rows("t timestamp", datetime(2024, 1, 1, 1), datetime(2024, 1, 1, 2), datetime(2024, 1, 1, 4))
+    assert q.sequential_values(hours, "t", unit="hour").count() == 1
+
+
+def test_uniqueness(rows):
+    df = rows("a int, b string", (1, "x"), (1, "x"), (1, None), (2, None), (2, None), (None, "y"), (None, "y"))
+    assert bag(q.unique_combination_of_columns(df, ["a", "b"])) == Counter([(1, "x"), (2, None), (None, "y")])
+    assert bag(q.unique(df, "a")) == Counter([(1, 3), (2, 2)])
+    assert bag(q.not_null(df, "b")) == Counter({(1, None): 1, (2, None): 2})
+
+
+def test_accepted_range(rows):
+    df = rows("x int, top int", (-1, 5), (0, 5), (5, 5), (6, 5), (None, 5), (3, None))
+    assert bag(q.accepted_range(df, "x", 0)) == Counter([(-1, 5)])
+    assert bag(q.accepted_range(df, "x", 0, "top")) == Counter([(-1, 5), (6, 5)])
+    assert bag(q.accepted_range(df, "x", 0, 5, inclusive=False)) == Counter([(-1, 5), (0, 5), (5, 5), (6, 5)])
+    assert q.accepted_range(df, "x").isEmpty()
+
+
+def test_assert_equal(rows):
+    df = rows("a int, b int", (1, 1), (1, 2), (None, 1), (1, None))
+    assert bag(q.assert_equal(df, "a", "b")) == Counter([(1, 2)])
+
+
+def test_columns_match_set(rows):
+    df = rows("Id int, name string")
+    assert q.columns_match_set(df, ["ID", "Name"]).isEmpty()
+    assert bag(q.columns_match_set(df, ["id", "age"], "lower")) == Counter([("name", None), (None, "age")])
+
+
+def test_suite(rows):
+    df = rows("id int, x int", (1, 5), (2, -5), (2, None))
+    checks = [
+        RowCheck("x is positive", df, q.range_violation("x", 0)),
+        RowCheck("x is set", df, F.col("x").isNull(), rating=Rating(severity="warn")),
+        RowCheck("x is set for 1", df, "x is null", where="id = 1"),
+        TableCheck("id is unique", q.unique(df, "id"), rating=Rating(error_if="> 5")),
+        TableCheck("same rows", q.equality(df, df), q.EQUALITY_FAILURES),
+        TableCheck("no rows at all", q.equal_rowcount(df, df, ["id"]).limit(0), q.EQUAL_ROWCOUNT_FAILURES),
+        TableCheck("must fail", q.not_null(df, "x"), rating=Rating(error_if="< 1", warn_if="< 1")),
+    ]
+    assert bag(run_checks(checks)) == Counter([
+        ("x is positive", 1, "error"), ("x is set", 1, "warn"), ("x is set for 1", 0, "pass"), ("id is unique", 1, "warn"),
+        ("same rows", 0, "pass"), ("no rows at all", 0, "pass"), ("must fail", 1, "pass")])
+    with pytest.raises(ValueError):
+        run_checks([])
+    with pytest.raises(ValueError):
+        run_checks([checks[0], checks[0]])
+    with pytest.raises(ValueError):
+        run_checks([RowCheck("x", df, "x > 1", rating=Rating(severity="fatal"))])
+
+
+def test_row_checks_share_a_scan(spark, rows, tmp_path):
+    rows("a int, b int", (1, None)).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    plan = run_checks([RowCheck(str(i), df, f"a > {i} or b is null") for i in range(5)])._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("Relation [") == 1
