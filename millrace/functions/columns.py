@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from operator import methodcaller
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 ORDER_ITEM = re.compile(r"^(?P<key>.+?)(?:\s+(?P<way>asc|desc))?(?:\s+nulls\s+(?P<nulls>first|last))?$", re.I | re.S)
 
@@ -29,23 +31,29 @@ def quoted(name: str) -> Column:
     return F.col(f"`{escaped}`")
 
 
-def ordering(items) -> list[Column]:
-    """Sort keys from texts such as ``"ts desc"``.
+def order_terms(items) -> list[tuple[Column, Callable[[Column], Column]]]:
+    """Keys and directions of texts such as ``"ts desc"``.
 
     Where the text does not say, NULL counts as the largest value: last when ascending, first when
     descending. That is the warehouse's rule and the opposite of Spark's.
     """
-    keys = []
+    terms = []
     for item in as_list(items):
-        if isinstance(item, Column):
-            keys.append(item)
-            continue
         parts = ORDER_ITEM.match(item.strip())
-        descending = (parts["way"] or "asc").lower() == "desc"
-        nulls_first = descending if parts["nulls"] is None else parts["nulls"].lower() == "first"
-        key = F.expr(parts["key"])
-        if descending:
-            keys.append(key.desc_nulls_first() if nulls_first else key.desc_nulls_last())
-        else:
-            keys.append(key.asc_nulls_first() if nulls_first else key.asc_nulls_last())
+        way = (parts["way"] or "asc").lower()
+        nulls = (parts["nulls"] or ("last" if way == "asc" else "first")).lower()
+        terms.append((F.expr(parts["key"]), methodcaller(f"{way}_nulls_{nulls}")))
+    return terms
+
+
+def named(df: DataFrame, text: str) -> Column:
+    """The column of ``df`` called ``text``, or else the SQL expression, under that name."""
+    return quoted(text) if text in df.columns else F.expr(text).alias(text)
+
+
+def ordering(items) -> list[Column]:
+    """Sort keys from texts, as in ``order_terms``, and from columns, which stay as they are."""
+    keys = []
+    for item in as_list(items):
+        keys += [item] if isinstance(item, Column) else [direct(key) for key, direct in order_terms(item)]
     return keys

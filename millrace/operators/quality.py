@@ -11,7 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.columns import as_column, as_list, quoted
+from millrace.functions.columns import as_column, as_list, named, quoted
 from millrace.functions.dates import add_units
 from millrace.functions.text import slug
 from millrace.operators.neighbours import COPIES, MAX_GROUP_ROWS, NEXT, with_next
@@ -71,24 +71,24 @@ def assert_equal(df: DataFrame, actual, expected) -> DataFrame:
 
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Non-NULL values that occur more than once, with their count."""
-    counted = df.where(quoted(column).isNotNull()).groupBy(quoted(column).alias("unique_field"))
+    counted = df.where(named(df, column).isNotNull()).groupBy(named(df, column).alias("unique_field"))
     return counted.agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
 
 
 def accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
     """Values outside the list, with their count. NULL passes."""
-    strange = df.where(~quoted(column).isin(values))
-    return strange.groupBy(quoted(column).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records"))
+    strange = df.where(~named(df, column).isin(values))
+    return strange.groupBy(named(df, column).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records"))
 
 
 def not_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
     """Listed values that do occur."""
-    return df.where(quoted(column).isin(values)).select(quoted(column).alias("value_field")).distinct()
+    return df.where(named(df, column).isin(values)).select(named(df, column).alias("value_field")).distinct()
 
 
 def unique_combination_of_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Key combinations that occur more than once; NULLs are equal to each other."""
-    counted = df.groupBy(*[quoted(c) for c in columns]).agg(F.count(F.lit(1)).alias("__n"))
+    counted = df.groupBy(*_keys(df, columns)).agg(F.count(F.lit(1)).alias("__n"))
     return counted.where("__n > 1").drop("__n")
 
 
@@ -96,8 +96,8 @@ def at_least_one(df: DataFrame, column: str, group_by=()) -> DataFrame:
     """Groups without a single non-NULL value; the whole table is one group by default."""
     names = as_list(group_by)
     # One value decides an ungrouped check, so every task may stop at its first.
-    rows = df if names else df.where(quoted(column).isNotNull()).select(quoted(column)).limit(1)
-    counts = rows.groupBy(*_keys(names)).agg(F.count(quoted(column)).alias("filler_column"))
+    rows = df if names else df.where(named(df, column).isNotNull()).select(named(df, column)).limit(1)
+    counts = rows.groupBy(*_keys(rows, names)).agg(F.count(named(df, column)).alias("filler_column"))
     return counts.where("filler_column = 0")
 
 
@@ -106,15 +106,15 @@ def not_constant(df: DataFrame, column: str, group_by=()) -> DataFrame:
 
     One distinct value means that minimum and maximum agree, which needs no distinct count.
     """
-    bounds = df.groupBy(*_keys(group_by)).agg(F.min(quoted(column)).alias("__min"), F.max(quoted(column)).alias("__max"))
+    bounds = df.groupBy(*_keys(df, group_by)).agg(F.min(named(df, column)).alias("__min"), F.max(named(df, column)).alias("__max"))
     single = bounds.where(F.col("__min") == F.col("__max")).drop("__min", "__max")
     return single.withColumn("filler_column", F.lit(1).cast("long"))
 
 
 def not_null_proportion(df: DataFrame, column: str, at_least: float, at_most: float = 1, group_by=()) -> DataFrame:
     """Groups whose share of non-NULL values lies outside the bounds."""
-    share = (F.count(quoted(column)) / F.count(F.lit(1))).alias("not_null_proportion")
-    shares = df.groupBy(*_keys(group_by)).agg(share)
+    share = (F.count(named(df, column)) / F.count(F.lit(1))).alias("not_null_proportion")
+    shares = df.groupBy(*_keys(df, group_by)).agg(share)
     return shares.where((F.col("not_null_proportion") < at_least) | (F.col("not_null_proportion") > at_most))
 
 
@@ -124,22 +124,22 @@ def recency(df: DataFrame, field, unit: str, interval: int, ignore_time: bool =
     present = F.current_timestamp() if now is None else as_column(now)
     stamp_type = "date" if ignore_time else df.select(as_column(field).alias("f")).schema["f"].dataType
     threshold = add_units(unit, F.lit(-interval), present).cast(stamp_type)
-    latest = df.groupBy(*_keys(group_by)).agg(F.max(as_column(field)).cast(stamp_type).alias("most_recent"))
+    latest = df.groupBy(*_keys(df, group_by)).agg(F.max(as_column(field)).cast(stamp_type).alias("most_recent"))
     return latest.withColumn("threshold", threshold).where(F.col("most_recent") < F.col("threshold"))
 
 
 # --- checks of two tables -------------------------------------------------------------------
 
 
-def _keys(names) -> list[Column]:
-    return [quoted(n) for n in as_list(names)]
+def _keys(df: DataFrame, names) -> list[Column]:
+    return [named(df, n) for n in as_list(names)]
 
 
 def _counts_side_by_side(df: DataFrame, other: DataFrame, group_by, left: str, right: str) -> DataFrame:
     """Row counts per group of both tables. A group with a NULL key meets no counterpart."""
     names = as_list(group_by)
-    a = df.groupBy(*[quoted(n).alias(f"{n}_a") for n in names]).agg(F.count(F.lit(1)).alias(left))
-    b = other.groupBy(*[quoted(n).alias(f"{n}_b") for n in names]).agg(F.count(F.lit(1)).alias(right))
+    a = df.groupBy(*[named(df, n).alias(f"{n}_a") for n in names]).agg(F.count(F.lit(1)).alias(left))
+    b = other.groupBy(*[named(other, n).alias(f"{n}_b") for n in names]).agg(F.count(F.lit(1)).alias(right))
     if not names:  # one row each
         return a.crossJoin(b)
     same = [quoted(f"{n}_a") == quoted(f"{n}_b") for n in names]
@@ -192,8 +192,8 @@ def cardinality_equality(df: DataFrame, column: str, other: DataFrame, field: st
 
     A value both sides have is returned twice, once with each count.
     """
-    a = df.select(quoted(column).alias(column), F.lit(1).alias("__a"), F.lit(0).alias("__b"))
-    b = other.select(quoted(field).alias(column), F.lit(0).alias("__a"), F.lit(1).alias("__b"))
+    a = df.select(named(df, column).alias(column), F.lit(1).alias("__a"), F.lit(0).alias("__b"))
+    b = other.select(named(other, field).alias(column), F.lit(0).alias("__a"), F.lit(1).alias("__b"))
     counted = a.unionAll(b).groupBy(quoted(column)).agg(F.sum("__a").alias("__a"), F.sum("__b").alias("__b"))
     counts = F.filter(F.array("__a", "__b"), lambda n: n > 0)
     return counted.where("__a <> __b").select(quoted(column), F.explode(counts).alias("num_rows"))
@@ -205,8 +205,8 @@ def relationships_where(df: DataFrame, column: str, to: DataFrame, field: str, f
 
     Occurrences are counted before the join, so a hot value crosses the network as one row.
     """
-    ids = df.where(from_condition).select(quoted(column).alias("id")).where("id is not null")
-    known = to.where(to_condition).select(quoted(field).alias("id")).where("id is not null").distinct()
+    ids = df.where(from_condition).select(named(df, column).alias("id")).where("id is not null")
+    known = to.where(to_condition).select(named(to, field).alias("id")).where("id is not null").distinct()
     missing = ids.groupBy("id").agg(F.count(F.lit(1)).alias("__n")).join(known, "id", "left_anti")
     id_type = ids.schema["id"].dataType
     return repeat_rows(missing, "__n").withColumn("right_id", F.lit(None).cast(id_type))
@@ -271,17 +271,17 @@ def sequential_values(df: DataFrame, column: str, interval: int = 1, unit: str |
     names = as_list(group_by)
     previous = f"previous_{slug(column)}"
     # NULLs neither violate the rule nor break it for a neighbour
-    rows = df.where(quoted(column).isNotNull())
+    rows = df.select(*_keys(df, names), named(df, column)).where(quoted(column).isNotNull())
     pairs = with_next(rows, names, [column], max_group_rows).where(F.col(NEXT).isNotNull())
     value, before = F.col(NEXT).getField(column), quoted(column)
     if unit is None:
         expected, found = before + F.lit(interval), value
     else:
-        stamp = "timestamp_ntz" if df.schema[column].dataType.typeName() in ("date", "timestamp_ntz") else "timestamp"
+        stamp = "timestamp_ntz" if rows.schema[column].dataType.typeName() in ("date", "timestamp_ntz") else "timestamp"
         expected, found = add_units(unit, F.lit(interval), before).cast(stamp), value.cast(stamp)
     broken = pairs.where(found != expected)
     counted = [COPIES] if COPIES in broken.columns else []
-    return _one_row_each(broken.select(*_keys(names), value.alias(column), before.alias(previous), *counted))
+    return _one_row_each(broken.select(*[quoted(n) for n in names], value.alias(column), before.alias(previous), *counted))
 
 
 def _one_row_each(df: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DataType
 
-from millrace.functions.columns import as_column, as_list, ordering, quoted
+from millrace.functions.columns import as_column, as_list, order_terms, ordering, quoted
 from millrace.session import shuffle_partitions
 
 # Fixed value: name of the column that tells which relation a row of a union came from.
@@ -29,12 +30,12 @@ def union_relations(relations: Mapping[str, DataFrame], column_override: Mapping
     include, exclude = ({n.lower() for n in names} for names in (include, exclude))
     if include and exclude:
         raise ValueError("give either include or exclude, not both")
-    types: dict[str, str] = {}
+    types: dict[str, DataType | str] = {}
     for df in relations.values():
         for field in df.schema.fields:
             name = field.name.lower()
             if name not in exclude and (not include or name in include):
-                types.setdefault(field.name, field.dataType.simpleString())
+                types.setdefault(field.name, field.dataType)
     if not types:
         raise ValueError(f"no columns to union in {list(relations)}")
     types |= {name: to for name, to in (column_override or {}).items() if name in types}
@@ -70,16 +71,18 @@ def latest_per_key(df: DataFrame, partition_by, latest_by) -> DataFrame:
     return df.groupBy(*keys).agg(row).select("__row.*")
 
 
-def column_values(df: DataFrame, column, order_by=None, max_records: int | None = None,
+def column_values(df: DataFrame, column, order_by="count(*) desc", max_records: int | None = None,
                   where: str | Column | None = None) -> DataFrame:
-    """Distinct values in ``value``, the most frequent first; NULL is a value.
+    """Distinct values in ``value``, by default the most frequent first; NULL is a value.
 
-    ``order_by`` is an SQL text over ``value`` and ``n``, such as ``"n desc"``. Equal ranks come in
-    order of the value.
+    ``order_by`` holds aggregates, such as ``"max(ts) desc"``. Equal ranks come in order of the value.
     """
     rows = df if where is None else df.where(where)
-    counted = rows.groupBy(as_column(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    ranked = counted.orderBy(*ordering(order_by or "n desc"), F.col("value").asc_nulls_last())
+    terms = order_terms(order_by)
+    ranks = [key.alias(f"__rank{i}") for i, (key, _) in enumerate(terms)]
+    counted = rows.groupBy(as_column(column).alias("value")).agg(*ranks)
+    order = [direct(F.col(f"__rank{i}")) for i, (_, direct) in enumerate(terms)]
+    ranked = counted.orderBy(*order, F.col("value").asc_nulls_last())
     return (ranked if max_records is None else ranked.limit(max_records)).select("value")
 
 

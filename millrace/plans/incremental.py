@@ -33,18 +33,23 @@ def constants(one_row: DataFrame) -> dict[str, Column]:
     }
 
 
-def high_water_marks(target: DataFrame, keys: list[str], stamp: str) -> DataFrame:
+def _stamp(name: str, compare_as: str | None) -> Column:
+    return quoted(name) if compare_as is None else quoted(name).try_cast(compare_as)
+
+
+def high_water_marks(target: DataFrame, keys: list[str], stamp: str, compare_as: str | None = None) -> DataFrame:
     """Greatest ``stamp`` per key, in ``__mark``."""
-    return target.groupBy(*[quoted(k) for k in keys]).agg(F.max(quoted(stamp)).alias("__mark"))
+    return target.groupBy(*[quoted(k) for k in keys]).agg(F.max(_stamp(stamp, compare_as)).alias("__mark"))
 
 
 def newer_than_target(staged: DataFrame, target: DataFrame | None, keys: list[str], stamp: str,
-                      new_keys: str = "drop") -> DataFrame:
+                      new_keys: str = "drop", compare_as: str | None = None) -> DataFrame:
     """Staged rows whose ``stamp`` is greater than the greatest one the target has for their key.
 
     Keys the target does not have are dropped or kept, as ``new_keys`` says; a missing target has
     no keys. Equal staged rows all pass. Stamps held as text compare as text, so they must be
-    year-first and zero-padded.
+    year-first and zero-padded; ``compare_as="timestamp"`` compares the times they stand for, and
+    text that is no time is never newer.
 
     With "drop" a NULL in a key matches nothing. With "keep" NULL equals NULL, so that a second run
     does not load the same rows again.
@@ -53,9 +58,10 @@ def newer_than_target(staged: DataFrame, target: DataFrame | None, keys: list[st
         raise ValueError(f"new_keys must be drop or keep, got {new_keys!r}")
     if target is None:
         return staged if new_keys == "keep" else staged.limit(0)
-    marks = high_water_marks(target, keys, stamp)
+    marks = high_water_marks(target, keys, stamp, compare_as)
     columns = [quoted(c) for c in staged.columns]
-    newer = quoted(stamp) > F.col("__mark")
+    value = _stamp(stamp, compare_as)
+    newer = value > F.col("__mark")
     if new_keys == "keep":
         known, on = _for_join(marks, keys, Column.eqNullSafe)
         return staged.join(known, on, "left").where(F.col("__known").isNull() | newer).select(columns)
@@ -64,7 +70,7 @@ def newer_than_target(staged: DataFrame, target: DataFrame | None, keys: list[st
     # No row at or below the smallest mark can pass.
     oldest = constants(marks.agg(F.min("__mark").alias("oldest")))["oldest"]
     known, on = _for_join(marks, keys, operator.eq)
-    return staged.where(quoted(stamp) > oldest).join(known, on, "inner").where(newer).select(columns)
+    return staged.where(value > oldest).join(known, on, "inner").where(newer).select(columns)
 
 
 def _for_join(marks: DataFrame, keys: list[str], same) -> tuple[DataFrame, Column]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 from datetime import datetime
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,7 +14,6 @@ from millrace.sources.tables import DEFAULT_FORMAT, read_table
 
 RETENTION_HOURS = 168
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-FILE_SIZE_SETTING = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def file_listing(spark: SparkSession, *paths: str) -> DataFrame:
@@ -38,21 +36,35 @@ def same_content(a: DataFrame, b: DataFrame, exact: bool = False) -> bool:
 
 
 @contextmanager
-def _file_size(spark: SparkSession, size: int):
-    before = spark.conf.get(FILE_SIZE_SETTING)
-    spark.conf.set(FILE_SIZE_SETTING, str(size))
+def _with_settings(spark: SparkSession, values: dict[str, str]):
+    before = {name: spark.conf.get(name, None) for name in values}
     try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        spark.conf.set(FILE_SIZE_SETTING, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _files_of(target_bytes: int, partitioned: bool) -> dict[str, str]:
+    """Settings under which a rewrite makes files of about the target size."""
+    if partitioned:
+        return {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
+    # The scan itself packs small files into tasks of that size, and each task writes one file.
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1",
+    }
 
 
 def compact(spark: SparkSession, path: str, new_path: str, partition_columns: list[str] | None = None,
             fmt: str = DEFAULT_FORMAT, target_bytes: int = TARGET_FILE_BYTES, exact_check: bool = False) -> DataFrame:
     """Rewrite a table as fewer, larger files in a new folder, and check that its content is the same.
 
-    The old folder is left as it is; readers switch when they like. A Delta table is compacted in
-    place by Delta itself.
+    Without partition columns no row is shuffled. The old folder is left as it is; readers switch
+    when they like. A Delta table is compacted in place by Delta itself.
     """
     if fmt == "delta":
         from delta.tables import DeltaTable
@@ -60,12 +72,11 @@ def compact(spark: SparkSession, path: str, new_path: str, partition_columns: li
         DeltaTable.forPath(spark, path).optimize().executeCompaction()
         return read_table(spark, path, fmt)
     table = read_table(spark, path, fmt)
-    if partition_columns:
-        with _file_size(spark, target_bytes):
+    with _with_settings(spark, _files_of(target_bytes, bool(partition_columns))):
+        if partition_columns:
             balanced(table, *partition_columns).write.format(fmt).partitionBy(*partition_columns).save(new_path)
-    else:
-        size = file_listing(spark, path).agg(F.sum("length")).first()[0] or 0
-        table.repartition(max(1, ceil(size / target_bytes))).write.format(fmt).save(new_path)
+        else:
+            table.write.format(fmt).save(new_path)
     merged = read_table(spark, new_path, fmt)
     if not same_content(table, merged, exact_check):
         raise RuntimeError(f"{new_path} does not hold the rows of {path}")

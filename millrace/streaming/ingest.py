@@ -25,7 +25,7 @@ def open_topic(spark: SparkSession, servers: str | None = None, topic: str | Non
     given = {
         "kafka.bootstrap.servers": servers or setting(spark, BROKER_SETTING),
         "subscribe": topic or setting(spark, TOPIC_SETTING),
-        "group.id": group or setting(spark, GROUP_SETTING),
+        "kafka.group.id": group or setting(spark, GROUP_SETTING),
         "startingOffsets": starting_offsets,
     }
     present = {name: value for name, value in given.items() if value is not None}

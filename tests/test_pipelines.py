@@ -54,6 +54,15 @@ def test_loading_twice_adds_nothing(staged, target, new_keys):
     assert newer_than_target(stamped, loaded, ["k"], "t", new_keys).isEmpty()
 
 
+def test_stamps_can_be_compared_as_times(rows):
+    staged = rows(FEED, ("a", "2024-1-9", 1), ("a", "2024-1-10", 2), ("a", "soon", 3))
+    target = rows(FEED, ("a", "2024-1-9", 0), ("a", "later", 0))
+    for new_keys in ("drop", "keep"):
+        assert newer_than_target(staged, target, ["k"], "t", new_keys).count() == 1
+        found = newer_than_target(staged, target, ["k"], "t", new_keys, compare_as="timestamp")
+        assert bag(found) == Counter([("a", "2024-1-10", 2)])
+
+
 def test_constants_keep_type_and_value(spark):
     row = spark.sql("""select timestamp'2024-10-27 00:30:00.123456' as a, timestamp_ntz'2024-10-27 02:30:00.5' as b,
                               date'2024-02-29' as c, 0.1D as d, 12.30BD as e, 'x' as f, cast(null as int) as g""")
@@ -207,7 +216,7 @@ def test_topic_options_come_from_the_session(spark):
     open_topic(Session, maxOffsetsPerTrigger="10")
     assert Session.readStream.calls["format"] == ("kafka",)
     assert Session.readStream.calls["options"] == {
-        "kafka.bootstrap.servers": "broker:9092", "subscribe": "weather", "group.id": "g", "startingOffsets": "earliest",
+        "kafka.bootstrap.servers": "broker:9092", "subscribe": "weather", "kafka.group.id": "g", "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": "10"}
 
 
@@ -219,9 +228,10 @@ def test_compaction_keeps_content(spark, tmp_path):
     several = maintenance.compact(spark, f"{tmp_path}/a", f"{tmp_path}/c", target_bytes=4000)
     assert 2 < len(several.inputFiles()) < 25
     df.repartition(9).write.partitionBy("k").parquet(f"{tmp_path}/p")
-    before = spark.conf.get(maintenance.FILE_SIZE_SETTING)
+    size_setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size_setting)
     merged = maintenance.compact(spark, f"{tmp_path}/p", f"{tmp_path}/q", ["k"])
-    assert len(merged.inputFiles()) == 7 and spark.conf.get(maintenance.FILE_SIZE_SETTING) == before
+    assert len(merged.inputFiles()) == 7 and spark.conf.get(size_setting) == before
 
 
 def test_lost_rows_are_noticed(spark, rows):

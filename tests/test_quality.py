@@ -212,3 +212,11 @@ def test_row_checks_share_a_scan(spark, rows, tmp_path):
     df = spark.read.parquet(f"{tmp_path}/t")
     plan = run_checks([RowCheck(str(i), df, f"a > {i} or b is null") for i in range(5)])._jdf.queryExecution()
     assert plan.optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_columns_may_be_expressions(rows):
+    df = rows("a int, b string", (1, "x"), (2, "X"), (4, "y"))
+    assert bag(q.unique_combination_of_columns(df, ["upper(b)"])) == Counter([("X",)])
+    assert bag(q.not_constant(df, "a % 2", ["b = 'y'"])) == Counter([(True, 1)])
+    assert bag(q.sequential_values(df, "a * 10", 10)) == Counter([(40, 20)])
+    assert bag(q.equal_rowcount(df, df, ["lower(b)"]).select("count_a", "diff_count")) == Counter([(2, 0), (1, 0)])

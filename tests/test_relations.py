@@ -70,7 +70,7 @@ def test_column_values(rows):
     df = rows("f string, w int", ("a", 1), ("b", 1), ("b", 2), (None, 1), ("c", 2), ("c", 2), ("c", 1))
     assert column_value_list(df, "f") == ["c", "b", "a", None]
     assert column_value_list(df, "f", max_records=2) == ["c", "b"]
-    assert column_value_list(df, "f", where="w = 1", order_by="value desc nulls last") == ["c", "b", "a", None]
+    assert column_value_list(df, "f", where="w = 1", order_by=["max(w)", "f desc nulls last"]) == ["c", "b", "a", None]
     assert column_value_list(df, "f", where="w = 9", default=["z"]) == ["z"]
     assert column_value_list(df, "f", where="w = 9") == []
     assert column_value_list(None, "f", default=[]) == []
