@@ -71,11 +71,8 @@ def _with_next_in_chunks(rows: DataFrame, group: list[str], order: list[str]) ->
         NEXT, F.when(F.col(NEXT).isNull() & F.col("__after").isNotNull() & same_group, across).otherwise(F.col(NEXT)))
 
     # All copies of a row but the last are followed by the row itself.
-    followers = F.array(
-        F.struct(_values(order).alias("next"), (F.col(COPIES) - 1).alias("n")),
-        F.struct(F.col(NEXT).alias("next"), F.lit(1).cast("long").alias("n")),
-    )
-    return (
-        stitched.withColumn("__f", F.explode(F.filter(followers, lambda f: f["n"] > 0)))
-        .select(*[quoted(c) for c in keys], F.col("__f.next").alias(NEXT), F.col("__f.n").alias(COPIES))
-    )
+    last = F.struct(F.col(NEXT).alias("next"), F.lit(1).cast("long").alias("n"))
+    others = F.struct(_values(order).alias("next"), (F.col(COPIES) - 1).alias("n"))
+    followers = F.when(F.col(COPIES) > 1, F.array(last, others)).otherwise(F.array(last))
+    return stitched.withColumn("__f", F.explode(followers)).select(
+        *[quoted(c) for c in keys], F.col("__f.next").alias(NEXT), F.col("__f.n").alias(COPIES))

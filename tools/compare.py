@@ -28,6 +28,11 @@ def oracle(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# How DuckDB names the types Spark returns here.
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def plain(value):
     """One spelling for values both engines may hold in different types."""
     if isinstance(value, float):
@@ -52,9 +57,10 @@ def compare(df, connection, sql: str) -> tuple[int, str | None]:
     rows = [tuple(r) for r in df.collect()]
     if sorted(names) != sorted(df.columns):
         return len(rows), f"columns {sorted(df.columns)} instead of {sorted(names)}"
-    types = {d[0]: str(d[1]) for d in answer.description}
-    if "HUGEINT" in types.values():
-        return len(rows), f"HUGEINT in {types}"
+    wanted = {d[0]: str(d[1]) for d in answer.description}
+    types = {name: TYPE_NAMES.get(kind, kind) for name, kind in df.dtypes}
+    if types != wanted:
+        return len(rows), f"types {types} instead of {wanted}"
     found = as_counted(df.columns, rows)
     extra, missing = found - expected, expected - found
     if extra or missing:
