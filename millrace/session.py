@@ -17,17 +17,21 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # country/region/city style directory names are text, never numbers or dates
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    "spark.ui.enabled": "false",
 }
+LOCAL_SETTINGS = {"spark.ui.enabled": "false"}
 
 
 def build_session(master: str | None = None, app: str = "millrace", **settings: str) -> SparkSession:
-    """Session with the settings the operators expect; keyword settings use ``__`` for dots."""
+    """Session with the settings the operators expect; keyword settings use ``__`` for dots.
+
+    Without a master, the one ``spark-submit`` was given applies.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    local = LOCAL_SETTINGS if master and master.startswith("local") else {}
     overrides = {name.replace("__", "."): value for name, value in settings.items()}
-    for name, value in {**SESSION_SETTINGS, **overrides}.items():
+    for name, value in {**SESSION_SETTINGS, **local, **overrides}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

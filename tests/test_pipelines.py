@@ -160,6 +160,22 @@ def test_partitioned_files_are_not_slivers(spark, tmp_path):
     assert len(read_table(spark, path).inputFiles()) == 3
 
 
+def test_hot_partition_value_is_split(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500)
+    rows = spark.range(200_000, numPartitions=8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("pad"), key.alias("k"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "500KB")
+    try:
+        append_partitioned(rows, path, ["k"])
+    finally:
+        spark.conf.set(size, before)
+    files = Counter(f.split("/")[-2] for f in read_table(spark, path).inputFiles())
+    assert files["k=0"] > 3
+    assert read_table(spark, path).count() == 200_000
+
+
 def test_tables_and_views(spark, rows, tmp_path):
     df = rows("id int", 1, 2)
     overwrite(df, f"{tmp_path}/o")
