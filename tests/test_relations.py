@@ -23,27 +23,27 @@ from tests.conftest import bag
 @pytest.fixture
 def two(rows):
     return {
-        "t1": rows("id int, name string, favorite string", (1, "drew", "pi"), (2, "bob", "e"), (3, "al", "4")),
-        "t2": rows("id int, color string, favorite int", (1, "green", 7), (2, "pink", 13)),
+        "t1": rows("id int, town string, code string", (1, "Ede", "x7"), (2, "Gent", "90"), (3, "Breda", "y")),
+        "t2": rows("id int, river string, code int", (1, "Leie", 55), (2, "Mark", 61)),
     }
 
 
 def test_union_takes_the_first_type_and_all_columns(two):
     df = union_relations(two)
-    assert df.dtypes == [("_dbt_source_relation", "string"), ("id", "int"), ("name", "string"), ("favorite", "string"),
-                         ("color", "string")]
+    assert df.dtypes == [("_dbt_source_relation", "string"), ("id", "int"), ("town", "string"), ("code", "string"),
+                         ("river", "string")]
     assert bag(df) == Counter([
-        ("t1", 1, "drew", "pi", None), ("t1", 2, "bob", "e", None), ("t1", 3, "al", "4", None),
-        ("t2", 1, None, "7", "green"), ("t2", 2, None, "13", "pink")])
+        ("t1", 1, "Ede", "x7", None), ("t1", 2, "Gent", "90", None), ("t1", 3, "Breda", "y", None),
+        ("t2", 1, None, "55", "Leie"), ("t2", 2, None, "61", "Mark")])
 
 
 def test_union_options(two):
     assert union_relations(two, include=["ID"], source_column=None).columns == ["id"]
-    assert union_relations(two, exclude=["Name", "favorite"], source_column="src").columns == ["src", "id", "color"]
+    assert union_relations(two, exclude=["Town", "code"], source_column="src").columns == ["src", "id", "river"]
     assert union_relations(two, column_override={"id": "bigint"}).schema["id"].dataType.simpleString() == "bigint"
-    assert union_relations(two, include=["name"], where="id = 2").count() == 2
+    assert union_relations(two, include=["town"], where="id = 2").count() == 2
     with pytest.raises(ValueError):
-        union_relations(two, include=["id"], exclude=["name"])
+        union_relations(two, include=["id"], exclude=["town"])
     with pytest.raises(ValueError):
         union_relations(two, include=["nothing"])
 

@@ -33,49 +33,49 @@ def test_nullcheck(rows):
 
 
 @pytest.fixture
-def sizes(rows):
-    return rows("size string, color string, n int", ("S", "red", 1), ("S", "blue", 2), ("S", "red", 1), ("M", "red", 4),
-                ("M", None, 5), ("L", "blue's", 6))
+def crates(rows):
+    return rows("crate string, fruit string, n int", ("a", "plum", 1), ("a", "fig", 2), ("a", "plum", 1), ("b", "plum", 4),
+                ("b", None, 5), ("c", "fig's", 6))
 
 
-def test_pivot(sizes):
-    assert bag(pivot(sizes, "size", "color", ["red", "blue", "blue's"])) == Counter(
-        [("S", 2, 1, 0), ("M", 1, 0, 0), ("L", 0, 0, 1)])
-    assert pivot(sizes, "size", "color", ["red"], prefix="Is ", suffix="?").columns == ["size", "Is red?"]
-    assert pivot(sizes, "size", "color", ["red"], prefix="Is ", suffix="?", slugs=True).columns == ["size", "is_red"]
+def test_pivot(crates):
+    assert bag(pivot(crates, "crate", "fruit", ["plum", "fig", "fig's"])) == Counter(
+        [("a", 2, 1, 0), ("b", 1, 0, 0), ("c", 0, 0, 1)])
+    assert pivot(crates, "crate", "fruit", ["plum"], prefix="Is ", suffix="?").columns == ["crate", "Is plum?"]
+    assert pivot(crates, "crate", "fruit", ["plum"], prefix="Is ", suffix="?", slugs=True).columns == ["crate", "is_plum"]
 
 
-def test_pivot_count_needs_no_else(sizes):
-    assert bag(pivot(sizes, "size", "color", ["red"], agg="count")) == Counter([("S", 3), ("M", 2), ("L", 1)])
-    assert bag(pivot(sizes, "size", "color", ["red"], agg="count", else_value=None)) == Counter(
-        [("S", 2), ("M", 1), ("L", 0)])
+def test_pivot_count_needs_no_else(crates):
+    assert bag(pivot(crates, "crate", "fruit", ["plum"], agg="count")) == Counter([("a", 3), ("b", 2), ("c", 1)])
+    assert bag(pivot(crates, "crate", "fruit", ["plum"], agg="count", else_value=None)) == Counter(
+        [("a", 2), ("b", 1), ("c", 0)])
 
 
-def test_pivot_comparisons(sizes):
-    assert bag(pivot(sizes, "size", "color", ["BLUE%"], comparison="ilike")) == Counter([("S", 1), ("M", 0), ("L", 1)])
-    assert bag(pivot(sizes, "size", "n", [2, 5], comparison=">=", then_value="n * 10")) == Counter(
-        [("S", 20, 0), ("M", 90, 50), ("L", 60, 60)])
+def test_pivot_comparisons(crates):
+    assert bag(pivot(crates, "crate", "fruit", ["FIG%"], comparison="ilike")) == Counter([("a", 1), ("b", 0), ("c", 1)])
+    assert bag(pivot(crates, "crate", "n", [2, 5], comparison=">=", then_value="n * 10")) == Counter(
+        [("a", 20, 0), ("b", 90, 50), ("c", 60, 60)])
     with pytest.raises(ValueError):
-        pivot_columns("color", ["red"], comparison="~")
+        pivot_columns("fruit", ["plum"], comparison="~")
 
 
 @pytest.mark.parametrize("agg", ["sum", "count", "avg", "min", "max"])
 @pytest.mark.parametrize("else_value", [None, 0])
-def test_pivot_distinct(spark, sizes, agg, else_value):
-    sizes.createOrReplaceTempView("sizes")
+def test_pivot_distinct(spark, crates, agg, else_value):
+    crates.createOrReplaceTempView("crates")
     distinct = "" if agg in ("min", "max") else "distinct"
     branch = "" if else_value is None else f"else {else_value}"
     expected = spark.sql(f"""
-        select size, {agg}({distinct} case when color = 'red' then n {branch} end) as red,
-               {agg}({distinct} case when color = 'blue' then n {branch} end) as blue
-        from sizes group by size""")
-    found = pivot(sizes, "size", "color", ["red", "blue"], agg=agg, then_value="n", else_value=else_value, distinct=True)
+        select crate, {agg}({distinct} case when fruit = 'plum' then n {branch} end) as plum,
+               {agg}({distinct} case when fruit = 'fig' then n {branch} end) as fig
+        from crates group by crate""")
+    found = pivot(crates, "crate", "fruit", ["plum", "fig"], agg=agg, then_value="n", else_value=else_value, distinct=True)
     assert found.columns == expected.columns and bag(found) == bag(expected)
 
 
-def test_pivot_without_alias(sizes):
-    assert len(pivot_columns("color", ["red", "blue"], alias=False)) == 2
-    assert "red" not in sizes.agg(*pivot_columns("color", ["red"], alias=False)).columns
+def test_pivot_without_alias(crates):
+    assert len(pivot_columns("fruit", ["plum", "fig"], alias=False)) == 2
+    assert "plum" not in crates.agg(*pivot_columns("fruit", ["plum"], alias=False)).columns
 
 
 def test_unpivot(rows):
