@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
-from operator import methodcaller
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -31,19 +30,37 @@ def quoted(name: str) -> Column:
     return F.col(f"`{escaped}`")
 
 
-def order_terms(items) -> list[tuple[Column, Callable[[Column], Column]]]:
-    """Keys and directions of texts such as ``"ts desc"``.
+class SortKey(NamedTuple):
+    """One key of a sort order."""
+
+    column: Column
+    descending: bool
+    nulls_first: bool
+
+    def sorted(self, column: Column | None = None) -> Column:
+        """The key, or another column in its place, with direction and NULL order."""
+        way, nulls = "desc" if self.descending else "asc", "first" if self.nulls_first else "last"
+        return getattr(self.column if column is None else column, f"{way}_nulls_{nulls}")()
+
+    def comparable(self) -> list[Column]:
+        """Columns that compare like the key: smallest first if ascending, greatest first if descending."""
+        null_is_greatest = self.descending == self.nulls_first
+        return [self.column.isNull() if null_is_greatest else self.column.isNotNull(), self.column]
+
+
+def sort_keys(items) -> list[SortKey]:
+    """Keys of texts such as ``"ts desc"``.
 
     Where the text does not say, NULL counts as the largest value: last when ascending, first when
     descending. That is the warehouse's rule and the opposite of Spark's.
     """
-    terms = []
+    keys = []
     for item in as_list(items):
         parts = ORDER_ITEM.match(item.strip())
-        way = (parts["way"] or "asc").lower()
-        nulls = (parts["nulls"] or ("last" if way == "asc" else "first")).lower()
-        terms.append((F.expr(parts["key"]), methodcaller(f"{way}_nulls_{nulls}")))
-    return terms
+        descending = (parts["way"] or "asc").lower() == "desc"
+        nulls_first = descending if parts["nulls"] is None else parts["nulls"].lower() == "first"
+        keys.append(SortKey(F.expr(parts["key"]), descending, nulls_first))
+    return keys
 
 
 def named(df: DataFrame, text: str) -> Column:
@@ -52,8 +69,5 @@ def named(df: DataFrame, text: str) -> Column:
 
 
 def ordering(items) -> list[Column]:
-    """Sort keys from texts, as in ``order_terms``, and from columns, which stay as they are."""
-    keys = []
-    for item in as_list(items):
-        keys += [item] if isinstance(item, Column) else [direct(key) for key, direct in order_terms(item)]
-    return keys
+    """Sort columns from texts, as in ``sort_keys``, and from columns, which stay as they are."""
+    return [item if isinstance(item, Column) else sort_keys(item)[0].sorted() for item in as_list(items)]

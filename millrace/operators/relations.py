@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DataType
 
-from millrace.functions.columns import as_column, as_list, order_terms, ordering, quoted
+from millrace.functions.columns import as_column, as_list, ordering, quoted, sort_keys
 from millrace.session import shuffle_partitions
 
 # Fixed value: name of the column that tells which relation a row of a union came from.
@@ -53,21 +53,29 @@ def union_relations(relations: Mapping[str, DataFrame], column_override: Mapping
 def deduplicate(df: DataFrame, partition_by, order_by) -> DataFrame:
     """The first row of every partition; rows with NULLs are kept like any other.
 
-    Spark prunes to one row per partition and task before the shuffle, so a hot partition costs no
-    more than a cold one. Give a total order, or the choice among ties is arbitrary.
+    Give a total order, or the choice among ties is arbitrary. Sort keys that are texts and all go
+    the same way need no sort: the first row is a minimum or maximum. Otherwise Spark ranks the rows
+    and drops all but one per partition and task before the shuffle. Either way a hot partition
+    costs no more than a cold one.
     """
-    window = Window.partitionBy(*[as_column(p) for p in as_list(partition_by)]).orderBy(*ordering(order_by))
+    items = as_list(order_by)
+    if not any(isinstance(item, Column) for item in items):
+        keys = sort_keys(items)
+        if len({key.descending for key in keys}) == 1:
+            best = F.max_by if keys[0].descending else F.min_by
+            return _one_per_key(df, partition_by, best, [c for key in keys for c in key.comparable()])
+    window = Window.partitionBy(*[as_column(p) for p in as_list(partition_by)]).orderBy(*ordering(items))
     return df.withColumn("__row", F.row_number().over(window)).where(F.col("__row") == 1).drop("__row")
 
 
 def latest_per_key(df: DataFrame, partition_by, latest_by) -> DataFrame:
-    """The row with the greatest ``latest_by`` per partition, as an aggregate: no window.
+    """The row with the greatest ``latest_by`` per partition. NULL counts as the smallest value."""
+    return _one_per_key(df, partition_by, F.max_by, [as_column(c) for c in as_list(latest_by)])
 
-    NULL counts as the smallest value of each sort column.
-    """
+
+def _one_per_key(df: DataFrame, partition_by, best, compared: list[Column]) -> DataFrame:
     keys = [as_column(p).alias(f"__key{i}") for i, p in enumerate(as_list(partition_by))]
-    order = F.struct(*[as_column(c) for c in as_list(latest_by)])
-    row = F.max_by(F.struct(*[quoted(c) for c in df.columns]), order).alias("__row")
+    row = best(F.struct(*[quoted(c) for c in df.columns]), F.struct(*compared)).alias("__row")
     return df.groupBy(*keys).agg(row).select("__row.*")
 
 
@@ -78,10 +86,10 @@ def column_values(df: DataFrame, column, order_by="count(*) desc", max_records:
     ``order_by`` holds aggregates, such as ``"max(ts) desc"``. Equal ranks come in order of the value.
     """
     rows = df if where is None else df.where(where)
-    terms = order_terms(order_by)
-    ranks = [key.alias(f"__rank{i}") for i, (key, _) in enumerate(terms)]
+    keys = sort_keys(order_by)
+    ranks = [key.column.alias(f"__rank{i}") for i, key in enumerate(keys)]
     counted = rows.groupBy(as_column(column).alias("value")).agg(*ranks)
-    order = [direct(F.col(f"__rank{i}")) for i, (_, direct) in enumerate(terms)]
+    order = [key.sorted(F.col(f"__rank{i}")) for i, key in enumerate(keys)]
     ranked = counted.orderBy(*order, F.col("value").asc_nulls_last())
     return (ranked if max_records is None else ranked.limit(max_records)).select("value")
 

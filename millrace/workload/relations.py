@@ -224,6 +224,28 @@ def dedup_row_number(t):
     return deduplicate(rows, "user_id", ["ts desc", "event_id desc"])
 
 
+@query("dedup_first", """
+SELECT l_orderkey, l_suppkey, l_linenumber, l_shipdate FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY l_suppkey ORDER BY nullif(l_linenumber, 1) NULLS FIRST, l_shipdate, l_orderkey) AS rn
+  FROM lineitem
+) WHERE rn = 1
+""")
+def dedup_first(t):
+    rows = t.lineitem.select("l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    return deduplicate(rows, "l_suppkey", ["nullif(l_linenumber, 1) nulls first", "l_shipdate", "l_orderkey"])
+
+
+@query("dedup_mixed_order", """
+SELECT event_id, ts, user_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_type DESC, ts, event_id) AS rn FROM events
+) WHERE rn = 1
+""")
+def dedup_mixed_order(t):
+    rows = t.events.select("event_id", "ts", "user_id", "event_type", "value")
+    return deduplicate(rows, "user_id", ["event_type desc", "ts", "event_id"])
+
+
 @query("dedup_max_by", LATEST.format(key="user_id % 10, event_type"))
 def dedup_max_by(t):
     rows = t.events.select("event_id", "ts", "user_id", "event_type", "value")

@@ -73,8 +73,10 @@ def test_union_filters_every_input(lines):
 
 
 def test_deduplicate_prunes_before_the_shuffle(events):
-    plan = plan_of(deduplicate(events, "user_id", "ts desc"))
-    assert "Partial" in plan.split("Exchange")[1] and exchanges(plan) == 1
+    mixed = plan_of(deduplicate(events, "user_id", ["ts desc", "event_id"]))
+    assert "WindowGroupLimit" in mixed.split("Exchange")[1] and exchanges(mixed) == 1
+    one_way = plan_of(deduplicate(events, "user_id", "ts desc"))
+    assert "partial_max_by" in one_way.split("Exchange")[1] and exchanges(one_way) == 1 and "Window" not in one_way
 
 
 def test_one_shuffle_operators(lines):

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import ordering
 from millrace.operators import relations
 from millrace.operators.relations import (
     column_value_list,
@@ -55,6 +56,15 @@ def test_deduplicate_keeps_nulls(rows):
     assert bag(deduplicate(df, ["user is null"], [F.col("version").asc()])) == Counter([(1, "a", 1), (None, "d", None)])
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 3))),
+                min_size=1, max_size=12),
+       st.sampled_from([["x desc", "y desc"], ["x", "y"], ["x desc nulls last", "y desc"], ["x nulls first", "y"]]))
+def test_deduplicate_both_ways(spark, data, order):
+    df = spark.createDataFrame(data, "k int, x int, y int")
+    assert bag(deduplicate(df, "k", order)) == bag(deduplicate(df, "k", ordering(order)))
+
+
 def test_deduplicate_twice_changes_nothing(rows):
     df = rows("k int, v int", *[(i % 5, i) for i in range(40)])
     once = deduplicate(df, "k", "v desc")
