@@ -18,10 +18,14 @@ MAX_GROUP_ROWS = 5_000_000
 NEXT, COPIES = "__next", "__copies"
 
 
-def largest_group(df: DataFrame, group: list[str]) -> int:
-    """Rows in the largest group: one number, from partial counts."""
+def fits_one_task(df: DataFrame, group: list[str], most: int) -> bool:
+    """Whether no group has more than ``most`` rows. A table that small is not grouped at all."""
+    if df.count() <= most:
+        return True
+    if not group:
+        return False
     counts = df.groupBy(*[quoted(c) for c in group]).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.agg(F.max("__n")).first()[0] or 0
+    return counts.where(F.col("__n") > most).isEmpty()
 
 
 def with_next(df: DataFrame, group: list[str], order: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
@@ -31,7 +35,7 @@ def with_next(df: DataFrame, group: list[str], order: list[str], max_group_rows:
     ``__copies``, each of its rows stands for that many equal ones.
     """
     rows = df.select([quoted(c) for c in group + order])
-    if largest_group(rows, group) <= max_group_rows:
+    if fits_one_task(rows, group, max_group_rows):
         window = Window.partitionBy(*[quoted(c) for c in group]).orderBy(*_ascending(order))
         return rows.withColumn(NEXT, F.lead(_values(order)).over(window))
     return _with_next_in_chunks(rows, group, order)

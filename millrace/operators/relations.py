@@ -122,7 +122,7 @@ def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     """Every row as often as its count says. Large counts are cut into blocks spread over the tasks."""
     last_block = F.shiftright(F.col(copies) - 1, BLOCK_BITS)
     blocks = df.where(F.col(copies) > 0).withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-    spread = blocks.repartition(shuffle_partitions(df.sparkSession))
+    spread = blocks.repartition(shuffle_partitions(df.sparkSession), *[quoted(c) for c in blocks.columns])
     left = F.col(copies) - F.shiftleft(F.col("__block"), BLOCK_BITS)
     here = F.least(F.lit(1 << BLOCK_BITS), left).cast("int")
     return spread.withColumn("__copy", F.explode(F.sequence(F.lit(1), here))).drop("__copy", "__block", copies)

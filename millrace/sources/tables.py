@@ -33,9 +33,11 @@ def refresh(spark: SparkSession, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON documents, one per line, with the nested schema taken from the data."""
-    return spark.read.json(path)
+def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """JSON documents, one per line. Without a schema the nested one found in the data applies, at the
+    price of reading the data twice."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.json(path)
 
 
 def read_seed(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.neighbours import COPIES, NEXT, largest_group, with_next
+from millrace.operators.neighbours import COPIES, NEXT, fits_one_task, with_next
 from millrace.operators.quality import mutually_exclusive_ranges, sequential_values
 from millrace.operators.relations import repeat_rows
 from tests.conftest import bag
@@ -62,11 +62,17 @@ def test_next_row_without_groups(spark, most):
 @pytest.mark.parametrize("most", [0, 10**6], ids=["chunked", "windowed"])
 def test_empty_table(spark, most):
     df = spark.createDataFrame([], "g string, x int")
-    assert largest_group(df, ["g"]) == 0
+    assert fits_one_task(df, ["g"], 0)
     assert with_next(df, ["g"], ["x"], max_group_rows=most - 1).isEmpty()
     assert sequential_values(df, "x", max_group_rows=most - 1).isEmpty()
 
 
+def test_groups_are_counted_only_in_large_tables(spark):
+    df = spark.createDataFrame([("a", i) for i in range(6)] + [("b", i) for i in range(4)], "g string, x int")
+    assert [fits_one_task(df, ["g"], most) for most in (10, 6, 5)] == [True, True, False]
+    assert [fits_one_task(df, [], most) for most in (10, 9)] == [True, False]
+
+
 def test_no_task_gets_a_whole_hot_group(spark):
     df = spark.range(10_000).select(F.lit("hot").alias("g"), F.col("id").alias("x"))
     chunked = with_next(df, ["g"], ["x"], max_group_rows=100)

@@ -65,6 +65,8 @@ def test_json_schema_is_found(spark, tmp_path):
     df = read_json(spark, str(tmp_path))
     found = {tuple(r) for r in df.select("location.name", "location.lat", "current.temp_c").collect()}
     assert found == {("Ede", 52.0, None), ("Gent", None, 3.5)}
+    assert column(read_json(spark, str(tmp_path), "current struct<temp_c double>").select("current.temp_c").distinct()
+                  .orderBy("temp_c")) == [None, 3.5]
 
 
 def test_source(spark, rows, tmp_path):
