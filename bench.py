@@ -27,8 +27,8 @@ HEADLINE = [
     "date_functions", "spine_day", "column_values", "union_relations", "pivot_sum", "pivot_distinct", "unpivot",
     "dedup_row_number", "dedup_max_by", "except_both", "qc_equal_rowcount_grouped", "qc_equality", "qc_equality_strict",
     "qc_cardinality", "qc_relationships", "qc_not_constant_grouped", "qc_unique_combo", "qc_ranges_allowed",
-    "qc_ranges_whole_table", "qc_sequential", "qc_sequential_whole_table", "qc_suite", "stream_ingest", "sink_partitioned",
-    "compact",
+    "qc_ranges_whole_table", "qc_sequential", "qc_sequential_whole_table", "qc_suite", "stream_ingest",
+    "sink_partitioned", "compact",
 ]
 
 

@@ -63,8 +63,10 @@ def sort_keys(items) -> list[SortKey]:
     return keys
 
 
-def named(df: DataFrame, text: str) -> Column:
+def named(df: DataFrame, text: str | Column) -> Column:
     """The column of ``df`` called ``text``, or else the SQL expression, under that name."""
+    if isinstance(text, Column):
+        return text
     return quoted(text) if text in df.columns else F.expr(text).alias(text)
 
 

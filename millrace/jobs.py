@@ -30,7 +30,8 @@ MAINTENANCE_SETTING = "spark.deltalake.maintenance"
 def run_ingest(spark: SparkSession, args) -> None:
     """Topic, or a folder of envelope files, to a lake table."""
     messages = open_files(spark, args.source) if args.source else open_topic(spark)
-    query = ingest(messages, args.to, args.checkpoint, codec=args.codec, fmt=args.format, until_caught_up=args.until_caught_up)
+    query = ingest(messages, args.to, args.checkpoint, codec=args.codec, fmt=args.format,
+                   until_caught_up=args.until_caught_up)
     query.awaitTermination()
 
 
@@ -85,9 +86,10 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument(f"--{option.replace('_', '-')}", **details)
 
     needed = {"required": True}
-    job("ingest", run_ingest, to=needed, checkpoint=needed, source={}, codec={"default": "avro", "choices": ["avro", "json"]},
-        until_caught_up={"action": "store_true"})
-    job("prepare", run_prepare, streaming=needed, data=needed, new_keys={"default": "drop", "choices": ["drop", "keep"]})
+    job("ingest", run_ingest, to=needed, checkpoint=needed, source={}, until_caught_up={"action": "store_true"},
+        codec={"default": "avro", "choices": ["avro", "json"]})
+    job("prepare", run_prepare, streaming=needed, data=needed,
+        new_keys={"default": "drop", "choices": ["drop", "keep"]})
     job("publish", run_publish, data=needed, table={"default": "weatherforecast"})
     job("land", run_land, source=needed, to=needed)
     job("mart", run_mart, customers=needed, to=needed)

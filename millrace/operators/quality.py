@@ -43,7 +43,7 @@ def range_violation(column, min_value=None, max_value=None, inclusive: bool = Tr
 
 def accepted_range(df: DataFrame, column, min_value=None, max_value=None, inclusive: bool = True) -> DataFrame:
     """Rows outside the range; bounds are numbers or SQL expressions. NULL passes."""
-    return df.where(range_violation(column, min_value, max_value, inclusive))
+    return df.where(range_violation(named(df, column), min_value, max_value, inclusive))
 
 
 def empty_string_violation(column, trim_whitespace: bool = True) -> Column:
@@ -58,12 +58,12 @@ def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True) -
 
 
 def not_null(df: DataFrame, column) -> DataFrame:
-    return df.where(as_column(column).isNull())
+    return df.where(named(df, column).isNull())
 
 
 def assert_equal(df: DataFrame, actual, expected) -> DataFrame:
     """Rows in which two columns differ. NULL on either side passes."""
-    return df.where(as_column(actual) != as_column(expected))
+    return df.where(named(df, actual) != named(df, expected))
 
 
 # --- checks of values and groups ------------------------------------------------------------
@@ -106,7 +106,8 @@ def not_constant(df: DataFrame, column: str, group_by=()) -> DataFrame:
 
     One distinct value means that minimum and maximum agree, which needs no distinct count.
     """
-    bounds = df.groupBy(*_keys(df, group_by)).agg(F.min(named(df, column)).alias("__min"), F.max(named(df, column)).alias("__max"))
+    value = named(df, column)
+    bounds = df.groupBy(*_keys(df, group_by)).agg(F.min(value).alias("__min"), F.max(value).alias("__max"))
     single = bounds.where(F.col("__min") == F.col("__max")).drop("__min", "__max")
     return single.withColumn("filler_column", F.lit(1).cast("long"))
 
@@ -179,7 +180,7 @@ def _or_zero(name: str, strict: bool) -> Column:
     return F.coalesce(F.col(name), F.lit(0)) if strict else F.col(name)
 
 
-EQUALITY_FAILURES = "count(*) + coalesce(abs(count_if(which_diff = 'a_minus_b') - count_if(which_diff = 'b_minus_a')), 0)"
+EQUALITY_FAILURES = "count(*) + abs(count_if(which_diff = 'a_minus_b') - count_if(which_diff = 'b_minus_a'))"
 
 
 def equality(df: DataFrame, other: DataFrame, columns: list[str] | None = None, strict: bool = False) -> DataFrame:
@@ -277,11 +278,13 @@ def sequential_values(df: DataFrame, column: str, interval: int = 1, unit: str |
     if unit is None:
         expected, found = before + F.lit(interval), value
     else:
-        stamp = "timestamp_ntz" if rows.schema[column].dataType.typeName() in ("date", "timestamp_ntz") else "timestamp"
+        without_zone = rows.schema[column].dataType.typeName() in ("date", "timestamp_ntz")
+        stamp = "timestamp_ntz" if without_zone else "timestamp"
         expected, found = add_units(unit, F.lit(interval), before).cast(stamp), value.cast(stamp)
     broken = pairs.where(found != expected)
     counted = [COPIES] if COPIES in broken.columns else []
-    return _one_row_each(broken.select(*[quoted(n) for n in names], value.alias(column), before.alias(previous), *counted))
+    shown = [*[quoted(n) for n in names], value.alias(column), before.alias(previous), *counted]
+    return _one_row_each(broken.select(shown))
 
 
 def _one_row_each(df: DataFrame) -> DataFrame:

@@ -23,12 +23,13 @@ def constants(one_row: DataFrame) -> dict[str, Column]:
     """
     fields = one_row.schema.fields
     moments = {f.name for f in fields if isinstance(f.dataType, TimestampType)}
-    texts = one_row.select([
-        F.unix_micros(quoted(f.name)).alias(f.name) if f.name in moments else quoted(f.name).cast("string").alias(f.name)
-        for f in fields
-    ]).first()
+
+    def text(name: str) -> Column:
+        return F.unix_micros(quoted(name)) if name in moments else quoted(name).cast("string")
+
+    row = one_row.select([text(f.name).alias(f.name) for f in fields]).first()
     return {
-        f.name: F.timestamp_micros(F.lit(texts[f.name])) if f.name in moments else F.lit(texts[f.name]).cast(f.dataType)
+        f.name: F.timestamp_micros(F.lit(row[f.name])) if f.name in moments else F.lit(row[f.name]).cast(f.dataType)
         for f in fields
     }
 
@@ -84,10 +85,8 @@ def newer_than_any(df: DataFrame, target: DataFrame, fields) -> DataFrame:
     An empty target has no greatest value, so nothing passes.
     """
     fields = as_list(fields)
-    greatest = [
-        F.max(F.coalesce(quoted(name), F.lit(EARLIEST).cast(target.schema[name].dataType))).alias(name) for name in fields
-    ]
-    marks = constants(target.agg(*greatest))
+    floors = {name: F.lit(EARLIEST).cast(target.schema[name].dataType) for name in fields}
+    marks = constants(target.agg(*[F.max(F.coalesce(quoted(name), floors[name])).alias(name) for name in fields]))
     return df.where(reduce(operator.or_, [quoted(name) > marks[name] for name in fields]))
 
 

@@ -161,11 +161,11 @@ def qc_not_null(t):
 SELECT c_nationkey, round(not_null_proportion, 6) AS not_null_proportion FROM (
   SELECT c_nationkey, count(nullif(c_mktsegment, 'BUILDING')) / count(*) AS not_null_proportion
   FROM customer GROUP BY c_nationkey)
-WHERE not_null_proportion < 0.75 OR not_null_proportion > 0.85
+WHERE not_null_proportion < 0.8 OR not_null_proportion > 0.85
 """)
 def qc_null_share(t):
     rows = t.customer.select("c_nationkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"))
-    shares = q.not_null_proportion(rows, "segment", 0.75, 0.85, ["c_nationkey"])
+    shares = q.not_null_proportion(rows, "segment", 0.8, 0.85, ["c_nationkey"])
     return shares.withColumn("not_null_proportion", F.round("not_null_proportion", 6))
 
 

@@ -214,6 +214,14 @@ def test_row_checks_share_a_scan(spark, rows, tmp_path):
     assert plan.optimizedPlan().toString().count("Relation [") == 1
 
 
+def test_columns_may_have_odd_names(rows):
+    df = rows("`a.b` int, `c d` int", (1, 1), (None, 2), (3, 4))
+    assert q.accepted_range(df, "a.b", 2).count() == q.not_null(df, "a.b").count() == 1
+    assert q.assert_equal(df, "a.b", "c d").count() == q.assert_equal(df, F.col("`a.b`"), F.lit(3)).count() == 1
+    assert q.unique(df, "a.b").isEmpty() and q.at_least_one(df, "c d", ["a.b"]).isEmpty()
+    assert q.sequential_values(df, "c d", 2).count() == 1
+
+
 def test_columns_may_be_expressions(rows):
     df = rows("a int, b string", (1, "x"), (2, "X"), (4, "y"))
     assert bag(q.unique_combination_of_columns(df, ["upper(b)"])) == Counter([("X",)])

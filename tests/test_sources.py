@@ -141,6 +141,26 @@ def test_avro_schema_mirrors_the_record():
     assert days["type"] == "array" and days["items"]["fields"][1] == {"name": "date_epoch", "type": "long"}
 
 
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Cluster:
+        class sparkContext:
+            master, applicationId = "spark://host", "app-1"
+
+            @staticmethod
+            def getConf():
+                return {}
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(RuntimeError):
+        session.shared_folder(Cluster)
+    Cluster.conf.get = staticmethod(lambda name, default: "s3a://shared/")
+    assert session.shared_folder(Cluster) == "s3a://shared/millrace-app-1"
+
+
 def test_stage_goes_to_the_shared_folder(spark, rows):
     staged = session.stage(rows("id int", 1, 2))
     assert staged.count() == 2

@@ -94,8 +94,8 @@ def main() -> int:
             rows, difference = 0, f"{type(error).__name__}: {str(error)[:600]}"
         if difference or rows == 0:
             failed.append(name)
-        print(f"{'DIFF' if difference else 'ok' if rows else 'EMPTY':5} {time.time() - started:6.2f}s {rows:8} {name} {difference or ''}",
-              flush=True)
+        outcome = "DIFF" if difference else "ok" if rows else "EMPTY"
+        print(f"{outcome:5} {time.time() - started:6.2f}s {rows:8} {name} {difference or ''}", flush=True)
     print(f"{len(failed)} of {len(options.names or REGISTRY)} failed: {failed}")
     return bool(failed)
 
