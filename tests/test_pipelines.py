@@ -143,6 +143,29 @@ def test_weather_from_topic_to_summary(spark, tmp_path):
             ("Belgium", "Gent region", "Gent", 6.0, 10.0, 1, "2024-01-01 10:00")])
 
 
+def test_stream_goes_on_with_a_wider_record(spark, tmp_path):
+    topic, path, checkpoint = (f"{tmp_path}/{n}" for n in ("topic", "path", "checkpoint"))
+    schemas = [spark.createDataFrame([], ddl).schema for ddl in ("a int", "a int, b string")]
+    for n, schema in enumerate(schemas):
+        messages(spark, {"a": n, "b": f"text {n}"}, offset=n).write.mode("append").parquet(topic)
+        ingest(open_files(spark, topic), path, checkpoint, schema, until_caught_up=True).awaitTermination()
+    assert bag(read_table(spark, path, merge_schema=True).select("a", "b")) == Counter([(0, None), (1, "text 1")])
+
+
+def test_stream_goes_on_after_a_failure(spark, tmp_path):
+    """A batch that fails is read again by the next run, and rows of finished batches are not."""
+    topic, path, checkpoint = (f"{tmp_path}/{n}" for n in ("topic", "path", "checkpoint"))
+    for n in range(3):
+        messages(spark, {"a": n}, offset=n).coalesce(1).write.mode("append").parquet(topic)
+    source = open_files(spark, topic, files_per_batch=1)
+    failing = source.withColumn("value", F.when(F.col("offset") == 1, F.raise_error(F.lit("lost"))).otherwise(F.col("value")))
+    with pytest.raises(Exception, match="lost"):
+        ingest(failing, path, checkpoint, "a int", until_caught_up=True).awaitTermination()
+    for _ in range(2):
+        ingest(open_files(spark, topic, files_per_batch=1), path, checkpoint, "a int", until_caught_up=True).awaitTermination()
+        assert bag(read_table(spark, path)) == Counter([(0,), (1,), (2,)])
+
+
 def test_summary_counts_only_stamped_rows(rows):
     df = rows("c string, x double, t string", ("a", 1.0, "2"), ("a", None, "1"), ("a", 3.0, None), (None, 1.0, "1"))
     assert bag(weather.summarise(df, ["c"], ["x"], "t")) == Counter([("a", 2.0, 2, "2"), (None, 1.0, 1, "1")])
