@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.columns import as_column, as_list, named, quoted
 from millrace.functions.dates import add_units
 from millrace.functions.text import slug
+from millrace.literals import moment
 from millrace.operators.neighbours import COPIES, MAX_GROUP_ROWS, NEXT, with_next
 from millrace.operators.relations import differences, repeat_rows
 
@@ -122,7 +123,7 @@ def not_null_proportion(df: DataFrame, column: str, at_least: float, at_most: fl
 def recency(df: DataFrame, field, unit: str, interval: int, ignore_time: bool = False, group_by=(),
             now: datetime | Column | None = None) -> DataFrame:
     """Groups whose latest ``field`` is older than ``interval`` units before ``now`` (the current time)."""
-    present = F.current_timestamp() if now is None else as_column(now)
+    present = F.current_timestamp() if now is None else moment(now)
     stamp_type = "date" if ignore_time else df.select(as_column(field).alias("f")).schema["f"].dataType
     threshold = add_units(unit, F.lit(-interval), present).cast(stamp_type)
     latest = df.groupBy(*_keys(df, group_by)).agg(F.max(as_column(field)).cast(stamp_type).alias("most_recent"))

@@ -6,34 +6,15 @@ import operator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import TimestampType
 
 from millrace.functions.columns import as_list, quoted
+from millrace.literals import constants
 from millrace.session import stage
 
 # Fixed value: stands in for a NULL high-water mark.
 EARLIEST = "1900-01-01"
 
 
-def constants(one_row: DataFrame) -> dict[str, Column]:
-    """The values of a one-row frame as literals of the same type.
-
-    Literals let a scan skip row groups, also where several are combined by OR; subqueries combined
-    that way would not. They also fix the marks before anything is appended.
-    """
-    fields = one_row.schema.fields
-    moments = {f.name for f in fields if isinstance(f.dataType, TimestampType)}
-
-    def text(name: str) -> Column:
-        return F.unix_micros(quoted(name)) if name in moments else quoted(name).cast("string")
-
-    row = one_row.select([text(f.name).alias(f.name) for f in fields]).first()
-    return {
-        f.name: F.timestamp_micros(F.lit(row[f.name])) if f.name in moments else F.lit(row[f.name]).cast(f.dataType)
-        for f in fields
-    }
-
-
 def _stamp(name: str, compare_as: str | None) -> Column:
     return quoted(name) if compare_as is None else quoted(name).try_cast(compare_as)
 

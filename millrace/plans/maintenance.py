@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.columns import quoted
+from millrace.literals import moment
 from millrace.operators.relations import differences
 from millrace.sinks.tables import balanced
 from millrace.sources.tables import DEFAULT_FORMAT, read_table
@@ -89,7 +90,7 @@ def stale_files(spark: SparkSession, root: str, live_paths: list[str], now: date
 
     Lists only; nothing is deleted.
     """
-    present = F.current_timestamp() if now is None else F.lit(now) if isinstance(now, datetime) else now
+    present = F.current_timestamp() if now is None else moment(now)
     oldest_kept = F.timestamp_add("hour", F.lit(-retention_hours), present)
     live = file_listing(spark, *live_paths).select("path")
     return file_listing(spark, root).where(F.col("modificationTime") < oldest_kept).join(live, "path", "left_anti")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from millrace.functions.columns import as_column
 from millrace.functions.dates import CALENDAR_UNITS, add_units, checked_unit, count_units
+from millrace.literals import constants, moment
 
 
 def number_series(spark: SparkSession, upper: int) -> DataFrame:
@@ -17,17 +16,12 @@ def number_series(spark: SparkSession, upper: int) -> DataFrame:
     return spark.range(1, upper + 1).toDF("generated_number")
 
 
-def _moment(value) -> Column:
-    """Python dates and times become literals, text is an SQL expression."""
-    return F.lit(value) if isinstance(value, (date, datetime)) else as_column(value)
-
-
 def intervals_between(spark: SparkSession, start, end, unit: str) -> int:
     """Unit boundaries from ``start`` to ``end``; 1 where the difference is unknown.
 
     Brings one number to the driver: it sizes the series that follows.
     """
-    found = spark.range(1).select(count_units(unit, _moment(start), _moment(end))).first()[0]
+    found = spark.range(1).select(count_units(unit, moment(start), moment(end))).first()[0]
     return 1 if found is None else int(found)
 
 
@@ -37,16 +31,13 @@ def date_spine(spark: SparkSession, unit: str, start, end) -> DataFrame:
     ``start`` and ``end`` are dates, times, SQL expressions or scalar subqueries.
     """
     unit = checked_unit(unit)
-    start, end = _moment(start), _moment(end)
+    start, end = moment(start), moment(end)
     count = intervals_between(spark, start, end, unit)
     if count < 1:
         raise ValueError(f"no {unit} lies between start and end")
-    first = spark.range(1).select(start.alias("start"), end.alias("end")).first()
-    whole_days = type(first["start"]) is date and unit in CALENDAR_UNITS
-    start_type = "date" if whole_days else "timestamp_ntz"
-    begin, stop = (F.lit(first[name]).cast("timestamp_ntz") for name in ("start", "end"))
-    moment = add_units(unit, F.col("id").cast("int"), begin)
+    bounds = spark.range(1).select(start.alias("start"), end.alias("end"))
+    whole_days = isinstance(bounds.schema["start"].dataType, DateType) and unit in CALENDAR_UNITS
+    first, last = (value.cast("timestamp_ntz") for value in constants(bounds).values())
     name = f"date_{unit}"
-    return spark.range(count).select(moment.alias(name)).where(F.col(name) <= stop).select(
-        F.col(name).cast(start_type).alias(name)
-    )
+    times = spark.range(count).select(add_units(unit, F.col("id"), first).alias(name))
+    return times.where(F.col(name) <= last).select(F.col(name).cast("date" if whole_days else "timestamp_ntz"))

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from millrace.functions import truncate_to
 from millrace.operators import quality as q
 from millrace.operators.suite import Rating, RowCheck, TableCheck, run_checks
 from millrace.workload.registry import query
@@ -200,7 +201,7 @@ SELECT max(ts) AS most_recent, TIMESTAMP '2024-01-31 00:00:00' AS threshold FROM
 HAVING max(ts) < TIMESTAMP '2024-01-31 00:00:00'
 """)
 def qc_recency(t):
-    return q.recency(t.events, "ts", "day", 1, now=F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz"))
+    return q.recency(t.events, "ts", "day", 1, now=datetime(2024, 2, 1))
 
 
 @query("qc_recency_grouped", """
@@ -208,8 +209,7 @@ SELECT user_id, CAST(max(ts) AS DATE) AS most_recent, DATE '2024-01-30' AS thres
 GROUP BY user_id HAVING CAST(max(ts) AS DATE) < DATE '2024-01-30'
 """)
 def qc_recency_grouped(t):
-    now = F.lit(datetime(2024, 1, 31)).cast("timestamp_ntz")
-    return q.recency(t.events, "ts", "hour", 24, ignore_time=True, group_by=["user_id"], now=now)
+    return q.recency(t.events, "ts", "hour", 24, ignore_time=True, group_by=["user_id"], now=datetime(2024, 1, 31))
 
 
 @query("qc_at_least_one", """
@@ -328,7 +328,7 @@ WHERE NOT (hour = previous_hour + INTERVAL 1 HOUR)
 
 
 def _event_hours(t):
-    return t.events.select("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
+    return t.events.select("event_type", truncate_to("hour", "ts").alias("hour"))
 
 
 @query("qc_sequential_dt", SEQUENTIAL_HOURS)

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from millrace import functions as fn
 from millrace.functions.columns import ordering
+from millrace.functions.dates import UNITS
 from millrace.functions.web import parsed_part
+from millrace.operators.quality import sequential_values
+from millrace.sources.series import date_spine
 
 
 def values(df, *columns):
@@ -93,6 +96,13 @@ def test_casts(rows):
     assert values(rows("b boolean", True, False, None), fn.text_of("b")) == ["true", "false", None]
 
 
+CLOCK = {"hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000, "millisecond": 1000, "microsecond": 1}
+
+
+def micros(t: datetime) -> int:
+    return (t - datetime(1, 1, 1)) // timedelta(microseconds=1)
+
+
 def boundaries(unit: str, a: datetime, b: datetime) -> int:
     """Unit starts passed on the way from a to b, by calendar arithmetic."""
     if unit == "year":
@@ -101,22 +111,53 @@ def boundaries(unit: str, a: datetime, b: datetime) -> int:
         return (b.year - a.year) * 4 + (b.month - 1) // 3 - (a.month - 1) // 3
     if unit == "month":
         return (b.year - a.year) * 12 + b.month - a.month
-    days = b.toordinal() - a.toordinal()
     if unit == "week":  # ordinals divisible by 7 are Sundays
         return b.toordinal() // 7 - a.toordinal() // 7
-    return days if unit == "day" else days * 24 + b.hour - a.hour
+    if unit == "day":
+        return b.toordinal() - a.toordinal()
+    return micros(b) // CLOCK[unit] - micros(a) // CLOCK[unit]
+
+
+MOMENTS = [
+    datetime(1969, 12, 31, 23, 59, 59, 999_999), datetime(2023, 12, 31, 23, 59), datetime(2024, 1, 1),
+    datetime(2024, 1, 6, 12), datetime(2024, 1, 7), datetime(2024, 2, 29, 5, 30, 1, 1500),
+    # an hour that New York's clocks skip, and one they show twice
+    datetime(2024, 3, 10, 2, 30, 0, 123_456), datetime(2024, 11, 3, 1, 30), datetime(2025, 6, 1, 0, 1)]
 
 
-def test_count_units(rows):
-    moments = [datetime(2023, 12, 31, 23, 59), datetime(2024, 1, 1), datetime(2024, 1, 6, 12), datetime(2024, 1, 7),
-               datetime(2024, 2, 29, 5, 30), datetime(2025, 6, 1, 0, 1)]
-    pairs = list(product(moments, moments))
+@pytest.fixture(params=["UTC", "America/New_York"])
+def time_zone(spark, request):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_count_units(rows, time_zone):
+    pairs = list(product(MOMENTS, MOMENTS))
     df = rows("a timestamp_ntz, b timestamp_ntz", *pairs)
-    for unit in ("hour", "day", "week", "month", "quarter", "year"):
+    for unit in UNITS:
         found = values(df, "a", "b", fn.count_units(unit, "a", "b"))
         assert found == [(a, b, boundaries(unit, a, b)) for a, b in pairs], unit
 
 
+def test_truncate(rows, time_zone):
+    df = rows("t timestamp_ntz", *MOMENTS)
+    for unit, size in CLOCK.items():
+        expected = [datetime(1, 1, 1) + timedelta(microseconds=micros(t) // size * size) for t in MOMENTS]
+        assert values(df, fn.truncate_to(unit, "t")) == expected, unit
+    assert values(df, fn.truncate_to("day", "t")) == [datetime(t.year, t.month, t.day) for t in MOMENTS]
+    assert values(df, fn.truncate_to("month", "t")) == [datetime(t.year, t.month, 1) for t in MOMENTS]
+    assert values(df, fn.truncate_to("year", "t")) == [datetime(t.year, 1, 1) for t in MOMENTS]
+
+
+def test_hours_follow_each_other_in_every_zone(spark, rows, time_zone):
+    hours = date_spine(spark, "hour", datetime(2024, 3, 10, 0), datetime(2024, 3, 10, 5))
+    expected = [datetime(2024, 3, 10, h) for h in range(5)]
+    assert sorted(r[0] for r in hours.collect()) == expected
+    assert sequential_values(rows("t timestamp_ntz", *expected), "t", unit="hour").isEmpty()
+
+
 def test_add_and_truncate(rows):
     df = rows("t timestamp_ntz", datetime(2024, 1, 31, 5, 6, 7))
     assert values(df, fn.add_units("month", 1, "t")) == [datetime(2024, 2, 29, 5, 6, 7)]

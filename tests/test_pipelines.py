@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.plans import maintenance, weather
 from millrace.plans.customers import build_customer_mart, current_customers, customer_mart, customer_mart_checks
-from millrace.plans.incremental import constants, current_rows, newer_than_any, newer_than_target
+from millrace.literals import constants
+from millrace.plans.incremental import current_rows, newer_than_any, newer_than_target
 from millrace.operators.suite import run_checks
 from millrace.sinks import append_partitioned, as_table, as_view, overwrite, write_incremental, write_jdbc
 from millrace.sources.feed import ENVELOPE, WEATHER

@@ -57,7 +57,7 @@ def test_expression_is_true(rows):
 
 def test_recency(rows):
     df = rows("k string, t timestamp_ntz", ("old", datetime(2024, 1, 1, 5)), ("new", datetime(2024, 1, 9, 13)), ("none", None))
-    now = F.lit(datetime(2024, 1, 10, 12)).cast("timestamp_ntz")
+    now = datetime(2024, 1, 10, 12)
     assert q.recency(df, "t", "day", 1, now=now).isEmpty()
     assert q.recency(df.where("k = 'none'"), "t", "day", 1, now=now).isEmpty()
     late = q.recency(df, "t", "day", 1, group_by=["k"], now=now)
