@@ -142,8 +142,10 @@ def _counts_side_by_side(df: DataFrame, other: DataFrame, group_by, left: str, r
     names = as_list(group_by)
     a = df.groupBy(*[named(df, n).alias(f"{n}_a") for n in names]).agg(F.count(F.lit(1)).alias(left))
     b = other.groupBy(*[named(other, n).alias(f"{n}_b") for n in names]).agg(F.count(F.lit(1)).alias(right))
-    if not names:  # one row each
-        return a.crossJoin(b)
+    if not names:  # one row each, put into one row
+        unknown = F.lit(None).cast("long")
+        both = a.withColumn(right, unknown).unionByName(b.withColumn(left, unknown))
+        return both.agg(F.max(left).alias(left), F.max(right).alias(right))
     same = [quoted(f"{n}_a") == quoted(f"{n}_b") for n in names]
     columns = [quoted(f"{n}_{side}") for n in names for side in "ab"]
     return a.join(b, same, "full").select(*columns, left, right)
