@@ -64,7 +64,9 @@ def _with_next_in_chunks(rows: DataFrame, group: list[str], order: list[str]) ->
     after = heads.select("__chunk", F.lead("__head").over(Window.orderBy("__chunk")).alias("__after"))
 
     inside = Window.partitionBy("__chunk", *[quoted(c) for c in group]).orderBy(*_ascending(order))
-    near = chunks.withColumn(NEXT, F.lead(_values(order)).over(inside))
+    # The window needs no other shuffle than this one, which gives every task one chunk.
+    placed = chunks.repartitionById(chunk_count, F.col("__chunk"))
+    near = placed.withColumn(NEXT, F.lead(_values(order)).over(inside))
     # At most chunk_count rows are broadcast, however large the table is.
     joined = near.join(F.broadcast(after), "__chunk", "left")
     same_group = F.lit(True)
