@@ -33,10 +33,9 @@ def open_topic(spark: SparkSession, servers: str | None = None, topic: str | Non
 
 
 def open_files(spark: SparkSession, path: str, schema: StructType = ENVELOPE, fmt: str = DEFAULT_FORMAT,
-               name_filter: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+               files_per_batch: int | None = None) -> DataFrame:
     """Rows of a growing folder of files, from the first file on; by default message envelopes."""
-    given = {"pathGlobFilter": name_filter, "maxFilesPerTrigger": files_per_batch}
-    options = {name: str(value) for name, value in given.items() if value is not None}
+    options = {} if files_per_batch is None else {"maxFilesPerTrigger": str(files_per_batch)}
     return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
 

@@ -70,9 +70,9 @@ def stream_restart(t):
 
 @query("stream_files", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_files(t):
-    """The table's own file, followed as a stream."""
+    """The table's own files, followed as a stream."""
     path, checkpoint = (new_path(t.spark, name) for name in ("followed", "checkpoint"))
-    rows = open_files(t.spark, t.folder, t.events.schema, name_filter="events.parquet")
+    rows = open_files(t.spark, f"{t.folder}/events.*", t.events.schema)
     append_stream(rows, path, checkpoint, until_caught_up=True).awaitTermination()
     return read_table(t.spark, path)
 
