@@ -51,7 +51,11 @@ def _with_settings(spark: SparkSession, values: dict[str, str]):
 def _files_of(target_bytes: int, partitioned: bool) -> dict[str, str]:
     """Settings under which a rewrite makes files of about the target size."""
     if partitioned:
-        return {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
+        return {
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+            # a folder named 01 must not be rewritten as 1
+            "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+        }
     # The scan itself packs small files into tasks of that size, and each task writes one file.
     return {
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
@@ -72,16 +76,15 @@ def compact(spark: SparkSession, path: str, new_path: str, partition_columns: li
 
         DeltaTable.forPath(spark, path).optimize().executeCompaction()
         return read_table(spark, path, fmt)
-    table = read_table(spark, path, fmt)
     with _with_settings(spark, _files_of(target_bytes, bool(partition_columns))):
+        table = read_table(spark, path, fmt)
         if partition_columns:
             balanced(table, *partition_columns).write.format(fmt).partitionBy(*partition_columns).save(new_path)
         else:
             table.write.format(fmt).save(new_path)
-    merged = read_table(spark, new_path, fmt)
-    if not same_content(table, merged, exact_check):
-        raise RuntimeError(f"{new_path} does not hold the rows of {path}")
-    return merged
+        if not same_content(table, read_table(spark, new_path, fmt), exact_check):
+            raise RuntimeError(f"{new_path} does not hold the rows of {path}")
+    return read_table(spark, new_path, fmt)
 
 
 def stale_files(spark: SparkSession, root: str, live_paths: list[str], now: datetime | Column | None = None,

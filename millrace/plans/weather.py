@@ -20,6 +20,9 @@ PREPARED_FIELDS = {
     "current.wind_kph": "windspeed",
     "current.last_updated": "modifiedon",
 }
+PREPARED_SCHEMA = (
+    "city string, region string, country string, temperature double, windspeed double, modifiedon string"
+)
 COUNTRIES = ["Netherlands", "Belgium"]
 
 
@@ -43,6 +46,11 @@ def summarise(df: DataFrame, keys: list[str], averages: list[str], stamp: str) -
     )
 
 
+def _prepared_schema(fmt: str) -> str | None:
+    """Delta keeps the schema itself; for folders of files it has to be given."""
+    return None if fmt == "delta" else PREPARED_SCHEMA
+
+
 def load_new(spark: SparkSession, streaming_path: str, data_path: str, new_keys: str = "drop",
              fmt: str = DEFAULT_FORMAT) -> None:
     """Append the streamed records that are newer than what the prepared table holds for their city.
@@ -50,7 +58,7 @@ def load_new(spark: SparkSession, streaming_path: str, data_path: str, new_keys:
     The table's files are listed before the append starts, so reading and appending do not mix.
     """
     staged = prepare(read_table(spark, streaming_path, fmt))
-    target = read_table_if_exists(spark, data_path, fmt)
+    target = read_table_if_exists(spark, data_path, fmt, _prepared_schema(fmt))
     fresh = newer_than_target(staged, target, KEYS, "modifiedon", new_keys)
     append_partitioned(fresh, data_path, KEYS, fmt)
     refresh(spark, data_path)
@@ -59,7 +67,8 @@ def load_new(spark: SparkSession, streaming_path: str, data_path: str, new_keys:
 def publish(spark: SparkSession, data_path: str, fmt: str = DEFAULT_FORMAT, **database) -> DataFrame:
     """Summary of the prepared table; written to a database table where one is named."""
     refresh(spark, data_path)
-    summary = summarise(read_table(spark, data_path, fmt), KEYS, ["temperature", "windspeed"], "modifiedon")
+    prepared = read_table(spark, data_path, fmt, schema=_prepared_schema(fmt))
+    summary = summarise(prepared, KEYS, ["temperature", "windspeed"], "modifiedon")
     if database:
         write_jdbc(summary, **database)
     return summary

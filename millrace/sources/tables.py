@@ -11,17 +11,23 @@ from pyspark.sql.types import StructType
 DEFAULT_FORMAT = "parquet"
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, merge_schema: bool = False) -> DataFrame:
-    """Lake table by path. ``merge_schema`` reads Parquet whose files gained columns over time."""
-    reader = spark.read.format(fmt)
+def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, merge_schema: bool = False,
+               schema: StructType | str | None = None) -> DataFrame:
+    """Lake table by path.
+
+    ``merge_schema`` reads Parquet whose files gained columns over time. A ``schema`` keeps the
+    values of partition folders from being taken for numbers or dates.
+    """
+    reader = spark.read.format(fmt) if schema is None else spark.read.format(fmt).schema(schema)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
     return reader.load(path)
 
 
-def read_table_if_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame | None:
+def read_table_if_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT,
+                         schema: StructType | str | None = None) -> DataFrame | None:
     try:
-        return read_table(spark, path, fmt)
+        return read_table(spark, path, fmt, schema=schema)
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND"):
             return None

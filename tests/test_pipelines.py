@@ -274,6 +274,31 @@ def test_compaction_keeps_content(spark, tmp_path):
     assert len(merged.inputFiles()) == 7 and spark.conf.get(size_setting) == before
 
 
+@pytest.fixture
+def guessed_partition_types(spark):
+    """Spark's default: folder names that look like numbers are numbers."""
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    spark.conf.set(name, "true")
+    yield
+    spark.conf.set(name, "false")
+
+
+def test_compaction_keeps_folder_names(spark, rows, tmp_path, guessed_partition_types):
+    rows("id int, k string", (1, "01"), (2, "01"), (3, "1")).write.partitionBy("k").parquet(f"{tmp_path}/a")
+    maintenance.compact(spark, f"{tmp_path}/a", f"{tmp_path}/b", ["k"])
+    assert sorted(p.name for p in (tmp_path / "b").glob("k=*")) == ["k=01", "k=1"]
+
+
+def test_cities_may_look_like_numbers(spark, tmp_path, guessed_partition_types):
+    streaming, data = f"{tmp_path}/streaming", f"{tmp_path}/data"
+    for hour in ("10", "11"):
+        texts = [json.dumps(reading(city, "Belgium", f"2024-01-01 {hour}:00", 4.0)) for city in ("007", "7")]
+        spark.read.schema(WEATHER).json(spark.sparkContext.parallelize(texts)).write.mode("append").parquet(streaming)
+        weather.load_new(spark, streaming, data, new_keys="keep" if hour == "10" else "drop")
+    summary = weather.publish(spark, data)
+    assert bag(summary.select("city", "number_of_rows")) == Counter([("007", 2), ("7", 2)])
+
+
 def test_lost_rows_are_noticed(spark, rows):
     a = rows("x int, y string", (1, "a"), (1, "a"), (2, None))
     assert maintenance.same_content(a, a.select("y", "x").select("x", "y"))
