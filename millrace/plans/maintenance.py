@@ -16,6 +16,9 @@ from millrace.sources.tables import DEFAULT_FORMAT, read_table
 RETENTION_HOURS = 168
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
+# A folder named 01 must not be rewritten as 1.
+TEXT_FOLDERS = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
+
 
 def file_listing(spark: SparkSession, *paths: str) -> DataFrame:
     """Files below the paths: path, modificationTime, length. Contents are not read."""
@@ -51,11 +54,7 @@ def _with_settings(spark: SparkSession, values: dict[str, str]):
 def _files_of(target_bytes: int, partitioned: bool) -> dict[str, str]:
     """Settings under which a rewrite makes files of about the target size."""
     if partitioned:
-        return {
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
-            # a folder named 01 must not be rewritten as 1
-            "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-        }
+        return {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
     # The scan itself packs small files into tasks of that size, and each task writes one file.
     return {
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
@@ -76,12 +75,13 @@ def compact(spark: SparkSession, path: str, new_path: str, partition_columns: li
 
         DeltaTable.forPath(spark, path).optimize().executeCompaction()
         return read_table(spark, path, fmt)
-    with _with_settings(spark, _files_of(target_bytes, bool(partition_columns))):
+    with _with_settings(spark, TEXT_FOLDERS):
         table = read_table(spark, path, fmt)
-        if partition_columns:
-            balanced(table, *partition_columns).write.format(fmt).partitionBy(*partition_columns).save(new_path)
-        else:
-            table.write.format(fmt).save(new_path)
+        with _with_settings(spark, _files_of(target_bytes, bool(partition_columns))):
+            if partition_columns:
+                balanced(table, *partition_columns).write.format(fmt).partitionBy(*partition_columns).save(new_path)
+            else:
+                table.write.format(fmt).save(new_path)
         if not same_content(table, read_table(spark, new_path, fmt), exact_check):
             raise RuntimeError(f"{new_path} does not hold the rows of {path}")
     return read_table(spark, new_path, fmt)
