@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,3 +48,48 @@ def append(df: DataFrame, fields: str, make: Callable[[], BatchFunction], drop:
 def held_out_remainder(df: DataFrame, id_column: str, parts: int):
     """crc32 of the id as text, modulo ``parts``; of null the remainder is that of the empty text."""
     return F.crc32(F.coalesce(column(df, id_column).cast("string"), F.lit("")).cast("binary")) % parts
+
+
+#: Values that one row of a partial sum holds.
+CHUNK = 1 << 15
+
+
+def summed(df: DataFrame, accumulate: Callable[[Iterator[pa.RecordBatch]], np.ndarray], length: int) -> np.ndarray:
+    """Sum over the partitions of the vector of doubles that ``accumulate`` makes of each.
+
+    Partitions hand on their vector in chunks, and each chunk is added up in a task of its own, so
+    that neither a task nor the driver holds more than one vector per partition chunk, or one
+    vector. The order of addition is that of the partitions, whatever order tasks end in.
+    """
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()
+        vector = np.ascontiguousarray(accumulate(batches), np.float64)
+        parts = [vector[a:a + CHUNK].tobytes() for a in range(0, length, CHUNK)]
+        if vector.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(parts)), pa.int32()), pa.array([number] * len(parts), pa.int32()), pa.array(parts, pa.binary())],
+                names=["chunk", "number", "part"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("number")
+        total = np.frombuffer(rows["part"].iloc[0], np.float64).copy()
+        for part in rows["part"].iloc[1:]:
+            total += np.frombuffer(part, np.float64)
+        return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "total": [total.tobytes()]})
+
+    parts = df.mapInArrow(partial, "chunk int, number int, part binary")
+    out = np.zeros(length)
+    for row in parts.groupBy("chunk").applyInPandas(add, "chunk int, total binary").collect():
+        total = np.frombuffer(row.total, np.float64)
+        out[row.chunk * CHUNK:row.chunk * CHUNK + len(total)] = total
+    return out
+
+
+def about(df: DataFrame, id_column: str, rows: int) -> DataFrame:
+    """All rows if there are at most ``rows``, else about that many, chosen by a hash of their id."""
+    count = df.count()
+    if count <= rows:
+        return df
+    share = int(rows / count * (1 << 30))
+    return df.where(F.pmod(F.xxhash64(column(df, id_column)), F.lit(1 << 30)) < share)

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, line_cleaning
+from millrace.llm import decontamination, languages, line_cleaning
+from millrace.llm.frames import held_out_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,3 +82,12 @@ FROM doc_words LEFT JOIN hit USING (row) LEFT JOIN items USING (row)
 def op5_line_cleaning(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return line_cleaning.judge_lines(documents, "text", with_text=False)
+
+
+@registered
+def op10_language_spans(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    documents = documents.withColumn("held_out", held_out_remainder(documents, "doc_id", 5) == 0)
+    model = languages.learn(documents.where(~F.col("held_out")), "doc_id", "text", "lang")
+    found = languages.identify(documents.drop("lang"), "text", model, spans=False, drop=("text",))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
