@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, languages, line_cleaning
+from millrace.llm import decontamination, languages, line_cleaning, quality_model
 from millrace.llm.frames import held_out_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,18 @@ def op10_language_spans(spark: SparkSession, folder: str) -> DataFrame:
     model = languages.learn(documents.where(~F.col("held_out")), "doc_id", "text", "lang")
     found = languages.identify(documents.drop("lang"), "text", model, spans=False, drop=("text",))
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def quality_of_documents(spark: SparkSession, folder: str, documents: DataFrame) -> quality_model.QualityModel:
+    """Model learned from the labels of two thirds of the ids, the others being held out."""
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    learning = held_out_remainder(labels, "doc_id", 3) != 1
+    return quality_model.learn(documents, "doc_id", "text", labels, "doc_id", "quality", learning)
+
+
+@registered
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_of_documents(spark, folder, documents)
+    scored = quality_model.score(documents, "text", model, drop=("text",))
+    return scored.select("doc_id", (held_out_remainder(scored, "doc_id", 3) == 1).alias("held_out"), "score", "predicted")
