@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, languages, line_cleaning, quality_model
+from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, quality_model
 from millrace.llm.frames import held_out_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     model = quality_of_documents(spark, folder, documents)
     scored = quality_model.score(documents, "text", model, drop=("text",))
     return scored.select("doc_id", (held_out_remainder(scored, "doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@registered
+def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"), "doc_id", "text")
