@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, quality_model
+from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, pseudonyms, quality_model
 from millrace.llm.frames import held_out_remainder
+from millrace.session import setting
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -108,6 +109,21 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (held_out_remainder(scored, "doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+#: Where a session keeps the key of its pseudonyms; the other is for the test tables.
+KEY_SETTING, TEST_KEY = "spark.millrace.pseudonym.key", "key of the synthetic test tables"
+
+
+def pseudonym_key(spark: SparkSession) -> bytes:
+    return (setting(spark, KEY_SETTING) or TEST_KEY).encode()
+
+
+@registered
+def op2_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    made = pseudonyms.pseudonymise(documents, "text", pseudonym_key(spark))
+    return made.withColumn("n_replaced", F.size("pii_kinds").cast("long"))
+
+
 @registered
 def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), "doc_id", "text")
