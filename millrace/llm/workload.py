@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, pseudonyms, quality_model
+from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, pieces, pseudonyms, quality_model
 from millrace.llm.frames import held_out_remainder
 from millrace.session import setting
 
@@ -127,3 +127,25 @@ def op2_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), "doc_id", "text")
+
+
+#: Where a session keeps the path of its SentencePiece model.
+MODEL_SETTING = "spark.millrace.sentencepiece.model"
+
+
+def piece_model(spark: SparkSession) -> pieces.PieceModel:
+    path = setting(spark, MODEL_SETTING)
+    if not path:
+        import public_tokenizers
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.load(path)
+
+
+@registered
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = piece_model(spark)
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = pieces.encode(documents, "text", model)
+    read_back = pieces.decode(encoded, "token_ids", model, "decoded")
+    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.BLANK, " ")
+    return read_back.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip"))
