@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, pieces, pseudonyms, quality_model
+from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, pieces, preferences, pseudonyms, quality_model
 from millrace.llm.frames import held_out_remainder
 from millrace.session import setting
 
@@ -149,3 +149,63 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     read_back = pieces.decode(encoded, "token_ids", model, "decoded")
     same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.BLANK, " ")
     return read_back.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip"))
+
+
+@registered
+def op4_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    whole = preferences.conversations(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
+    made = preferences.format_pairs(preferences.sibling_and_echo_pairs(whole), "chosen", "rejected")
+
+    def shown(ranges: str):
+        return F.array_join(F.transform(ranges, lambda r: F.concat_ws("-", r["start"], r["stop"])), ",")
+
+    return made.select(F.col("conversation").alias("conv_id"), "kind", "prompt_turns", "prompt", "chosen_completion",
+                       shown("chosen_ranges").alias("chosen_ranges"), "rejected_completion",
+                       shown("rejected_ranges").alias("rejected_ranges"), "usable")
+
+
+SQL["op4_preferences"] = r"""
+WITH turns AS (
+    SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns
+    FROM turns GROUP BY conv_id),
+lead AS (
+    SELECT turns[1] AS opening, arg_min(turns, conv_id) AS lead FROM whole GROUP BY turns[1] HAVING count(*) > 1),
+placed AS (
+    SELECT conv_id, turns, lead, coalesce(lead <> turns, false) AS sibling,
+           coalesce(list_max([i FOR i IN range(1, len(turns) + 1) IF turns[i].role = 'assistant']), 0) AS place
+    FROM whole LEFT JOIN lead ON whole.turns[1] = lead.opening),
+pairs AS (
+    SELECT conv_id, CASE WHEN sibling THEN 'sibling' ELSE 'echo' END AS kind,
+           CASE WHEN sibling THEN lead ELSE turns END AS c,
+           CASE WHEN sibling THEN turns ELSE [CASE WHEN i = place THEN {'role': turns[i].role, 'text': turns[i - 1].text}
+                                                   ELSE turns[i] END FOR i IN range(1, len(turns) + 1)] END AS r
+    FROM placed WHERE sibling OR place > 1),
+cut AS (
+    SELECT *, CAST(coalesce(list_min([i FOR i IN range(1, least(len(c), len(r))) IF c[i] IS DISTINCT FROM r[i]]) - 1,
+                            greatest(least(len(c), len(r)) - 1, 0)) AS INTEGER) AS prompt_turns FROM pairs),
+shown AS (
+    SELECT conv_id, kind, prompt_turns, sides.side, sides.t AS t, sides.first AS first
+    FROM cut, unnest([{'side': 'p', 't': c[1:prompt_turns], 'first': 0}, {'side': 'c', 't': c[prompt_turns + 1:], 'first': 0},
+                      {'side': 'r', 't': r[prompt_turns + 1:], 'first': 0}]) AS s(sides)),
+texts AS (
+    SELECT conv_id, kind, prompt_turns, side, [x.role FOR x IN t] AS roles,
+        ['<|im_start|>' || replace(replace(coalesce(x.role, 'unknown'), '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>')
+         || chr(10) FOR x IN t] AS heads,
+        [replace(replace(coalesce(x.text, ''), '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>')
+         || '<|im_end|>' || chr(10) FOR x IN t] AS tails
+    FROM shown),
+marked AS (
+    SELECT conv_id, kind, prompt_turns, side,
+        coalesce(array_to_string([heads[i] || tails[i] FOR i IN range(1, len(heads) + 1)], ''), '') AS body,
+        coalesce(array_to_string([
+            CAST(coalesce(list_sum([len(heads[j]) + len(tails[j]) FOR j IN range(1, i)]), 0) + len(heads[i]) AS BIGINT)::VARCHAR || '-' ||
+            CAST(coalesce(list_sum([len(heads[j]) + len(tails[j]) FOR j IN range(1, i + 1)]), 0) AS BIGINT)::VARCHAR
+            FOR i IN range(1, len(heads) + 1) IF roles[i] = 'assistant'], ','), '') AS ranges
+    FROM texts)
+SELECT conv_id, kind, prompt_turns, p.body AS prompt, c.body AS chosen_completion, c.ranges AS chosen_ranges,
+       r.body AS rejected_completion, r.ranges AS rejected_ranges, c.ranges <> '' AND r.ranges <> '' AND c.body <> r.body AS usable
+FROM (SELECT * FROM marked WHERE side = 'p') p JOIN (SELECT conv_id, body, ranges FROM marked WHERE side = 'c') c USING (conv_id)
+JOIN (SELECT conv_id, body, ranges FROM marked WHERE side = 'r') r USING (conv_id)
+"""
