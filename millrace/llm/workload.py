@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, pieces, preferences, pseudonyms, quality_model
+from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, pieces, preferences, pseudonyms, quality_model, url_trees
 from millrace.llm.frames import held_out_remainder
 from millrace.session import setting
 
@@ -209,3 +209,15 @@ SELECT conv_id, kind, prompt_turns, p.body AS prompt, c.body AS chosen_completio
 FROM (SELECT * FROM marked WHERE side = 'p') p JOIN (SELECT conv_id, body, ranges FROM marked WHERE side = 'c') c USING (conv_id)
 JOIN (SELECT conv_id, body, ranges FROM marked WHERE side = 'r') r USING (conv_id)
 """
+
+
+RULES = [url_trees.Rule("com", "/", "allow"), url_trees.Rule("example.com", "/en/", "block"),
+         url_trees.Rule("www.example.com", "/en/", "allow"), url_trees.Rule("net", "/es/", "block"),
+         url_trees.Rule("net", "/fr/", "block")]
+
+
+@registered
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    model = url_trees.train(url_trees.labelled_by_rules(pages, "url", RULES), "url", "blocked")
+    return url_trees.judge(pages, "url", RULES, model).select("page_id", "host", "path", "rule", "verdict")
