@@ -5,12 +5,14 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, pieces, preferences, pseudonyms, quality_model, url_trees
+from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, pieces, preferences, pseudonyms, quality_model, range_coder, token_files, url_trees
 from millrace.llm.frames import held_out_remainder
-from millrace.session import setting
+from millrace.session import new_path, setting
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -151,6 +153,33 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return read_back.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip"))
 
 
+#: Where a session keeps the path of its tokenizer.
+TOKENIZER_SETTING = "spark.millrace.tokenizer"
+END_ID = 2
+
+
+def tokenizer_path(spark: SparkSession) -> str:
+    path = setting(spark, TOKENIZER_SETTING)
+    if not path:
+        import public_tokenizers
+        path = public_tokenizers.path("word_bpe_49k.json")
+    return path
+
+
+def _digest(doc_ids: pa.Array, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> list[pa.Array]:
+    stops = np.cumsum(sizes)
+    sums = [range_coder.checksum(ids[b - n:b]) for b, n in zip(stops.tolist(), sizes.tolist(), strict=True)]
+    return [doc_ids, pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64())]
+
+
+@registered
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    token_files.write(table(spark, folder, "documents"), "doc_id", "text", path, tokenizer_path(spark), END_ID)
+    blocks = token_files.read_blocks(spark, path)
+    return token_files.documents(blocks, "doc_id long, start long, n_tokens long, ids_crc32 long", _digest)
+
+
 @registered
 def op4_preferences(spark: SparkSession, folder: str) -> DataFrame:
     whole = preferences.conversations(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
