@@ -195,6 +195,11 @@ def _ipv4(found: str, permute: Permutation) -> str:
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
+def _one_digit(day: int) -> bool:
+    that = date.fromordinal(FIRST_DAY + day)
+    return that.day < 10 or that.month < 10
+
+
 def _date(found: str, permute: Permutation) -> str | None:
     mark = "-" if "-" in found else "." if "." in found else "/"
     order = {"-": (0, 1, 2), ".": (2, 1, 0), "/": (2, 0, 1)}[mark]  # where year, month and day stand
@@ -205,8 +210,11 @@ def _date(found: str, permute: Permutation) -> str | None:
         return None
     if not FIRST_DAY <= day <= LAST_DAY:
         return None
-    fresh = date.fromordinal(FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date"))
-    padded = all(len(p) == len(parts[order[0]]) or len(p) == 2 for p in parts)
+    # Days with a one-digit part stay among themselves, so that it remains visible whether zeros are written.
+    short = _one_digit(day - FIRST_DAY)
+    fresh = date.fromordinal(FIRST_DAY + permute(
+        day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, f"date:{short}", lambda n: n <= LAST_DAY - FIRST_DAY and _one_digit(n) == short))
+    padded = all(len(p) >= 2 for p in parts)
     values = (fresh.year, fresh.month, fresh.day)
     made = [""] * 3
     for value, place in zip(values, order, strict=True):

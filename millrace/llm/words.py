@@ -167,7 +167,7 @@ def windows(found: Words, size: int, rows: int) -> tuple[np.ndarray, np.ndarray]
     """Hash and row of every run of ``size`` words; a row with fewer words, but not none, is one run."""
     n = len(found.hash)
     total = np.zeros(n, np.uint64)
-    for j in range(size):
+    for j in range(min(size, n)):
         total[:n - j] += mixed(found.hash[j:] + np.uint64(j + 1))
     whole = np.zeros(n, bool)
     if n >= size:
