@@ -11,12 +11,16 @@ k (ln k + 3) darts however long it is; where a coordinate stays empty, the horiz
 Documents of the same words are first folded into one. Signatures are cut into bands; documents that
 agree in a band share a bucket. Then
 
-1. every member of a bucket is compared with the bucket's leader, its smallest id;
-2. what that leaves apart is compared inside the bucket, in blocks, by signature. Members already in
-   one component, or too far from each other by the triangle inequality of the Jaccard distance
-   seen from the leader, need no comparison. No bucket is capped;
-3. all pairs found are checked on whole shingle sets, and connected components of the links that
-   reach ``threshold`` are the classes.
+1. every member of a bucket is compared with the bucket's leader, its smallest id, on whole shingle
+   sets, and the links that reach ``threshold`` are joined into components;
+2. what that leaves apart is compared with another member of its bucket, drawn by a hash, again and
+   again as long as that settles a fair part of it. Members of one component, and members too far from
+   each other by the triangle inequality of the Jaccard distance seen from the leader, are settled;
+3. what is still apart is compared exactly inside its bucket, in blocks of bounded size that are spread
+   over tasks; each two blocks hand on a spanning forest of their links, never all pairs. No bucket is
+   capped, so a link between two documents that share a bucket is never lost.
+
+The classes are the connected components of all links.
 
 With 30 bands of 5 coordinates a pair of similarity 0.8 misses every band with probability 7e-6.
 
@@ -43,9 +47,10 @@ from millrace.session import stage
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
-#: How far below the threshold a signature may put a pair that is still checked exactly: over 5 standard errors.
-MARGIN = 0.17
 BLOCK = 256
+#: Rounds with drawn leaders go on while each settles at least this share of what is left apart.
+WORTH_A_ROUND = 0.2
+BLOCK_CELLS = 4096
 FILTER_BITS = (1 << 16, 1 << 27)
 
 _STEP, _AIM, _SIDE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
@@ -189,13 +194,13 @@ def _filter_place(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (mixed(hashes.view(np.uint64)) % np.uint64(bits)).astype(np.int64)
 
 
-def similarities(df: DataFrame, identity: str, text: str, pairs: DataFrame, weights: str) -> DataFrame:
-    """``x``, ``y`` and the exact similarity of each pair of documents; ``x`` may stand in many pairs.
+def cell_sets(df: DataFrame, identity: str, text: str, ids: DataFrame, weights: str) -> DataFrame:
+    """``id`` and ``cells`` of the documents of ``ids``, and of a few others.
 
-    Documents in no pair are left out by a filter of bounded size before anything is shuffled.
+    Others are left out by a filter of bounded size before anything is shuffled or written.
     """
-    ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
-    bits = _id_filter(ids, pairs.count())
+    ids = ids.distinct()
+    bits = _id_filter(ids, ids.count())
     sent = df.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
     size = len(bits)
 
@@ -212,7 +217,11 @@ def similarities(df: DataFrame, identity: str, text: str, pairs: DataFrame, weig
 
     base = df.select(column(df, identity).alias("id"), column(df, text).alias("text")).where("id is not null")
     kind = base.schema["id"].dataType.simpleString()
-    sets = base.withColumn("hash", F.xxhash64("id")).mapInArrow(cells, f"id {kind}, cells array<bigint>")
+    return base.withColumn("hash", F.xxhash64("id")).mapInArrow(cells, f"id {kind}, cells array<bigint>")
+
+
+def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``x``, ``y`` and the exact similarity of each pair of documents; ``x`` may stand in many pairs."""
     left = pairs.join(sets.withColumnRenamed("id", "x"), "x").withColumnRenamed("cells", "x_cells")
     both = left.join(sets.withColumnRenamed("id", "y"), "y")
     common = F.size(F.array_intersect("x_cells", "cells"))
@@ -220,18 +229,49 @@ def similarities(df: DataFrame, identity: str, text: str, pairs: DataFrame, weig
     return both.select("x", "y", share).groupBy("x", "y").agg(F.max("similarity").alias("similarity"))
 
 
-def _agreement(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Share of coordinates in which each row of ``one`` agrees with each row of ``two``."""
-    out = np.empty((len(one), len(two)), np.float32)
-    for i, row in enumerate(one):
-        out[i] = (two == row).mean(axis=1)
+def _common(cells: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of cells that each row of ``a`` shares with each row of ``b``."""
+    sizes = [len(c) for c in cells]
+    row = np.repeat(np.arange(len(cells)), sizes)
+    _, column_, count = np.unique(np.concatenate(cells), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(count > 1)
+    place = np.full(len(count), -1)
+    place[shared] = np.arange(len(shared))
+    column_ = place[column_]
+    out = np.zeros((len(a), len(b)), np.float32)
+    order = np.argsort(column_, kind="stable")
+    row, column_ = row[order], column_[order]
+    for first in range(0, len(shared), BLOCK_CELLS):
+        lo, hi = np.searchsorted(column_, [first, first + BLOCK_CELLS])
+        has = np.zeros((len(cells), min(BLOCK_CELLS, len(shared) - first)), np.float32)
+        has[row[lo:hi], column_[lo:hi] - first] = 1
+        out += has[a] @ has[b].T
     return out
 
 
-def _pairs_in_blocks(members: DataFrame, lowest: float) -> DataFrame:
-    """Pairs of members of a bucket that lie in different components and may be similar enough.
+def _forest(a: np.ndarray, b: np.ndarray, part: np.ndarray) -> list[int]:
+    """Places of the links (a, b) that join what the links before them have not joined."""
+    root: dict = {}
 
-    ``members``: key, id, component, apart (not in the leader's component), signature. The members of
+    def find(x):
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    out = []
+    for i, (x, y) in enumerate(zip(part[a].tolist(), part[b].tolist(), strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            out.append(i)
+    return out
+
+
+def _links_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
+    """Links ``x``, ``y`` that join all members of a bucket which are linked, directly or through others.
+
+    ``members``: key, id, component, apart (not in the leader's component), cells. The members of
     a bucket are dealt into blocks of about ``BLOCK``, those apart and the others separately, and every
     two blocks of which one at least is apart meet in one group, so a large bucket is spread over tasks.
     """
@@ -246,29 +286,33 @@ def _pairs_in_blocks(members: DataFrame, lowest: float) -> DataFrame:
     others = F.when(F.col("apart"), F.sequence(F.lit(0), F.col("n_apart") + F.col("n_near") - 1)).otherwise(
         F.sequence(F.lit(0), F.col("n_apart") - 1))
     dealt = dealt.withColumn("other", F.explode(others)).select(
-        "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "component", "signature")
+        "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "component", "cells")
     kind = members.schema["id"].dataType.simpleString()
+    arrow_kind = to_arrow_type(members.schema["id"].dataType)
 
     def compared(rows: pd.DataFrame) -> tuple[list, list]:
-        p, q = rows["p"].iloc[0], rows["q"].iloc[0]
-        sign = np.stack([np.frombuffer(s, np.uint32) for s in rows["signature"]])
-        part, ids, block = rows["component"].to_numpy(), rows["id"].to_numpy(), rows["block"].to_numpy()
-        a, b = np.flatnonzero(block == p), np.flatnonzero(block == q)
-        fits = (_agreement(sign[a], sign[b]) >= lowest) & (part[a][:, None] != part[b][None, :])
-        if p == q:
-            fits &= a[:, None] < b[None, :]
-        i, j = np.nonzero(fits)
-        return ids[a[i]].tolist(), ids[b[j]].tolist()
+        part, ids, block = (rows[c].to_numpy() for c in ("component", "id", "block"))
+        a, b = np.flatnonzero(block == rows["p"].iloc[0]), np.flatnonzero(block == rows["q"].iloc[0])
+        if not len(a) or not len(b):
+            return [], []
+        cells = rows["cells"].tolist()
+        size = np.array([len(c) for c in cells])
+        common = _common(cells, a, b)
+        alike = common / (size[a][:, None] + size[b][None, :] - common) >= threshold - 1e-12
+        i, j = np.nonzero(alike & (part[a][:, None] != part[b][None, :]))
+        kept = _forest(a[i], b[j], part)
+        return ids[a[i[kept]]].tolist(), ids[b[j[kept]]].tolist()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pd.DataFrame | None = None
         for batch in _with_end(batches):
-            rows = rest if batch is None else pd.concat([rest, batch.to_pandas()], ignore_index=True) if rest is not None else batch.to_pandas()
-            if rows is None or not len(rows):
+            rows = [r for r in (rest, batch.to_pandas() if batch is not None else None) if r is not None]
+            if not rows:
                 continue
+            rows = pd.concat(rows, ignore_index=True) if len(rows) > 1 else rows[0]
             keys = rows[["key", "p", "q"]].to_numpy()
-            edges = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
-            stop = len(rows) if batch is None else int(edges[-1])
+            edges = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))[:len(rows)]
+            stop = len(rows) if batch is None else int(edges[-1]) if len(edges) else 0
             xs, ys = [], []
             for a, b in zip(edges, [*edges[1:], len(rows)], strict=True):
                 if b <= stop and b - a > 1:
@@ -276,12 +320,10 @@ def _pairs_in_blocks(members: DataFrame, lowest: float) -> DataFrame:
                     xs += x
                     ys += y
             rest = rows.iloc[stop:]
-            yield pa.RecordBatch.from_arrays([pa.array(xs, batch_kind), pa.array(ys, batch_kind)], names=["x", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(xs, arrow_kind), pa.array(ys, arrow_kind)], names=["x", "y"])
 
-    batch_kind = to_arrow_type(members.schema["id"].dataType)
     ordered = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    found = ordered.mapInArrow(compare, f"x {kind}, y {kind}")
-    return found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    return ordered.mapInArrow(compare, f"x {kind}, y {kind}")
 
 
 def _with_end(batches: Iterator) -> Iterator:
@@ -300,24 +342,42 @@ def near_duplicates(df: DataFrame, identity: str, text: str, threshold: float =
     keyed = firsts.select("id", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader <> last")
     members = stage(keyed.join(buckets.drop("last"), "key").where("id <> leader").distinct(), "members")
-    led = members.select(F.col("leader").alias("x"), F.col("id").alias("y")).distinct()
-    checked = stage(similarities(df, identity, text, stage(led, "pairs"), weights), "checked")
+    led = stage(members.select(F.col("leader").alias("x"), F.col("id").alias("y")).distinct(), "pairs")
+    sets = cell_sets(df, identity, text, led.select(F.col("x").alias("id")).union(led.select("y")), weights)
+    checked = stage(similarities(led, sets), "checked")
     links = checked.where(F.col("similarity") >= threshold).select("x", "y")
     parts = stage(components(links, "x", "y"), "components")
 
-    extra = stage(_left_apart(members, checked, parts, threshold), "apart")
-    if not extra.isEmpty():
-        signed = extra.join(firsts.select("id", "signature"), "id")
-        pairs = stage(_pairs_in_blocks(signed, threshold - MARGIN), "pairs")
-        if not pairs.isEmpty():
-            more = similarities(df, identity, text, pairs, weights).where(F.col("similarity") >= threshold).select("x", "y")
-            parts = stage(components(links.union(more), "x", "y"), "components")
+    apart = stage(_left_apart(members, checked, parts, threshold), "apart")
+    count = apart.where("apart").count()
+    if count:
+        sets = stage(cell_sets(df, identity, text, apart.select("id"), weights), "cells")
+    number = 0
+    while count:
+        pairs = _drawn_pairs(apart, number)
+        links = stage(links.union(similarities(pairs, sets).where(F.col("similarity") >= threshold).select("x", "y")), "links")
+        parts = stage(components(links, "x", "y"), "components")
+        apart = stage(_left_apart(members, checked, parts, threshold), "apart")
+        before, count, number = count, apart.where("apart").count(), number + 1
+        if count > (1 - WORTH_A_ROUND) * before:
+            break
+    if count:
+        links = links.union(_links_in_blocks(apart.join(sets, "id"), threshold))
+        parts = stage(components(links, "x", "y"), "components")
 
     named = sketches.select("id", "print_a", "print_b").join(folded, ["print_a", "print_b"], "left")
     named = named.join(parts.withColumnRenamed("node", "first"), "first", "left")
     return named.select(F.col("id").alias(identity), F.coalesce("component", "first", "id").alias("class_id"))
 
 
+def _drawn_pairs(apart: DataFrame, number: int) -> DataFrame:
+    """Each member that is left, with a member of its bucket drawn by a hash, if they differ in component."""
+    drawn = apart.withColumn("draw", F.struct(F.xxhash64("id", "key", F.lit(number)), "id", "component"))
+    leaders = drawn.groupBy("key").agg(F.min("draw").alias("leader"))
+    pairs = apart.join(leaders, "key").where(F.col("component") != F.col("leader.component"))
+    return pairs.select(F.least("id", "leader.id").alias("x"), F.greatest("id", "leader.id").alias("y")).distinct()
+
+
 def _left_apart(members: DataFrame, checked: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
     """Members of buckets that the comparison with the leader has not settled: key, id, component, apart.
 
