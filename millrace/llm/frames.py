@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Rows that a Python function sees at a time, which bounds what it has to hold beside a batch.
+SLICE_ROWS = 2048
+
 BatchFunction = Callable[[pa.RecordBatch], list[pa.Array]]
 
 
@@ -38,7 +41,7 @@ def append(df: DataFrame, fields: str, make: Callable[[], BatchFunction], drop:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, len(b), SLICE_ROWS)):
             new = work(batch)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *new], names=schema.names)
 

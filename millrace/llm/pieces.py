@@ -33,8 +33,8 @@ from millrace.llm.words import Words, mixed, slices, words
 
 BLANK = "▁"
 SLICE = 4 << 20
-CELLS = 1 << 20
-REMEMBERED_WORDS = 1 << 20
+CELLS = 1 << 18
+REMEMBERED_WORDS = 1 << 19
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
 
@@ -158,6 +158,7 @@ class PieceModel:
                 raw.append(b"" if self.controls[i] else piece.replace(BLANK, " ").encode())
         sizes = np.array([len(r) for r in raw] or [0])
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
+        self.leads = np.array([bool(n) and p.startswith(BLANK) for n, p in zip(self.normal, self.pieces, strict=True)])
         self.raw_start, self.raw_size = np.cumsum(sizes) - sizes, sizes
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
@@ -237,35 +238,39 @@ def _segmented(model: PieceModel, points: np.ndarray, sizes: np.ndarray) -> list
     rows, width = points.shape
     sums = _prefix_hashes(points)
     inverse = _powers(1 << max(10, width.bit_length()))[1]
-    size = len(model.pieces)
-    best = np.full((rows, width + 1), -np.inf)
-    best[:, 0] = 0
-    last = np.full((rows, width + 1), size, np.int64)
-    back = np.zeros((rows, width + 1), np.int32)
+    size, longest = len(model.pieces), min(model.longest, width)
+    # The piece that ends at each place, by its start; the longest stands first, as ties go to it in the library.
+    pieces = np.full((width + 1, longest, rows), -1, np.int32)
+    for length in range(1, longest + 1):
+        found = model.find(((sums[:, length:] - sums[:, :-length]) * inverse[:width + 1 - length]).T.reshape(-1))
+        pieces[length:, longest - length] = found.reshape(width + 1 - length, rows)
+    single = pieces[1:, longest - 1]
+    single[single < 0] = size
+    best = np.full((width + 1, rows), -np.inf)
+    best[0] = 0 if model.kind == UNIGRAM else 1
+    last = np.full((width + 1, rows), size, np.int32)
+    back = np.zeros((width + 1, rows), np.int32)
+    scores = np.append(model.scores, model.lowest - UNKNOWN_PENALTY)
     for end in range(1, width + 1):
-        active = np.flatnonzero(sizes >= end)
-        for start in range(max(0, end - model.longest), end):  # ties go to the longest last piece, as in the library
-            piece = model.find((sums[active, end] - sums[active, start]) * inverse[start])
-            some = piece >= 0
-            if start == end - 1:
-                piece[~some] = size
-                some[:] = True
-            row, piece = active[some], piece[some]
-            if model.kind == BPE:
-                value = np.ones(len(row))
-                if start:
-                    value = np.where(best[row, start] > 0, model.compatible(last[row, start], piece), 0).astype(float)
-                value[piece == size] = 1 if not start else (best[row, start] > 0)[piece == size]
-                value[~model.reachable[piece]] = 0
-            else:
-                value = best[row, start] + np.where(piece == size, model.lowest - UNKNOWN_PENALTY, np.append(model.scores, 0)[piece])
-            better = value > best[row, end]
-            row, piece = row[better], piece[better]
-            best[row, end], last[row, end], back[row, end] = value[better], piece, start
+        first = max(0, end - longest)
+        here = pieces[end, longest - (end - first):]
+        place, row = np.nonzero((here >= 0) & (sizes >= end))
+        piece, start = here[place, row].astype(np.int64), first + place
+        value = np.full(here.shape, -np.inf)
+        if model.kind == BPE:
+            good = (best[start, row] > 0) & model.reachable[piece]
+            inner = np.flatnonzero(good & (start > 0) & (piece < size))
+            good[inner] = model.compatible(last[start[inner], row[inner]].astype(np.int64), piece[inner])
+            value[place, row] = good
+        else:
+            value[place, row] = best[start, row] + scores[piece]
+        top = value.argmax(axis=0)
+        every = np.arange(rows)
+        best[end], last[end], back[end] = value[top, every], here[top, every], first + top
     out = []
     at, live = sizes.copy(), np.arange(rows)
     while len(live):
-        piece, start = last[live, at[live]], back[live, at[live]]
+        piece, start = last[at[live], live].astype(np.int64), back[at[live], live]
         out.append((live, np.where(piece == size, -1 - points[live, start].astype(np.int64), piece)))
         at[live] = start
         live = live[start > 0]
@@ -377,12 +382,15 @@ class Encoder:
         self.start = np.concatenate([self.start, start])[order]
         self.size = np.concatenate([self.size, size])[order]
 
+    @staticmethod
+    def plain(column: pa.Array) -> pa.Array:
+        """The texts with blanks in place of U+2581, as they are read."""
+        column = column.cast(pa.large_string())
+        return pc.replace_substring(column, BLANK, " ") if pc.any(pc.match_substring(column, BLANK)).as_py() else column
+
     def __call__(self, column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """Flat ids and number of ids per row, slice by slice."""
-        column = column.cast(pa.large_string())
-        if pc.any(pc.match_substring(column, BLANK)).as_py():
-            column = pc.replace_substring(column, BLANK, " ")
-        return [self._slice(part) for part in slices(column, SLICE)]
+        return [self._slice(part) for part in slices(self.plain(column), SLICE)]
 
     def _slice(self, part) -> tuple[np.ndarray, np.ndarray]:
         found, gap = self._units(part)
@@ -431,23 +439,33 @@ class Encoder:
         return both, np.insert(gap, where, (end - stop)[rest])
 
 
-def encode(df: DataFrame, text: str, model: PieceModel, ids: str = "token_ids", drop: tuple[str, ...] = ()) -> DataFrame:
-    """The frame with the ids of each text as an array; a column of that name is replaced."""
+def encode(df: DataFrame, text: str, model: PieceModel, ids: str = "token_ids", verified: str | None = None,
+           drop: tuple[str, ...] = ()) -> DataFrame:
+    """The frame with the ids of each text as an array.
+
+    ``verified`` names a boolean column that says whether decoding the ids gave the text back. Columns
+    of these names are replaced.
+    """
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def make():
         encoder = Encoder(sent.value)
 
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
-            parts = encoder(batch.column(text))
+            values = encoder.plain(batch.column(text))
+            parts = encoder(values)
             flat = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int32)
             sizes = np.concatenate([p[1] for p in parts]) if parts else np.empty(0, np.int64)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))]
+            out = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))]
+            if verified:
+                back = pa.chunked_array([decoded(encoder.model, *p) for p in parts], pa.large_string())
+                out.append(pc.equal(back, values.fill_null("")).combine_chunks())
+            return out
 
         return work
 
-    return append(df, f"`{ids}` array<int>", make, drop)
+    return append(df, f"`{ids}` array<int>" + (f", `{verified}` boolean" if verified else ""), make, drop)
 
 
 def decoded(model: PieceModel, flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -456,11 +474,12 @@ def decoded(model: PieceModel, flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
         raise ValueError("an id lies outside the vocabulary")
     begins = np.cumsum(sizes) - sizes
     skip = np.zeros(len(flat), np.int64)
-    heads = begins[sizes > 0]
     width = model.raw_size[flat]
-    if model.dummy_prefix and len(heads):
-        blank = (width[heads] > 0) & (model.raw[np.minimum(model.raw_start[flat[heads]], len(model.raw) - 1)] == 32)
-        skip[heads[blank]] = 1
+    if model.dummy_prefix:
+        shown = np.append(np.flatnonzero(width), len(flat))
+        head = shown[np.searchsorted(shown, begins)]  # the first piece of each row that is shown
+        head = head[head < begins + sizes]
+        skip[head[model.leads[flat[head]]]] = 1
     width = width - skip
     data = model.raw[_ranges(model.raw_start[flat] + skip, width)]
     total = np.concatenate([[0], np.cumsum(width)])
