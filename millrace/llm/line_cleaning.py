@@ -2,8 +2,8 @@
 
 A line (what stands between line feeds) with at least one word fails
 
-* the punctuation rule, if marks and symbols are too large a share of its characters, or if it has
-  no sentence end behind its last word and too few of them inside;
+* the punctuation rule, if marks and symbols are too large a share of its characters, or if it is
+  longer than a title, has no sentence end behind its last word and too few of them inside;
 * the navigation rule, if too many of its words are separators between links;
 * the boilerplate rule, if it holds a known phrase, equals an earlier line of its text, or mostly
   repeats the word before.
@@ -37,6 +37,7 @@ PHRASES = ("all rights reserved", "terms of use", "terms of service", "privacy p
 class Rules:
     max_mark_share: float = 0.1
     words_per_sentence_end: int = 40
+    title_words: int = 6
     min_separators: int = 3
     max_separator_share: float = 0.15
     max_echo_share: float = 0.3
@@ -135,7 +136,7 @@ class Judged:
         for line in np.flatnonzero(phrases[lines.row] & (line_words > 0)):
             text = data[lines.start[line]:lines.end[line]].tobytes().decode()
             phrase[line] = any(p in text.lower() for p in PHRASES)
-        open_end = few_ends & ~self._closed(data, found, line_of, n_lines)
+        open_end = few_ends & (line_words > rules.title_words) & ~self._closed(data, found, line_of, n_lines)
         self.failed = (line_words > 0) & (many_marks | open_end | navigation | echoes | repeated | phrase)
         self.lost = np.bincount(lines.row, line_size * self.failed, rows).astype(np.int64)
         self.kept = ~self.base_failed & (self.lost <= rules.max_lost * self.word_chars)
