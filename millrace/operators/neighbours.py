@@ -1,8 +1,8 @@
 """The next row in sort order, for groups of any size.
 
-A window function sends a whole group to one task. That is fine for groups known to be small. A
-large group, or a table without groups, is instead cut into chunks along the sort order; only the
-first row of each chunk has to be known to the chunk before it.
+A window function sends a whole group to one task. Here every table is cut into chunks along the
+sort order instead, whatever its size; only the first row of each chunk has to be known to the chunk
+before it. There is one plan, so a table that grows keeps its answers.
 """
 
 from __future__ import annotations
@@ -12,35 +12,27 @@ from pyspark.sql import DataFrame, Window, functions as F
 from millrace.functions.columns import quoted
 from millrace.session import shuffle_partitions, stage
 
-# A group up to this size may go through one task; rows here are a few sort columns wide.
-MAX_GROUP_ROWS = 5_000_000
-
 NEXT, COPIES = "__next", "__copies"
 
 
-def fits_one_task(df: DataFrame, group: list[str], most: int) -> bool:
-    """Whether no group has more than ``most`` rows. A table that small is not grouped at all."""
-    if df.count() <= most:
-        return True
-    if not group:
-        return False
-    counts = df.groupBy(*[quoted(c) for c in group]).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") > most).isEmpty()
-
-
-def with_next(df: DataFrame, group: list[str], order: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Group and order columns of every row, with the next row's order columns as struct ``__next``.
+def with_next(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Group and order columns of rows, with the next row's order columns as struct ``__next``.
 
-    ``__next`` is NULL on the last row of a group; NULL sorts last. Where the result has a column
-    ``__copies``, each of its rows stands for that many equal ones.
+    ``__next`` is NULL on the last row of a group; NULL sorts last. Each row of the result stands for
+    ``__copies`` equal ones. Rows that are equal to a sort but written differently (letter case under a
+    collation, signed zeros) stay apart.
     """
     rows = df.select([quoted(c) for c in group + order])
-    if fits_one_task(rows, group, max_group_rows):
-        window = Window.partitionBy(*[quoted(c) for c in group]).orderBy(*_ascending(order))
-        return rows.withColumn(NEXT, F.lead(_values(order)).over(window))
     return _with_next_in_chunks(rows, group, order)
 
 
+def _spelling(df: DataFrame, names: list[str]) -> list:
+    """Texts that tell apart what grouping would merge: collated texts and signed zeros."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [quoted(n).cast("string" if kinds[n] in ("float", "double") else "binary").alias(f"__spelt{i}")
+            for i, n in enumerate(names) if kinds[n] in ("float", "double") or kinds[n].startswith("string collate")]
+
+
 def _ascending(names: list[str]):
     return [quoted(c).asc_nulls_last() for c in names]
 
@@ -51,9 +43,14 @@ def _values(names: list[str]):
 
 def _with_next_in_chunks(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     keys = group + order
+    # As many chunks as the session's shuffles have partitions, which a cluster sets for the size of its data.
     chunk_count = shuffle_partitions(rows.sparkSession)
     # Equal rows are counted first, so no single value can fill a chunk.
-    counted = rows.groupBy(*[quoted(c) for c in keys]).agg(F.count(F.lit(1)).alias(COPIES))
+    spelt = _spelling(rows, keys)
+    counted = rows.groupBy(*[quoted(c) for c in keys], *spelt).agg(
+        F.count(F.lit(1)).alias(COPIES), *[F.first(quoted(c)).alias(f"__as_is_{c}") for c in keys if spelt])
+    if spelt:
+        counted = counted.select(*[quoted(f"__as_is_{c}").alias(c) for c in keys], COPIES)
     ranged = counted.repartitionByRange(chunk_count, *_ascending(keys))
     # Staged, because the chunk number must not change between its two uses below.
     chunks = stage(ranged.withColumn("__chunk", F.spark_partition_id()), "chunks")

@@ -15,19 +15,22 @@ from millrace.functions.columns import as_column, as_list, named, quoted
 from millrace.functions.dates import add_units
 from millrace.functions.text import slug
 from millrace.literals import moment
-from millrace.operators.neighbours import COPIES, MAX_GROUP_ROWS, NEXT, with_next
+from millrace.operators.neighbours import COPIES, NEXT, with_next
 from millrace.operators.relations import differences, repeat_rows
 
 # --- checks of single rows ------------------------------------------------------------------
 
 
 def expression_violation(expression: str, column: str | None = None) -> Column:
+    """A column is an SQL expression or a name; a name with dots or blanks goes between backticks."""
     return ~F.expr(expression if column is None else f"{column} {expression}")
 
 
 def expression_is_true(df: DataFrame, expression: str, column: str | None = None) -> DataFrame:
     """Rows for which the expression is false. With a column, its name is put before the expression,
     as in ``column="price", expression="> 0"``. NULL passes."""
+    if column is not None and column in df.columns:
+        column = "`" + column.replace("`", "``") + "`"
     return df.where(expression_violation(expression, column))
 
 
@@ -124,9 +127,9 @@ def recency(df: DataFrame, field, unit: str, interval: int, ignore_time: bool =
             now: datetime | Column | None = None) -> DataFrame:
     """Groups whose latest ``field`` is older than ``interval`` units before ``now`` (the current time)."""
     present = F.current_timestamp() if now is None else moment(now)
-    stamp_type = "date" if ignore_time else df.select(as_column(field).alias("f")).schema["f"].dataType
+    stamp_type = "date" if ignore_time else df.select(named(df, field).alias("f")).schema["f"].dataType
     threshold = add_units(unit, F.lit(-interval), present).cast(stamp_type)
-    latest = df.groupBy(*_keys(df, group_by)).agg(F.max(as_column(field)).cast(stamp_type).alias("most_recent"))
+    latest = df.groupBy(*_keys(df, group_by)).agg(F.max(named(df, field)).cast(stamp_type).alias("most_recent"))
     return latest.withColumn("threshold", threshold).where(F.col("most_recent") < F.col("threshold"))
 
 
@@ -235,8 +238,7 @@ GAP_RULES = {
 
 
 def mutually_exclusive_ranges(df: DataFrame, lower, upper, partition_by=None, gaps: str = "allowed",
-                              zero_length_range_allowed: bool = False,
-                              max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                              zero_length_range_allowed: bool = False) -> DataFrame:
     """Ranges that are reversed, or that break the gap rule with the next range of their partition.
 
     Only neighbours in the order of (lower, upper) are compared. A NULL bound is a violation, a
@@ -249,25 +251,24 @@ def mutually_exclusive_ranges(df: DataFrame, lower, upper, partition_by=None, ga
     follows, words = GAP_RULES[gaps]
     group = [] if partition_by is None else ["partition_by_col"]
     bounds = df.select(
-        *[as_column(partition_by).alias(name) for name in group],
-        as_column(lower).alias("lower_bound"), as_column(upper).alias("upper_bound"))
+        *[named(df, partition_by).alias(name) for name in group],
+        named(df, lower).alias("lower_bound"), named(df, upper).alias("upper_bound"))
     low, high, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     ordered = low <= high if zero_length_range_allowed else low < high
     order_name = f"lower_bound_less_than{'_or_equal_to' if zero_length_range_allowed else ''}_upper_bound"
     gap_name = f"upper_bound_{words}_next_lower_bound"
     checked = (
-        with_next(bounds, group, ["lower_bound", "upper_bound"], max_group_rows)
+        with_next(bounds, group, ["lower_bound", "upper_bound"])
         .withColumn("next_lower_bound", F.col(NEXT).getField("lower_bound"))
         .withColumn("is_last_record", F.col(NEXT).isNull())
         .withColumn(order_name, F.coalesce(ordered, F.lit(False)))
         .withColumn(gap_name, F.coalesce(follows(high, following), F.col("is_last_record")))
         .where(~(F.col(order_name) & F.col(gap_name)))
     )
-    return _one_row_each(checked.drop(NEXT))
+    return repeat_rows(checked.drop(NEXT), COPIES)
 
 
-def sequential_values(df: DataFrame, column: str, interval: int = 1, unit: str | None = None, group_by=(),
-                      max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def sequential_values(df: DataFrame, column: str, interval: int = 1, unit: str | None = None, group_by=()) -> DataFrame:
     """Values that are not their predecessor plus ``interval`` (units of time, if ``unit`` is given).
 
     Every value is looked at from its predecessor, so the first value of a group is never reported.
@@ -276,7 +277,7 @@ def sequential_values(df: DataFrame, column: str, interval: int = 1, unit: str |
     previous = f"previous_{slug(column)}"
     # NULLs neither violate the rule nor break it for a neighbour
     rows = df.select(*_keys(df, names), named(df, column)).where(quoted(column).isNotNull())
-    pairs = with_next(rows, names, [column], max_group_rows).where(F.col(NEXT).isNotNull())
+    pairs = with_next(rows, names, [column]).where(F.col(NEXT).isNotNull())
     value, before = F.col(NEXT).getField(column), quoted(column)
     if unit is None:
         expected, found = before + F.lit(interval), value
@@ -285,11 +286,5 @@ def sequential_values(df: DataFrame, column: str, interval: int = 1, unit: str |
         stamp = "timestamp_ntz" if without_zone else "timestamp"
         expected, found = add_units(unit, F.lit(interval), before).cast(stamp), value.cast(stamp)
     broken = pairs.where(found != expected)
-    counted = [COPIES] if COPIES in broken.columns else []
-    shown = [*[quoted(n) for n in names], value.alias(column), before.alias(previous), *counted]
-    return _one_row_each(broken.select(shown))
-
-
-def _one_row_each(df: DataFrame) -> DataFrame:
-    """Counted rows, if the rows were counted, as single rows."""
-    return repeat_rows(df, COPIES) if COPIES in df.columns else df
+    shown = [*[quoted(n) for n in names], value.alias(column), before.alias(previous), COPIES]
+    return repeat_rows(broken.select(shown), COPIES)

@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DataType
 
-from millrace.functions.columns import as_column, as_list, ordering, quoted, sort_keys
-from millrace.session import shuffle_partitions
+from millrace.functions.columns import as_column, as_list, named, ordering, quoted, sort_keys
 
 # Fixed value: name of the column that tells which relation a row of a union came from.
 SOURCE_COLUMN = "_dbt_source_relation"
@@ -23,27 +22,39 @@ def union_relations(relations: Mapping[str, DataFrame], column_override: Mapping
                     source_column: str | None = SOURCE_COLUMN, where: str | Column | None = None) -> DataFrame:
     """All rows of all relations over the columns of any of them.
 
-    Columns come in first-seen order, with the type of their first relation or of
-    ``column_override``; a relation without the column gives NULL. ``where`` filters each input
+    Columns come in first-seen order and spelling, with the type of their first relation or of
+    ``column_override``; a relation without the column gives NULL. Letter case makes no difference
+    unless the session says so, and an override of a column that does not exist is an error. ``where`` filters each input
     and may use columns that are not in the result.
     """
     include, exclude = ({n.lower() for n in names} for names in (include, exclude))
     if include and exclude:
         raise ValueError("give either include or exclude, not both")
+    first = next(iter(relations.values()), None)
+    exact = first is not None and first.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+
+    def key(name: str) -> str:
+        return name if exact else name.lower()
+
+    names: dict[str, str] = {}
     types: dict[str, DataType | str] = {}
     for df in relations.values():
         for field in df.schema.fields:
             name = field.name.lower()
             if name not in exclude and (not include or name in include):
-                types.setdefault(field.name, field.dataType)
+                names.setdefault(key(field.name), field.name)
+                types.setdefault(key(field.name), field.dataType)
     if not types:
         raise ValueError(f"no columns to union in {list(relations)}")
-    types |= {name: to for name, to in (column_override or {}).items() if name in types}
+    for name, to in (column_override or {}).items():
+        if key(name) not in types:
+            raise ValueError(f"column_override names {name!r}, which no relation has")
+        types[key(name)] = to
 
     def aligned(label: str, df: DataFrame) -> DataFrame:
         rows = df if where is None else df.where(where)
-        own = set(df.columns)
-        columns = [(quoted(n) if n in own else F.lit(None)).cast(t).alias(n) for n, t in types.items()]
+        own = {key(c): c for c in df.columns}
+        columns = [(quoted(own[n]) if n in own else F.lit(None)).cast(t).alias(names[n]) for n, t in types.items()]
         source = [] if source_column is None else [F.lit(label).alias(source_column)]
         return rows.select(*source, *columns)
 
@@ -53,10 +64,11 @@ def union_relations(relations: Mapping[str, DataFrame], column_override: Mapping
 def deduplicate(df: DataFrame, partition_by, order_by) -> DataFrame:
     """The first row of every partition; rows with NULLs are kept like any other.
 
-    Give a total order, or the choice among ties is arbitrary. Sort keys that are texts and all go
-    the same way need no sort: the first row is a minimum or maximum. Otherwise Spark ranks the rows
-    and drops all but one per partition and task before the shuffle. Either way a hot partition
-    costs no more than a cold one.
+    Give a total order, or the choice among ties is arbitrary. Where the sort keys are texts and
+    all go the same way, the first row is a minimum or maximum: each task sorts its rows by partition
+    and keeps one row of each, before the shuffle and after it. Otherwise Spark ranks the rows and drops
+    all but one per partition and task before the shuffle. Either way a hot partition costs no more
+    than a cold one.
     """
     items = as_list(order_by)
     if not any(isinstance(item, Column) for item in items):
@@ -64,17 +76,17 @@ def deduplicate(df: DataFrame, partition_by, order_by) -> DataFrame:
         if len({key.descending for key in keys}) == 1:
             best = F.max_by if keys[0].descending else F.min_by
             return _one_per_key(df, partition_by, best, [c for key in keys for c in key.comparable()])
-    window = Window.partitionBy(*[as_column(p) for p in as_list(partition_by)]).orderBy(*ordering(items))
+    window = Window.partitionBy(*[named(df, p) for p in as_list(partition_by)]).orderBy(*ordering(items))
     return df.withColumn("__row", F.row_number().over(window)).where(F.col("__row") == 1).drop("__row")
 
 
 def latest_per_key(df: DataFrame, partition_by, latest_by) -> DataFrame:
     """The row with the greatest ``latest_by`` per partition. NULL counts as the smallest value."""
-    return _one_per_key(df, partition_by, F.max_by, [as_column(c) for c in as_list(latest_by)])
+    return _one_per_key(df, partition_by, F.max_by, [named(df, c) for c in as_list(latest_by)])
 
 
 def _one_per_key(df: DataFrame, partition_by, best, compared: list[Column]) -> DataFrame:
-    keys = [as_column(p).alias(f"__key{i}") for i, p in enumerate(as_list(partition_by))]
+    keys = [named(df, p).alias(f"__key{i}") for i, p in enumerate(as_list(partition_by))]
     row = best(F.struct(*[quoted(c) for c in df.columns]), F.struct(*compared)).alias("__row")
     return df.groupBy(*keys).agg(row).select("__row.*")
 
@@ -94,19 +106,20 @@ def column_values(df: DataFrame, column, order_by="count(*) desc", max_records:
     return (ranked if max_records is None else ranked.limit(max_records)).select("value")
 
 
-def column_value_list(df: DataFrame | None, column, default: list | None = None, most: int = 10_000,
+def column_value_list(df: DataFrame | None, column, default: list | None = None, most: int | None = None,
                       **options) -> list:
     """``column_values`` as a Python list, for naming pivot columns.
 
-    ``default`` stands in for a missing table or an empty result. More than ``most`` values is an
-    error, not a shortened list.
+    ``default`` stands in for a missing table or an empty result. The list is collected to the driver;
+    with ``most``, more values than that are an error, not a shortened list.
     """
     if df is None:
         if default is None:
             raise ValueError("the table does not exist and no default was given")
         return default
-    found = [r["value"] for r in column_values(df, column, **options).limit(most + 1).collect()]
-    if len(found) > most:
+    values = column_values(df, column, **options)
+    found = [r["value"] for r in (values if most is None else values.limit(most + 1)).collect()]
+    if most is not None and len(found) > most:
         raise ValueError(f"{column} has more than {most} values")
     return found or (default if default is not None else [])
 
@@ -119,10 +132,11 @@ def single_value(query: DataFrame, default=None, name: str = "value") -> DataFra
 
 
 def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
-    """Every row as often as its count says. Large counts are cut into blocks spread over the tasks."""
+    """Every row as often as its count says. Large counts are cut into blocks, and adaptive execution
+    spreads the blocks over as many tasks as they need."""
     last_block = F.shiftright(F.col(copies) - 1, BLOCK_BITS)
     blocks = df.where(F.col(copies) > 0).withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-    spread = blocks.repartition(shuffle_partitions(df.sparkSession), *[quoted(c) for c in blocks.columns])
+    spread = blocks.hint("rebalance")
     left = F.col(copies) - F.shiftleft(F.col("__block"), BLOCK_BITS)
     here = F.least(F.lit(1 << BLOCK_BITS), left).cast("int")
     return spread.withColumn("__copy", F.explode(F.sequence(F.lit(1), here))).drop("__copy", "__block", copies)

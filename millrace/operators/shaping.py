@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from millrace.functions.columns import as_column, as_list, quoted
+from millrace.functions.columns import as_column, as_list, named, quoted
 from millrace.functions.text import empty_to_null, slug
 
 
@@ -106,7 +106,8 @@ def pivot(df: DataFrame, group_by, column, values, agg: str = "sum", comparison:
     match one value only and the others see NULL, duplicates are removed first by an ordinary
     aggregation, and the copies are not needed.
     """
-    keys = [as_column(key) for key in as_list(group_by)]
+    keys = [named(df, key) for key in as_list(group_by)]
+    column, then_value = (named(df, c) if isinstance(c, str) else c for c in (column, then_value))
     if distinct and comparison == "=" and else_value is None:
         names = [f"__key{i}" for i in range(len(keys))]
         unique = df.select(

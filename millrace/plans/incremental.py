@@ -28,8 +28,8 @@ def newer_than_target(staged: DataFrame, target: DataFrame | None, keys: list[st
                       new_keys: str = "drop", compare_as: str | None = None) -> DataFrame:
     """Staged rows whose ``stamp`` is greater than the greatest one the target has for their key.
 
-    Keys the target does not have are dropped or kept, as ``new_keys`` says; a missing target has
-    no keys. Equal staged rows all pass. Stamps held as text compare as text, so they must be
+    Keys the target does not have are dropped or kept, as ``new_keys`` says. A missing target has no
+    keys: with "drop" nothing could ever be loaded, so that is an error; start a table with "keep". Equal staged rows all pass. Stamps held as text compare as text, so they must be
     year-first and zero-padded; ``compare_as="timestamp"`` compares the times they stand for, and
     text that is no time is never newer.
 
@@ -39,7 +39,9 @@ def newer_than_target(staged: DataFrame, target: DataFrame | None, keys: list[st
     if new_keys not in ("drop", "keep"):
         raise ValueError(f"new_keys must be drop or keep, got {new_keys!r}")
     if target is None:
-        return staged if new_keys == "keep" else staged.limit(0)
+        if new_keys == "drop":
+            raise ValueError('the target does not exist; new_keys="keep" makes the first load')
+        return staged
     marks = high_water_marks(target, keys, stamp, compare_as)
     columns = [quoted(c) for c in staged.columns]
     value = _stamp(stamp, compare_as)
@@ -63,11 +65,18 @@ def _for_join(marks: DataFrame, keys: list[str], same) -> tuple[DataFrame, Colum
 def newer_than_any(df: DataFrame, target: DataFrame, fields) -> DataFrame:
     """Rows in which any of the fields exceeds that field's greatest value in the target.
 
-    An empty target has no greatest value, so nothing passes.
+    An empty target has no greatest value, so nothing passes. For dates, times and texts a NULL in the
+    target counts as the earliest value; for other types it does not count.
     """
     fields = as_list(fields)
-    floors = {name: F.lit(EARLIEST).cast(target.schema[name].dataType) for name in fields}
-    marks = constants(target.agg(*[F.max(F.coalesce(quoted(name), floors[name])).alias(name) for name in fields]))
+
+    def counted(name: str) -> Column:
+        kind = target.schema[name].dataType
+        if kind.typeName() in ("date", "timestamp", "timestamp_ntz") or kind.simpleString().startswith("string"):
+            return F.coalesce(quoted(name), F.lit(EARLIEST).cast(kind))
+        return quoted(name)
+
+    marks = constants(target.agg(*[F.max(counted(name)).alias(name) for name in fields]))
     return df.where(reduce(operator.or_, [quoted(name) > marks[name] for name in fields]))
 
 

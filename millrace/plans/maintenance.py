@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from millrace.functions.columns import quoted
 from millrace.literals import moment
@@ -26,9 +26,21 @@ def file_listing(spark: SparkSession, *paths: str) -> DataFrame:
     return reader.load(list(paths)).select("path", "modificationTime", "length")
 
 
+def _hashable(value: Column, kind: DataType) -> Column:
+    """A value of a type that can be hashed, with NULLs inside it told apart; a map becomes its sorted entries."""
+    if isinstance(kind, MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(
+            F.to_json(F.struct(e["key"])).alias("key"), F.to_json(F.struct(e["value"]), {"ignoreNullFields": "false"}).alias("value")))
+        return F.sort_array(entries)
+    if isinstance(kind, (ArrayType, StructType)):
+        return F.to_json(F.struct(value), {"ignoreNullFields": "false"})
+    return value
+
+
 def content_checksum(df: DataFrame) -> DataFrame:
     """Row count and an order-free checksum: one scan, no shuffle of rows."""
-    row_hash = F.xxhash64(*[quoted(c) for c in sorted(df.columns)]).cast("decimal(38,0)")
+    hashed = [c for name in sorted(df.columns) for c in (quoted(name).isNull(), _hashable(quoted(name), df.schema[name].dataType))]
+    row_hash = F.xxhash64(*hashed).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(row_hash).alias("checksum"))
 
 
@@ -39,16 +51,12 @@ def same_content(a: DataFrame, b: DataFrame, exact: bool = False) -> bool:
     return content_checksum(a).first() == content_checksum(b).first()
 
 
-@contextmanager
-def _with_settings(spark: SparkSession, values: dict[str, str]):
-    before = {name: spark.conf.get(name, None) for name in values}
-    try:
-        for name, value in values.items():
-            spark.conf.set(name, value)
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+def _own_session(spark: SparkSession, values: dict[str, str]) -> SparkSession:
+    """A session of the same application with its own settings, so that no other query plans with them."""
+    own = spark.newSession()
+    for name, value in values.items():
+        own.conf.set(name, value)
+    return own
 
 
 def _files_of(target_bytes: int, partitioned: bool) -> dict[str, str]:
@@ -75,15 +83,15 @@ def compact(spark: SparkSession, path: str, new_path: str, partition_columns: li
 
         DeltaTable.forPath(spark, path).optimize().executeCompaction()
         return read_table(spark, path, fmt)
-    with _with_settings(spark, TEXT_FOLDERS):
-        table = read_table(spark, path, fmt)
-        with _with_settings(spark, _files_of(target_bytes, bool(partition_columns))):
-            if partition_columns:
-                balanced(table, *partition_columns).write.format(fmt).partitionBy(*partition_columns).save(new_path)
-            else:
-                table.write.format(fmt).save(new_path)
-        if not same_content(table, read_table(spark, new_path, fmt), exact_check):
-            raise RuntimeError(f"{new_path} does not hold the rows of {path}")
+    own = _own_session(spark, TEXT_FOLDERS | _files_of(target_bytes, bool(partition_columns)))
+    table = read_table(own, path, fmt)
+    content_checksum(table)  # a type that cannot be compared shows before the rewrite
+    if partition_columns:
+        balanced(table, *partition_columns).write.format(fmt).partitionBy(*partition_columns).save(new_path)
+    else:
+        table.write.format(fmt).save(new_path)
+    if not same_content(table, read_table(own, new_path, fmt), exact_check):
+        raise RuntimeError(f"{new_path} does not hold the rows of {path}")
     return read_table(spark, new_path, fmt)
 
 

@@ -39,16 +39,24 @@ def refresh(spark: SparkSession, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
+              multi_line: bool = False) -> DataFrame:
     """JSON documents, one per line. Without a schema the nested one found in the data applies, at the
-    price of reading the data twice."""
+    price of reading the data twice. With ``multi_line`` a file holds one document, or an array of them,
+    over any number of lines, and is read by one task."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path)
+    return reader.option("multiLine", str(multi_line).lower()).json(path)
 
 
-def read_seed(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header line. An empty field is NULL; without a schema every column is text."""
-    reader = spark.read.option("header", "true").option("nullValue", "").option("encoding", "UTF-8")
+def read_seed(spark: SparkSession, path: str, schema: StructType | str | None = None,
+              multi_line: bool = True) -> DataFrame:
+    """CSV with a header line. An empty field is NULL; without a schema every column is text.
+
+    Fields may stand between double quotes, a doubled quote being one. A quoted field may hold line
+    breaks unless ``multi_line`` is off, which lets a large file be read by several tasks.
+    """
+    reader = spark.read.option("header", "true").option("nullValue", "").option("encoding", "UTF-8").option(
+        "quote", '"').option("escape", '"').option("multiLine", str(multi_line).lower())
     return reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
 
 

@@ -305,7 +305,7 @@ def qc_ranges_zero_length(t):
     days="o_custkey % 3 - 1", partition="", window="", **STRICT_ORDER, **ALLOWED))
 def qc_ranges_whole_table(t):
     """No partition, cut into chunks as a table too large for one task would be."""
-    return _ranges(t, "o_custkey % 3 - 1", max_group_rows=0)
+    return _ranges(t, "o_custkey % 3 - 1")
 
 
 @query("qc_sequential", """
@@ -339,7 +339,7 @@ def qc_sequential_dt(t):
 @query("qc_sequential_chunked", SEQUENTIAL_HOURS)
 def qc_sequential_chunked(t):
     """As above, with every group treated as too large for one task."""
-    return q.sequential_values(_event_hours(t), "hour", unit="hour", group_by=["event_type"], max_group_rows=0)
+    return q.sequential_values(_event_hours(t), "hour", unit="hour", group_by=["event_type"])
 
 
 @query("qc_sequential_whole_table", """
@@ -347,7 +347,7 @@ SELECT * FROM (SELECT l_orderkey, lag(l_orderkey) OVER (ORDER BY l_orderkey) AS
 WHERE NOT (l_orderkey = previous_l_orderkey + 1)
 """)
 def qc_sequential_whole_table(t):
-    return q.sequential_values(t.lineitem, "l_orderkey", max_group_rows=0)
+    return q.sequential_values(t.lineitem, "l_orderkey")
 
 
 # --- suite ----------------------------------------------------------------------------------

@@ -163,3 +163,15 @@ def batch_validation_multi(t):
     dated = t.orders.select("o_orderkey", "o_orderdate", due.alias("due"))
     target = dated.where("o_orderdate < timestamp_ntz'2000-01-01 00:00:00'")
     return newer_than_any(dated, target, ["o_orderdate", "due"])
+
+
+@query("batch_validation_numeric", """
+WITH target AS (SELECT nullif(o_custkey, 1) AS c, o_totalprice AS p FROM orders WHERE o_orderkey % 7 <> 0 AND o_totalprice < 300000)
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_custkey > (SELECT max(c) FROM target) OR o_totalprice > (SELECT max(p) FROM target)
+""")
+def batch_validation_numeric(t):
+    """Numeric high-water columns, one of them with NULLs."""
+    target = t.orders.where("o_orderkey % 7 <> 0 and o_totalprice < 300000").select(
+        F.nullif("o_custkey", F.lit(1)).alias("o_custkey"), "o_totalprice")
+    return newer_than_any(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), target, ["o_custkey", "o_totalprice"])

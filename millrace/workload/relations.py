@@ -263,3 +263,15 @@ def except_both(t):
     pending = t.orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("key"))
     funded = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("key"))
     return differences(pending, funded)
+
+
+@query("union_mixed_case", """
+SELECT n_nationkey::BIGINT AS key, n_name AS name, NULL::BIGINT AS region FROM nation
+UNION ALL SELECT r_regionkey::BIGINT, r_name, r_regionkey::BIGINT FROM region
+""")
+def union_mixed_case(t):
+    """The same column in two spellings is one column, in the first one."""
+    nations = t.nation.select(F.col("n_nationkey").cast("bigint").alias("key"), F.col("n_name").alias("name"))
+    regions = t.region.select(F.col("r_regionkey").cast("bigint").alias("KEY"), F.col("r_name").alias("Name"),
+                              F.col("r_regionkey").cast("bigint").alias("region"))
+    return union_relations({"nation": nations, "region": regions}, column_override={"REGION": "bigint"}, source_column=None)

@@ -143,14 +143,34 @@ def json_infer(t):
 
 
 @query("csv_seed", """
-SELECT c_custkey, c_name, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment, c_acctbal FROM customer
+SELECT c_custkey, c_name, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment, c_acctbal,
+       'say "' || c_name || '", then' || chr(10) || 'go on' AS note FROM customer
 """)
 def csv_seed(t):
+    """Fields with commas, doubled quotes and line breaks between quotes, and empty ones."""
     path = new_path(t.spark, "seed")
     segment = F.nullif("c_mktsegment", F.lit("BUILDING")).alias("c_mktsegment")
-    seed = t.customer.select("c_custkey", "c_name", segment, "c_acctbal")
-    seed.write.option("header", "true").csv(path)
-    return read_seed(t.spark, path, "c_custkey bigint, c_name string, c_mktsegment string, c_acctbal double")
+    note = F.concat(F.lit('say "'), "c_name", F.lit('", then\ngo on')).alias("note")
+    seed = t.customer.select("c_custkey", "c_name", segment, "c_acctbal", note)
+    seed.write.option("header", "true").option("escape", '"').csv(path)
+    return read_seed(t.spark, path, "c_custkey bigint, c_name string, c_mktsegment string, c_acctbal double, note string")
+
+
+@query("json_documents", """
+SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, r.r_name, CAST(n_regionkey AS BIGINT) AS n_regionkey
+FROM nation JOIN region r ON n_regionkey = r_regionkey
+""")
+def json_documents(t):
+    """Documents spread over several lines, one array of them per file."""
+    path = new_path(t.spark, "documents")
+    nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    document = F.struct("n_nationkey", "n_name", F.struct("r_name", "n_regionkey").alias("region"))
+    pretty = F.to_json(document, {"pretty": "true"})
+    # A file for each region: one array over many lines.
+    whole = nations.groupBy("n_regionkey").agg(F.concat(F.lit("["), F.array_join(F.collect_list(pretty), ","), F.lit("]")).alias("value"))
+    whole.write.partitionBy("n_regionkey").text(path)
+    read = read_json(t.spark, path, multi_line=True)
+    return read.select("n_nationkey", "n_name", F.col("region.r_name").alias("r_name"), F.col("region.n_regionkey").alias("n_regionkey"))
 
 
 @query("compact", "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_shipdate FROM lineitem")

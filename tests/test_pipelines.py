@@ -36,8 +36,9 @@ def test_only_newer_rows_of_known_keys(staged, target):
     found = newer_than_target(staged, target, ["k"], "t")
     assert found.columns == ["k", "t", "v"]
     assert bag(found) == Counter({("a", "2024-01-03", 2): 2})
-    assert newer_than_target(staged, None, ["k"], "t").isEmpty()
     assert newer_than_target(staged, target.limit(0), ["k"], "t").isEmpty()
+    with pytest.raises(ValueError, match="keep"):  # a table could never start
+        newer_than_target(staged, None, ["k"], "t")
 
 
 def test_new_keys_can_be_kept(staged, target):
@@ -316,3 +317,21 @@ def test_stale_files(spark, rows, tmp_path):
     found = maintenance.stale_files(spark, f"{tmp_path}/t", live, now=later).collect()
     assert len(found) == 1 and "/v1/" in found[0].path and found[0].length > 0
     assert maintenance.stale_files(spark, f"{tmp_path}/t", live, now=later, retention_hours=400).isEmpty()
+
+
+def test_checksum_sees_where_a_null_stands_and_takes_maps(spark):
+    schema = "a string, b string"
+    one, two = spark.createDataFrame([(None, "x")], schema), spark.createDataFrame([("x", None)], schema)
+    assert not maintenance.same_content(one, two)
+    maps = "m map<string,int>, s struct<a: int, b: int>"
+    same = [spark.createDataFrame([(m, (1, None))], maps) for m in ({"k": 1, "j": None}, {"j": None, "k": 1})]
+    assert maintenance.same_content(*same)
+    assert not maintenance.same_content(same[0], spark.createDataFrame([({"k": 1, "j": 2}, (1, None))], maps))
+    assert not maintenance.same_content(same[0], spark.createDataFrame([({"k": 1, "j": None}, (None, 1))], maps))
+
+
+def test_compaction_leaves_the_settings_of_the_session_alone(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.range(100).repartition(5).write.parquet(f"{tmp_path}/a")
+    maintenance.compact(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before

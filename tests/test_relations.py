@@ -128,3 +128,18 @@ def test_differences_against_sets_and_bags(spark, left, right):
     bags = Counter({("a_minus_b", *r): n for r, n in (Counter(left) - Counter(right)).items()})
     bags += Counter({("b_minus_a", *r): n for r, n in (Counter(right) - Counter(left)).items()})
     assert bag(differences(a, b, multiset=True)) == bags
+
+
+def test_union_takes_names_in_any_letter_case(spark):
+    a, b = spark.createDataFrame([(1, "x")], "ID int, v string"), spark.createDataFrame([("y", 2)], "V string, id int")
+    found = union_relations({"a": a, "b": b}, column_override={"id": "bigint"}, source_column=None)
+    assert found.columns == ["ID", "v"] and found.schema["ID"].dataType.simpleString() == "bigint"
+    assert bag(found) == Counter({(1, "x"): 1, (2, "y"): 1})
+    with pytest.raises(ValueError):
+        union_relations({"a": a}, column_override={"other": "int"})
+
+
+def test_names_with_dots_and_blanks(spark):
+    df = spark.createDataFrame([("g", 1, 5.0), ("g", 2, 6.0)], "`a.b` string, `c d` int, `e f` double")
+    assert deduplicate(df, "a.b", F.col("`c d`").desc()).collect()[0][1] == 2
+    assert latest_per_key(df, "a.b", "c d").collect()[0][1] == 2

@@ -165,3 +165,14 @@ def test_stage_goes_to_the_shared_folder(spark, rows):
     staged = session.stage(rows("id int", 1, 2))
     assert staged.count() == 2
     assert all(f.startswith(f"file://{spark.conf.get('spark.checkpoint.dir')}") for f in staged.inputFiles())
+
+
+def test_seed_with_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('id,note\n1,"say ""hi"", ok"\n2,"two\nlines"\n3,\n4,plain\n')
+    rows = [tuple(r) for r in read_seed(spark, str(tmp_path / "s.csv")).collect()]
+    assert rows == [("1", 'say "hi", ok'), ("2", "two\nlines"), ("3", None), ("4", "plain")]
+
+
+def test_json_over_several_lines(spark, tmp_path):
+    (tmp_path / "d.json").write_text('{\n "a": 1,\n "b": {\n  "c": "x"\n }\n}\n')
+    assert [tuple(r) for r in read_json(spark, str(tmp_path / "d.json"), multi_line=True).select("a", "b.c").collect()] == [(1, "x")]
