@@ -3,8 +3,8 @@
 A rule names a host and the beginning of a path; it fits that host and its subdomains, and the
 longest fitting rule decides. URLs that no rule decides are judged by boosted trees, which are
 trained from labelled URLs on their length, depth, digit ratio, entropy, parameter counts and so on,
-and on statistics of their host suffixes (how many labelled URLs have the suffix, and how many of
-those are blocked, drawn towards the overall share).
+and on statistics of their host suffixes and first path segment (how many labelled URLs have it, and
+how many of those are blocked, drawn towards the overall share).
 
 Training: features are cut into bins at approximate quantiles, equal binned URLs are folded into one
 counted row, and every level of a tree is one grouping of (node, feature, bin). Only such histograms,
@@ -102,11 +102,15 @@ def lexical_features(url: Column) -> dict[str, Column]:
     }
 
 
-SUFFIXES = {"suffix1": r"([^.]*)$", "suffix2": r"([^.]*\.[^.]*)$"}
+#: Parts of a URL of which statistics are kept: the last one and two labels of the host, the first segment of the path.
+PARTS = ("suffix1", "suffix2", "segment")
 
 
-def suffixes(host: Column) -> dict[str, Column]:
-    return {name: F.regexp_extract(host, pattern, 1) for name, pattern in SUFFIXES.items()}
+def parts(url: Column) -> dict[str, Column]:
+    url = F.coalesce(url, F.lit(""))
+    host, path = host_of(url), path_of(url)
+    found = (F.regexp_extract(host, r"([^.]*)$", 1), F.regexp_extract(host, r"([^.]*\.[^.]*)$", 1), F.regexp_extract(path, "^/([^/]*)", 1))
+    return dict(zip(PARTS, found, strict=True))
 
 
 @dataclass
@@ -152,7 +156,7 @@ class Boosting:
 def _with_features(df: DataFrame, url: str, model: UrlModel, settings: Boosting) -> DataFrame:
     """The frame with a column ``__bins``, the bin of each feature in order of the model's names."""
     link = column(df, url)
-    named = {f"__{n}": c for n, c in suffixes(host_of(F.coalesce(link, F.lit("")))).items()}
+    named = {f"__{n}": c for n, c in parts(link).items()}
     wide = df.withColumns({**{f"__{n}": c for n, c in lexical_features(link).items()}, **named})
     for name, counted in model.suffix_tables.items():
         keyed = counted.select(F.col("suffix").alias(f"__{name}"), F.col("n").alias(f"__{name}_n"), F.col("blocked").alias(f"__{name}_b"))
@@ -172,7 +176,7 @@ def _binned(df: DataFrame, names: list[str], cuts: list[list[float]]) -> Column:
 
 
 def feature_names() -> list[str]:
-    return [*lexical_features(F.lit("")), *(f"{s}_{k}" for s in SUFFIXES for k in ("count", "blocked"))]
+    return [*lexical_features(F.lit("")), *(f"{s}_{k}" for s in PARTS for k in ("count", "blocked"))]
 
 
 def train(labelled: DataFrame, url: str, blocked: str, settings: Boosting = Boosting()) -> UrlModel:
@@ -184,9 +188,9 @@ def train(labelled: DataFrame, url: str, blocked: str, settings: Boosting = Boos
     names = feature_names()
     if not 0 < share < 1:
         return UrlModel(names, [[] for _ in names], math.inf if share else -math.inf, [], {}, share)
-    hosts = rows.select("label", *[c.alias(n) for n, c in suffixes(host_of(F.col("url"))).items()])
+    hosts = rows.select("label", *[c.alias(n) for n, c in parts(F.col("url")).items()])
     tables = {name: stage(hosts.groupBy(F.col(name).alias("suffix")).agg(F.count("*").alias("n"), F.sum("label").alias("blocked")),
-                          "suffixes") for name in SUFFIXES}
+                          "suffixes") for name in PARTS}
     model = UrlModel(names, [], math.log(share / (1 - share)), [], tables, share)
     wide = stage(_with_features(rows, "url", model, settings).select("label", *[F.col(f"__{n}") for n in names]), "url-features")
     edges = wide.approxQuantile([f"__{n}" for n in names], [i / BINS for i in range(1, BINS)], 0.005)
