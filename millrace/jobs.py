@@ -1,8 +1,8 @@
-"""The pipelines as jobs for ``spark-submit``.
+"""The flows as jobs for ``spark-submit``.
 
     spark-submit --py-files millrace.zip millrace/jobs.py ingest --to PATH --checkpoint PATH
     spark-submit --py-files millrace.zip millrace/jobs.py prepare --streaming PATH --data PATH
-    spark-submit --py-files millrace.zip millrace/jobs.py publish --data PATH --table weatherforecast
+    spark-submit --py-files millrace.zip millrace/jobs.py publish --data PATH --database NAME --table NAME
 
 Brokers, databases and their credentials come from the session's settings, never from arguments.
 """
@@ -23,7 +23,7 @@ from millrace.streaming.ingest import ingest, open_files, open_topic
 
 # Session settings that name the database, its user, and the table to maintain.
 DATABASE_SETTINGS = {"url": "spark.postgresql_url", "user": "spark.postgresql_usr", "password": "spark.postgresql_pwd"}
-DATABASE_NAME, DRIVER = "dwh", "org.postgresql.Driver"
+DRIVER = "org.postgresql.Driver"
 MAINTENANCE_SETTING = "spark.deltalake.maintenance"
 
 
@@ -43,7 +43,7 @@ def run_prepare(spark: SparkSession, args) -> None:
 def run_publish(spark: SparkSession, args) -> None:
     """Summary of the partitioned table into a database table."""
     given = {option: setting(spark, name) for option, name in DATABASE_SETTINGS.items()}
-    url = f"{given.pop('url')}/{DATABASE_NAME}"
+    url = f"{given.pop('url')}/{args.database}"
     weather.publish(spark, args.data, args.format, url=url, table=args.table, driver=DRIVER, **given)
 
 
@@ -90,7 +90,7 @@ def parser() -> argparse.ArgumentParser:
         codec={"default": "avro", "choices": ["avro", "json"]})
     job("prepare", run_prepare, streaming=needed, data=needed,
         new_keys={"default": "drop", "choices": ["drop", "keep"]})
-    job("publish", run_publish, data=needed, table={"default": "weatherforecast"})
+    job("publish", run_publish, data=needed, database=needed, table=needed)
     job("land", run_land, source=needed, to=needed)
     job("mart", run_mart, customers=needed, to=needed)
     job("compact", run_compact, path={}, to={}, partition_by={"nargs": "*"})

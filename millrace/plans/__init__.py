@@ -1 +1 @@
-"""Pipelines made of the operators: incremental load, publishing, models, maintenance."""
+"""Flows made of the operators: incremental load, publishing, models, maintenance."""

@@ -27,52 +27,130 @@ ENVELOPE = StructType([
     StructField("timestampType", IntegerType()),
 ])
 
-
-def _record(texts: str = "", longs: str = "", **others) -> dict:
-    named = {n: StringType() for n in texts.split()} | {n: LongType() for n in longs.split()}
-    return named | others
-
-
-def _struct(order: str, known: dict) -> StructType:
-    """Fields in the order given; a field that is not in ``known`` is a double."""
-    return StructType([StructField(n, known.get(n, DoubleType())) for n in order.split()])
-
-
-# Field names and order of a weather message. Fields are doubles unless said otherwise.
-CONDITION = _struct("text icon code", _record(texts="text icon"))
-LOCATION = _struct(
-    "name region country lat lon tz_id localtime_epoch localtime",
-    _record(texts="name region country tz_id localtime", longs="localtime_epoch"),
-)
-CURRENT = _struct(
-    "last_updated_epoch last_updated temp_c temp_f is_day condition wind_mph wind_kph wind_degree wind_dir "
-    "pressure_mb pressure_in precip_mm precip_in humidity cloud feelslike_c feelslike_f vis_km vis_miles uv "
-    "gust_mph gust_kph",
-    _record(texts="last_updated wind_dir", longs="last_updated_epoch", condition=CONDITION),
-)
-DAY = _struct(
-    "maxtemp_c maxtemp_f mintemp_c mintemp_f avgtemp_c avgtemp_f maxwind_mph maxwind_kph totalprecip_mm "
-    "totalprecip_in totalsnow_cm avgvis_km avgvis_miles avghumidity daily_will_it_rain daily_chance_of_rain "
-    "daily_will_it_snow daily_chance_of_snow condition uv",
-    _record(condition=CONDITION),
-)
-ASTRO = _struct(
-    "sunrise sunset moonrise moonset moon_phase moon_illumination is_moon_up is_sun_up",
-    _record(texts="sunrise sunset moonrise moonset moon_phase"),
-)
-HOUR = _struct(
-    "time_epoch time temp_c temp_f is_day condition wind_kph wind_mph wind_degree wind_dir pressure_mb "
-    "pressure_in precip_mm precip_in snow_cm humidity cloud feelslike_c feelslike_f windchill_c windchill_f "
-    "heatindex_c heatindex_f dewpoint_c dewpoint_f will_it_rain chance_of_rain will_it_snow chance_of_snow "
-    "vis_km vis_miles gust_mph gust_kph uv",
-    _record(texts="time wind_dir", longs="time_epoch", condition=CONDITION),
-)
-FORECAST_DAY = _struct(
-    "date date_epoch day astro hour",
-    _record(texts="date", longs="date_epoch", day=DAY, astro=ASTRO, hour=ArrayType(HOUR)),
-)
-FORECAST = _struct("forecastday", {"forecastday": ArrayType(FORECAST_DAY)})
-WEATHER = _struct("location current forecast", {"location": LOCATION, "current": CURRENT, "forecast": FORECAST})
+# Names, types and order of the fields of a weather message, record by record.
+CONDITION = StructType([
+    StructField("text", StringType()),
+    StructField("icon", StringType()),
+    StructField("code", DoubleType()),
+])
+LOCATION = StructType([
+    StructField("name", StringType()),
+    StructField("region", StringType()),
+    StructField("country", StringType()),
+    StructField("lat", DoubleType()),
+    StructField("lon", DoubleType()),
+    StructField("tz_id", StringType()),
+    StructField("localtime_epoch", LongType()),
+    StructField("localtime", StringType()),
+])
+CURRENT = StructType([
+    StructField("last_updated_epoch", LongType()),
+    StructField("last_updated", StringType()),
+    StructField("temp_c", DoubleType()),
+    StructField("temp_f", DoubleType()),
+    StructField("is_day", DoubleType()),
+    StructField("condition", CONDITION),
+    StructField("wind_mph", DoubleType()),
+    StructField("wind_kph", DoubleType()),
+    StructField("wind_degree", DoubleType()),
+    StructField("wind_dir", StringType()),
+    StructField("pressure_mb", DoubleType()),
+    StructField("pressure_in", DoubleType()),
+    StructField("precip_mm", DoubleType()),
+    StructField("precip_in", DoubleType()),
+    StructField("humidity", DoubleType()),
+    StructField("cloud", DoubleType()),
+    StructField("feelslike_c", DoubleType()),
+    StructField("feelslike_f", DoubleType()),
+    StructField("vis_km", DoubleType()),
+    StructField("vis_miles", DoubleType()),
+    StructField("uv", DoubleType()),
+    StructField("gust_mph", DoubleType()),
+    StructField("gust_kph", DoubleType()),
+])
+DAY = StructType([
+    StructField("maxtemp_c", DoubleType()),
+    StructField("maxtemp_f", DoubleType()),
+    StructField("mintemp_c", DoubleType()),
+    StructField("mintemp_f", DoubleType()),
+    StructField("avgtemp_c", DoubleType()),
+    StructField("avgtemp_f", DoubleType()),
+    StructField("maxwind_mph", DoubleType()),
+    StructField("maxwind_kph", DoubleType()),
+    StructField("totalprecip_mm", DoubleType()),
+    StructField("totalprecip_in", DoubleType()),
+    StructField("totalsnow_cm", DoubleType()),
+    StructField("avgvis_km", DoubleType()),
+    StructField("avgvis_miles", DoubleType()),
+    StructField("avghumidity", DoubleType()),
+    StructField("daily_will_it_rain", DoubleType()),
+    StructField("daily_chance_of_rain", DoubleType()),
+    StructField("daily_will_it_snow", DoubleType()),
+    StructField("daily_chance_of_snow", DoubleType()),
+    StructField("condition", CONDITION),
+    StructField("uv", DoubleType()),
+])
+ASTRO = StructType([
+    StructField("sunrise", StringType()),
+    StructField("sunset", StringType()),
+    StructField("moonrise", StringType()),
+    StructField("moonset", StringType()),
+    StructField("moon_phase", StringType()),
+    StructField("moon_illumination", DoubleType()),
+    StructField("is_moon_up", DoubleType()),
+    StructField("is_sun_up", DoubleType()),
+])
+HOUR = StructType([
+    StructField("time_epoch", LongType()),
+    StructField("time", StringType()),
+    StructField("temp_c", DoubleType()),
+    StructField("temp_f", DoubleType()),
+    StructField("is_day", DoubleType()),
+    StructField("condition", CONDITION),
+    StructField("wind_kph", DoubleType()),
+    StructField("wind_mph", DoubleType()),
+    StructField("wind_degree", DoubleType()),
+    StructField("wind_dir", StringType()),
+    StructField("pressure_mb", DoubleType()),
+    StructField("pressure_in", DoubleType()),
+    StructField("precip_mm", DoubleType()),
+    StructField("precip_in", DoubleType()),
+    StructField("snow_cm", DoubleType()),
+    StructField("humidity", DoubleType()),
+    StructField("cloud", DoubleType()),
+    StructField("feelslike_c", DoubleType()),
+    StructField("feelslike_f", DoubleType()),
+    StructField("windchill_c", DoubleType()),
+    StructField("windchill_f", DoubleType()),
+    StructField("heatindex_c", DoubleType()),
+    StructField("heatindex_f", DoubleType()),
+    StructField("dewpoint_c", DoubleType()),
+    StructField("dewpoint_f", DoubleType()),
+    StructField("will_it_rain", DoubleType()),
+    StructField("chance_of_rain", DoubleType()),
+    StructField("will_it_snow", DoubleType()),
+    StructField("chance_of_snow", DoubleType()),
+    StructField("vis_km", DoubleType()),
+    StructField("vis_miles", DoubleType()),
+    StructField("gust_mph", DoubleType()),
+    StructField("gust_kph", DoubleType()),
+    StructField("uv", DoubleType()),
+])
+FORECAST_DAY = StructType([
+    StructField("date", StringType()),
+    StructField("date_epoch", LongType()),
+    StructField("day", DAY),
+    StructField("astro", ASTRO),
+    StructField("hour", ArrayType(HOUR)),
+])
+FORECAST = StructType([
+    StructField("forecastday", ArrayType(FORECAST_DAY)),
+])
+WEATHER = StructType([
+    StructField("location", LOCATION),
+    StructField("current", CURRENT),
+    StructField("forecast", FORECAST),
+])
 
 
 def avro_schema(schema: StructType, name: str = "Record") -> str:

@@ -132,17 +132,15 @@ def union_where(t):
     return union_relations(parties(t), include=["id", "name"], where="cast(nation as int) > 12")
 
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-
-
 @query("union_by_pattern", """
 SELECT 'found_events_' || event_type AS _dbt_source_relation, event_id, event_type, value
 FROM events WHERE event_type <> 'error'
 """)
 def union_by_pattern(t):
     """Views per event type, found by their names and put together again."""
-    views = [f"found_events_{kind}" for kind in EVENT_TYPES]
-    for kind, view in zip(EVENT_TYPES, views, strict=True):
+    kinds = column_value_list(t.events, "event_type", where="event_type is not null")
+    views = [f"found_events_{kind}" for kind in kinds]
+    for kind, view in zip(kinds, views, strict=True):
         rows = t.events.where(F.col("event_type") == kind).select("event_id", "event_type", "value")
         rows.createOrReplaceTempView(view)
     try:
@@ -180,7 +178,8 @@ SELECT o_orderstatus, {_per_priority(
 FROM orders GROUP BY o_orderstatus
 """)
 def pivot_distinct(t):
-    return pivot(t.orders, "o_orderstatus", "o_orderpriority", PRIORITIES, agg="count", distinct=True,
+    priorities = column_value_list(t.orders, "o_orderpriority")
+    return pivot(t.orders, "o_orderstatus", "o_orderpriority", priorities, agg="count", distinct=True,
                  then_value="o_custkey", else_value=None, prefix="customers ")
 
 
@@ -190,7 +189,8 @@ SELECT o_orderstatus, {_per_priority(
 FROM orders GROUP BY o_orderstatus
 """)
 def pivot_slug(t):
-    return pivot(t.orders, "o_orderstatus", "o_orderpriority", PRIORITIES, agg="max", comparison="ilike",
+    priorities = column_value_list(t.orders, "o_orderpriority")
+    return pivot(t.orders, "o_orderstatus", "o_orderpriority", priorities, agg="max", comparison="ilike",
                  then_value="o_totalprice", prefix="max ", slugs=True)
 
 

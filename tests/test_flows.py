@@ -240,10 +240,10 @@ class Recorded:
 
 def test_jdbc_options():
     df = Recorded()
-    write_jdbc(df, "jdbc:postgresql://db/dwh", "weather", user="u", password="p", driver="org.postgresql.Driver", connections=4)
+    write_jdbc(df, "jdbc:postgresql://db/marts", "weather", user="u", password="p", driver="org.postgresql.Driver", connections=4)
     assert df.write.calls == {
         "format": ("jdbc",), "mode": ("overwrite",), "save": (),
-        "options": {"url": "jdbc:postgresql://db/dwh", "dbtable": "weather", "user": "u", "password": "p",
+        "options": {"url": "jdbc:postgresql://db/marts", "dbtable": "weather", "user": "u", "password": "p",
                     "driver": "org.postgresql.Driver", "numPartitions": "4", "truncate": "false"}}
 
 

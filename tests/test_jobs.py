@@ -9,7 +9,7 @@ from millrace import jobs
 from millrace.plans import weather
 from millrace.sources.tables import read_table
 from tests.conftest import bag
-from tests.test_pipelines import CUSTOMER, messages, reading
+from tests.test_flows import CUSTOMER, messages, reading
 
 
 def test_weather_jobs(spark, tmp_path, monkeypatch):
@@ -24,8 +24,8 @@ def test_weather_jobs(spark, tmp_path, monkeypatch):
     published = {}
     monkeypatch.setattr(weather, "write_jdbc", lambda df, **options: published.update(options, rows=bag(df)))
     spark.conf.set("spark.postgresql_url", "jdbc:postgresql://db")
-    jobs.main(["publish", "--data", data])
-    assert published["url"] == "jdbc:postgresql://db/dwh" and published["table"] == "weatherforecast"
+    jobs.main(["publish", "--data", data, "--database", "marts", "--table", "summary"])
+    assert published["url"] == "jdbc:postgresql://db/marts" and published["table"] == "summary"
     assert published["rows"] == Counter([("Netherlands", "Ede region", "Ede", 4.0, 10.0, 1, "2024-01-01 10:00")])
 
 
