@@ -70,7 +70,8 @@ class _Models:
         self.lane_level, self.lane_slot = self.lane * LEVELS, self.lane * SLOTS
         self.lane_width, self.lane_sums = self.lane * self.width, self.lane * (self.width + 1)
         self.lane_search = self.lane << (ZERO_BITS + 1)
-        self.counts = np.zeros(lanes * self.width, np.int64)
+        self.counts, self.counted = np.zeros(lanes * self.width, np.int32), np.zeros(lanes, np.int64)
+        self.beyond = np.arange(self.width) >= alphabet[:, None]
         # A context's entry is the named symbol times LEVELS plus its confidence; confidence 0 names nothing.
         self.entries = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * self.width, np.int32)
         self.asked = np.zeros((2, lanes * LEVELS), np.int64)
@@ -83,19 +84,19 @@ class _Models:
     def _renew(self) -> None:
         for m, symbol, level2, right2, level1, asked1, right1 in self.pending:
             self.counts[self.lane_width[:m] + symbol] += 1
+            self.counted[:m] += 1
             for order, level, asked, right in ((0, level2, True, right2), (1, level1, asked1, right1)):
                 self.asked[order][level] += asked
                 self.right[order][level] += right
         self.pending = []
-        weight = (self.counts * 32 + 1).reshape(self.lanes, self.width)
-        weight[np.arange(self.width) >= self.alphabet[:, None]] = 0
-        ratio = ((1 << ZERO_BITS) - self.alphabet) / weight.sum(axis=1)
-        share = (weight * ratio[:, None]).astype(np.int64)
-        share += weight > 0
-        sums = np.zeros((self.lanes, self.width + 1), np.int64)
+        ratio = ((1 << ZERO_BITS) - self.alphabet) / (self.counted[:self.lanes] * 32 + self.alphabet)
+        share = ((self.counts.reshape(self.lanes, self.width) * 32 + 1) * ratio[:, None]).astype(np.int32)
+        share += 1
+        share[self.beyond] = 0
+        sums = np.zeros((self.lanes, self.width + 1), np.int32)
         np.cumsum(share, axis=1, out=sums[:, 1:])
         self.sums = sums.reshape(-1)
-        self.searched = (sums + self.lane_search[:, None]).reshape(-1)
+        self.searched = (sums + self.lane_search[:, None].astype(np.int32)).reshape(-1)
         # A confidence that has not been put to the test counts as right half of the time; 0 has no share.
         rate = np.minimum((self.right * 2 + 1) * (1 << TOTAL_BITS) // (self.asked * 2 + 2), (1 << TOTAL_BITS) * 9 // 10)
         rate[:, ::LEVELS] = 0
@@ -131,7 +132,7 @@ class _Models:
         fresh = symbol * LEVELS + 1
         for entries, place, entry, sure, named in ((self.entries[0], self.place2, self.entry2, self.sure2, self.named2),
                                                    (self.entries[1], self.place1, self.entry1, self.sure1, self.named1)):
-            kept = np.where(sure > 1, entry - (sure - (sure >> 1)), fresh)
+            kept = np.where(sure > 1, entry - (sure + 1 >> 1), fresh)
             entries[place] = np.where((named == symbol) & (sure > 0), entry + (sure < LEVELS - 1), kept)
         self.older[:m] = self.last[:m]
         self.last[:m] = symbol
@@ -257,11 +258,13 @@ def _decode(blocks: list[Block]) -> list[np.ndarray]:
         models.predict(m)
         unit = span[:m] >> np.uint64(TOTAL_BITS)
         value = ((code[:m] - low[:m]) // unit).astype(np.int64)
-        inner = np.maximum(value - models.both, 0)
-        target = np.minimum((((inner + 1) << ZERO_BITS) - 1) // models.rest, (1 << ZERO_BITS) - 1)
-        zero = np.searchsorted(models.searched, models.lane_search[:m] + target, "right") - 1 - models.lane_sums[:m]
-        zero = np.clip(zero, 0, models.alphabet[:m] - 1)
-        symbol = np.where(value < models.share2, models.named2, np.where(value < models.both, models.named1, zero)).astype(np.int32)
+        symbol = np.where(value < models.share2, models.named2, models.named1)
+        # Only where neither context was right is the symbol looked up in the sums of order 0.
+        zero = np.flatnonzero(value >= models.both)
+        inner = (((value[zero] - models.both[zero] + 1) << ZERO_BITS) - 1) // models.rest[zero]
+        target = models.lane_search[zero] + np.minimum(inner, (1 << ZERO_BITS) - 1)
+        place = np.searchsorted(models.searched, target.astype(np.int32), "right") - 1 - models.lane_sums[zero]
+        symbol[zero] = np.minimum(np.maximum(place, 0), models.alphabet[zero] - 1)
         start, width = models.interval(m, symbol)
         ready = _narrowed(low[:m], span[:m], start, width, unit)
         code[ready] = code[ready] << DIGIT | digits[ready, np.minimum(used[ready], last_digit)]
