@@ -103,28 +103,54 @@ def pivot(df: DataFrame, group_by, column, values, agg: str = "sum", comparison:
     """Group ``df`` and turn the values of ``column`` into columns.
 
     Distinct aggregates over several values make Spark copy each row once per value. Where a row can
-    match one value only and the others see NULL, duplicates are removed first by an ordinary
-    aggregation, and the copies are not needed.
+    match one value only, duplicates are removed first by an ordinary aggregation; then every value is
+    distinct already, and ``else_value`` counts once where a row of the group does not match.
     """
     keys = [named(df, key) for key in as_list(group_by)]
     column, then_value = (named(df, c) if isinstance(c, str) else c for c in (column, then_value))
-    if distinct and comparison == "=" and else_value is None:
+    if distinct and comparison == "=":
         names = [f"__key{i}" for i in range(len(keys))]
-        unique = df.select(
-            *[key.alias(name) for key, name in zip(keys, names, strict=True)],
-            as_column(column).alias("__column"),
-            as_column(then_value).alias("__value"),
-        ).distinct()
-        totals = pivot_columns("__column", values, agg, comparison, then_value="__value", else_value=None, **naming)
+        # The branch that is never taken gives the value the type it has beside ``else_value``.
+        value = F.when(F.lit(True), as_column(then_value)).otherwise(as_column(else_value))
+        unique = df.select(*[key.alias(name) for key, name in zip(keys, names, strict=True)],
+                           as_column(column).alias("__column"), value.alias("__value")).distinct()
+        totals = [_distinct_total(agg, v, else_value) for v in values]
         labels = df.select(*keys).columns
-        wide = unique.groupBy(*names).agg(*totals)
+        titles = df.select(*pivot_columns(F.lit(None), values, agg, distinct=False, **naming)).columns
+        wide = unique.groupBy(*names).agg(*[t.alias(f"__total{i}") for i, t in enumerate(totals)])
         return wide.select(*[F.col(n).alias(l) for n, l in zip(names, labels, strict=True)],
-                           *[quoted(c) for c in wide.columns[len(names):]])
+                           *[F.col(f"__total{i}").alias(title) for i, title in enumerate(titles)])
     totals = pivot_columns(column, values, agg, comparison, then_value=then_value, else_value=else_value,
                            distinct=distinct, **naming)
     return df.groupBy(*keys).agg(*totals)
 
 
+def _distinct_total(agg: str, value, else_value) -> Column:
+    """Distinct aggregate over rows of ``__column`` and ``__value`` that hold no row twice."""
+    if agg not in DISTINCT_AGGREGATES:
+        raise ValueError(f"unknown distinct aggregate {agg!r}, expected one of {sorted(DISTINCT_AGGREGATES)}")
+    matches = F.col("__column") == F.lit(value)
+    if else_value is None:
+        one, other = F.when(matches, F.col("__value")), None
+    else:
+        # A matching value equal to ``else_value`` is counted with it, once.
+        other = as_column(else_value)
+        same = matches & (F.col("__value") == other)
+        one = F.when(matches & ~same, F.col("__value"))
+        seen = F.coalesce(F.max(F.coalesce(same, F.lit(False)) | ~F.coalesce(matches, F.lit(False))), F.lit(False))
+    if agg in ("min", "max"):
+        best = getattr(F, agg)(one)
+        pick = F.least if agg == "min" else F.greatest
+        return best if other is None else pick(best, F.when(seen, other))
+    count = F.count(one) + (F.lit(0) if other is None else seen.cast("int"))
+    if agg == "count":
+        return count
+    total = F.sum(one)
+    if other is not None:
+        total = F.when(seen, F.coalesce(total, F.lit(0)) + other).otherwise(total)
+    return total if agg == "sum" else total / count
+
+
 def unpivot(df: DataFrame, cast_to: str = "string", exclude: Iterable[str] = (), remove: Iterable[str] = (),
             field_name: str = "field_name", value_name: str = "value") -> DataFrame:
     """One row per input row and value column, in a single pass; NULL values are kept.

@@ -183,6 +183,18 @@ def pivot_distinct(t):
                  then_value="o_custkey", else_value=None, prefix="customers ")
 
 
+@query("pivot_distinct_default", f"""
+SELECT o_orderstatus, {_per_priority(
+    "CAST(count(DISTINCT CASE WHEN o_orderpriority = '{p}' THEN o_custkey % 50 ELSE 0 END) AS BIGINT)", str)}
+FROM orders GROUP BY o_orderstatus
+""")
+def pivot_distinct_default(t):
+    """Rows that do not match count as one more value, 0, which matching rows may have as well."""
+    priorities = column_value_list(t.orders, "o_orderpriority")
+    return pivot(t.orders, "o_orderstatus", "o_orderpriority", priorities, agg="count", distinct=True,
+                 then_value="o_custkey % 50")
+
+
 @query("pivot_slug", f"""
 SELECT o_orderstatus, {_per_priority(
     "max(CASE WHEN o_orderpriority ILIKE '{p}' THEN o_totalprice ELSE 0 END)", lambda p: slug("max " + p))}

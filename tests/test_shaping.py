@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.shaping import filtered_columns, leading_columns, nullcheck, pivot, pivot_columns, star, unpivot
-from tests.conftest import bag
+from tests.conftest import bag, plan_of
 
 
 def test_star(rows):
@@ -95,3 +95,17 @@ def test_unpivot_then_pivot_gives_the_rows_back(rows):
     long = unpivot(df, cast_to="int", exclude=["id"])
     wide = pivot(long, "id", "field_name", ["a", "b"], agg="max", then_value="value", else_value=None)
     assert bag(wide) == bag(df)
+
+
+@pytest.mark.parametrize("agg", ["count", "sum", "avg", "min", "max"])
+@pytest.mark.parametrize("else_value", [0, 3, None])
+def test_distinct_pivot_needs_no_copies_of_rows(spark, agg, else_value):
+    rows = [("g", "a", 3), ("g", "a", 3), ("g", "a", 5), ("g", "b", 0), ("g", None, 7), ("h", "a", None), ("h", "a", 4), ("i", "a", 9)]
+    df = spark.createDataFrame(rows, "k string, c string, v int")
+    wide = pivot(df, "k", "c", ["a", "b"], agg=agg, then_value="v", else_value=else_value, distinct=True)
+    assert "Expand" not in plan_of(wide)
+    other = "" if else_value is None else f"ELSE {else_value}"
+    texts = {"avg": "sum(DISTINCT {0}) / count(DISTINCT {0})", "min": "min({0})", "max": "max({0})"}
+    total = texts.get(agg, agg + "(DISTINCT {0})")
+    expected = df.groupBy("k").agg(*[F.expr(total.format(f"CASE WHEN c = '{v}' THEN v {other} END")).alias(v) for v in "ab"])
+    assert bag(wide) == bag(expected)
