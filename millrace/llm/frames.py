@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,7 +46,26 @@ def append(df: DataFrame, fields: str, make: Callable[[], BatchFunction], drop:
             new = work(batch)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *new], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
+
+
+def tidy(run):
+    """The batch function, giving freed memory back to the system when its task ends.
+
+    Python workers live on from task to task and from stage to stage; without this each keeps what its
+    largest slice ever took.
+    """
+
+    def kept_small(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return kept_small
 
 
 def held_out_remainder(df: DataFrame, id_column: str, parts: int):
@@ -81,7 +101,7 @@ def summed(df: DataFrame, accumulate: Callable[[Iterator[pa.RecordBatch]], np.nd
             total += np.frombuffer(part, np.float64)
         return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "total": [total.tobytes()]})
 
-    parts = df.mapInArrow(partial, "chunk int, number int, part binary")
+    parts = df.mapInArrow(tidy(partial), "chunk int, number int, part binary")
     out = np.zeros(length)
     for row in parts.groupBy("chunk").applyInPandas(add, "chunk int, total binary").collect():
         total = np.frombuffer(row.total, np.float64)

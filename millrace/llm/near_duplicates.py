@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.llm.components import components
-from millrace.llm.frames import append, column
+from millrace.llm.frames import append, column, tidy
 from millrace.llm.words import ALPHANUMERIC, Texts, Words, mixed, occurrence, slices, windows, words
 from millrace.session import stage
 
@@ -183,7 +183,7 @@ def _id_filter(ids: DataFrame, count: int) -> np.ndarray:
         total = np.bitwise_or.reduce([np.frombuffer(p, np.uint8) for p in rows["part"]])
         return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "part": [total.tobytes()]})
 
-    marks = ids.select(F.xxhash64("id").alias("hash")).mapInArrow(mark, "chunk int, part binary")
+    marks = ids.select(F.xxhash64("id").alias("hash")).mapInArrow(tidy(mark), "chunk int, part binary")
     out = np.zeros(bits, bool)
     for row in marks.groupBy("chunk").applyInPandas(either, "chunk int, part binary").collect():
         out[row.chunk * chunk:(row.chunk + 1) * chunk] = np.unpackbits(np.frombuffer(row.part, np.uint8))
@@ -217,7 +217,7 @@ def cell_sets(df: DataFrame, identity: str, text: str, ids: DataFrame, weights:
 
     base = df.select(column(df, identity).alias("id"), column(df, text).alias("text")).where("id is not null")
     kind = base.schema["id"].dataType.simpleString()
-    return base.withColumn("hash", F.xxhash64("id")).mapInArrow(cells, f"id {kind}, cells array<bigint>")
+    return base.withColumn("hash", F.xxhash64("id")).mapInArrow(tidy(cells), f"id {kind}, cells array<bigint>")
 
 
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -323,7 +323,7 @@ def _links_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(xs, arrow_kind), pa.array(ys, arrow_kind)], names=["x", "y"])
 
     ordered = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    return ordered.mapInArrow(compare, f"x {kind}, y {kind}")
+    return ordered.mapInArrow(tidy(compare), f"x {kind}, y {kind}")
 
 
 def _with_end(batches: Iterator) -> Iterator:

@@ -32,8 +32,9 @@ from millrace.llm.frames import append
 from millrace.llm.words import Words, mixed, slices, words
 
 BLANK = "▁"
-SLICE = 4 << 20
+SLICE = 2 << 20
 CELLS = 1 << 18
+WORDS_AT_ONCE = 1 << 14
 REMEMBERED_WORDS = 1 << 19
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
@@ -374,7 +375,8 @@ class Encoder:
             flat = np.array([self.model.index.get(p, -1 - ord(p)) if len(p) == 1 else self.model.index[p] for t in plain for p in t], np.int64)
             flat, size = _expanded(self.model, flat, np.array([len(t) for t in plain]))
         else:
-            flat, size = encode_words(self.model, texts)
+            made = [encode_words(self.model, texts[a:a + WORDS_AT_ONCE]) for a in range(0, len(texts), WORDS_AT_ONCE)]
+            flat, size = (np.concatenate(m) for m in zip(*made, strict=True))
         start = len(self.flat) + np.cumsum(size) - size
         self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
         order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")

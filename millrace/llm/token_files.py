@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import range_coder
-from millrace.llm.frames import column
+from millrace.llm.frames import column, tidy
 from millrace.llm.pieces import _ranges
 from millrace.llm.words import SPACED, slices, words
 
@@ -169,7 +169,7 @@ def write(df: DataFrame, identity: str, text: str, path: str, tokenizer: str, en
         if writer:
             yield from writer.rows(final=True)
 
-    ordered.mapInArrow(blocks, fields).write.parquet(path)
+    ordered.mapInArrow(tidy(blocks), fields).write.parquet(path)
 
 
 def read_blocks(spark, path: str) -> DataFrame:
@@ -186,7 +186,7 @@ def documents(blocks: DataFrame, fields: str, digest) -> DataFrame:
     totals = blocks.groupBy("shard").agg(F.sum("size").alias("total"))
     # One row per shard: shards are as many as the tasks that wrote them.
     before = totals.select("shard", (F.sum("total").over(Window.orderBy("shard")) - F.col("total")).alias("before"))
-    placed = blocks.join(F.broadcast(before), "shard").repartition("shard").sortWithinPartitions("shard", "block")
+    placed = blocks.join(F.broadcast(before), "shard").repartitionByRange("shard").sortWithinPartitions("shard", "block")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = None
@@ -222,4 +222,4 @@ def documents(blocks: DataFrame, fields: str, digest) -> DataFrame:
             raise ValueError(f"shard {shard} is not whole")
 
     schema = T.StructType.fromDDL(fields)
-    return placed.mapInArrow(read, schema)
+    return placed.mapInArrow(tidy(read), schema)

@@ -17,7 +17,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -120,7 +120,7 @@ def _pieces(texts: Texts, table: np.ndarray) -> Iterator[tuple[int, int]]:
     """Byte ranges of about ``SLICE_BYTES`` that end behind a separator or at the end of the data."""
     at, size = 0, len(texts.data)
     while at < size:
-        stop = min(size, at + 2 * SLICE_BYTES)
+        stop = min(size, at + SLICE_BYTES)
         while stop < size:
             breaks = np.flatnonzero(table[texts.data[at:stop]] == 0)
             if breaks.size:
@@ -150,7 +150,7 @@ def _words_of_piece(texts: Texts, table: np.ndarray, at: int, stop: int) -> Word
     last = inside.copy()
     last[:-1] &= ~inside[1:] | begins_next[:-1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    powers, inverses = _powers(max(21, (len(norm) - 1).bit_length() if len(norm) > 1 else 0))
+    powers, inverses = _powers(max(SLICE_BYTES.bit_length() - 1, len(norm).bit_length()))
     sums = np.zeros(len(norm) + 1, np.uint64)
     np.cumsum(_byte_values()[norm] * powers[:len(norm)], out=sums[1:])
     hashes = mixed((sums[end] - sums[start]) * inverses[start])
