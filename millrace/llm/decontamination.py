@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import append, column
+from millrace.llm.frames import append, column, quoted
 from millrace.llm.words import ALPHANUMERIC, Texts, Words, slices, text_bytes, words
 
 WINDOW = 10
@@ -254,32 +254,45 @@ def remove_matches(df: DataFrame, text: str, benchmark: DataFrame, item_id: str
     closes the text around it; should that make a new match, it is taken out as well.
     """
     blocks = automata(benchmark, item_id, item_text, window, block_words)
-    found = find_matches(df, text, blocks)
-    hit = F.aggregate("hit_words", F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["start"])
-    kept = found.where(hit <= F.lit(max_coverage) * F.col("n_words"))
 
     def make():
         machines = [pickle.loads(b.value) for b in blocks]
 
+        def hits_of(part: Texts, found: Words) -> dict[int, list[tuple[int, int]]]:
+            hits: dict[int, list[tuple[int, int]]] = {}
+            for machine in machines:
+                for row, ranges in machine.scan(found, len(part))[0].items():
+                    hits.setdefault(row, []).extend(ranges)
+            return {row: _joined(ranges) for row, ranges in hits.items()}
+
         def clean(value: str, ranges: list[tuple[int, int]]) -> str:
             while ranges:
                 value = _without(value, ranges)
                 part = text_bytes(pa.array([value], pa.large_string()))
-                again = words(part, ALPHANUMERIC)
-                ranges = _joined([r for m in machines for r in m.scan(again, 1)[0].get(0, [])])
+                ranges = hits_of(part, words(part, ALPHANUMERIC)).get(0, [])
             return value
 
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
-            spans = batch.column("hit_words")
-            dirty = np.flatnonzero(np.diff(spans.offsets.to_numpy()))
-            if not len(dirty):
-                return [batch.column(text)]
+            changed: dict[int, str] = {}
+            kept = np.ones(len(batch), bool)
+            for part in slices(batch.column(text)):
+                found = words(part, ALPHANUMERIC)
+                edges = np.searchsorted(found.row, np.arange(len(part) + 1))
+                for row, ranges in hits_of(part, found).items():
+                    place = part.first + row
+                    if sum(b - a for a, b in ranges) > max_coverage * (edges[row + 1] - edges[row]):
+                        kept[place] = False
+                    else:
+                        own = [(a - int(edges[row]), b - int(edges[row])) for a, b in ranges]
+                        changed[place] = clean(batch.column(text)[place].as_py(), own)
+            if not changed:
+                return [batch.column(text), pa.array(kept)]
             values = batch.column(text).to_pylist()
-            for row in dirty:
-                values[row] = clean(values[row], [(x["start"], x["stop"]) for x in spans[int(row)].as_py()])
-            return [pa.array(values, batch.schema.field(text).type)]
+            for place, value in changed.items():
+                values[place] = value
+            return [pa.array(values, batch.schema.field(text).type), pa.array(kept)]
 
         return work
 
-    clean = append(kept, f"`{text}` string", make, drop=("n_words", "hit_words", "hit_items"))
-    return clean.select(*[F.col(f"`{c}`") for c in df.columns if c in clean.columns])
+    cleaned = append(df, f"{quoted(text)} string, __clean boolean", make).where("__clean")
+    return cleaned.select(*[F.col(quoted(c)) for c in df.columns])

@@ -71,7 +71,7 @@ def test_a_gap_that_closes_to_a_new_match_is_cleaned_again(spark):
 def test_edges(spark, odd):
     _, bench = frames(spark)
     made = D.remove_matches(odd.withColumnRenamed("kept", "n_words"), "text", bench)
-    assert made.columns == ["doc_id", "text", "score", "token_ids"]
+    assert made.columns == ["doc_id", "text", "n_words", "score", "token_ids"]
     assert made.count() == 13
     assert D.remove_matches(odd, "text", bench.limit(0)).count() == 13
     assert D.remove_matches(odd.limit(0), "text", bench).count() == 0
