@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import about, append, column, summed
+from millrace.llm.frames import append, column, summed
 from millrace.llm.words import LETTERS, Texts, mixed, slices, words
 
 RUN_SIZES = (3, 4)
@@ -117,17 +117,37 @@ class LanguageModel:
         return len(self.table) // len(RUN_SIZES)
 
 
+def rows_each(counts: list[int], rows: int) -> int:
+    """Rows that each language may give: with what small ones leave over, all give ``rows`` together, or all they have."""
+    left = rows
+    for place, count in enumerate(sorted(counts)):
+        each = max(1, left // (len(counts) - place))
+        if count > each:
+            return each
+        left -= count
+    return max(counts, default=0)
+
+
 def learn(df: DataFrame, id_column: str, text: str, language: str, sample_rows: int = 40_000,
           min_script_share: float = 0.01) -> LanguageModel:
-    """Model of all values of ``language`` from about ``sample_rows`` of the rows, chosen by a hash of the id.
+    """Model of all values of ``language``, learned from about ``sample_rows`` of the rows.
 
-    That sample bounds the cost of learning; the table of byte runs is at most 64 MB whatever the
-    number of languages. Rows with a null text or language teach nothing.
+    The languages and their counts come from all rows. Each has an equal part in the sample, and what
+    small ones leave over goes to the others: a language teaches with all its rows up to that part,
+    above it with about that many, chosen by a hash of the id. The sample bounds the cost of learning; the table of byte
+    runs is at most 64 MB whatever the number of languages. Rows with a null text or language teach nothing.
     """
-    labelled = df.where(column(df, language).isNotNull() & column(df, text).isNotNull())
-    sample = about(labelled, id_column, sample_rows).select(
-        column(df, text).alias("text"), column(df, language).cast("string").alias("language"))
-    names = sorted(r.language for r in sample.select("language").distinct().collect())
+    labelled = df.where(column(df, language).isNotNull() & column(df, text).isNotNull()).select(
+        column(df, id_column).alias("id"), column(df, text).alias("text"), column(df, language).cast("string").alias("language"))
+    known = {r.language: r.n for r in labelled.groupBy("language").agg(F.count("*").alias("n")).collect()}
+    names = sorted(known)
+    each = rows_each(list(known.values()), sample_rows)
+    hot = [F.lit(v) for name in names if known[name] > each for v in (name, int(each / known[name] * (1 << 30)))]
+    sample = labelled
+    if hot:
+        share = F.coalesce(F.try_element_at(F.create_map(*hot), F.col("language")), F.lit(1 << 30))
+        sample = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share)
+    sample = sample.select("text", "language")
     count = max(1, len(names))
     buckets = 1 << min(16, (TABLE_BYTES // (4 * len(RUN_SIZES) * count)).bit_length() - 1)
     rows, kinds = buckets * len(RUN_SIZES), len(SCRIPTS)

@@ -60,6 +60,25 @@ def test_scripts_narrow_candidates(spark):
     assert [r.lang_pred for r in languages.identify(texts, "text", model, spans=False).collect()] == ["ru", "en"]
 
 
+def test_every_language_is_learned_whatever_the_sample(spark):
+    hot = spark.range(20_000).selectExpr("id", "'hello world how are you' as text", "'en' as lang")
+    few = spark.range(20_000, 20_006).selectExpr("id", "'quelle heure est il maintenant' as text", "'fr' as lang")
+    model = languages.learn(hot.union(few), "id", "text", "lang", sample_rows=40)
+    assert model.languages == ["en", "fr"] and model.scripts[0].all()
+    texts = spark.createDataFrame([("hello you",), ("quelle heure",)], "text string")
+    assert [r.lang_pred for r in languages.identify(texts, "text", model, spans=False).collect()] == ["en", "fr"]
+    one = languages.learn(few, "id", "text", "lang", sample_rows=1_000)
+    assert np.allclose(model.table[:, 1], one.table[:, 0]), "all rows of the small language teach"
+
+
+def test_rows_each_language_may_give():
+    assert languages.rows_each([20_000, 6], 40) == 34
+    assert languages.rows_each([5, 3, 9], 17) == 9
+    assert languages.rows_each([100, 100, 2], 62) == 30
+    assert languages.rows_each([7, 7, 7], 2) == 1
+    assert languages.rows_each([], 40) == 0
+
+
 def test_quality_of_held_out_documents(spark):
     found = QUERIES["op9_quality_classifier"](spark, FOLDER).join(
         spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id").where("held_out").collect()
