@@ -10,8 +10,10 @@ for a format of n values the chance is 1/n.
 
 Formats: e-mail addresses (the local part), payment card numbers (Luhn), IBANs (mod 97), US social
 security numbers, phone numbers (all but the country code), IPv4 addresses, calendar dates from 1900
-to 2099 (any of ISO, day.month.year and month/day/year) and secrets in assignments such as
-``token = "..."``. A null text stays null with count 0; whole texts are searched whatever their length.
+to 2099 (any of ISO, alone or before ``T`` and a time, day.month.year and month/day/year, or
+day/month/year where the first part is above 12) and secrets in assignments such as ``token = "..."``
+or ``CLIENT_SECRET=...``. Days above 12 stay above 12, so that slashed dates are read the same way
+when turned back. A null text stays null with count 0; whole texts are searched whatever their length.
 """
 
 from __future__ import annotations
@@ -50,13 +52,14 @@ IBAN_LENGTHS = {
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 EMAIL = re.compile(r"(?P<email>(?<![\w.+%-])[\w.+%-]{1,256}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
 SECRET = re.compile(
-    r"(?P<secret>(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b)[^A-Za-z0-9\n]{0,12}[=:]"
+    r"(?P<secret>(?i:(?<![^\W_])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b)[^A-Za-z0-9\n]{0,12}[=:]"
     r"[^A-Za-z0-9\n]{0,12}[A-Za-z0-9+/_-]{12,})")
 NUMBER = re.compile(
     r"(?=[0-9+(A-Z])(?:"
     r"(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})"
-    r"|(?P<date>(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
-    r"(?![\w/-]|\.[0-9]))"
+    r"|(?P<date>(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?=T[0-9]{2}(?::|[0-9]{2}|Z|\b))"
+    r"|(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
+    r"(?![\w/-]|\.[0-9])))"
     rf"|(?P<ipv4>(?<![\w.]){OCTET}(?:\.{OCTET}){{3}}(?!\w|\.[0-9]))"
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
     r"|(?P<card>(?<![\w+-])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4}"
@@ -195,25 +198,28 @@ def _ipv4(found: str, permute: Permutation) -> str:
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
-def _one_digit(day: int) -> bool:
+def _day_class(day: int) -> tuple[bool, bool]:
+    """Whether a part has one digit, and whether the day of the month cannot be a month."""
     that = date.fromordinal(FIRST_DAY + day)
-    return that.day < 10 or that.month < 10
+    return that.day < 10 or that.month < 10, that.day > 12
 
 
 def _date(found: str, permute: Permutation) -> str | None:
     mark = "-" if "-" in found else "." if "." in found else "/"
     order = {"-": (0, 1, 2), ".": (2, 1, 0), "/": (2, 0, 1)}[mark]  # where year, month and day stand
     parts = found.split(mark)
+    if mark == "/" and int(parts[0]) > 12:
+        order = (2, 1, 0)
     try:
         day = date(*(int(parts[i]) for i in order)).toordinal()
     except ValueError:
         return None
     if not FIRST_DAY <= day <= LAST_DAY:
         return None
-    # Days with a one-digit part stay among themselves, so that it remains visible whether zeros are written.
-    short = _one_digit(day - FIRST_DAY)
+    # Days of a class stay among themselves, so that it remains visible whether zeros are written and which part is the day.
+    own = _day_class(day - FIRST_DAY)
     fresh = date.fromordinal(FIRST_DAY + permute(
-        day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, f"date:{short}", lambda n: n <= LAST_DAY - FIRST_DAY and _one_digit(n) == short))
+        day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, f"date:{own}", lambda n: n <= LAST_DAY - FIRST_DAY and _day_class(n) == own))
     padded = all(len(p) >= 2 for p in parts)
     values = (fresh.year, fresh.month, fresh.day)
     made = [""] * 3

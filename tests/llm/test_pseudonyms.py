@@ -40,6 +40,31 @@ def test_formats_stay_valid_and_values_stay_linked():
     assert P.iban_digits("GB", iban[4:]) == iban[2:4]
 
 
+def test_dates_before_a_time_and_slashed_dates_with_the_day_first():
+    text = "at 2019-12-25T10:00:00Z or 2019-12-25T1000+0100, 2019-12-25T10, 25/12/2019, 25.12.2019 and 12/25/2019 10:00"
+    made, kinds = P.replaced(text, FORWARD)
+    assert kinds == ["date"] * 6 and P.replaced(made, BACK) == (text, kinds)
+    y, m, d = re.match(r"at (\d{4})-(\d\d)-(\d\d)T10:00:00Z", made).groups()
+    assert (y, m, d) != ("2019", "12", "25")
+    assert made == text.replace("2019-12-25", f"{y}-{m}-{d}").replace("25/12/2019", f"{d}/{m}/{y}").replace(
+        "25.12.2019", f"{d}.{m}.{y}").replace("12/25/2019", f"{m}/{d}/{y}")
+    for day in range(1, 29):
+        for text in (f"{day}/3/2021", f"{day:02d}/03/2021", f"{day:02d}/11/2021", f"3/{day}/2021", f"2021-03-{day:02d}T09:30"):
+            made, kinds = P.replaced(text, FORWARD)
+            assert kinds == ["date"] and P.replaced(made, BACK) == (text, kinds)
+    for text in ("13/13/2021", "31/02/2021", "2021-02-30T10:00", "2021-03-04Text", "2021-03-04T1"):
+        assert P.replaced(text, FORWARD) == (text, [])
+
+
+@pytest.mark.parametrize("name", ["AWS_SECRET_ACCESS_KEY=", "client_secret: ", 'export MY_API_KEY="', "db_password = ", "token: "])
+def test_secrets_of_longer_names(name):
+    text = name + "wJalrXUtnFEMIK7MDENGbPxRfiCYEX"
+    made, kinds = P.replaced(text, FORWARD)
+    assert kinds == ["secret"] and made.startswith(name) and "wJalrXUtn" not in made
+    assert P.replaced(made, BACK) == (text, kinds)
+    assert re.search(P.WORTH_A_SEARCH, text)
+
+
 def test_lookalikes_stay():
     for text in ("4111111111111112", "2024-02-30", "300.1.2.3", "000-12-3456", "GB00 NWBK 6016 1331 9268 19", "version 3.1.4",
                  "1234567890123", "12/13", "a@b"):
