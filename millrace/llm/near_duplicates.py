@@ -382,16 +382,18 @@ def _left_apart(members: DataFrame, checked: DataFrame, parts: DataFrame, thresh
     """Members of buckets that the comparison with the leader has not settled: key, id, component, apart.
 
     With d = 1 - similarity, a member z apart from its leader can only be linked to a member y of the
-    leader's component if |d(z, leader) - d(y, leader)| is at most 1 - threshold.
+    leader's component if |d(z, leader) - d(y, leader)| is at most 1 - threshold. How far y is from the
+    leader is not bounded, as y may be in its component through others only.
     """
-    reach = 1 - threshold
+    reach = 1 - threshold + 1e-9
     ids = parts.withColumnRenamed("node", "id").withColumnRenamed("component", "own")
     leaders = parts.withColumnRenamed("node", "leader").withColumnRenamed("component", "lead")
     seen = checked.withColumnRenamed("x", "leader").withColumnRenamed("y", "id")
     rows = members.join(seen, ["leader", "id"]).join(ids, "id", "left").join(leaders, "leader", "left").select(
         "key", "id", "similarity", F.coalesce("own", "id").alias("component"),
         (F.coalesce("own", "id") != F.coalesce("lead", "leader")).alias("apart"))
-    top = rows.where("apart").groupBy("key").agg(F.max("similarity").alias("top"), F.count("*").alias("n"))
-    top = top.where((F.col("n") > 1) | (F.col("top") >= threshold - reach - 1e-9))
-    close = (F.col("top") >= threshold - reach - 1e-9) & (F.col("similarity") <= F.col("top") + reach + 1e-9)
-    return rows.join(top, "key").where(F.col("apart") | close).select("key", "id", "component", "apart")
+    span = rows.where("apart").groupBy("key").agg(F.min("similarity").alias("low"), F.max("similarity").alias("top"))
+    close = F.col("similarity").between(F.col("low") - reach, F.col("top") + reach)
+    kept = stage(rows.join(span, "key").where(F.col("apart") | close).select("key", "id", "component", "apart"), "kept")
+    met = kept.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return kept.join(met, "key", "left_semi")

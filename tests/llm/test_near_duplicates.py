@@ -122,3 +122,30 @@ def test_components(spark):
         root[max(a, b)] = min(a, b)
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert found == {n: find(n) for pair in links if pair[0] != pair[1] for n in pair}
+
+
+def test_members_that_reach_the_leader_through_others_are_compared(spark):
+    """Bucket by bucket: leader 1, members with their similarity to it, and which of them are in its component."""
+    buckets = {
+        "through others": ({2: 0.5, 3: 0.55}, {2}, {2, 3}),
+        "linked": ({2: 0.9, 3: 0.75}, {2}, {2, 3}),
+        "too far": ({2: 0.9, 3: 0.55}, {2}, set()),
+        "alone": ({3: 0.7}, set(), set()),
+        "all in": ({2: 0.5, 4: 0.9}, {2, 4}, set()),
+        "one of two in reach": ({2: 0.5, 4: 0.9, 3: 0.3}, {2, 4}, {2, 3}),
+        "two apart": ({2: 0.9, 3: 0.2, 5: 0.4}, {2}, {3, 5}),
+        "two apart, through others": ({2: 0.5, 4: 0.95, 3: 0.2, 5: 0.4}, {2, 4}, {2, 3, 5}),
+    }
+    members, checked, parts = [], [], []
+    for number, (similarity, inside, _) in enumerate(buckets.values()):
+        base = 10 * number
+        members += [(number, base + 1, base + i) for i in similarity]
+        checked += [(base + 1, base + i, s) for i, s in similarity.items()]
+        parts += [(base + i, base + 1) for i in {1, *inside}]
+    left = N._left_apart(
+        spark.createDataFrame(members, "key long, leader long, id long"),
+        spark.createDataFrame(checked, "x long, y long, similarity double"),
+        spark.createDataFrame(parts, "node long, component long"), 0.8).collect()
+    for number, (name, (_, inside, wanted)) in enumerate(buckets.items()):
+        found = {r.id - 10 * number: r.apart for r in left if r.key == number}
+        assert found == {i: i not in inside for i in wanted}, name
