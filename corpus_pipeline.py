@@ -4,7 +4,7 @@
     MinHash near-dedup      one document of each group of near-duplicates stays, the one with the smallest id
     benchmark decontamination   passages of the benchmark go, and documents that consist mostly of them
     PII                     validated personal data get pseudonyms
-    SentencePiece           texts become token ids
+    SentencePiece           texts become token ids, which are turned back and compared
 
 Every stage takes the session, the documents it works on and the folder of the tables. All but the
 last return the columns of their documents, whatever these are; only ``text`` and ``n_chars``, the
@@ -71,10 +71,13 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in place of text and ``n_chars``; other columns stay, but for ``token_ids`` and ``n_tokens``."""
+    """Token ids in place of text and ``n_chars``, and whether decoding them gave the text back (``round_trip``).
+
+    Other columns stay, but for ``token_ids``, ``round_trip`` and ``n_tokens``.
+    """
     importable(spark)
-    kept = [c for c in docs.columns if c not in ("n_chars", "token_ids", "n_tokens")]
-    encoded = pieces.encode(docs.select(*[quoted(c) for c in kept]), "text", piece_model(spark), drop=("text",))
+    kept = [c for c in docs.columns if c not in ("n_chars", "token_ids", "round_trip", "n_tokens")]
+    encoded = pieces.encode(docs.select(*[quoted(c) for c in kept]), "text", piece_model(spark), verified="round_trip", drop=("text",))
     return encoded.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 

@@ -70,6 +70,16 @@ def test_stages_take_odd_tables(spark, odd):
         assert work(spark, odd.limit(0), FOLDER).count() == 0
 
 
+def test_encoding_turns_its_ids_back(spark, documents):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    docs = documents.limit(50).selectExpr("doc_id", "text", "n_chars", "'mine' as round_trip")
+    made = {r.doc_id: r for r in C.encode(spark, docs, FOLDER).collect()}
+    before = {r.doc_id: r.text for r in docs.collect()}
+    assert made.keys() == before.keys()
+    for doc, text in before.items():
+        assert made[doc].round_trip == (library.decode(made[doc].token_ids) == text)
+
+
 def test_registered_queries(spark):
     names = [n for n in contract.queries() if re.match(r"op\d+_", n)]
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
