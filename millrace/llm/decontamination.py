@@ -11,8 +11,9 @@ A word pair that no item holds resets the match to a single word, so only runs o
 walked; numpy finds these runs for a whole slice of texts.
 
 The automaton is built by Spark tasks, one per block of items. A block has about ``block_words``
-item words, which bounds what is broadcast at a time; more items make more blocks, and each block is
-one more pass over the documents, without a shuffle.
+item words, which bounds what one task builds; more items make more blocks. All blocks pass through the
+driver one by one and are then held together by every Python worker, so the size of the benchmark is
+limited by the memory of a worker (README.md has figures).
 
 Nulls and texts without words match nothing. Items without words are ignored, rows of one item id
 are one item, and items whose id is null hit words but are not listed.
