@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, pieces, preferences, pseudonyms, quality_model, range_coder, token_files, url_trees
+from millrace.llm import decontamination, languages, line_cleaning, near_duplicates, periodic_runs, pieces, preferences, pseudonyms, quality_model, range_coder, simhash, token_files, url_trees, whitening
 from millrace.llm.frames import held_out_remainder
 from millrace.session import new_path, setting
 
@@ -248,3 +249,47 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     model = url_trees.train(url_trees.labelled_by_rules(pages, "url", RULES), "url", "blocked")
     return url_trees.judge(pages, "url", RULES, model).select("page_id", "host", "path", "rule", "verdict")
+
+
+@registered
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(embeddings, "embedding", most=4)
+    made = whitening.whiten(embeddings, "embedding", model, drop=("embedding",)).where("whitened is not null")
+    each = made.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    explained = F.array(*[F.lit(share) for share in model.explained]).cast("array<double>")
+    return each.select("vec_id", (F.col("place") + 1).alias("component"), F.lit(model.size).cast("long").alias("n"), "deviation",
+                       "whitened", explained[F.col("place")].alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
+def with_planted_runs(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch, a tenth of them (by the crc32 of ``doc_id``) made to repeat from some word on."""
+    texts = batch.column("text").to_pylist()
+    for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+        if doc_id is None or not texts[i]:
+            continue
+        draw = zlib.crc32(str(doc_id).encode())
+        if draw % 10 == 0 and (words := texts[i].encode().split()):
+            n, g = len(words), draw // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            texts[i] = b" ".join(words[:a] + [words[a + k % p] for k in range(n - a)]).decode()
+    return pa.array(texts, pa.large_string())
+
+
+@registered
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(documents, "text", prepare=with_planted_runs, drop=("text",))
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = found.withColumn("best", F.array_max(order))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@registered
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), "doc_id", "text")
