@@ -1,18 +1,31 @@
 """The next row in sort order, for groups of any size.
 
-A window function sends a whole group to one task. Here every table is cut into chunks along the
-sort order instead, whatever its size; only the first row of each chunk has to be known to the chunk
-before it. There is one plan, so a table that grows keeps its answers.
+A window function sends a whole group to one task. Here a group that holds more than its share of the rows
+is cut into chunks along the sort order, whatever the size of the table, and the window runs per chunk. The
+cuts are rows of the group, so the row after the last one of a chunk is the next cut itself, and no second
+look at the data is needed: every row crosses the network once.
+
+Which groups and values are heavy is told by a mergeable sketch of frequent items, where the cuts lie by a
+sample of the heavy groups' rows. Both only decide how rows are dealt out, never what comes out. Rows of one
+heavy value are counted before they are sent, so no value can fill a chunk.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import operator
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.columns import quoted
 from millrace.session import shuffle_partitions, stage
 
 NEXT, COPIES = "__next", "__copies"
+#: Chunks per shuffle partition, so that partitions come out even, and sampled rows per chunk.
+CHUNKS_PER_PARTITION, SAMPLED_PER_CHUNK = 4, 32
+#: The sketch tracks at least so many items, and so many per partition; it finds all that hold twice 3.5 / tracked of the rows.
+TRACKED, TRACKED_PER_PARTITION, MOST_TRACKED = 10_000, 20, 1_000_000
+_SAMPLE_SPACE = 1 << 30
 
 
 def with_next(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
@@ -20,62 +33,125 @@ def with_next(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
 
     ``__next`` is NULL on the last row of a group; NULL sorts last. Each row of the result stands for
     ``__copies`` equal ones. Rows that are equal to a sort but written differently (letter case under a
-    collation, signed zeros) stay apart.
+    collation, signed zeros) stay apart. The table is read once for the sketch and once for the result, and
+    once or twice more where a group is heavy; stage it first if it is expensive to make.
     """
     rows = df.select([quoted(c) for c in group + order])
-    return _with_next_in_chunks(rows, group, order)
+    total, groups, values = _heavy(rows, group, order)
+    counted = _with_heavy_values_counted(rows, group + order, values)
+    inside = Window.partitionBy(*[quoted(c) for c in group]).orderBy(*_ascending(order))
+    if not groups and group:
+        near = counted.withColumn(NEXT, F.lead(_values(order)).over(inside))
+    else:
+        cuts = stage(_cuts(rows, group, order, total, groups, values), "cuts")
+        near = _with_next_in_chunks(counted, cuts, group, order)
+    return _one_row_per_successor(near, group, order)
 
 
-def _spelling(df: DataFrame, names: list[str]) -> list:
-    """Texts that tell apart what grouping would merge: collated texts and signed zeros."""
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return [quoted(n).cast("string" if kinds[n] in ("float", "double") else "binary").alias(f"__spelt{i}")
-            for i, n in enumerate(names) if kinds[n] in ("float", "double") or kinds[n].startswith("string collate")]
+def _hash(names: list[str]) -> Column:
+    return F.xxhash64(*[quoted(c) for c in names])
 
 
-def _ascending(names: list[str]):
+def _ascending(names: list[str]) -> list[Column]:
     return [quoted(c).asc_nulls_last() for c in names]
 
 
-def _values(names: list[str]):
+def _values(names: list[str]) -> Column:
     return F.struct(*[quoted(c).alias(c) for c in names])
 
 
-def _with_next_in_chunks(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    keys = group + order
-    # As many chunks as the session's shuffles have partitions, which a cluster sets for the size of its data.
-    chunk_count = shuffle_partitions(rows.sparkSession)
-    # Equal rows are counted first, so no single value can fill a chunk.
+def _sortable(names: list[str]) -> Column:
+    """The columns as one value that sorts as they do, NULLs last."""
+    return F.struct(*[c for n in names for c in (quoted(n).isNull().alias(f"{n} is null"), quoted(n).alias(n))])
+
+
+def _heavy(rows: DataFrame, group: list[str], order: list[str]) -> tuple[int, list[int], list[int]]:
+    """Number of rows, and hashes of groups and of whole rows that may hold more than a partition's share."""
+    partitions = shuffle_partitions(rows.sparkSession)
+    tracked = min(MOST_TRACKED, max(TRACKED, TRACKED_PER_PARTITION * partitions))
+
+    def frequent(names: list[str]) -> Column:
+        return F.call_function("approx_top_k", _hash(names), F.lit(min(2 * partitions, tracked)), F.lit(tracked))
+
+    sketches = [frequent(group + order).alias("values"), *([frequent(group).alias("groups")] if group else [])]
+    found = rows.agg(F.count(F.lit(1)).alias("total"), *sketches).first()
+
+    def above_share(items) -> list[int]:
+        return [i.item for i in items or [] if i["count"] * partitions > found.total]
+
+    return found.total, above_share(found.groups) if group else [], above_share(found["values"])
+
+
+def _spelling(df: DataFrame, names: list[str]) -> list[Column]:
+    """Texts that tell apart what grouping would merge: collated texts and signed zeros."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [quoted(n).cast("string" if kinds[n] in ("float", "double") else "binary").alias(f"__spelt{i}")
+            for i, n in enumerate(names) if kinds[n] in ("float", "double") or kinds[n].startswith("string collate")]
+
+
+def _with_heavy_values_counted(rows: DataFrame, keys: list[str], values: list[int]) -> DataFrame:
+    """The rows with ``__copies``; those of the given hashes are counted, by a grouping that combines before the shuffle."""
+    if not values:
+        return rows.withColumn(COPIES, F.lit(1).cast("long"))
+    heavy = _hash(keys).isin(values)
     spelt = _spelling(rows, keys)
-    counted = rows.groupBy(*[quoted(c) for c in keys], *spelt).agg(
+    counted = rows.where(heavy).groupBy(*[quoted(c) for c in keys], *spelt).agg(
         F.count(F.lit(1)).alias(COPIES), *[F.first(quoted(c)).alias(f"__as_is_{c}") for c in keys if spelt])
-    if spelt:
-        counted = counted.select(*[quoted(f"__as_is_{c}").alias(c) for c in keys], COPIES)
-    ranged = counted.repartitionByRange(chunk_count, *_ascending(keys))
-    # Staged, because the chunk number must not change between its two uses below.
-    chunks = stage(ranged.withColumn("__chunk", F.spark_partition_id()), "chunks")
+    counted = counted.select(*[quoted(f"__as_is_{c}" if spelt else c).alias(c) for c in keys], COPIES)
+    return rows.where(~heavy).withColumn(COPIES, F.lit(1).cast("long")).union(counted)
+
 
-    # One row per chunk: its smallest row, NULLs last as in the sort.
-    sortable = F.struct(*[c for n in keys for c in (quoted(n).isNull().alias(f"{n} is null"), quoted(n).alias(n))])
-    heads = chunks.groupBy("__chunk").agg(F.min(sortable).alias("__head"))
-    after = heads.select("__chunk", F.lead("__head").over(Window.orderBy("__chunk")).alias("__after"))
+def _cuts(rows: DataFrame, group: list[str], order: list[str], total: int, groups: list[int], values: list[int]) -> DataFrame:
+    """The heavy groups, as ``__g0`` and so on, with ``__cuts``: first rows of their chunks but the first, in order.
 
+    Every value has the same chance to be drawn, by its hash, and weighs as often as it occurs. The table has
+    two rows per partition at most, and as many cuts as there are chunks.
+    """
+    chunks = CHUNKS_PER_PARTITION * shuffle_partitions(rows.sparkSession)
+    mine = [quoted(c) for c in group]
+    heavy = rows.where(_hash(group).isin(groups)) if group else rows
+    share = min(1.0, SAMPLED_PER_CHUNK * chunks / max(1, total))
+    drawn = heavy.where(F.pmod(_hash(group + order), F.lit(_SAMPLE_SPACE)) < int(share * _SAMPLE_SPACE))
+    if values:
+        drawn = drawn.where(~_hash(group + order).isin(values))
+    weighed = drawn.groupBy(*mine, *[quoted(c) for c in order]).agg(F.count(F.lit(1)).alias("__weight"))
+    along = Window.partitionBy(*mine).orderBy(*_ascending(order))
+    before = F.sum("__weight").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    whole = F.sum("__weight").over(Window.partitionBy(*mine))
+    slots = F.ceil(whole / F.lit(share) * F.lit(chunks) / F.lit(max(1, total)))
+    placed = weighed.withColumn("__slot", F.floor(F.coalesce(before, F.lit(0)) * slots / whole))
+    first = placed.groupBy(*mine, "__slot").agg(F.min(_sortable(order)).alias("__cut")).where("__slot > 0")
+    cuts = first.groupBy(*mine).agg(F.sort_array(F.collect_list("__cut")).alias("__cuts"))
+    return cuts.select(*[quoted(c).alias(f"__g{i}") for i, c in enumerate(group)], "__cuts")
+
+
+def _with_next_in_chunks(rows: DataFrame, cuts: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    if group:
+        same = reduce(operator.and_, [quoted(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(group)])
+        # Two rows per shuffle partition at most, whatever the size of the table.
+        dealt = rows.join(F.broadcast(cuts), same, "left")
+    else:
+        dealt = rows.withColumn("__cuts", cuts.select("__cuts").scalar())
+    most = cuts.agg(F.max(F.size("__cuts"))).first()[0] or 0
+    steps = [1 << k for k in reversed(range(int(most).bit_length()))]
+    key = _sortable(order)
+
+    def searched(chunk: Column, step: Column) -> Column:
+        """One step of a binary search: the number of cuts known not to lie behind the row."""
+        return F.when(F.try_element_at("__cuts", chunk + step) <= key, chunk + step).otherwise(chunk)
+
+    chunk = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), searched) if steps else F.lit(0)
+    dealt = dealt.withColumn("__chunk", F.when(F.col("__cuts").isNull(), 0).otherwise(chunk))
     inside = Window.partitionBy("__chunk", *[quoted(c) for c in group]).orderBy(*_ascending(order))
-    # The window needs no other shuffle than this one, which gives every task one chunk.
-    placed = chunks.repartitionById(chunk_count, F.col("__chunk"))
-    near = placed.withColumn(NEXT, F.lead(_values(order)).over(inside))
-    # At most chunk_count rows are broadcast, however large the table is.
-    joined = near.join(F.broadcast(after), "__chunk", "left")
-    same_group = F.lit(True)
-    for name in group:
-        same_group = same_group & F.col("__after").getField(name).eqNullSafe(quoted(name))
-    across = F.struct(*[F.col("__after").getField(name).alias(name) for name in order])
-    stitched = joined.withColumn(
-        NEXT, F.when(F.col(NEXT).isNull() & F.col("__after").isNotNull() & same_group, across).otherwise(F.col(NEXT)))
-
-    # All copies of a row but the last are followed by the row itself.
+    after = F.try_element_at("__cuts", F.col("__chunk") + 1)
+    across = F.when(after.isNotNull(), F.struct(*[after.getField(n).alias(n) for n in order]))
+    return dealt.withColumn(NEXT, F.coalesce(F.lead(_values(order)).over(inside), across))
+
+
+def _one_row_per_successor(near: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """All copies of a row but the last are followed by the row itself."""
     last = F.struct(F.col(NEXT).alias("next"), F.lit(1).cast("long").alias("n"))
     others = F.struct(_values(order).alias("next"), (F.col(COPIES) - 1).alias("n"))
     followers = F.when(F.col(COPIES) > 1, F.array(last, others)).otherwise(F.array(last))
-    return stitched.withColumn("__f", F.explode(followers)).select(
-        *[quoted(c) for c in keys], F.col("__f.next").alias(NEXT), F.col("__f.n").alias(COPIES))
+    return near.withColumn("__f", F.explode(followers)).select(
+        *[quoted(c) for c in group + order], F.col("__f.next").alias(NEXT), F.col("__f.n").alias(COPIES))

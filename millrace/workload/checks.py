@@ -304,7 +304,7 @@ def qc_ranges_zero_length(t):
 @query("qc_ranges_whole_table", RANGES.format(
     days="o_custkey % 3 - 1", partition="", window="", **STRICT_ORDER, **ALLOWED))
 def qc_ranges_whole_table(t):
-    """No partition, cut into chunks as a table too large for one task would be."""
+    """No partition: one group of all rows, cut into chunks."""
     return _ranges(t, "o_custkey % 3 - 1")
 
 
@@ -318,28 +318,27 @@ def qc_sequential(t):
     return q.sequential_values(t.lineitem, "l_linenumber", group_by=["l_orderkey"])
 
 
-SEQUENTIAL_HOURS = """
+@query("qc_sequential_dt", """
 SELECT * FROM (
   SELECT event_type, date_trunc('hour', ts) AS hour,
          lag(date_trunc('hour', ts)) OVER (PARTITION BY event_type ORDER BY date_trunc('hour', ts)) AS previous_hour
   FROM events)
 WHERE NOT (hour = previous_hour + INTERVAL 1 HOUR)
-"""
-
-
-def _event_hours(t):
-    return t.events.select("event_type", truncate_to("hour", "ts").alias("hour"))
-
-
-@query("qc_sequential_dt", SEQUENTIAL_HOURS)
+""")
 def qc_sequential_dt(t):
-    return q.sequential_values(_event_hours(t), "hour", unit="hour", group_by=["event_type"])
+    hours = t.events.select("event_type", truncate_to("hour", "ts").alias("hour"))
+    return q.sequential_values(hours, "hour", unit="hour", group_by=["event_type"])
 
 
-@query("qc_sequential_chunked", SEQUENTIAL_HOURS)
+@query("qc_sequential_chunked", """
+SELECT * FROM (
+  SELECT l_linestatus, l_orderkey, lag(l_orderkey) OVER (PARTITION BY l_linestatus ORDER BY l_orderkey) AS previous_l_orderkey
+  FROM lineitem)
+WHERE NOT (l_orderkey = previous_l_orderkey + 1)
+""")
 def qc_sequential_chunked(t):
-    """As above, with every group treated as too large for one task."""
-    return q.sequential_values(_event_hours(t), "hour", unit="hour", group_by=["event_type"])
+    """Two groups that share all rows, so both are cut into chunks."""
+    return q.sequential_values(t.lineitem, "l_orderkey", group_by=["l_linestatus"])
 
 
 @query("qc_sequential_whole_table", """

@@ -11,7 +11,7 @@ from pyspark.sql import Window, functions as F
 from millrace.operators.neighbours import COPIES, NEXT, with_next
 from millrace.operators.quality import mutually_exclusive_ranges, sequential_values
 from millrace.operators.relations import repeat_rows
-from tests.conftest import bag
+from tests.conftest import bag, plan_of
 
 
 def followers(data, group: int):
@@ -71,6 +71,41 @@ def test_no_task_gets_a_whole_group(spark):
     assert chunked.where(F.col(f"{NEXT}.x") == F.col("x") + 1).count() == 9_999
 
 
+def test_groups_within_their_share_cost_one_exchange(spark):
+    df = spark.range(10_000).select((F.col("id") % 997).alias("g"), F.col("id").alias("x"))
+    plan = with_next(df, ["g"], ["x"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "__chunk" not in plan
+
+
+def test_a_heavy_group_costs_one_exchange_of_its_rows(spark):
+    """Half the rows in one group: they are cut up, and still cross the network once."""
+    df = spark.range(10_000).select(F.when(F.col("id") < 5_000, 0).otherwise(F.col("id")).alias("g"), F.col("id").alias("x"))
+    made = with_next(df, ["g"], ["x"])
+    plan = plan_of(made, executed=True).split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("BroadcastExchange") == 1
+    assert made.where(F.col(f"{NEXT}.x") == F.col("x") + 1).count() == 4_999
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chunks_of_many_heavy_groups_with_ties(spark, seed):
+    """Three heavy groups, heavy values inside them, two sort columns with NULLs, texts and times."""
+    draw = random.Random(seed)
+    data = [(draw.choice(["a", "b", None]), draw.choice([None, "x", "y", *map(str, range(30))]), draw.choice([None, 1.5, float("inf")]))
+            for _ in range(700)]
+    data += [("a", "17", 1.5)] * 300
+    df = spark.createDataFrame(data, "g string, x string, y double")
+    found = single_rows(with_next(df, ["g"], ["x", "y"]))
+    groups: dict = {}
+    for g, x, y in data:
+        groups.setdefault(g, []).append((x, y))
+    expected = Counter()
+    for g, members in groups.items():
+        members.sort(key=lambda m: [(v is None, v if v is not None else 0) if v is None or not isinstance(v, str) else (False, v) for v in m[:1]]
+                     + [(m[1] is None, m[1] if m[1] is not None else 0)])
+        expected.update((g, *here, after) for here, after in zip(members, members[1:] + [None], strict=True))
+    assert Counter((r.g, r.x, r.y, None if r[NEXT] is None else tuple(r[NEXT])) for r in found.collect()) == expected
+
+
 def test_rows_that_only_a_sort_takes_for_equal_keep_their_spelling(spark):
     df = spark.createDataFrame([("a", 0.0), ("A", -0.0), ("b", 3.0), ("B", 3.0), ("a", -0.0)], "g string, x double")
     df = df.withColumn("g", F.col("g").cast("string collate UTF8_LCASE"))
