@@ -4,6 +4,9 @@
     spark-submit --py-files millrace.zip millrace/jobs.py prepare --streaming PATH --data PATH
     spark-submit --py-files millrace.zip millrace/jobs.py publish --data PATH --database NAME --table NAME
 
+With ``--state PATH``, prepare reads only the records that are new since its last run and keeps marks and
+summary there, and publish reads that summary in place of the table.
+
 Brokers, databases and their credentials come from the session's settings, never from arguments.
 """
 
@@ -29,7 +32,10 @@ MAINTENANCE_SETTING = "spark.deltalake.maintenance"
 
 def run_ingest(spark: SparkSession, args) -> None:
     """Topic, or a folder of envelope files, to a lake table."""
-    messages = open_files(spark, args.source) if args.source else open_topic(spark)
+    if args.source:
+        messages = open_files(spark, args.source, files_per_batch=args.files_per_batch)
+    else:
+        messages = open_topic(spark, offsets_per_batch=args.offsets_per_batch)
     query = ingest(messages, args.to, args.checkpoint, codec=args.codec, fmt=args.format,
                    until_caught_up=args.until_caught_up)
     query.awaitTermination()
@@ -37,14 +43,23 @@ def run_ingest(spark: SparkSession, args) -> None:
 
 def run_prepare(spark: SparkSession, args) -> None:
     """Newer records into the partitioned table."""
-    weather.load_new(spark, args.streaming, args.data, args.new_keys, args.format)
+    if args.state is None:
+        weather.load_new(spark, args.streaming, args.data, args.new_keys, args.format)
+        return
+    loads = weather.kept_loads(spark, args.data, args.state, args.new_keys, args.format)
+    weather.load_stream_of_records(spark, args.streaming, loads, f"{args.state}/checkpoint",
+                                   files_per_batch=args.files_per_batch).awaitTermination()
 
 
 def run_publish(spark: SparkSession, args) -> None:
     """Summary of the partitioned table into a database table."""
     given = {option: setting(spark, name) for option, name in DATABASE_SETTINGS.items()}
     url = f"{given.pop('url')}/{args.database}"
-    weather.publish(spark, args.data, args.format, url=url, table=args.table, driver=DRIVER, **given)
+    database = {"url": url, "table": args.table, "driver": DRIVER, **given}
+    if args.state is None:
+        weather.publish(spark, args.data, args.format, **database)
+    else:
+        weather.publish_kept(weather.kept_loads(spark, args.data, args.state, fmt=args.format), **database)
 
 
 def run_land(spark: SparkSession, args) -> None:
@@ -85,12 +100,12 @@ def parser() -> argparse.ArgumentParser:
         for option, details in arguments.items():
             command.add_argument(f"--{option.replace('_', '-')}", **details)
 
-    needed = {"required": True}
+    needed, number = {"required": True}, {"type": int}
     job("ingest", run_ingest, to=needed, checkpoint=needed, source={}, until_caught_up={"action": "store_true"},
-        codec={"default": "avro", "choices": ["avro", "json"]})
-    job("prepare", run_prepare, streaming=needed, data=needed,
+        codec={"default": "avro", "choices": ["avro", "json"]}, files_per_batch=number, offsets_per_batch=number)
+    job("prepare", run_prepare, streaming=needed, data=needed, state={}, files_per_batch=number,
         new_keys={"default": "drop", "choices": ["drop", "keep"]})
-    job("publish", run_publish, data=needed, database=needed, table=needed)
+    job("publish", run_publish, data=needed, database=needed, table=needed, state={})
     job("land", run_land, source=needed, to=needed)
     job("mart", run_mart, customers=needed, to=needed)
     job("compact", run_compact, path={}, to={}, partition_by={"nargs": "*"})

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import operator
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.columns import as_list, quoted
 from millrace.literals import constants
+from millrace.plans.kept import Kept, summary_of, summary_parts
 from millrace.session import stage
+from millrace.sinks.tables import balanced
+from millrace.sources.tables import DEFAULT_FORMAT, read_table, refresh
 
 # Fixed value: stands in for a NULL high-water mark.
 EARLIEST = "1900-01-01"
@@ -43,18 +47,78 @@ def newer_than_target(staged: DataFrame, target: DataFrame | None, keys: list[st
             raise ValueError('the target does not exist; new_keys="keep" makes the first load')
         return staged
     marks = high_water_marks(target, keys, stamp, compare_as)
-    columns = [quoted(c) for c in staged.columns]
-    value = _stamp(stamp, compare_as)
-    newer = value > F.col("__mark")
     if new_keys == "keep":
-        known, on = _for_join(marks, keys, Column.eqNullSafe)
-        return staged.join(known, on, "left").where(F.col("__known").isNull() | newer).select(columns)
+        return newer_than_marks(staged, marks, keys, stamp, new_keys, compare_as)
     # The marks are needed twice, and reading the target is the expensive part.
     marks = stage(marks, "marks")
     # No row at or below the smallest mark can pass.
     oldest = constants(marks.agg(F.min("__mark").alias("oldest")))["oldest"]
-    known, on = _for_join(marks, keys, operator.eq)
-    return staged.where(value > oldest).join(known, on, "inner").where(newer).select(columns)
+    return newer_than_marks(staged.where(_stamp(stamp, compare_as) > oldest), marks, keys, stamp, new_keys, compare_as)
+
+
+def newer_than_marks(staged: DataFrame, marks: DataFrame, keys: list[str], stamp: str, new_keys: str = "drop",
+                     compare_as: str | None = None) -> DataFrame:
+    """``newer_than_target`` where the greatest stamp per key is known, in ``__mark``."""
+    newer = _stamp(stamp, compare_as) > F.col("__mark")
+    if new_keys == "keep":
+        known, on = _for_join(marks, keys, Column.eqNullSafe)
+        found = staged.join(known, on, "left").where(F.col("__known").isNull() | newer)
+    else:
+        known, on = _for_join(marks, keys, operator.eq)
+        found = staged.join(known, on, "inner").where(newer)
+    return found.select([quoted(c) for c in staged.columns])
+
+
+@dataclass(frozen=True)
+class Loads:
+    """A table loaded in numbered loads, whose marks, and a summary if wanted, are kept beside it.
+
+    A load reads its own rows and the kept marks of their keys, never the table. Its rows go to a folder of their
+    own (``__load=<number>``), so a load that is repeated with the same rows after a failure replaces what it wrote,
+    and gives the same table. Loads are numbered upwards; ``fold_after`` bounds how many folders of marks are read.
+    """
+
+    path: str
+    marks: Kept
+    stamp: str
+    partition_columns: tuple[str, ...] = ()
+    new_keys: str = "drop"
+    compare_as: str | None = None
+    summary: Kept | None = None
+    averages: tuple[str, ...] = ()
+    fold_after: int = 24
+    fmt: str = DEFAULT_FORMAT
+
+    def load(self, rows: DataFrame, number: int, new_keys: str | None = None) -> DataFrame:
+        """Adds the rows that are newer than the mark their key had before this load; returns them as written."""
+        spark, keys = rows.sparkSession, list(self.marks.keys)
+        how = new_keys or self.new_keys
+        known = self.marks.current(number, only=rows)
+        if known is not None:
+            fresh = newer_than_marks(rows, known, keys, self.stamp, how, self.compare_as)
+        else:
+            fresh = rows if how == "keep" else rows.limit(0)  # no key is known
+        folder = f"{self.path}/__load={number}"
+        writer = balanced(fresh, *self.partition_columns).write.format(self.fmt).mode("overwrite")
+        writer.partitionBy(*self.partition_columns).save(folder)
+        refresh(spark, self.path)
+        written = read_table(spark, folder, self.fmt, schema=rows.schema)
+        mark = _stamp(self.stamp, self.compare_as).alias("__mark")
+        self.marks.put(number, written.select(*[quoted(k) for k in keys], mark))
+        self.marks.fold(number, self.fold_after)
+        if self.summary is not None:
+            self.summary.put(number, summary_parts(written, list(self.summary.keys), list(self.averages), self.stamp))
+            self.summary.fold(number, self.fold_after)
+        return written
+
+    def table(self, spark: SparkSession, schema=None) -> DataFrame:
+        """All rows loaded so far."""
+        return read_table(spark, self.path, self.fmt, schema=schema).drop("__load")
+
+    def summarised(self) -> DataFrame:
+        """The summary of all rows loaded so far, from what was kept with each load."""
+        assert self.summary is not None
+        return summary_of(self.summary.current(), list(self.summary.keys), list(self.averages), self.stamp)
 
 
 def _for_join(marks: DataFrame, keys: list[str], same) -> tuple[DataFrame, Column]:

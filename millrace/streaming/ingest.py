@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -17,16 +19,18 @@ GROUP_SETTING = "spark.kafka_group_id"
 
 
 def open_topic(spark: SparkSession, servers: str | None = None, topic: str | None = None, group: str | None = None,
-               starting_offsets: str = "earliest", **options: str) -> DataFrame:
+               starting_offsets: str = "earliest", offsets_per_batch: int | None = None, **options: str) -> DataFrame:
     """Envelope rows of a Kafka topic; the broker settings of the session apply where nothing is given.
 
-    Needs the Kafka package on the cluster.
+    ``offsets_per_batch`` bounds every batch, also the first one from the earliest offset. Needs the Kafka package
+    on the cluster.
     """
     given = {
         "kafka.bootstrap.servers": servers or setting(spark, BROKER_SETTING),
         "subscribe": topic or setting(spark, TOPIC_SETTING),
         "kafka.group.id": group or setting(spark, GROUP_SETTING),
         "startingOffsets": starting_offsets,
+        "maxOffsetsPerTrigger": None if offsets_per_batch is None else str(offsets_per_batch),
     }
     present = {name: value for name, value in given.items() if value is not None}
     return spark.readStream.format("kafka").options(**present, **options).load()
@@ -50,6 +54,14 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str, fmt: str = DEFAUL
     return (writer.trigger(availableNow=True) if until_caught_up else writer).start(path)
 
 
+def load_stream(rows: DataFrame, load: Callable[[DataFrame, int], object], checkpoint: str,
+                until_caught_up: bool = False) -> StreamingQuery:
+    """Hand every batch, with its number, to ``load``. After a failure a batch comes again, with the same rows and number."""
+    writer = rows.writeStream.foreachBatch(lambda batch, number: load(batch, number) and None)
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if until_caught_up else writer).start()
+
+
 def ingest(messages: DataFrame, path: str, checkpoint: str, schema: StructType = WEATHER, codec: str = "json",
            fmt: str = DEFAULT_FORMAT, until_caught_up: bool = False) -> StreamingQuery:
     """Decode messages and append the records to a lake table."""

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.plans.customers import customer_mart
-from millrace.plans.incremental import current_rows, newer_than_any, newer_than_target
+from millrace.plans.incremental import Loads, current_rows, newer_than_any, newer_than_target
+from millrace.plans.kept import marks, summaries
 from millrace.plans.weather import select_nested, summarise
 from millrace.session import new_path
 from millrace.sinks import append_partitioned
 from millrace.sources.feed import decoded
 from millrace.sources.tables import read_table, refresh
+from millrace.streaming.ingest import load_stream, open_files
 from millrace.workload.registry import Tables, query
 
 LOADED = "ts < timestamp_ntz'2024-01-15 00:00:00' and event_type <> 'signup'"
@@ -49,7 +51,10 @@ def inc_newer_keep(t):
 
 
 def event_summary(events: DataFrame) -> DataFrame:
-    summary = summarise(events, ["event_type"], ["value", "user_id"], "ts")
+    return rounded(summarise(events, ["event_type"], ["value", "user_id"], "ts"))
+
+
+def rounded(summary: DataFrame) -> DataFrame:
     return summary.select("event_type", F.round("value", 6).alias("value"), F.round("user_id", 6).alias("user_id"),
                           "number_of_rows", "ts")
 
@@ -85,6 +90,48 @@ def incremental_publish(t):
     return event_summary(read_table(t.spark, path))
 
 
+def _event_loads(t: Tables) -> Loads:
+    state = new_path(t.spark, "state")
+    return Loads(new_path(t.spark, "events"), marks(t.spark, f"{state}/marks", EVENT_KEY), "ts", ("event_type",), fold_after=2,
+                 summary=summaries(t.spark, f"{state}/summary", ["event_type"], ["value", "user_id"], "ts"), averages=("value", "user_id"))
+
+
+#: Spans of time whose events come together.
+SPANS = ["ts < timestamp_ntz'2024-01-12 00:00:00'", "ts >= timestamp_ntz'2024-01-12 00:00:00' and ts < timestamp_ntz'2024-01-20 00:00:00'",
+         "ts >= timestamp_ntz'2024-01-20 00:00:00' or ts is null"]
+
+
+@query("inc_stream_batches", f"""
+WITH target AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-10' AND event_type <> 'signup'),
+marks AS (SELECT event_type, user_id, max(ts) AS mark FROM target GROUP BY event_type, user_id)
+SELECT event_id, event_type, user_id, ts, value FROM target
+UNION ALL
+SELECT e.event_id, e.event_type, e.user_id, e.ts, e.value
+FROM events e JOIN marks m ON e.event_type = m.event_type AND e.user_id = m.user_id
+WHERE e.ts > m.mark
+""")
+def inc_stream_batches(t):
+    """A stream in three checkpointed runs onto a standing table, the last batch coming twice."""
+    topic, checkpoint = new_path(t.spark, "topic"), new_path(t.spark, "checkpoint")
+    events, loads = t.events.select(EVENT_COLUMNS), _event_loads(t)
+    loads.load(events.where("ts < timestamp_ntz'2024-01-10 00:00:00' and event_type <> 'signup'"), -1, new_keys="keep")
+    for span in SPANS:
+        events.where(span).write.mode("append").parquet(topic)
+        load_stream(open_files(t.spark, topic, events.schema), loads.load, checkpoint, until_caught_up=True).awaitTermination()
+    loads.load(events.where(SPANS[-1]), len(SPANS) - 1)
+    return loads.table(t.spark).select(EVENT_COLUMNS)
+
+
+@query("publish_merged", SUMMARY.format(rows="events"))
+def publish_merged(t):
+    """The summary out of what three loads kept, one of them repeated; the table itself is not read."""
+    events, loads = t.events.select(EVENT_COLUMNS), _event_loads(t)
+    for number, span in enumerate(SPANS):
+        loads.load(events.where(span), number, new_keys="keep")
+    loads.load(events.where(SPANS[-1]), len(SPANS) - 1, new_keys="keep")
+    return rounded(loads.summarised())
+
+
 @query("nested_project_filter", """
 SELECT event_id, event_type AS kind, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k
 FROM events WHERE event_type = 'click' OR event_type = 'purchase'
