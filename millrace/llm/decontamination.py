@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import append, column, quoted
+from millrace.llm.frames import append, column, quoted, unused
 from millrace.llm.words import ALPHANUMERIC, Texts, Words, slices, text_bytes, words
 
 WINDOW = 10
@@ -37,10 +37,12 @@ BLOCK_WORDS = 1_000_000
 
 
 class SuffixAutomaton:
-    """Generalised suffix automaton over word hashes, with the items of each window."""
+    """Generalised suffix automaton over the numbers of an own dictionary of words, with the items of each window."""
 
-    def __init__(self, items: list[tuple[str | None, list[int]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.window = window
+        self.number: dict[bytes, int] = {}
+        items = [(item, [self.number.setdefault(w, len(self.number)) for w in seq]) for item, seq in items]
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         items = [(item, seq) for item, seq in items if seq]
@@ -60,10 +62,9 @@ class SuffixAutomaton:
             if len(seq) < window:
                 marks = self.short.setdefault(self._holding(state, len(seq)), {})
                 marks.setdefault(len(seq), set()).add(item)
-        self.words = np.unique(np.array([w for _, seq in items for w in seq], np.uint64))
         pairs = [p for _, seq in items for p in zip(seq, seq[1:], strict=False)]
-        at = np.searchsorted(self.words, np.array(pairs, np.uint64).reshape(-1, 2)).astype(np.int64)
-        self.pairs = np.unique(at[:, 0] * len(self.words) + at[:, 1])
+        at = np.array(pairs, np.int64).reshape(-1, 2)
+        self.pairs = np.unique(at[:, 0] * len(self.number) + at[:, 1])
 
     def _state(self, length: int, follow: dict[int, int], link: int) -> int:
         self.next.append(follow)
@@ -134,29 +135,29 @@ class SuffixAutomaton:
         """Per row the hit ranges (positions among all words of the slice) and the items found."""
         hits: dict[int, list[tuple[int, int]]] = {}
         items: list[set[str | None]] = [set() for _ in range(rows)]
-        if not len(self.words) or not len(found.hash):
+        if not self.number or not len(found):
             return hits, items
-        at = np.minimum(np.searchsorted(self.words, found.hash), len(self.words) - 1)
-        known = self.words[at] == found.hash
+        at = np.array([self.number.get(w, -1) for w in found.distinct], np.int64)[found.index]
+        known = at >= 0
         joined = known[:-1] & known[1:] & (found.row[:-1] == found.row[1:])
         places = np.flatnonzero(joined)
-        keys = at[places] * len(self.words) + at[places + 1]
+        keys = at[places] * len(self.number) + at[places + 1]
         joined[places] = np.isin(keys, self.pairs)
         begins = np.flatnonzero(known & ~np.concatenate([[False], joined]))
         ends = np.flatnonzero(known & ~np.concatenate([joined, [False]])) + 1
         for a, b in zip(begins[ends - begins >= self.shortest], ends[ends - begins >= self.shortest], strict=True):
             row = int(found.row[a])
-            for x, y in self.walk(found.hash[a:b].tolist(), items[row]):
+            for x, y in self.walk(at[a:b].tolist(), items[row]):
                 hits.setdefault(row, []).append((int(a) + x, int(a) + y))
         return hits, items
 
 
-def _item_words(texts: pd.Series) -> list[list[int]]:
-    out: list[list[int]] = []
+def _item_words(texts: pd.Series) -> list[list[bytes]]:
+    out: list[list[bytes]] = []
     for part in slices(pa.array(texts, pa.large_string())):
         found = words(part, ALPHANUMERIC)
         edges = np.searchsorted(found.row, np.arange(len(part) + 1))
-        out += [found.hash[a:b].tolist() for a, b in zip(edges, edges[1:], strict=False)]
+        out += [[found.distinct[i] for i in found.index[a:b]] for a, b in zip(edges, edges[1:], strict=False)]
     return out
 
 
@@ -164,7 +165,7 @@ def automata(benchmark: DataFrame, item_id: str = "item_id", item_text: str = "t
              block_words: int = BLOCK_WORDS) -> list:
     """One broadcast automaton per block of items; the number of blocks follows from the bytes of the items."""
     items = benchmark.select(column(benchmark, item_id).cast("string").alias("item"),
-                             column(benchmark, item_text).alias("text")).where("text is not null")
+                             column(benchmark, item_text).alias("text")).where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // (5 * block_words))  # a word and its separator take two bytes at least, mostly five and more
     spark = benchmark.sparkSession
@@ -295,5 +296,6 @@ def remove_matches(df: DataFrame, text: str, benchmark: DataFrame, item_id: str
 
         return work
 
-    cleaned = append(df, f"{quoted(text)} string, __clean boolean", make).where("__clean")
+    clean_name = unused(df, "clean")
+    cleaned = append(df, f"{quoted(text)} string, {quoted(clean_name)} boolean", make).where(F.col(quoted(clean_name)))
     return cleaned.select(*[F.col(quoted(c)) for c in df.columns])

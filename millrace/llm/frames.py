@@ -28,6 +28,14 @@ def column(df: DataFrame, name: str):
     return df[quoted(name)]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with as many ``_`` before it as it takes for no column to have it, in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def append(df: DataFrame, fields: str, make: Callable[[], BatchFunction], drop: tuple[str, ...] = ()) -> DataFrame:
     """The frame with the columns of the DDL string ``fields``, which a Python function makes per Arrow batch.
 

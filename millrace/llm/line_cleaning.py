@@ -71,20 +71,25 @@ def _counted(flags: np.ndarray) -> np.ndarray:
 
 def repeated_words(found: Words, size: int) -> np.ndarray:
     """Which words stand in a run of ``size`` words that occurs twice or more in their text."""
-    n = len(found.hash)
+    n = len(found)
     covered = np.zeros(n, bool)
     if n < size:
         return covered
     total = np.zeros(n - size + 1, np.uint64)
     for j in range(size):
-        total += mixed(found.hash[j:n - size + 1 + j] + np.uint64(j + 1))
+        total += mixed(mixed(found.index[j:n - size + 1 + j].astype(np.uint64)) + np.uint64(j + 1))
     starts = np.flatnonzero(found.row[size - 1:] == found.row[:n - size + 1])
+    if not len(starts):
+        return covered
     key = mixed(mixed(total[starts]) + found.row[starts].astype(np.uint64))
     order = np.argsort(key, kind="stable")
-    same = key[order][1:] == key[order][:-1]
-    twice = np.zeros(len(order), bool)
-    twice[1:] |= same
-    twice[:-1] |= same
+    head = np.append(True, key[order][1:] != key[order][:-1])
+    group = np.cumsum(head) - 1
+    lead = starts[order[head]][group]
+    if any((found.index[starts[order] + j] != found.index[lead + j]).any() for j in range(size)):  # different words, one key
+        exact = np.stack([found.row[starts[order]], *(found.index[starts[order] + j] for j in range(size))], axis=1)
+        group = np.unique(exact, axis=0, return_inverse=True)[1].reshape(-1)
+    twice = np.bincount(group)[group] > 1
     steps = np.zeros(n + 1, np.int64)
     hit = starts[order[twice]]
     np.add.at(steps, hit, 1)
@@ -114,7 +119,7 @@ class Judged:
         self.word_chars = np.bincount(found.row, word_size, rows).astype(np.int64)
         self.n_symbols = np.diff(_counted(SYMBOL[data])[texts.bounds])
         filled = np.flatnonzero(line_words)
-        again = occurrence(lines.row[filled], lines.hash[filled]) > 0
+        again = occurrence(lines.row[filled], lines.index[filled]) > 0
         self.n_dup_lines = np.bincount(lines.row[filled[again]], minlength=rows)
         self.n_repeat_words = np.bincount(found.row[repeated_words(found, rules.repeat_window)], minlength=rows)
         self.base_failed = (self.n_words < rules.min_words) | (
@@ -127,8 +132,8 @@ class Judged:
         separator = (found.end - found.start == 1) & SEPARATORS[data[found.start]]
         separators = np.bincount(line_of[separator], minlength=n_lines)
         navigation = (separators >= rules.min_separators) & (separators > rules.max_separator_share * line_words)
-        echo = np.zeros(len(found.hash), bool)
-        echo[1:] = (found.hash[1:] == found.hash[:-1]) & (line_of[1:] == line_of[:-1])
+        echo = np.zeros(len(found), bool)
+        echo[1:] = (found.index[1:] == found.index[:-1]) & (line_of[1:] == line_of[:-1])
         echoes = np.bincount(line_of[echo], minlength=n_lines) > rules.max_echo_share * line_words
         repeated = np.zeros(n_lines, bool)
         repeated[filled[again]] = True

@@ -30,6 +30,7 @@ class of its own, and so is a null id, whose class is null. Rows that share an i
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.llm.components import components
 from millrace.llm.frames import append, column, tidy
-from millrace.llm.words import ALPHANUMERIC, Texts, Words, mixed, occurrence, slices, windows, words
+from millrace.llm.words import ALPHANUMERIC, Texts, Words, mixed, occurrence, runs_of_rows, slices, windows, words
 from millrace.session import stage
 
 SHINGLE = 5
@@ -123,47 +124,47 @@ def shingle_cells(texts: Texts, weights: str) -> tuple[Words, np.ndarray, np.nda
     return found, cell_of(shingle, nth), row
 
 
-def _prints(found: Words, rows: int) -> list[np.ndarray]:
-    """Two hashes of the word sequence of each row."""
-    begins = np.searchsorted(found.row, np.arange(rows))
-    place = (np.arange(len(found.row)) - begins[found.row]).astype(np.uint64) if len(found.row) else np.empty(0, np.uint64)
-    out = []
-    for salt in (_STEP, _AIM):
-        total = np.zeros(rows, np.uint64)
-        np.add.at(total, found.row, mixed(found.hash ^ mixed(place * salt + salt)))
-        out.append(total.view(np.int64))
-    return out
+def _prints(texts: Texts, found: Words) -> list[pa.Array]:
+    """A cryptographic digest of the word sequence of each row, in two halves; null without words."""
+    norm = ALPHANUMERIC[texts.data]
+    inside = norm != 0
+    flat, edges = norm[inside], np.concatenate([[0], np.cumsum(inside)])[texts.bounds].tolist()
+    sizes, begins = found.end - found.start, runs_of_rows(found.row, len(texts)).tolist()
+    digests = bytearray()
+    for a, b, c, d in zip(edges, edges[1:], begins, begins[1:], strict=False):
+        digest = hashlib.blake2b(flat[a:b], digest_size=16)
+        digest.update(sizes[c:d])  # which bytes make a word
+        digests += digest.digest()
+    halves = np.frombuffer(bytes(digests), np.int64).reshape(-1, 2)
+    none = found.per_row(len(texts)) == 0
+    return [pa.array(halves[:, k], mask=none) for k in (0, 1)]
 
 
 def sketched(df: DataFrame, identity: str, text: str, bands: int, rows: int, weights: str) -> DataFrame:
-    """``id``, two hashes of the word sequence (null without words), band keys and signature of every row."""
+    """``id``, a digest of the word sequence (null without words) and the band keys of every row."""
     k = bands * rows
     base = df.select(column(df, identity).alias("id"), column(df, text).alias("text"))
 
     def make():
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
-            first, second, keys, kept = [], [], [], []
+            first, second, keys = [], [], []
             for part in slices(batch.column("text")):
                 found, cells, row = shingle_cells(part, weights)
                 sketch = signatures(cells, None, row, len(part), k)
-                some = np.bincount(found.row, minlength=len(part)) > 0
-                for out, value in zip((first, second), _prints(found, len(part)), strict=True):
-                    out.append(pa.array(value, mask=~some))
+                for out, value in zip((first, second), _prints(part, found), strict=True):
+                    out.append(value)
                 key = np.zeros((len(part), bands), np.uint64)
                 for j in range(rows):
                     key = mixed(key + sketch[:, j::rows])
                 key = mixed(key + np.arange(bands, dtype=np.uint64))
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(key.ravel().view(np.int64)), bands).cast(pa.list_(pa.int64()))
                 keys.append(lists)
-                short = mixed(sketch).astype(np.uint32)
-                kept += [s.tobytes() for s in short]
-            joined = [pa.concat_arrays(x) if x else pa.array([], t) for x, t in
-                      ((first, pa.int64()), (second, pa.int64()), (keys, pa.list_(pa.int64())))]
-            return [*joined, pa.array(kept, pa.binary())]
+            return [pa.concat_arrays(x) if x else pa.array([], t) for x, t in
+                    ((first, pa.int64()), (second, pa.int64()), (keys, pa.list_(pa.int64())))]
 
         return work
 
-    return append(base, "print_a long, print_b long, bands array<long>, signature binary", make, drop=("text",))
+    return append(base, "print_a long, print_b long, bands array<long>", make, drop=("text",))
 
 
 def _id_filter(ids: DataFrame, count: int) -> np.ndarray:

@@ -20,16 +20,18 @@ blank that encoding puts in front. Models whose normaliser rewrites characters a
 
 from __future__ import annotations
 
+import codecs
 from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from millrace.llm.frames import append
-from millrace.llm.words import Words, mixed, slices, words
+from millrace.llm.words import Remembered, mixed, numbered, slices, words
 
 BLANK = "▁"
 SLICE = 2 << 20
@@ -46,6 +48,11 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _NEVER = np.iinfo(np.int64).max
 
 
+#: How bytes that make no valid character are decoded: as the library does, each by itself.
+EACH_BYTE = "millrace-each-byte"
+codecs.register_error(EACH_BYTE, lambda error: ("\ufffd", error.start + 1))
+
+
 @lru_cache
 def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     def table(base: int) -> np.ndarray:
@@ -102,6 +109,10 @@ class PieceModel:
         self.keys, self.key_pieces = keys[order], used[order]
         self.present = np.zeros(1 << 20, bool)
         self.present[keys >> np.uint64(44)] = True
+        self.lengths = np.array([len(p) for p in self.pieces], np.int64)
+        self.points = np.zeros((len(self.pieces), self.longest), np.uint32)
+        for i in used:
+            self.points[i, :self.lengths[i]] = _code_points(self.pieces[i])
         text = [_code_points(self.pieces[i]).astype(np.uint64) for i in used]
         self.bigrams = np.unique(np.concatenate([t[:-1] << np.uint64(32) | t[1:] for t in text] or [np.empty(0, np.uint64)]))
         self.inner_blanks = any(BLANK in self.pieces[i].lstrip(BLANK) for i in used)
@@ -162,14 +173,23 @@ class PieceModel:
         self.leads = np.array([bool(n) and p.startswith(BLANK) for n, p in zip(self.normal, self.pieces, strict=True)])
         self.raw_start, self.raw_size = np.cumsum(sizes) - sizes, sizes
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Piece of each substring hash, -1 if there is none."""
+    def find(self, hashes: np.ndarray, points: np.ndarray, length: int) -> np.ndarray:
+        """Piece of each substring of ``length`` characters, by its hash, -1 if there is none.
+
+        Hash i is that of the characters from place i // rows on in row i % rows of ``points``; what a hash finds
+        is compared character by character.
+        """
         keys = mixed(hashes)
         out = np.full(len(keys), -1, np.int64)
         maybe = np.flatnonzero(self.present[keys >> np.uint64(44)])
         at = np.minimum(np.searchsorted(self.keys, keys[maybe]), len(self.keys) - 1)
         hit = self.keys[at] == keys[maybe]
-        out[maybe[hit]] = self.key_pieces[at[hit]]
+        maybe, piece = maybe[hit], self.key_pieces[at[hit]]
+        same = self.lengths[piece] == length
+        place, row = np.divmod(maybe, len(points))
+        for k in range(length):
+            same &= points[row, place + k] == self.points[piece, min(k, self.longest - 1)]
+        out[maybe[same]] = piece[same]
         return out
 
     def compatible(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -243,7 +263,7 @@ def _segmented(model: PieceModel, points: np.ndarray, sizes: np.ndarray) -> list
     # The piece that ends at each place, by its start; the longest stands first, as ties go to it in the library.
     pieces = np.full((width + 1, longest, rows), -1, np.int32)
     for length in range(1, longest + 1):
-        found = model.find(((sums[:, length:] - sums[:, :-length]) * inverse[:width + 1 - length]).T.reshape(-1))
+        found = model.find(((sums[:, length:] - sums[:, :-length]) * inverse[:width + 1 - length]).T.reshape(-1), points, length)
         pieces[length:, longest - length] = found.reshape(width + 1 - length, rows)
     single = pieces[1:, longest - 1]
     single[single < 0] = size
@@ -326,10 +346,9 @@ def encode_words(model: PieceModel, texts: list[str]) -> tuple[np.ndarray, np.nd
     cut[1:] = (owner[1:] != owner[:-1]) | ~np.isin(pairs, model.bigrams)
     start = np.flatnonzero(cut)
     size = np.diff(np.append(start, len(joined)))
-    # Distinct parts by hash: running sums in pieces of bounded size would do as well, words are short.
-    sums = _prefix_hashes(joined)
-    key = mixed((sums[start + size] - sums[start]) * _powers(1 << max(10, len(joined).bit_length()))[1][start]) ^ size.astype(np.uint64)
-    _, first, part_of = np.unique(key, return_index=True, return_inverse=True)
+    part_of, parts = numbered(joined.view(np.uint8), 4 * size)
+    first = np.zeros(len(parts), np.int64)
+    first[part_of[::-1]] = np.arange(len(part_of))[::-1]
     part_start, part_size = start[first], size[first]
     ids, counts = [], np.zeros(len(first), np.int64)
     order = np.argsort(part_size, kind="stable")
@@ -363,26 +382,18 @@ class Encoder:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.flat, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.memory = Remembered(self._encoded, REMEMBERED_WORDS)
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+    def _encoded(self, keys: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words with some blanks before them."""
+        texts = [BLANK * gap + word.replace(b"\xff", b"\0").decode().replace(" ", BLANK) for gap, word in keys]
         if self.model.kind == BPE and not self.model.regular:
             plain = [[p[0] for p in merged(t, self.model.ranks)] for t in texts]
             flat = np.array([self.model.index.get(p, -1 - ord(p)) if len(p) == 1 else self.model.index[p] for t in plain for p in t], np.int64)
-            flat, size = _expanded(self.model, flat, np.array([len(t) for t in plain]))
-        else:
-            made = [encode_words(self.model, texts[a:a + WORDS_AT_ONCE]) for a in range(0, len(texts), WORDS_AT_ONCE)]
-            flat, size = (np.concatenate(m) for m in zip(*made, strict=True))
-        start = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
-        order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
-        self.keys = np.concatenate([self.keys, keys])[order]
-        self.start = np.concatenate([self.start, start])[order]
-        self.size = np.concatenate([self.size, size])[order]
+            return _expanded(self.model, flat, np.array([len(t) for t in plain]))
+        made = [encode_words(self.model, texts[a:a + WORDS_AT_ONCE]) for a in range(0, len(texts), WORDS_AT_ONCE)]
+        flat, size = (np.concatenate(m) for m in zip(*made, strict=True))
+        return flat, size
 
     @staticmethod
     def plain(column: pa.Array) -> pa.Array:
@@ -395,50 +406,39 @@ class Encoder:
         return [self._slice(part) for part in slices(self.plain(column), SLICE)]
 
     def _slice(self, part) -> tuple[np.ndarray, np.ndarray]:
-        found, gap = self._units(part)
-        key = np.where(gap == 1, found.hash, mixed(found.hash ^ mixed(gap.astype(np.uint64))))
-        distinct, first, which = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.keys) + len(distinct) > REMEMBERED_WORDS:
-            self._forget()
-        at = np.searchsorted(self.keys, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = at < len(self.keys)
-        new[inside] = self.keys[at[inside]] != distinct[inside]
-        if new.any():
-            rows = first[new]
-            data = part.data.tobytes()
-            texts = [BLANK * g + data[a:b].decode().replace(" ", BLANK) for a, b, g in
-                     zip(found.start[rows].tolist(), found.end[rows].tolist(), gap[rows].tolist(), strict=True)]
-            self._learn(distinct[new], texts)
-        at = np.searchsorted(self.keys, distinct)[which]
-        size = self.size[at]
-        return self.flat[_ranges(self.start[at], size)], np.bincount(found.row, size, len(part)).astype(np.int64)
-
-    def _units(self, part) -> tuple[Words, np.ndarray]:
-        """Words with the number of blanks before them; trailing blanks are an empty word."""
+        row, gap, index, distinct = self._units(part)
+        span = int(gap.max(initial=0)) + 1
+        which, pairs = pd.factorize(index.astype(np.int64) * span + gap)
+        word, blanks = np.divmod(pairs, span)
+        keys = [(g, distinct[i]) for i, g in zip(word.tolist(), blanks.tolist(), strict=True)]
+        at = self.memory.places(keys)[which]
+        size = self.memory.size[at]
+        return self.memory.flat[_ranges(self.memory.start[at], size)], np.bincount(row, size, len(part)).astype(np.int64)
+
+    def _units(self, part) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Row of each word, the number of blanks before it and its number among the distinct words; trailing blanks are an empty word."""
         rows, begin, end = len(part), part.bounds[:-1], part.bounds[1:]
         lead = int(self.model.dummy_prefix)
         if self.model.inner_blanks:  # a piece may reach over blanks, so a text is one word
-            some = np.flatnonzero(end > begin)
             text = words(part, np.maximum(SPACE, np.where(np.arange(256) == 32, 32, 0).astype(np.uint8)))
-            return text, np.full(len(some), lead)
+            return text.row, np.full(len(text), lead), text.index, text.distinct
         found = words(part, SPACE)
-        before = np.empty(len(found.row), np.int64)
-        fresh = np.ones(len(found.row), bool)
+        before = np.empty(len(found), np.int64)
+        fresh = np.ones(len(found), bool)
         fresh[1:] = found.row[1:] != found.row[:-1]
         before[fresh] = begin[found.row[fresh]] - lead
         before[~fresh] = found.end[:-1][~fresh[1:]]
         gap = found.start - before
         counts = found.per_row(rows)
         final = np.searchsorted(found.row, np.arange(rows), "right") - 1
-        stop = np.where(counts > 0, found.end[final] if len(found.end) else 0, begin - lead)
+        stop = np.where(counts > 0, found.end[final] if len(found) else 0, begin - lead)
         rest = np.flatnonzero((end > begin) & (end > stop))
         if not len(rest):
-            return found, gap
+            return found.row, gap, found.index, found.distinct
         where = np.searchsorted(found.row, rest, "right")
-        both = Words(*(np.insert(old, where, new) for old, new in zip(
-            found, (end[rest], end[rest], rest, np.full(len(rest), 7, np.uint64)), strict=True)))
-        return both, np.insert(gap, where, (end - stop)[rest])
+        empty = len(found.distinct)
+        return (np.insert(found.row, where, rest), np.insert(gap, where, (end - stop)[rest]), np.insert(found.index, where, empty),
+                [*found.distinct, b""])
 
 
 def encode(df: DataFrame, text: str, model: PieceModel, ids: str = "token_ids", verified: str | None = None,
@@ -490,7 +490,7 @@ def decoded(model: PieceModel, flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     try:
         return made.cast(pa.large_string())
     except pa.ArrowInvalid:
-        return pa.array([value.decode("utf-8", "replace") for value in made.to_pylist()], pa.large_string())
+        return pa.array([value.decode("utf-8", EACH_BYTE) for value in made.to_pylist()], pa.large_string())
 
 
 def decode(df: DataFrame, ids: str, model: PieceModel, text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:

@@ -69,11 +69,11 @@ def statistics(texts: Texts, phrases: np.ndarray) -> np.ndarray:
     n = np.maximum(1, judged.n_words)
     size = np.maximum(1, count(GRAPHIC))
     lines = np.maximum(1, np.bincount(judged.lines.row, minlength=rows))
-    echo = np.zeros(len(plain.hash), bool)
-    echo[1:] = (plain.hash[1:] == plain.hash[:-1]) & (plain.row[1:] == plain.row[:-1])
-    order = np.lexsort((found.hash, found.row))
+    echo = np.zeros(len(plain), bool)
+    echo[1:] = (plain.index[1:] == plain.index[:-1]) & (plain.row[1:] == plain.row[:-1])
+    order = np.lexsort((found.index, found.row))
     new = np.ones(len(order), bool)
-    new[1:] = (found.hash[order][1:] != found.hash[order][:-1]) | (found.row[order][1:] != found.row[order][:-1])
+    new[1:] = (found.index[order][1:] != found.index[order][:-1]) | (found.row[order][1:] != found.row[order][:-1])
     distinct = np.bincount(found.row[order][new], minlength=rows)
     long_word = np.bincount(found.row[found.end - found.start > 30], minlength=rows)
     failed = np.bincount(judged.lines.row[judged.failed], minlength=rows)

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from millrace.llm import range_coder
 from millrace.llm.frames import column, tidy
 from millrace.llm.pieces import _ranges
-from millrace.llm.words import SPACED, slices, words
+from millrace.llm.words import SPACED, Remembered, slices, words
 
 BLOCK_FIELDS = ("shard int, block int, first long, size int, checksum long, payload binary, "
                 "doc_ids array<{id}>, doc_sizes array<long>")
@@ -44,19 +44,14 @@ _REMEMBERED: dict[str, RememberedWords] = {}
 
 
 class RememberedWords:
-    """Ids of the words met so far in this Python worker; all are forgotten when there are too many."""
+    """A tokenizer with the ids of the words it has met."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.flat = np.empty(0, np.uint32)
+        self.memory = Remembered(lambda words_: self.encoded([w.decode() for w in words_]), REMEMBERED_WORDS, np.uint32)
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -66,25 +61,9 @@ class RememberedWords:
     def of_slice(self, part, lower: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the rows of a slice and their number."""
         found = words(part, SPACED_LOWER if lower else SPACED)
-        distinct, first, which = np.unique(found.hash, return_index=True, return_inverse=True)
-        if len(self.keys) + len(distinct) > REMEMBERED_WORDS:
-            self._forget()
-        at = np.searchsorted(self.keys, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = at < len(self.keys)
-        new[inside] = self.keys[at[inside]] != distinct[inside]
-        if new.any():
-            data = part.data.tobytes()
-            flat, size = self.encoded([data[a:b].decode() for a, b in zip(
-                found.start[first[new]].tolist(), found.end[first[new]].tolist(), strict=True)])
-            keys, start = np.concatenate([self.keys, distinct[new]]), len(self.flat) + np.cumsum(size) - size
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.flat = keys[order], np.concatenate([self.flat, flat])
-            self.start = np.concatenate([self.start, start])[order]
-            self.size = np.concatenate([self.size, size])[order]
-        at = np.searchsorted(self.keys, distinct)[which]
-        size = self.size[at]
-        return self.flat[_ranges(self.start[at], size)], np.bincount(found.row, size, len(part)).astype(np.int64)
+        at = self.memory.places([w.replace(b"\xff", b"\0") for w in found.distinct])[found.index]
+        size = self.memory.size[at]
+        return self.memory.flat[_ranges(self.memory.start[at], size)], np.bincount(found.row, size, len(part)).astype(np.int64)
 
 
 def _tokenised(values: pa.Array, path: str, apart: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:

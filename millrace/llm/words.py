@@ -1,21 +1,25 @@
 """Words of whole Arrow text columns as numpy arrays, without a Python string per word.
 
 A text is read as its UTF-8 bytes. A 256-entry table says which bytes separate words and how the
-others are normalised, so a word is a run of bytes that are not separators. Every word gets a 64-bit
-hash of its normalised bytes: one running sum over the bytes, taken at both ends of each word.
+others are normalised, so a word is a run of bytes that are not separators. The words of a slice are
+numbered by a dictionary of their normalised bytes, so two words have one number exactly if they are the
+same. Where words of different slices have to meet, each different word of a slice is hashed to 64 bits
+(XXH3); operators whose results must be exact look words up by their bytes instead.
 
 Nulls are empty texts. Work goes through slices of about ``SLICE_BYTES``; only a single longer text
-makes a longer slice, and its bytes too are hashed piece by piece.
+makes a longer slice, and its bytes too are looked at piece by piece.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 1 << 19
 
@@ -28,25 +32,6 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-@cache
-def _byte_values() -> np.ndarray:
-    return mixed(np.arange(256, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
-_BASE = 0x2545F4914F6CDD1D
-
-
-def _power_table(base: int, length: int) -> np.ndarray:
-    table = np.full(length, base, np.uint64)
-    table[0] = 1
-    return np.multiply.accumulate(table)
-
-
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    return _power_table(_BASE, 1 << bits), _power_table(pow(_BASE, -1, 1 << 64), 1 << bits)
-
-
 def _separated(separators: bytes, lower: bool) -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     if lower:
@@ -79,13 +64,23 @@ class Texts(NamedTuple):
         return len(self.bounds) - 1
 
 
-class Words(NamedTuple):
-    """Words in order of rows and places: byte range, row, and hash of the normalised bytes."""
+@dataclass
+class Words:
+    """Words in order of rows and places: byte range, row, and number in the dictionary of ``distinct`` normalised words."""
 
     start: np.ndarray
     end: np.ndarray
     row: np.ndarray
-    hash: np.ndarray
+    index: np.ndarray
+    distinct: list[bytes]
+
+    def __len__(self) -> int:
+        return len(self.row)
+
+    @cached_property
+    def hash(self) -> np.ndarray:
+        """64 bits of each word's normalised bytes, the same in every slice."""
+        return np.array([xxhash.xxh3_64_intdigest(w) for w in self.distinct], np.uint64)[self.index]
 
     def per_row(self, rows: int) -> np.ndarray:
         return np.bincount(self.row, minlength=rows)
@@ -134,11 +129,14 @@ def _pieces(texts: Texts, table: np.ndarray) -> Iterator[tuple[int, int]]:
 def words(texts: Texts, table: np.ndarray) -> Words:
     parts = [_words_of_piece(texts, table, at, stop) for at, stop in _pieces(texts, table)]
     if not parts:
-        return Words(*(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64)))
-    return Words(*(np.concatenate(p) if len(parts) > 1 else p[0] for p in zip(*parts, strict=True)))
+        return Words(*(np.empty(0, np.int64) for _ in range(4)), [])
+    start, end, flat = (np.concatenate(p) if len(parts) > 1 else p[0] for p in zip(*parts, strict=True))
+    index, distinct = numbered(flat, end - start)
+    return Words(start, end, np.searchsorted(texts.bounds, start, "right") - 1, index, distinct)
 
 
-def _words_of_piece(texts: Texts, table: np.ndarray, at: int, stop: int) -> Words:
+def _words_of_piece(texts: Texts, table: np.ndarray, at: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a piece, and the normalised bytes of all of them."""
     norm = table[texts.data[at:stop]]
     inside = norm != 0
     first = inside.copy()
@@ -149,13 +147,62 @@ def _words_of_piece(texts: Texts, table: np.ndarray, at: int, stop: int) -> Word
     begins_next[:-1] = first[1:]
     last = inside.copy()
     last[:-1] &= ~inside[1:] | begins_next[:-1]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    powers, inverses = _powers(max(SLICE_BYTES.bit_length() - 1, len(norm).bit_length()))
-    sums = np.zeros(len(norm) + 1, np.uint64)
-    np.cumsum(_byte_values()[norm] * powers[:len(norm)], out=sums[1:])
-    hashes = mixed((sums[end] - sums[start]) * inverses[start])
-    row = np.searchsorted(texts.bounds, start + at, "right") - 1
-    return Words(start + at, end + at, row, hashes)
+    return np.flatnonzero(first) + at, np.flatnonzero(last) + 1 + at, norm[inside]
+
+
+def numbered(flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The number of each run of bytes in a dictionary of the different ones, which are numbered as they first occur."""
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+    coded = runs.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+class Remembered:
+    """Ids of the words met so far in this Python worker, by their bytes; all are forgotten when there are too many.
+
+    ``encode`` gives the flat ids of some words, and the number of ids of each. A word is remembered by a key
+    that tells it apart from all others.
+    """
+
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most_words: int, kind: type = np.int32):
+        self.encode, self.most_words, self.kind = encode, most_words, kind
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict = {}
+        self.held = 0
+        self.flat = np.empty(1 << 16, self.kind)
+        self.start, self.size = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64)
+
+    def places(self, keys: list) -> np.ndarray:
+        """Where ``start`` and ``size`` have the ids of each key in ``flat``."""
+        if len(self.place) + len(keys) > self.most_words or self.held > 8 * self.most_words:
+            self._forget()
+        place = self.place
+        out = np.array([place.get(k, -1) for k in keys], np.int64)
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            fresh = [keys[i] for i in new.tolist()]
+            flat, size = self.encode(fresh)
+            n, total = len(place), self.held + len(flat)
+            self.flat = _with_room(self.flat, self.held, total)
+            self.start, self.size = (_with_room(a, n, n + len(fresh)) for a in (self.start, self.size))
+            self.flat[self.held:total] = flat
+            self.start[n:n + len(fresh)] = self.held + np.cumsum(size) - size
+            self.size[n:n + len(fresh)] = size
+            out[new] = np.arange(n, n + len(fresh))
+            place.update(zip(fresh, out[new].tolist(), strict=True))
+            self.held = total
+        return out
+
+
+def _with_room(a: np.ndarray, used: int, wanted: int) -> np.ndarray:
+    if wanted <= len(a):
+        return a
+    out = np.empty(max(wanted, 2 * len(a)), a.dtype)
+    out[:used] = a[:used]
+    return out
 
 
 def runs_of_rows(row: np.ndarray, rows: int) -> np.ndarray:
@@ -165,7 +212,7 @@ def runs_of_rows(row: np.ndarray, rows: int) -> np.ndarray:
 
 def windows(found: Words, size: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every run of ``size`` words; a row with fewer words, but not none, is one run."""
-    n = len(found.hash)
+    n = len(found)
     total = np.zeros(n, np.uint64)
     for j in range(min(size, n)):
         total[:n - j] += mixed(found.hash[j:] + np.uint64(j + 1))

@@ -70,6 +70,18 @@ def test_decoding_equals_the_library():
         assert M.decoded(model, flat, sizes)[0].as_py() == library.decode(ids), ids
 
 
+def test_bytes_that_are_cut_off_decode_as_in_the_library():
+    """Every first byte with every way to go on: one to four bytes, valid or cut off, between letters."""
+    model, library = M.load(PATH), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    byte = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+    tails = [[], [0x80], [0xBF], [0x90], [0x9F, 0x80], [0xA0, 0x80], [0x8F, 0xBF], [0x90, 0x80, 0x80], [0x80, 0x80, 0x80], [0xC3], [0x41]]
+    for head in range(0x80, 0x100):
+        for tail in tails:
+            for ids in ([byte[b] for b in (head, *tail)], [264, *(byte[b] for b in (head, *tail)), 264]):
+                flat, sizes = M.np.array(ids, M.np.int64), M.np.array([len(ids)])
+                assert M.decoded(model, flat, sizes)[0].as_py() == library.decode(ids), (head, tail)
+
+
 def test_words_with_several_ranks_out_of_order():
     """A model whose pieces need later pieces: merging is done plainly, and still equals the library."""
     made = proto(M.BPE)

@@ -82,7 +82,7 @@ def test_encoding_turns_its_ids_back(spark, documents):
 
 def test_registered_queries(spark):
     names = [n for n in contract.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries() and SQL.keys() <= contract.oracle_sql().keys()
 
 
