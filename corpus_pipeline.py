@@ -9,7 +9,8 @@
 Every stage takes the session, the documents it works on and the folder of the tables. All but the
 last return the columns of their documents, whatever these are; only ``text`` and ``n_chars``, the
 number of its characters, change. Nulls, empty texts, repeated rows and empty tables pass as each
-operator says; documents of a null id are kept by near-dedup, and of rows that share an id one stays.
+operator says; documents of a null id are kept by near-dedup, and of rows that share an id the one with the
+smallest text stays.
 """
 
 from __future__ import annotations
@@ -40,6 +41,11 @@ def _unpacked(packed: DataFrame, docs: DataFrame) -> DataFrame:
     return packed.select(*columns)
 
 
+def _sorts(docs: DataFrame, name: str) -> bool:
+    """Whether a column can be put in order, which maps cannot."""
+    return "map<" not in docs.schema[name].dataType.simpleString() and "variant" not in docs.schema[name].dataType.simpleString()
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     model = quality_of_documents(spark, sf_dir, docs)
@@ -56,7 +62,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if repeated.isEmpty():
         return kept
     named, nameless = kept.where("doc_id is not null"), kept.where("doc_id is null")
-    return named.dropDuplicates(["doc_id"]).union(nameless)
+    # Of rows of one id the one with the smallest text stays, and of equal texts the smallest in the order of the columns.
+    rest = [F.struct(F.col(quoted(c)).isNull(), F.col(quoted(c))) for c in docs.columns if c not in ("doc_id", "text") and _sorts(docs, c)]
+    smallest = F.min_by(F.struct(*[quoted(c) for c in docs.columns]), F.struct(F.col("text").isNull(), "text", *rest)).alias("row")
+    return named.groupBy("doc_id").agg(smallest).select("row.*").union(nameless)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
