@@ -17,6 +17,7 @@ every text is ``und``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,29 @@ def _scripts(data: np.ndarray, start: np.ndarray) -> np.ndarray:
     return np.where(a < 0xF0, SCRIPT_OF[point >> 4], 0)
 
 
+@cache
+def _is_letter() -> np.ndarray:
+    """Whether each code point is a letter, up to the last one that is."""
+    flags = np.array([chr(c).isalpha() for c in range(0x110000)])
+    return flags[:np.flatnonzero(flags)[-1] + 2]
+
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Running count of letters: ``out[b] - out[a]`` is the number of those that begin in bytes a to b."""
+    flags = np.zeros(len(data) + 1, np.int64)
+    flags[1:] = (data | 0x20) - ord("a") < 26
+    wide = np.flatnonzero(data >= 0xC0)
+    if len(wide):
+        padded = np.append(data, np.zeros(3, np.uint8)).astype(np.int64)
+        a, b, c, d = (padded[wide + k] & 0x3F for k in range(4))
+        lead = padded[wide]
+        point = np.where(lead < 0xE0, (a & 0x1F) << 6 | b, np.where(lead < 0xF0, (a & 0x0F) << 12 | b << 6 | c,
+                                                                      (a & 0x07) << 18 | b << 12 | c << 6 | d))
+        table = _is_letter()
+        flags[wide + 1] = table[np.minimum(point, len(table) - 1)]
+    return np.cumsum(flags)
+
+
 class WordRuns:
     """Words of a slice and the table places of their byte runs, a boundary on either side included."""
 
@@ -234,25 +258,20 @@ def identify(df: DataFrame, text: str, model: LanguageModel, penalty: float = 12
         own = LanguageModel(*sent.value)
         limit = max(1 << 16, SLICE * 4 // max(4, len(own.languages)))
 
-        def judged(part: Texts, values: pa.Array) -> tuple[list, list, list]:
+        def judged(part: Texts) -> tuple[list, list, list]:
             rows, labels = len(part), max(1, len(own.languages))
             runs = WordRuns(part, own.buckets or 1)
             found = runs.found
             begins = np.searchsorted(found.row, np.arange(rows + 1))
-            ascii_letters = np.zeros(rows, bool)
-            letters = found.end - found.start
-            lead = part.data[found.start] < 0x80 if len(found.start) else np.zeros(0, bool)
-            ascii_letters[found.row[lead]] = True
-            for row in np.flatnonzero((np.diff(begins) > 0) & ~ascii_letters):
-                ascii_letters[row] = any(c.isalpha() for c in values[part.first + int(row)].as_py())
-            if not own.languages:
-                ascii_letters[:] = False
+            running = _letters(part.data)
+            letters = running[found.end] - running[found.start]
+            lettered = (np.diff(running[part.bounds]) > 0) & bool(own.languages)
             label = viterbi(word_scores(runs, own, floor), begins, penalty) if own.languages else np.zeros(len(letters), np.int16)
             total = np.bincount(found.row * labels + label, letters, rows * labels).reshape(rows, labels)
             winner = total.argmax(axis=1)
             share = total.max(axis=1) / np.maximum(1, total.sum(axis=1))
-            names = [own.languages[w] if ok else UNDETERMINED for w, ok in zip(winner, ascii_letters, strict=True)]
-            shares = np.where(ascii_letters, share, 0.0).tolist()
+            names = [own.languages[w] if ok else UNDETERMINED for w, ok in zip(winner, lettered, strict=True)]
+            shares = np.where(lettered, share, 0.0).tolist()
             if not spans:
                 return names, shares, []
             points = np.zeros(len(part.data) + 1, np.int64)
@@ -262,7 +281,7 @@ def identify(df: DataFrame, text: str, model: LanguageModel, penalty: float = 12
             out: list[list[dict]] = [[] for _ in range(rows)]
             for a, b in zip(change.tolist(), stop.tolist(), strict=False):
                 row = int(found.row[a])
-                if ascii_letters[row]:
+                if lettered[row]:
                     base = points[part.bounds[row]]
                     out[row].append({"start": int(points[found.start[a]] - base), "stop": int(points[found.end[b - 1]] - base),
                                      "lang": own.languages[label[a]]})
@@ -271,7 +290,7 @@ def identify(df: DataFrame, text: str, model: LanguageModel, penalty: float = 12
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
             names, shares, found = [], [], []
             for part in slices(batch.column(text), limit):
-                for all_, new in zip((names, shares, found), judged(part, batch.column(text)), strict=True):
+                for all_, new in zip((names, shares, found), judged(part), strict=True):
                     all_ += new
             kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("lang", pa.string())]))
             return [pa.array(names, pa.string()), pa.array(shares, pa.float64()), *([pa.array(found, kind)] if spans else [])]

@@ -88,17 +88,19 @@ def format_pairs(df: DataFrame, chosen: str, rejected: str, template: Template =
     good = F.coalesce(column(df, chosen).cast(TURNS), F.array().cast(TURNS))
     bad = F.coalesce(column(df, rejected).cast(TURNS), F.array().cast(TURNS))
     gone = {chosen.lower(), rejected.lower(), *RESULTS}
-    kept = [column(df, c) for c in df.columns if c.lower() not in gone]
-    parts = df.select(*kept, good.alias("__good"), bad.alias("__bad"), common_prefix(good, bad).alias("prompt_turns"))
-    after = [F.slice(c, F.col("prompt_turns") + 1, F.size(c)).alias(c) for c in ("__good", "__bad")]
-    cut = parts.select(*[parts[f"`{c}`"] for c in parts.columns if not c.startswith("__")],
-                       rendered(F.slice("__good", 1, F.col("prompt_turns")), template).alias("prompt"), *after)
-    shown = cut.select(*[cut[f"`{c}`"] for c in cut.columns if not c.startswith("__")],
+    kept = [c for c in df.columns if c.lower() not in gone]
+    # All other columns travel as one, so that none can clash with a name used here.
+    rest = [F.struct(*[column(df, c) for c in kept]).alias("rest")] if kept else []
+    parts = df.select(*rest, good.alias("good"), bad.alias("bad"), common_prefix(good, bad).alias("prompt_turns"))
+    after = [F.slice(c, F.col("prompt_turns") + 1, F.size(c)).alias(c) for c in ("good", "bad")]
+    own = ["rest"] if kept else []
+    cut = parts.select(*own, "prompt_turns", rendered(F.slice("good", 1, F.col("prompt_turns")), template).alias("prompt"), *after)
+    shown = cut.select(*own, "prompt_turns", "prompt",
                        *[f(F.col(c), template).alias(f"{name}_{what}")
-                         for c, name in (("__good", "chosen"), ("__bad", "rejected"))
+                         for c, name in (("good", "chosen"), ("bad", "rejected"))
                          for f, what in ((rendered, "completion"), (scored_ranges, "ranges"))])
     usable = (F.size("chosen_ranges") > 0) & (F.size("rejected_ranges") > 0) & (F.col("chosen_completion") != F.col("rejected_completion"))
-    return shown.withColumn("usable", usable)
+    return shown.select(*[F.col("rest")[c].alias(c) for c in kept], *RESULTS[:-1], usable.alias("usable"))
 
 
 def conversations(turns: DataFrame, conversation: str, turn: str, role: str, text: str) -> DataFrame:

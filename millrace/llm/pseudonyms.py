@@ -9,7 +9,8 @@ key can turn the texts back (``reverse=True``). As in any permutation, a value c
 for a format of n values the chance is 1/n.
 
 Formats: e-mail addresses (the local part), payment card numbers (Luhn), IBANs (mod 97), US social
-security numbers, phone numbers (all but the country code), IPv4 addresses, calendar dates from 1900
+security numbers, phone numbers (all but the country code; without one only if area code and exchange
+begin with 2 to 9, or behind a word such as "phone"), IPv4 addresses (not behind a word such as "version"), calendar dates from 1900
 to 2099 (any of ISO, alone or before ``T`` and a time, day.month.year and month/day/year, or
 day/month/year where the first part is above 12) and secrets in assignments such as ``token = "..."``
 or ``CLIENT_SECRET=...``. Days above 12 stay above 12, so that slashed dates are read the same way
@@ -68,6 +69,10 @@ NUMBER = re.compile(
     r"|\+[0-9]{1,3}(?:[ -]?(?:\([0-9]{1,4}\)|[0-9]{2,4})){2,4}|\+[0-9]{7,15})(?!\w|\.[0-9])))"
 )
 DIGIT = re.compile("[0-9]")
+#: What may stand before a number that is no address, and before one that is a phone number whatever its digits.
+VERSION_WORD = re.compile(r"(?i)(?<![a-z])(?:v|ver|version|release|build|section|chapter|rev|revision)[ .:#-]{0,3}$")
+PHONE_WORD = re.compile(r"(?i)(?<![a-z])(?:phone|telephone|tel|mobile|cell|fax|call|whatsapp)(?: ?(?:number|no))?[ .:#(-]{0,3}$")
+CUE_REACH = 24
 SECRET_WORD = re.compile("(?i)token|secret|passw|key")
 WORTH_A_SEARCH = r"[0-9@]|(?i:token|secret|passw|key)[^\n]{0,16}[=:]"
 
@@ -181,16 +186,31 @@ def _ssn(found: str, permute: Permutation) -> str | None:
     return _refilled(found, f"{permute(number, 10 ** 9, 'ssn', _ssn_valid):09d}", DIGITS)
 
 
-def _phone(found: str, permute: Permutation) -> str | None:
+def _dialled(number: int) -> bool:
+    """Whether area code and exchange of a number of ten digits can be: neither begins with 0 or 1."""
+    return number // 10 ** 9 > 1 and number // 10 ** 6 % 10 > 1
+
+
+def _phone(found: str, permute: Permutation, before: str = "") -> str | None:
     digits = _digits(found)
-    country = (1 if digits[0] in "17" else 2) if found.startswith("+") else 0
+    country = (1 if digits[0] in "17" else 2) if found.startswith("+") else len(digits) - 10
     n = len(digits) - country
     if not 7 <= len(digits) <= 15 or n < 6:
         return None
-    return _refilled(found, digits[:country] + f"{permute(int(digits[country:]), 10 ** n, f'phone:{n}'):0{n}d}", DIGITS)
-
-
-def _ipv4(found: str, permute: Permutation) -> str:
+    number = int(digits[country:])
+    if found.startswith("+"):
+        made = permute(number, 10 ** n, f"phone:{n}")
+    else:
+        own = _dialled(number)
+        if not own and not PHONE_WORD.search(before):
+            return None
+        made = permute(number, 10 ** n, f"phone:{n}:{own}", lambda other: _dialled(other) == own)
+    return _refilled(found, digits[:country] + f"{made:0{n}d}", DIGITS)
+
+
+def _ipv4(found: str, permute: Permutation, before: str = "") -> str | None:
+    if VERSION_WORD.search(before):
+        return None
     number = int.from_bytes(bytes(map(int, found.split("."))), "big")
     return ".".join(map(str, permute(number, 1 << 32, "ipv4").to_bytes(4, "big")))
 
@@ -240,6 +260,7 @@ def _secret(found: str, permute: Permutation) -> str:
 
 MAKERS = {"email": _email, "secret": _secret, "iban": _iban, "date": _date, "ipv4": _ipv4, "ssn": _ssn, "card": _card,
           "phone": _phone}
+WITH_CUES = ("phone", "ipv4")
 
 
 def replaced(text: str, permute: Permutation, kinds: tuple[str, ...] = KINDS) -> tuple[str, list[str]]:
@@ -248,7 +269,10 @@ def replaced(text: str, permute: Permutation, kinds: tuple[str, ...] = KINDS) ->
     for line in text.split("\n"):
         at, parts = 0, []
         for start, end, kind in _found(line):
-            made = MAKERS[kind](line[start:end], permute) if kind in kinds else None
+            made = None
+            if kind in kinds:
+                cue = (line[max(0, start - CUE_REACH):start],) if kind in WITH_CUES else ()
+                made = MAKERS[kind](line[start:end], permute, *cue)
             if made is not None:
                 done.append(kind)
                 parts += [line[at:start], made]

@@ -88,10 +88,10 @@ def _mask(places: tuple[int, ...]) -> int:
 
 
 def _listed(prints: DataFrame, keys: list[tuple[int, ...]]) -> DataFrame:
-    """``list``, ``value`` (the bytes in its places) and ``fingerprint``, one row for each kind of list."""
+    """``list``, ``value`` (the bytes in its places), ``fingerprint`` and ``least``, one row for each kind of list."""
     entries = F.array(*[F.struct(F.lit(i).alias("list"), F.col("fingerprint").bitwiseAND(F.lit(_mask(places))).alias("value"))
                         for i, places in enumerate(keys)])
-    return prints.select("fingerprint", F.explode(entries).alias("entry")).select("entry.list", "entry.value", "fingerprint")
+    return prints.select("fingerprint", "least", F.explode(entries).alias("entry")).select("entry.list", "entry.value", "fingerprint", "least")
 
 
 def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -161,27 +161,35 @@ def _links(lists: DataFrame, keys: list[tuple[int, ...]]) -> DataFrame:
         a, b = (np.concatenate(p) for p in zip(*found, strict=True))
         root = _roots(stop, a, b)
         moved = np.flatnonzero(root != np.arange(stop))
-        return prints[root[moved]], prints[moved]
+        return root[moved], moved
+
+    def node(batch: pa.Table, places: np.ndarray) -> pa.Array:
+        least = batch.column("least").combine_chunks().take(pa.array(places))
+        prints = batch.column("fingerprint").combine_chunks().take(pa.array(places))
+        return pa.StructArray.from_arrays([least.is_null(), least, prints], ["nameless", "least", "fingerprint"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: tuple | None = None
+        rest: pa.Table | None = None
         for batch in _with_end(batches):
-            new = None if batch is None else tuple(batch.column(i).to_numpy() for i in range(3))
-            parts = [p for p in (rest, new) if p is not None]
-            if not parts:
+            new = [] if batch is None else [pa.Table.from_batches([batch])]
+            if not new and rest is None:
                 continue
-            index, value, prints = (np.concatenate(p) for p in zip(*parts, strict=True))
+            table = pa.concat_tables([*([rest] if rest is not None else []), *new])
+            index, value, prints = (table.column(c).to_numpy() for c in ("list", "value", "fingerprint"))
             head = np.ones(len(index), bool)
             head[1:] = (np.diff(index) != 0) | (value[1:] != value[:-1])
             begins = np.flatnonzero(head)
             stop = len(index) if batch is None else int(begins[-1]) if len(begins) else 0
             if stop:
                 x, y = linked(index, prints.view(np.uint64), begins[begins < stop], stop)
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["x", "y"])
-            rest = index[stop:], value[stop:], prints[stop:]
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([node(table, x), node(table, y)], names=["x", "y"])
+            rest = table.slice(stop)
 
+    kind = lists.schema["least"].dataType.simpleString()
+    made = f"struct<nameless: boolean, least: {kind}, fingerprint: long>"
     dealt = lists.repartition("list", "value").sortWithinPartitions("list", "value")
-    return dealt.mapInArrow(tidy(compare), "x long, y long")
+    return dealt.mapInArrow(tidy(compare), f"x {made}, y {made}")
 
 
 def _with_end(batches: Iterator) -> Iterator:
@@ -190,13 +198,17 @@ def _with_end(batches: Iterator) -> Iterator:
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """Links that join all fingerprints (different ones, in column ``fingerprint``) which differ in at most two bits."""
+    """Links that join all fingerprints which differ in at most two bits.
+
+    ``prints``: different ``fingerprint``, each with ``least``, the smallest id that has it. Nodes sort by that id,
+    those without one last, so the smallest node of a component names it.
+    """
     lists = _listed(prints, SHORT_KEYS)
     long = stage(lists.groupBy("list", "value").count().where(F.col("count") > LONG_LIST).select("list", "value"), "long-lists")
     short = _links(lists.join(long, ["list", "value"], "left_anti"), SHORT_KEYS)
     if long.isEmpty():
         return short
-    members = lists.join(long, ["list", "value"], "left_semi").select("fingerprint").distinct()
+    members = lists.join(long, ["list", "value"], "left_semi").select("fingerprint", "least").distinct()
     return short.union(_links(_listed(members, LONG_KEYS), LONG_KEYS))
 
 
@@ -205,9 +217,9 @@ def near_duplicates(df: DataFrame, identity: str, text: str, size: int = SHINGLE
     base = df.select(column(df, identity).alias("id"), column(df, text).alias("text"))
     prints = stage(fingerprints(base, "text", size, drop=("text",)), "fingerprints")
     known = stage(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "known")
-    parts = stage(components(links(known.select("fingerprint")), "x", "y"), "components")
-    named = known.join(parts.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    smallest = named.where("component is not null").groupBy("component").agg(F.min("least").alias("smallest"))
-    named = named.join(smallest, "component", "left").select("fingerprint", F.coalesce("smallest", "least").alias("component_id"))
+    parts = stage(components(links(known), "x", "y"), "components")
+    moved = parts.select(F.col("node.fingerprint").alias("fingerprint"), F.col("component.least").alias("smallest"), F.lit(True).alias("linked"))
+    named = known.join(moved, "fingerprint", "left").select(
+        "fingerprint", F.when(F.col("linked"), F.col("smallest")).otherwise(F.col("least")).alias("component_id"))
     hexadecimal = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return prints.join(named, "fingerprint").select(F.col("id").alias(identity), hexadecimal.alias("fingerprint"), "component_id")

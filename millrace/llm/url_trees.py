@@ -4,12 +4,14 @@ A rule names a host and the beginning of a path; it fits that host and its subdo
 longest fitting rule decides. URLs that no rule decides are judged by boosted trees, which are
 trained from labelled URLs on their length, depth, digit ratio, entropy, parameter counts and so on,
 and on statistics of their host suffixes and first path segment (how many labelled URLs have it, and
-how many of those are blocked, drawn towards the overall share).
+how many of those are blocked, drawn towards the overall share). Labels of a URL's own host stay out of its
+statistics, when it teaches and when it is judged: hosts are dealt into folds, and the other folds are counted.
 
-Training: features are cut into bins at approximate quantiles, equal binned URLs are folded into one
-counted row, and every level of a tree is one grouping of (node, feature, bin). Only such histograms,
-bounded by nodes x features x bins, reach the driver. Trees become nested conditions, so scoring is
-one projection. All labelled rows count; nothing is sampled.
+Training: features are graded (rounded logarithms), cut into bins at exact quantiles, equal binned URLs
+are folded into one counted row, and every level of a tree is one grouping of (node, feature, bin). Only such
+histograms, bounded by nodes x features x bins, reach the driver. Gradients are added up as whole numbers, so
+the trees do not depend on how rows are dealt out. Trees become nested conditions, so scoring is one
+projection. All labelled rows count; nothing is sampled.
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path; features of a null URL are
 those of an empty text. Without labelled URLs of both kinds all scores are the share of blocked ones,
@@ -21,13 +23,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import column
 from millrace.session import stage
 
-BINS = 16
+BINS, FOLDS = 16, 5
+#: Fixed point of gradients, and digits of a graded feature.
+GRADIENT_UNIT, GRADE_DIGITS = 1 << 20, 3
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -139,7 +143,7 @@ class UrlModel:
     cuts: list[list[float]]
     base: float
     trees: list[Tree]
-    suffix_tables: dict[str, DataFrame]
+    counts: dict[str, DataFrame]  # of each part: suffix, fold (null: all), n, blocked
     share: float
 
 
@@ -153,25 +157,41 @@ class Boosting:
     suffix_weight: float = 20.0
 
 
-def _with_features(df: DataFrame, url: str, model: UrlModel, settings: Boosting) -> DataFrame:
-    """The frame with a column ``__bins``, the bin of each feature in order of the model's names."""
-    link = column(df, url)
-    named = {f"__{n}": c for n, c in parts(link).items()}
-    wide = df.withColumns({**{f"__{n}": c for n, c in lexical_features(link).items()}, **named})
-    for name, counted in model.suffix_tables.items():
-        keyed = counted.select(F.col("suffix").alias(f"__{name}"), F.col("n").alias(f"__{name}_n"), F.col("blocked").alias(f"__{name}_b"))
-        wide = wide.join(keyed, f"__{name}", "left")
-        n = F.coalesce(f"__{name}_n", F.lit(0))
-        drawn = (F.coalesce(f"__{name}_b", F.lit(0)) + settings.suffix_weight * model.share) / (n + settings.suffix_weight)
-        wide = wide.withColumns({f"__{name}_count": F.log1p(n), f"__{name}_blocked": drawn})
-    return wide
-
-
-def _binned(df: DataFrame, names: list[str], cuts: list[list[float]]) -> Column:
+def _graded(value: Column) -> Column:
+    """A feature on a scale of some thousand values, in the order it had."""
+    return F.round(F.log1p(value), GRADE_DIGITS)
+
+
+def _fold(url: Column) -> Column:
+    return F.pmod(F.xxhash64(host_of(url)), F.lit(FOLDS)).cast("int")
+
+
+def _part_counts(rows: DataFrame, name: str) -> DataFrame:
+    """How many labelled URLs have each part, and how many of them are blocked: all, and of each fold."""
+    sums = [F.sum("n").alias("n"), F.sum("blocked").alias("blocked")]
+    folds = rows.groupBy(F.col(name).alias("suffix"), "fold").agg(*sums)
+    whole = folds.groupBy("suffix").agg(*sums).select("suffix", F.lit(None).cast("int").alias("fold"), "n", "blocked")
+    return folds.union(whole)
+
+
+def _with_features(df: DataFrame, model: UrlModel, settings: Boosting) -> DataFrame:
+    """The frame with one column per feature, from its column ``link``."""
+    link = F.col("link")
+    wide = df.withColumns({**lexical_features(link), **{f"part_{n}": c for n, c in parts(link).items()}, "fold": _fold(link)})
+    for name, counted in model.counts.items():
+        keyed = counted.withColumnRenamed("suffix", f"part_{name}")
+        wide = wide.join(keyed.where("fold is null").drop("fold").toDF(f"part_{name}", "all_n", "all_b"), f"part_{name}", "left")
+        wide = wide.join(keyed.where("fold is not null").toDF(f"part_{name}", "fold", "own_n", "own_b"), [f"part_{name}", "fold"], "left")
+        n, b = (F.coalesce(f"all_{c}", F.lit(0)) - F.coalesce(f"own_{c}", F.lit(0)) for c in "nb")
+        drawn = (b + settings.suffix_weight * model.share) / (n + settings.suffix_weight)
+        wide = wide.withColumns({f"{name}_count": n.cast("double"), f"{name}_blocked": drawn}).drop("all_n", "all_b", "own_n", "own_b")
+    return wide.withColumns({n: _graded(F.col(n)) for n in model.names})
+
+
+def _binned(names: list[str], cuts: list[list[float]]) -> Column:
     bins = []
     for name, edges in zip(names, cuts, strict=True):
-        value = F.col(f"__{name}")
-        bins.append(sum(((value > F.lit(e)).cast("int") for e in edges), F.lit(0)))
+        bins.append(sum(((F.col(name) > F.lit(e)).cast("int") for e in edges), F.lit(0)))
     return F.array(*bins)
 
 
@@ -179,23 +199,34 @@ def feature_names() -> list[str]:
     return [*lexical_features(F.lit("")), *(f"{s}_{k}" for s in PARTS for k in ("count", "blocked"))]
 
 
+def _quantiles(wide: DataFrame, names: list[str]) -> list[list[float]]:
+    """For each feature its values at each BINS-th part of the rows; graded features have few values to count."""
+    values = wide.select(F.posexplode(F.array(*names)).alias("feature", "value")).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    along = Window.partitionBy("feature").orderBy("value")
+    placed = values.withColumn("upto", F.sum("n").over(along)).withColumn("whole", F.sum("n").over(Window.partitionBy("feature")))
+    steps = [F.floor(c * BINS / F.col("whole")) for c in (F.col("upto") - F.col("n"), F.col("upto"))]
+    cuts = placed.where((steps[0] < steps[1]) & (F.col("upto") < F.col("whole"))).select("feature", "value").collect()
+    return [sorted(r.value for r in cuts if r.feature == i) for i in range(len(names))]
+
+
 def train(labelled: DataFrame, url: str, blocked: str, settings: Boosting = Boosting()) -> UrlModel:
     """Model from URLs and a boolean ``blocked``; rows in which either is null teach nothing."""
-    rows = labelled.select(column(labelled, url).alias("url"), column(labelled, blocked).cast("int").alias("label")).where(
-        "url is not null and label is not null")
+    rows = labelled.select(column(labelled, url).alias("link"), column(labelled, blocked).cast("int").alias("label")).where(
+        "link is not null and label is not null")
     total = rows.agg(F.count("*").alias("n"), F.sum("label").alias("blocked")).first()
     share = (total.blocked or 0) / total.n if total.n else 0.0
     names = feature_names()
     if not 0 < share < 1:
         return UrlModel(names, [[] for _ in names], math.inf if share else -math.inf, [], {}, share)
-    hosts = rows.select("label", *[c.alias(n) for n, c in parts(F.col("url")).items()])
-    tables = {name: stage(hosts.groupBy(F.col(name).alias("suffix")).agg(F.count("*").alias("n"), F.sum("label").alias("blocked")),
-                          "suffixes") for name in PARTS}
-    model = UrlModel(names, [], math.log(share / (1 - share)), [], tables, share)
-    wide = stage(_with_features(rows, "url", model, settings).select("label", *[F.col(f"__{n}") for n in names]), "url-features")
-    edges = wide.approxQuantile([f"__{n}" for n in names], [i / BINS for i in range(1, BINS)], 0.005)
-    model.cuts = [sorted(set(e)) for e in edges]
-    folded = wide.select("label", _binned(wide, names, model.cuts).alias("bins")).groupBy("bins").agg(
+    link = F.col("link")
+    counted = rows.select(_fold(link).alias("fold"), "label", *[c.alias(n) for n, c in parts(link).items()]).groupBy("fold", *PARTS).agg(
+        F.count("*").alias("n"), F.sum("label").alias("blocked"))
+    counted = stage(counted, "url-parts")
+    counts = {name: stage(_part_counts(counted, name), "url-parts") for name in PARTS}
+    model = UrlModel(names, [], math.log(share / (1 - share)), [], counts, share)
+    wide = stage(_with_features(rows, model, settings).select("label", *names), "url-features")
+    model.cuts = _quantiles(wide, names)
+    folded = wide.select("label", _binned(names, model.cuts).alias("bins")).groupBy("bins").agg(
         F.count("*").cast("double").alias("n"), F.sum("label").cast("double").alias("y"))
     data = stage(folded.withColumn("margin", F.lit(model.base)), "url-counts")
     for number in range(settings.trees):
@@ -214,7 +245,8 @@ def _places(features: int) -> list[Column]:
 def _grown(data: DataFrame, features: int, settings: Boosting) -> Tree:
     """A tree for the gradients of the logistic loss; a level costs one grouping."""
     p = 1 / (1 + F.exp(-F.col("margin")))
-    graded = data.select("bins", (F.col("y") - F.col("n") * p).alias("g"), (F.col("n") * p * (1 - p)).alias("h"), "n")
+    whole = [F.round(v * GRADIENT_UNIT).cast("long").alias(n) for n, v in (("g", F.col("y") - F.col("n") * p), ("h", F.col("n") * p * (1 - p)))]
+    graded = data.select("bins", *whole, "n")
     tree = Tree()
     active = {1}
     for _ in range(settings.depth):
@@ -224,7 +256,7 @@ def _grown(data: DataFrame, features: int, settings: Boosting) -> Tree:
             F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n")).collect()
         grown = set()
         for at in sorted(active):
-            own = sorted((r.feature, r.bin, r.g, r.h, r.n) for r in sums if r.node == at)
+            own = sorted((r.feature, r.bin, r.g / GRADIENT_UNIT, r.h / GRADIENT_UNIT, r.n) for r in sums if r.node == at)
             split = _best_split(own, settings)
             if split:
                 tree.splits[at] = split[0]
@@ -263,23 +295,25 @@ def judge(df: DataFrame, url: str, rules: list[Rule], model: UrlModel, settings:
     """The frame with host, path, rule, the trees' score (share blocked) and verdict; such columns are replaced."""
     gone = {r.lower() for r in RESULTS}
     kept = [c for c in df.columns if c.lower() not in gone]
-    base = df.select(*[column(df, c) for c in kept], column(df, url).alias("__url"))
+    # All columns travel as one, so that none can clash with a name used here.
+    rest = [F.struct(*[column(df, c) for c in kept]).alias("rest")] if kept else []
+    base = df.select(*rest, column(df, url).alias("link"))
+    own = ["rest"] if kept else []
     if model.trees:
-        wide = _with_features(base, "__url", model, settings)
-        base = wide.select(*[wide["`" + c + "`"] for c in [*kept, "__url"]], _binned(wide, model.names, model.cuts).alias("bins"))
+        wide = _with_features(base, model, settings)
+        base = wide.select(*own, "link", _binned(model.names, model.cuts).alias("bins"))
         margin = sum((t.value(_places(len(model.names))) for t in model.trees), F.lit(model.base))
         score = 1 / (1 + F.exp(-margin))
     else:
         score = F.lit(model.share)
-    link = F.col("__url")
-    scored = base.withColumns({"host": host_of(link), "path": path_of(link), "score": score})
-    rule = rule_for(F.col("host"), F.col("path"), rules)
-    verdicts = F.lit(None).cast("string")
+    link = F.col("link")
+    scored = base.select(*own, host_of(link).alias("host"), path_of(link).alias("path"), score.alias("score"))
+    ruled = scored.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
+    verdict = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     for r in rules:
-        verdicts = F.when(F.col("rule") == r.name, r.verdict).otherwise(verdicts)
-    ruled = scored.withColumn("rule", rule)
-    ruled = ruled.withColumn("verdict", F.coalesce(verdicts, F.when(F.col("score") >= 0.5, "block").otherwise("allow")))
-    return ruled.select(*[ruled["`" + c + "`"] for c in kept], *RESULTS)
+        verdict = F.when(F.col("rule") == r.name, r.verdict).otherwise(verdict)
+    ruled = ruled.withColumn("verdict", verdict)
+    return ruled.select(*[F.col("rest")[c].alias(c) for c in kept], *RESULTS)
 
 
 def labelled_by_rules(df: DataFrame, url: str, rules: list[Rule]) -> DataFrame:

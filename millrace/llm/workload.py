@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import secrets
 import zlib
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -112,12 +114,22 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (held_out_remainder(scored, "doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
-#: Where a session keeps the key of its pseudonyms; the other is for the test tables.
-KEY_SETTING, TEST_KEY = "spark.millrace.pseudonym.key", "key of the synthetic test tables"
+#: Where a session keeps the key of its pseudonyms.
+KEY_SETTING = "spark.millrace.pseudonym.key"
+
+
+@cache
+def _random_key(application: str) -> bytes:
+    return secrets.token_bytes(32)
 
 
 def pseudonym_key(spark: SparkSession) -> bytes:
-    return (setting(spark, KEY_SETTING) or TEST_KEY).encode()
+    """The session's key; where none is set a random one, so that no pseudonym can be turned back by who reads this code.
+
+    With a random key equal values are linked within one application only.
+    """
+    key = setting(spark, KEY_SETTING)
+    return key.encode() if key else _random_key(spark.sparkContext.applicationId)
 
 
 @registered

@@ -53,6 +53,74 @@ def test_spans_of_mixed_text_and_edges(spark, docs, odd):
     assert languages.identify(odd.limit(0), "text", model).count() == 0
 
 
+def test_letters_are_counted_and_not_bytes(spark):
+    """19 Latin letters outweigh 16 Cyrillic ones, though these take 32 bytes; dashes and quotes count nothing."""
+    rows = [(i, "привет мир как дела", "ru") for i in range(20)] + [(100 + i, "hello world how are you", "en") for i in range(20)]
+    model = languages.learn(spark.createDataFrame(rows, "id long, text string, lang string"), "id", "text", "lang")
+    text = "hello world how are you" + " — “” … " * 5 + "привет мир как дела"
+    row = languages.identify(spark.createDataFrame([(text,)], "text string"), "text", model, penalty=0.5).first()
+    assert row.lang_pred == "en" and abs(row.score - 19 / 35) < 1e-9
+    flags = np.diff(languages._letters(np.frombuffer("aZ1é—字😀ß".encode(), np.uint8)))
+    assert flags.sum() == 5
+
+
+def plain_prediction(text, model, penalty=12.0, floor=8.0):
+    """Language and score of one text, word by word and byte run by byte run in plain Python."""
+    data = (text or "").encode()
+    small = bytes(c + 32 if 65 <= c <= 90 else c for c in data)
+    words, at = [], 0
+    while at < len(data):
+        stop = at
+        while stop < len(data) and (97 <= small[stop] <= 122 or small[stop] >= 128):
+            stop += 1
+        if stop > at:
+            words.append((at, stop))
+        at = stop + 1
+    best, letters = [], []
+    for a, b in words:
+        (part,) = languages.slices(languages.pa.array([text]))
+        word = bytearray(b"\0" + small[a:b] + b"\0")
+        for i in range(2, len(word)):
+            if 0x80 <= word[i] <= 0x9E and word[i] != 0x97 and word[i - 1] == 0xC3:
+                word[i] += 32
+        total = np.zeros(len(model.languages), np.float32)
+        for order, length in enumerate(languages.RUN_SIZES):
+            runs = [word[i:i + length] for i in range(max(1, len(word) - length + 1))]
+            for run in runs:
+                value = int.from_bytes(bytes(run).ljust(length, b"\0"), "big")
+                place = int(languages.mixed(np.array([value], np.uint64))[0] % np.uint64(model.buckets)) + order * model.buckets
+                total += model.table[place]
+        script = int(languages._scripts(part.data, np.array([a]))[0])
+        allowed = model.scripts[script] if model.scripts[script].any() else np.ones(len(model.languages), bool)
+        total = np.where(allowed, total, -np.inf)
+        best.append(np.maximum(total - total.max(), np.where(allowed, -floor, -2 * floor)))
+        letters.append(sum(c.isalpha() for c in data[a:b].decode()))
+    if not sum(letters):
+        return "und", 0.0
+    scores, back = best[0], []
+    for step in best[1:]:
+        top = int(scores.argmax())
+        stay = scores >= scores[top] - penalty
+        back.append([i if stay[i] else top for i in range(len(scores))])
+        scores = np.where(stay, scores, scores[top] - penalty) + step
+    label = int(scores.argmax())
+    path = [label]
+    for links in reversed(back):
+        path.append(links[path[-1]])
+    share = np.bincount(path[::-1], letters, len(model.languages))
+    return model.languages[int(share.argmax())], float(share.max() / share.sum())
+
+
+def test_predictions_agree_with_plain_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = languages.learn(docs, "doc_id", "text", "lang")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in languages.identify(docs, "text", model, spans=False).collect()}
+    for row in docs.collect():
+        if len(row.text or "") < 3_000:
+            name, score = plain_prediction(row.text, model)
+            assert found[row.doc_id][0] == name and abs(found[row.doc_id][1] - score) < 1e-6, row.doc_id
+
+
 def test_scripts_narrow_candidates(spark):
     rows = [(i, "привет мир как дела", "ru") for i in range(20)] + [(100 + i, "hello world how are you", "en") for i in range(20)]
     model = languages.learn(spark.createDataFrame(rows, "id long, text string, lang string"), "id", "text", "lang")

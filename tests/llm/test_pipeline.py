@@ -10,13 +10,21 @@ import sentencepiece
 import __spark_entry__ as contract
 import corpus_pipeline as C
 from millrace.llm import decontamination, pseudonyms
-from millrace.llm.workload import QUERIES, SQL, TEST_KEY, quality_of_documents
+from millrace.llm.workload import KEY_SETTING, QUERIES, SQL, pseudonym_key, quality_of_documents
 from millrace.llm.quality_model import _statistics_of
 from millrace.session import stage
 from tests.llm.test_near_duplicates import brute_classes
 from tools.compare import compare, oracle
 
 FOLDER = "/root/testdata/sf0.001"
+KEY = "a key of these tests"
+
+
+@pytest.fixture(autouse=True)
+def key_of_pseudonyms(spark):
+    spark.conf.set(KEY_SETTING, KEY)
+    yield
+    spark.conf.unset(KEY_SETTING)
 
 
 def test_stages_against_brute_force(spark, documents):
@@ -50,7 +58,7 @@ def test_stages_against_brute_force(spark, documents):
 
     assert any(hit(t) for t in texts[2].values()) and not any(hit(t) for t in texts[3].values())
     assert all(texts[3][k] == t for k, t in texts[2].items() if not hit(t))
-    permute = pseudonyms.Permutation(TEST_KEY.encode())
+    permute = pseudonyms.Permutation(KEY.encode())
     assert texts[4] == {k: pseudonyms.replaced(t, permute)[0] for k, t in texts[3].items()}
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     assert {r.doc_id: r.token_ids for r in docs.collect()} == {k: library.encode(t) for k, t in texts[4].items()}
@@ -70,6 +78,23 @@ def test_stages_take_odd_tables(spark, odd):
         assert work(spark, odd.limit(0), FOLDER).count() == 0
 
 
+def test_of_rows_of_one_id_the_smallest_text_stays(spark):
+    schema = "doc_id long, text string, lang string"
+    rows = [(1, "zebra one two three four five", "b"), (1, "apple one two three four five six", "c"), (1, "apple one two three four five six", "a"),
+            (2, "something else that stands alone here", "x"), (2, None, "y"), (3, None, "q"), (3, None, None)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, schema).repartition(3)
+        assert sorted(map(tuple, C.near_dedup(spark, docs, FOLDER).collect())) == [
+            (1, "apple one two three four five six", "a"), (2, "something else that stands alone here", "x"), (3, None, "q")]
+
+
+def test_without_a_key_a_random_one_is_used(spark, documents):
+    spark.conf.unset(KEY_SETTING)
+    assert len(pseudonym_key(spark)) == 32 and pseudonym_key(spark) == pseudonym_key(spark)
+    spark.conf.set(KEY_SETTING, KEY)
+    assert pseudonym_key(spark) == KEY.encode()
+
+
 def test_encoding_turns_its_ids_back(spark, documents):
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     docs = documents.limit(50).selectExpr("doc_id", "text", "n_chars", "'mine' as round_trip")

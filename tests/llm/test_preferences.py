@@ -60,3 +60,16 @@ def test_pairs_of_conversations(spark):
 def test_columns_of_the_same_names_are_replaced(spark):
     df = spark.createDataFrame([(1, [turn("user", "a")], [turn("user", "b")], "mine")], f"usable int, c {T}, r {T}, prompt string")
     assert P.format_pairs(df, "c", "r").columns == list(P.RESULTS)
+
+
+def test_columns_of_any_name_and_long_turns(spark):
+    turn = [("user", "q"), ("assistant", "a" * 200_000)]
+    other = [("user", "q"), ("assistant", "b")]
+    df = spark.createDataFrame([(1, 2, 3, turn, other)], "__x int, rest int, good int, chosen array<struct<role: string, text: string>>, "
+                                                       "rejected array<struct<role: string, text: string>>")
+    made = P.format_pairs(df, "chosen", "rejected")
+    row = made.first()
+    assert made.columns == ["__x", "rest", "good", *P.RESULTS] and tuple(row)[:4] == (1, 2, 3, 1)
+    assert len(row.chosen_completion) > 200_000 and row.usable
+    only = P.format_pairs(df.select("chosen", "rejected"), "chosen", "rejected")
+    assert only.columns == list(P.RESULTS) and only.first().usable
