@@ -16,7 +16,7 @@ from millrace.functions.dates import add_units
 from millrace.functions.text import slug
 from millrace.literals import moment
 from millrace.operators.neighbours import COPIES, NEXT, with_next
-from millrace.operators.relations import differences, repeat_rows
+from millrace.operators.relations import differences, differences_by_bucket, repeat_rows
 
 # --- checks of single rows ------------------------------------------------------------------
 
@@ -154,6 +154,7 @@ def _counts_side_by_side(df: DataFrame, other: DataFrame, group_by, left: str, r
     return a.join(b, same, "full").select(*columns, left, right)
 
 
+# How the failures of a check are counted, here and below.
 EQUAL_ROWCOUNT_FAILURES = "sum(coalesce(diff_count, 0))"
 
 
@@ -189,9 +190,14 @@ def _or_zero(name: str, strict: bool) -> Column:
 EQUALITY_FAILURES = "count(*) + abs(count_if(which_diff = 'a_minus_b') - count_if(which_diff = 'b_minus_a'))"
 
 
-def equality(df: DataFrame, other: DataFrame, columns: list[str] | None = None, strict: bool = False) -> DataFrame:
-    """Rows only one of the tables has. Duplicates are ignored unless ``strict``."""
-    return differences(df, other, columns, multiset=strict)
+def equality(df: DataFrame, other: DataFrame, columns: list[str] | None = None, strict: bool = False,
+             by_bucket: bool = False) -> DataFrame:
+    """Rows only one of the tables has. Duplicates are ignored unless ``strict``.
+
+    ``by_bucket`` is for tables that should be equal: checksums of buckets are compared first, and only rows of
+    buckets that differ are shuffled.
+    """
+    return (differences_by_bucket if by_bucket else differences)(df, other, columns, multiset=strict)
 
 
 def cardinality_equality(df: DataFrame, column: str, other: DataFrame, field: str) -> DataFrame:
@@ -229,7 +235,7 @@ def columns_match_set(df: DataFrame, expected: Iterable[str], transform: str = "
 
 # --- checks of neighbouring rows ------------------------------------------------------------
 
-# How the end of a range may relate to the start of the next one, and the name of that test.
+# How the end of a range may relate to the start of the next one, and the name of that test.
 GAP_RULES = {
     "not_allowed": (lambda end, start: end == start, "equal_to"),
     "allowed": (lambda end, start: end <= start, "less_than_or_equal_to"),

@@ -99,6 +99,12 @@ def qc_equality_strict(t):
     return q.equality(*_perturbed(t), strict=True)
 
 
+@query("qc_equality_buckets", EQUALITY.format(all="ALL"))
+def qc_equality_buckets(t):
+    """As above, with only the rows of differing buckets shuffled."""
+    return q.equality(*_perturbed(t), strict=True, by_bucket=True)
+
+
 @query("qc_cardinality", """
 WITH a AS (SELECT c_nationkey AS v, count(*) AS n FROM customer GROUP BY 1),
 b AS (SELECT s_nationkey AS v, count(*) AS n FROM supplier GROUP BY 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.plans.incremental import newer_than_any
-from millrace.plans.maintenance import compact, stale_files
+from millrace.plans.maintenance import compact, compact_small, file_listing, stale_files
 from millrace.session import new_path
 from millrace.sinks import append_partitioned, as_table, as_view, overwrite, write_incremental
 from millrace.sources.feed import ENVELOPE
@@ -190,6 +190,18 @@ def compact_partitioned(t):
     return compact(t.spark, small, merged, ["event_type"], exact_check=True)
 
 
+@query("compact_selective", "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
+def compact_selective(t):
+    """Per folder one large file and many small ones, of which only the small ones are rewritten."""
+    mixed, merged = new_path(t.spark, "mixed"), new_path(t.spark, "merged")
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
+    old = F.pmod(F.col("l_orderkey"), F.lit(4)) > 0
+    rows.where(old).repartition("l_returnflag").write.partitionBy("l_returnflag").parquet(mixed)
+    rows.where(~old).repartition(16).write.mode("append").partitionBy("l_returnflag").parquet(mixed)
+    largest = file_listing(t.spark, mixed).agg(F.max("length")).first()[0]
+    return compact_small(t.spark, mixed, merged, ["l_returnflag"], target_bytes=largest, small_bytes=largest // 4)
+
+
 @query("stale_files", "SELECT DISTINCT event_type FROM events")
 def stale(t):
     """A table compacted into a new version: every folder of the old version holds stale files."""
