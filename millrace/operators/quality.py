@@ -117,8 +117,8 @@ def not_constant(df: DataFrame, column: str, group_by=()) -> DataFrame:
 
 
 def not_null_proportion(df: DataFrame, column: str, at_least: float, at_most: float = 1, group_by=()) -> DataFrame:
-    """Groups whose share of non-NULL values lies outside the bounds."""
-    share = (F.count(named(df, column)) / F.count(F.lit(1))).alias("not_null_proportion")
+    """Groups whose share of non-NULL values lies outside the bounds; an empty table has no share and passes."""
+    share = F.try_divide(F.count(named(df, column)), F.count(F.lit(1))).alias("not_null_proportion")
     shares = df.groupBy(*_keys(df, group_by)).agg(share)
     return shares.where((F.col("not_null_proportion") < at_least) | (F.col("not_null_proportion") > at_most))
 

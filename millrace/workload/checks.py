@@ -8,7 +8,18 @@ from pyspark.sql import functions as F
 
 from millrace.functions import truncate_to
 from millrace.operators import quality as q
-from millrace.operators.suite import Rating, RowCheck, TableCheck, run_checks
+from millrace.operators.suite import (
+    Rating,
+    RowCheck,
+    TableCheck,
+    at_least_one_check,
+    equal_rowcount_check,
+    fewer_rows_check,
+    not_constant_check,
+    not_null_proportion_check,
+    recency_check,
+    run_checks,
+)
 from millrace.workload.registry import query
 
 # --- row counts -----------------------------------------------------------------------------
@@ -369,6 +380,12 @@ UNION ALL SELECT 'lines unique', (SELECT count(*) FROM (
 UNION ALL SELECT 'as many orders as lines', (SELECT abs((SELECT count(*) FROM orders) - (SELECT count(*) FROM lineitem))), 'warn'
 UNION ALL SELECT 'order columns', 2, 'error'
 UNION ALL SELECT 'must find something', (SELECT count(*) FROM orders WHERE o_orderstatus = 'P'), 'pass'
+UNION ALL SELECT 'more lines than orders', (SELECT CASE WHEN o > l THEN o - l WHEN o = l THEN 1 ELSE 0 END FROM
+  (SELECT count(*) AS o FROM orders), (SELECT count(*) AS l FROM lineitem)), 'pass'
+UNION ALL SELECT 'a price', 0, 'pass'
+UNION ALL SELECT 'one flag', (SELECT CASE WHEN min(l_returnflag) = max(l_returnflag) THEN 1 ELSE 0 END FROM lineitem), 'pass'
+UNION ALL SELECT 'open orders', (SELECT CASE WHEN count(nullif(o_orderstatus, 'O')) / count(*) < 0.9 THEN 1 ELSE 0 END FROM orders), 'warn'
+UNION ALL SELECT 'orders of late', 1, 'error'
 """)
 def qc_suite(t):
     lines, orders = t.lineitem, t.orders
@@ -379,10 +396,15 @@ def qc_suite(t):
         RowCheck("order key set", orders, F.col("o_orderkey").isNull()),
         TableCheck("order keys unique", q.unique(orders, "o_orderkey")),
         TableCheck("lines unique", q.unique_combination_of_columns(lines, ["l_orderkey", "l_linenumber"])),
-        TableCheck("as many orders as lines", q.equal_rowcount(orders, lines), q.EQUAL_ROWCOUNT_FAILURES,
-                   Rating(error_if="< 0", warn_if="> 0")),
+        equal_rowcount_check("as many orders as lines", orders, lines, Rating(error_if="< 0", warn_if="> 0")),
         TableCheck("order columns", q.columns_match_set(
             orders, ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_priority"])),
         TableCheck("must find something", q.assert_equal(orders.where("o_orderstatus = 'P'"), "o_orderstatus", F.lit("F")),
                    rating=Rating(error_if="< 1", warn_if="< 1")),
+        fewer_rows_check("more lines than orders", t.orders, t.lineitem),
+        at_least_one_check("a price", orders, "o_totalprice"),
+        not_constant_check("one flag", t.lineitem, "l_returnflag"),
+        not_null_proportion_check("open orders", orders, F.nullif("o_orderstatus", F.lit("O")), 0.9,
+                                  rating=Rating(severity="warn")),
+        recency_check("orders of late", orders, "o_orderdate", "day", 1, now=datetime(2024, 1, 1)),
     ])

@@ -7,7 +7,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import quality as q
-from millrace.operators.suite import Rating, RowCheck, TableCheck, run_checks
+from millrace.operators.suite import (
+    Rating,
+    RowCheck,
+    TableCheck,
+    at_least_one_check,
+    equal_rowcount_check,
+    fewer_rows_check,
+    not_constant_check,
+    not_null_proportion_check,
+    recency_check,
+    run_checks,
+)
 from tests.conftest import bag
 
 
@@ -214,6 +225,39 @@ def test_row_checks_share_a_scan(spark, rows, tmp_path):
     assert plan.optimizedPlan().toString().count("Relation [") == 1
 
 
+def test_row_and_measure_checks_share_a_scan_per_table(spark, rows, tmp_path):
+    """Two tables, opened twice each, with nine checks: two scans run."""
+    rows("a int, b int, d timestamp", (1, None, datetime(2024, 1, 1)), (2, 5, None)).write.parquet(f"{tmp_path}/t")
+    rows("a int", (1,), (1,), (3,)).write.parquet(f"{tmp_path}/u")
+    (t, u), (t2, u2) = [[spark.read.parquet(f"{tmp_path}/{n}") for n in "tu"] for _ in range(2)]
+    report = run_checks([
+        RowCheck("positive", t, "a <= 0"), RowCheck("set", t2, "b is null"), RowCheck("small", u, "a > 2"),
+        equal_rowcount_check("as many", t, u2), fewer_rows_check("no more", t2, u), fewer_rows_check("fewer", u, u2),
+        at_least_one_check("some b", t, "b"), not_constant_check("not one a", u2, "a"), not_constant_check("one b", t, "b"),
+        not_null_proportion_check("most b", t2, "b", 0.75), recency_check("late", t, "d", "day", 3, now=datetime(2024, 1, 3)),
+        recency_check("too late", t, "d", "day", 1, now=datetime(2024, 1, 3))])
+    assert bag(report.select("check_name", "failures")) == Counter({
+        ("positive", 0): 1, ("set", 1): 1, ("small", 1): 1, ("as many", 1): 1, ("no more", 0): 1, ("fewer", 1): 1, ("some b", 0): 1,
+        ("not one a", 0): 1, ("one b", 1): 1, ("most b", 1): 1, ("late", 0): 1, ("too late", 1): 1})
+    # Subqueries take their exchange from the table's own scan, or from one another.
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+def test_measures_agree_with_the_checks_they_stand_for(spark, rows):
+    for data in ([], [(None, None)], [(1, None)], [(1, 2), (1, None)], [(1, 2), (2, 2), (None, 2)]):
+        df, other = rows("a int, b int", *data), rows("a int, b int", (1, 1), (2, 2))
+        if not data:
+            df = other.limit(0)
+        report = {r.check_name: r.failures for r in run_checks([
+            equal_rowcount_check("equal", df, other), fewer_rows_check("fewer", df, other), at_least_one_check("some", df, "a"),
+            not_constant_check("constant", df, "b"), not_null_proportion_check("share", df, "b", 0.5)]).collect()}
+        plain = {r.check_name: r.failures for r in run_checks([
+            TableCheck("equal", q.equal_rowcount(df, other), q.EQUAL_ROWCOUNT_FAILURES),
+            TableCheck("fewer", q.fewer_rows_than(df, other), q.FEWER_ROWS_FAILURES), TableCheck("some", q.at_least_one(df, "a")),
+            TableCheck("constant", q.not_constant(df, "b")), TableCheck("share", q.not_null_proportion(df, "b", 0.5))]).collect()}
+        assert report == plain, data
+
+
 def test_columns_may_have_odd_names(rows):
     df = rows("`a.b` int, `c d` int", (1, 1), (None, 2), (3, 4))
     assert q.accepted_range(df, "a.b", 2).count() == q.not_null(df, "a.b").count() == 1
