@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,4 +78,20 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGED[staged] = path
+    return staged
+
+
+#: Paths of staged tables, as long as the frames that ``stage`` returned are in use.
+_STAGED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete tables that ``stage`` made and nothing will read again: all that was made of them is written itself."""
+    for df in staged:
+        path = _STAGED.pop(df, None)
+        if path:
+            context = df.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
