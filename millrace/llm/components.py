@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import stage
+from millrace.session import release, stage
 
 
 def _pointed(links: DataFrame, larger: bool) -> DataFrame:
@@ -32,7 +32,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     now = stage(now, "links")
     state = None
     while True:
-        now = stage(_pointed(_pointed(now, larger=True), larger=False), "links")
+        before, now = now, stage(_pointed(_pointed(now, larger=True), larger=False), "links")
+        release(before)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == state:
             break

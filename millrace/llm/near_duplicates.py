@@ -43,12 +43,14 @@ from pyspark.sql.pandas.types import to_arrow_type
 from millrace.llm.components import components
 from millrace.llm.frames import append, column, tidy
 from millrace.llm.words import ALPHANUMERIC, Texts, Words, mixed, occurrence, runs_of_rows, slices, windows, words
-from millrace.session import stage
+from millrace.session import release, stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
 BLOCK = 256
+#: Tasks that the members of one bucket are spread over where they meet a row of their bucket.
+SALTS = 32
 #: Rounds with drawn leaders go on while each settles at least this share of what is left apart.
 WORTH_A_ROUND = 0.2
 BLOCK_CELLS = 4096
@@ -342,14 +344,16 @@ def near_duplicates(df: DataFrame, identity: str, text: str, threshold: float =
 
     keyed = firsts.select("id", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader <> last")
-    members = stage(keyed.join(buckets.drop("last"), "key").where("id <> leader").distinct(), "members")
+    every = stage(keyed.join(buckets.drop("last"), "key").where("id <> leader"), "members")
+    members = stage(_different_buckets(every), "members")
     led = stage(members.select(F.col("leader").alias("x"), F.col("id").alias("y")).distinct(), "pairs")
     sets = cell_sets(df, identity, text, led.select(F.col("x").alias("id")).union(led.select("y")), weights)
     checked = stage(similarities(led, sets), "checked")
+    release(every, led)
     links = checked.where(F.col("similarity") >= threshold).select("x", "y")
     parts = stage(components(links, "x", "y"), "components")
 
-    apart = stage(_left_apart(members, checked, parts, threshold), "apart")
+    apart = _left_apart(members, checked, parts, threshold)
     count = apart.where("apart").count()
     if count:
         sets = stage(cell_sets(df, identity, text, apart.select("id"), weights), "cells")
@@ -358,25 +362,44 @@ def near_duplicates(df: DataFrame, identity: str, text: str, threshold: float =
         pairs = _drawn_pairs(apart, number)
         links = stage(links.union(similarities(pairs, sets).where(F.col("similarity") >= threshold).select("x", "y")), "links")
         parts = stage(components(links, "x", "y"), "components")
-        apart = stage(_left_apart(members, checked, parts, threshold), "apart")
+        old, apart = apart, _left_apart(members, checked, parts, threshold)
+        release(old)
         before, count, number = count, apart.where("apart").count(), number + 1
         if count > (1 - WORTH_A_ROUND) * before:
             break
     if count:
-        links = links.union(_links_in_blocks(apart.join(sets, "id"), threshold))
+        links = stage(links.union(_links_in_blocks(apart.join(sets, "id"), threshold)), "links")
         parts = stage(components(links, "x", "y"), "components")
+    release(members, checked, apart, sets, links)
 
     named = sketches.select("id", "print_a", "print_b").join(folded, ["print_a", "print_b"], "left")
     named = named.join(parts.withColumnRenamed("node", "first"), "first", "left")
     return named.select(F.col("id").alias(identity), F.coalesce("component", "first", "id").alias("class_id"))
 
 
+def _different_buckets(members: DataFrame) -> DataFrame:
+    """The members of one bucket of each set of members: near-duplicates share many bands, and one of these tells all.
+
+    Sets are told apart by leader, size and two 64-bit sums.
+    """
+    sums = [F.sum(F.xxhash64(*seed, "id").cast("decimal(38,0)")).alias(f"sum{i}") for i, seed in enumerate(([], [F.lit(1)]))]
+    kept = members.groupBy("key", "leader").agg(F.count("*").alias("n"), *sums).groupBy("leader", "n", "sum0", "sum1").agg(F.min("key").alias("key"))
+    return members.join(kept.select("key"), "key", "left_semi")
+
+
+def _with_key(rows: DataFrame, per_key: DataFrame) -> DataFrame:
+    """Rows of buckets joined with one row per bucket, the rows of a large bucket being spread over ``SALTS`` tasks."""
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+    copies = per_key.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", salt).join(copies, ["key", "salt"]).drop("salt")
+
+
 def _drawn_pairs(apart: DataFrame, number: int) -> DataFrame:
     """Each member that is left, with a member of its bucket drawn by a hash, if they differ in component."""
     drawn = apart.withColumn("draw", F.struct(F.xxhash64("id", "key", F.lit(number)), "id", "component"))
-    leaders = drawn.groupBy("key").agg(F.min("draw").alias("leader"))
-    pairs = apart.join(leaders, "key").where(F.col("component") != F.col("leader.component"))
-    return pairs.select(F.least("id", "leader.id").alias("x"), F.greatest("id", "leader.id").alias("y")).distinct()
+    leaders = drawn.groupBy("key").agg(F.min("draw").alias("drawn"))
+    pairs = _with_key(apart, leaders).where(F.col("component") != F.col("drawn.component"))
+    return pairs.select(F.least("id", "drawn.id").alias("x"), F.greatest("id", "drawn.id").alias("y")).distinct()
 
 
 def _left_apart(members: DataFrame, checked: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
@@ -395,6 +418,8 @@ def _left_apart(members: DataFrame, checked: DataFrame, parts: DataFrame, thresh
         (F.coalesce("own", "id") != F.coalesce("lead", "leader")).alias("apart"))
     span = rows.where("apart").groupBy("key").agg(F.min("similarity").alias("low"), F.max("similarity").alias("top"))
     close = F.col("similarity").between(F.col("low") - reach, F.col("top") + reach)
-    kept = stage(rows.join(span, "key").where(F.col("apart") | close).select("key", "id", "component", "apart"), "kept")
+    kept = stage(_with_key(rows, span).where(F.col("apart") | close).select("key", "id", "component", "apart"), "kept")
     met = kept.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return kept.join(met, "key", "left_semi")
+    left = stage(_with_key(kept, met), "apart")
+    release(kept)
+    return left

@@ -219,7 +219,8 @@ def near_duplicates(df: DataFrame, identity: str, text: str, size: int = SHINGLE
     known = stage(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "known")
     parts = stage(components(links(known), "x", "y"), "components")
     moved = parts.select(F.col("node.fingerprint").alias("fingerprint"), F.col("component.least").alias("smallest"), F.lit(True).alias("linked"))
-    named = known.join(moved, "fingerprint", "left").select(
-        "fingerprint", F.when(F.col("linked"), F.col("smallest")).otherwise(F.col("least")).alias("component_id"))
+    # Written, so that the last join has a shuffle on either side, which adaptive execution can split at a hot fingerprint.
+    named = stage(known.join(moved, "fingerprint", "left").select(
+        "fingerprint", F.when(F.col("linked"), F.col("smallest")).otherwise(F.col("least")).alias("component_id")), "named")
     hexadecimal = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return prints.join(named, "fingerprint").select(F.col("id").alias(identity), hexadecimal.alias("fingerprint"), "component_id")
