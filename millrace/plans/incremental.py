@@ -9,11 +9,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.columns import as_list, quoted
+from millrace.functions.hashes import same_to_grouping_and_hash
 from millrace.literals import constants
 from millrace.plans.kept import Kept, summary_of, summary_parts
 from millrace.session import stage
 from millrace.sinks.tables import balanced
-from millrace.sources.tables import DEFAULT_FORMAT, read_table, refresh
+from millrace.sources.tables import DEFAULT_FORMAT, read_table, read_table_if_exists, refresh
 
 # Fixed value: stands in for a NULL high-water mark.
 EARLIEST = "1900-01-01"
@@ -153,3 +154,50 @@ def current_rows(source: DataFrame, keys: list[str], stamp: str) -> DataFrame:
     latest = source.groupBy(*[quoted(k).alias(f"__{k}") for k in keys]).agg(F.max(quoted(stamp)).alias("__stamp"))
     on = reduce(operator.and_, [quoted(k) == quoted(f"__{k}") for k in keys], quoted(stamp) == F.col("__stamp"))
     return source.join(latest, on, "inner").select([quoted(c) for c in source.columns])
+
+
+@dataclass(frozen=True)
+class CurrentRows:
+    """The current rows of a source, kept in buckets of keys; a delta rewrites the buckets of its keys only.
+
+    Every merge writes the buckets it touches into a folder of its own number, and the latest folder of a bucket
+    counts. Buckets without new rows are neither read nor written. A merge that is repeated after a failure
+    reads what stood before it and replaces what it wrote. Ties and NULLs are treated as ``current_rows`` does.
+    """
+
+    path: str
+    keys: tuple[str, ...]
+    stamp: str
+    buckets: int = 64
+    fmt: str = DEFAULT_FORMAT
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[quoted(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def versions(self, spark: SparkSession, before: int | None = None) -> dict[int, int]:
+        """The latest merge of each bucket, from the names of folders; there are no more entries than buckets."""
+        names = read_table_if_exists(spark, self.path, self.fmt)
+        if names is None:
+            return {}
+        numbers = names.select(F.col("__merge").cast("int").alias("merge"), F.col("__bucket").cast("int").alias("bucket")).distinct()
+        known = numbers if before is None else numbers.where(F.col("merge") < before)
+        return {r.bucket: r.merge for r in known.groupBy("bucket").agg(F.max("merge").alias("merge")).collect()}
+
+    def rows(self, spark: SparkSession, schema, before: int | None = None, only: list[int] | None = None) -> DataFrame | None:
+        """Current rows as they stood before a merge, of some buckets if ``only`` names them; None if there are none."""
+        latest = self.versions(spark, before)
+        paths = [f"{self.path}/__merge={m}/__bucket={b}" for b, m in sorted(latest.items()) if only is None or b in only]
+        return spark.read.format(self.fmt).schema(schema).load(paths) if paths else None
+
+    def merge(self, delta: DataFrame, number: int) -> list[int]:
+        """Takes new rows in; returns the buckets they touched."""
+        if not same_to_grouping_and_hash(delta, list(self.keys)):
+            raise ValueError("keys with collated texts cannot be dealt into buckets")
+        spark, columns = delta.sparkSession, [quoted(c) for c in delta.columns]
+        touched = sorted(r.bucket for r in delta.select(self._bucket().alias("bucket")).distinct().collect())
+        standing = self.rows(spark, delta.schema, number, touched)
+        every = delta if standing is None else standing.select(columns).unionAll(delta)
+        current = current_rows(every, list(self.keys), self.stamp).withColumn("__bucket", self._bucket())
+        balanced(current, "__bucket").write.format(self.fmt).mode("overwrite").partitionBy("__bucket").save(f"{self.path}/__merge={number}")
+        refresh(spark, self.path)
+        return touched

@@ -28,22 +28,28 @@ def normal_table_type(table_type: Column) -> Column:
     return name
 
 
-def relations(spark: SparkSession, schema_pattern: str = "%") -> DataFrame:
-    """Tables and views of all matching schemas; temporary views have the empty schema name."""
-    schemas = spark.createDataFrame([(d.name,) for d in spark.catalog.listDatabases()], "name string")
-    names = [r["name"] for r in schemas.where(F.col("name").ilike(schema_pattern)).collect()]
-    listed = {
-        (".".join(t.namespace or []), t.name, t.tableType)
-        for schema in (names or [spark.catalog.currentDatabase()])
-        for t in spark.catalog.listTables(schema)
-    }
+def relations(spark: SparkSession, schema_pattern: str = "%", database: str | None = None) -> DataFrame:
+    """Tables and views of all matching schemas; temporary views have the empty schema name.
+
+    ``database`` is a catalog of the session, by default the current one. A pattern that no schema matches finds
+    nothing but temporary views.
+    """
+    catalog = "" if database is None else f"`{database.replace('`', '``')}`."
+    listed: set[tuple] = set()
+    schemas = spark.sql(f"SHOW SCHEMAS{'' if database is None else ' IN ' + catalog[:-1]}").toDF("name")
+    for row in schemas.where(F.col("name").ilike(schema_pattern)).collect():
+        name = row["name"].replace("`", "``")
+        listed |= {(".".join(t.namespace or []), t.name, t.tableType) for t in spark.catalog.listTables(f"{catalog}`{name}`")}
+    if database is None:
+        listed |= {("", t.name, t.tableType) for t in spark.catalog.listTables() if t.isTemporary}
     return spark.createDataFrame(sorted(listed), RELATIONS)
 
 
-def relations_by_pattern(spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = "") -> DataFrame:
-    """Relations whose schema and name match LIKE patterns, in any letter case, minus ``exclude``."""
+def relations_by_pattern(spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = "",
+                         database: str | None = None) -> DataFrame:
+    """Relations whose schema and name match LIKE patterns, in any letter case, minus ``exclude``; ``database`` names their catalog."""
     return (
-        relations(spark, schema_pattern)
+        relations(spark, schema_pattern, database)
         .where(F.col("table_schema").ilike(schema_pattern))
         .where(F.col("table_name").ilike(table_pattern) & ~F.col("table_name").ilike(exclude))
         .select("table_schema", "table_name", normal_table_type(F.col("table_type")).alias("table_type"))
@@ -51,9 +57,9 @@ def relations_by_pattern(spark: SparkSession, schema_pattern: str, table_pattern
     )
 
 
-def relations_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "") -> DataFrame:
+def relations_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "", database: str | None = None) -> DataFrame:
     """Relations whose name starts with ``prefix``, itself a LIKE pattern: ``_`` is any character."""
-    return relations_by_pattern(spark, schema, f"{prefix}%", exclude)
+    return relations_by_pattern(spark, schema, f"{prefix}%", exclude, database)
 
 
 def open_relations(spark: SparkSession, found: DataFrame) -> dict[str, DataFrame]:

@@ -54,6 +54,15 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str, fmt: str = DEFAUL
     return (writer.trigger(availableNow=True) if until_caught_up else writer).start(path)
 
 
+def without_repeats(rows: DataFrame, keys: list[str], stamp: str, within: str) -> DataFrame:
+    """Every message once, however often it is delivered, up to ``within`` (such as ``"2 days"``) after its time ``stamp``.
+
+    The keys seen are kept with the checkpoint of the stream, in as many parts as its shuffles have, and go when no
+    message of their time can come any more. Messages that come later than that are dropped.
+    """
+    return rows.withWatermark(stamp, within).dropDuplicatesWithinWatermark(keys)
+
+
 def load_stream(rows: DataFrame, load: Callable[[DataFrame, int], object], checkpoint: str,
                 until_caught_up: bool = False) -> StreamingQuery:
     """Hand every batch, with its number, to ``load``. After a failure a batch comes again, with the same rows and number."""

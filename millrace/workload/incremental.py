@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.plans.customers import customer_mart
+from millrace.plans.customers import customer_mart, customer_mart_of_kept, kept_customers
 from millrace.plans.incremental import Loads, current_rows, newer_than_any, newer_than_target
 from millrace.plans.kept import marks, summaries
 from millrace.plans.weather import select_nested, summarise
@@ -188,6 +188,17 @@ def whole_customer_mart(t):
     return customer_mart(people(t))
 
 
+@query("customer_mart_delta", f"WITH {MART} SELECT * FROM mart")
+def customer_mart_delta(t):
+    """The mart from current rows that three deliveries were merged into, the last one coming twice."""
+    kept, source = kept_customers(new_path(t.spark, "current"), buckets=16), people(t)
+    deliveries = ["last_update < timestamp_ntz'1997-01-01 00:00:00'", "last_update >= timestamp_ntz'1999-01-01 00:00:00' or last_update is null",
+                  "last_update >= timestamp_ntz'1997-01-01 00:00:00' and last_update < timestamp_ntz'1999-01-01 00:00:00'"]
+    for number, part in enumerate([*deliveries, deliveries[-1]]):
+        mart = customer_mart_of_kept(kept, source.where(part), min(number, 2))
+    return mart
+
+
 @query("customer_mart_incremental", f"""
 WITH {MART},
 standing AS (SELECT max(last_update) AS mark FROM mart WHERE last_update < TIMESTAMP '2000-01-01')

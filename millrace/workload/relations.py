@@ -14,6 +14,7 @@ from millrace.operators.relations import (
     differences,
     latest_per_key,
     single_value,
+    top_values,
     union_relations,
 )
 from millrace.operators.shaping import leading_columns, nullcheck, pivot, star, unpivot
@@ -72,6 +73,14 @@ def top_brands(t):
     return column_values(t.part, "p_brand", max_records=5, where="p_size > 10")
 
 
+@query("column_values_sketch", """
+SELECT l_partkey AS value FROM lineitem GROUP BY l_partkey ORDER BY count(*) DESC, l_partkey LIMIT 20
+""")
+def column_values_sketch(t):
+    """The most frequent parts, of which only candidates that a sketch names are counted and shuffled."""
+    return top_values(t.lineitem, "l_partkey", 20)
+
+
 @query("single_value", """
 SELECT 'largest' AS which, max(o_totalprice) AS value FROM orders
 UNION ALL SELECT 'missing', CASE WHEN count(*) = 0 THEN -1 ELSE max(o_totalprice) END FROM orders WHERE o_totalprice < 0
@@ -278,12 +287,11 @@ def except_both(t):
 
 
 @query("union_mixed_case", """
-SELECT n_nationkey::BIGINT AS key, n_name AS name, NULL::BIGINT AS region FROM nation
-UNION ALL SELECT r_regionkey::BIGINT, r_name, r_regionkey::BIGINT FROM region
+SELECT c_custkey AS key, c_name AS name, NULL::BIGINT AS nation FROM customer
+UNION ALL SELECT s_suppkey, s_name, s_nationkey::BIGINT FROM supplier
 """)
 def union_mixed_case(t):
     """The same column in two spellings is one column, in the first one."""
-    nations = t.nation.select(F.col("n_nationkey").cast("bigint").alias("key"), F.col("n_name").alias("name"))
-    regions = t.region.select(F.col("r_regionkey").cast("bigint").alias("KEY"), F.col("r_name").alias("Name"),
-                              F.col("r_regionkey").cast("bigint").alias("region"))
-    return union_relations({"nation": nations, "region": regions}, column_override={"REGION": "bigint"}, source_column=None)
+    customers = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    suppliers = t.supplier.select(F.col("s_suppkey").alias("KEY"), F.col("s_name").alias("Name"), F.col("s_nationkey").cast("bigint").alias("nation"))
+    return union_relations({"customer": customers, "supplier": suppliers}, column_override={"NATION": "bigint"}, source_column=None)

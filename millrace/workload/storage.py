@@ -9,8 +9,9 @@ from millrace.plans.maintenance import compact, compact_small, file_listing, sta
 from millrace.session import new_path
 from millrace.sinks import append_partitioned, as_table, as_view, overwrite, write_incremental
 from millrace.sources.feed import ENVELOPE
-from millrace.sources.tables import Source, read_json, read_seed, read_table, refresh
-from millrace.streaming.ingest import append_stream, ingest, open_files
+from millrace.sources.seeds import read_large_seed
+from millrace.sources.tables import Source, read_json, read_table, refresh
+from millrace.streaming.ingest import append_stream, ingest, open_files, without_repeats
 from millrace.workload.registry import Tables, query
 
 RECORD = "event_id bigint, event_type string, user_id bigint, value double"
@@ -68,6 +69,19 @@ def stream_restart(t):
     return read_table(t.spark, path)
 
 
+@query("stream_dedup", DECODED)
+def stream_dedup(t):
+    """A topic that delivers twice, in two runs with one checkpoint: the second also repeats what the first has seen."""
+    topic, path, checkpoint = (new_path(t.spark, name) for name in ("topic", "ingested", "checkpoint"))
+    messages = envelope(t.events)
+    early, late = messages.where(F.col("partition") < 4), messages.where(F.col("partition") >= 4)
+    for arriving in (early.unionAll(early), late.unionAll(early).unionAll(late)):
+        arriving.write.mode("append").parquet(topic)
+        once = without_repeats(open_files(t.spark, topic), ["key"], "timestamp", "60 days")
+        ingest(once, path, checkpoint, _record_schema(t), until_caught_up=True).awaitTermination()
+    return read_table(t.spark, path)
+
+
 @query("stream_files", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_files(t):
     """The table's own files, followed as a stream."""
@@ -142,35 +156,30 @@ def json_infer(t):
     return landed.select("event_id", "event_type", F.col("user.id").alias("user_id"), F.col("user.props.k").alias("k"))
 
 
-@query("csv_seed", """
-SELECT c_custkey, c_name, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment, c_acctbal,
-       'say "' || c_name || '", then' || chr(10) || 'go on' AS note FROM customer
-""")
+@query("csv_seed", "SELECT doc_id, nullif(text, '') AS text, lang, n_chars FROM documents")
 def csv_seed(t):
-    """Fields with commas, doubled quotes and line breaks between quotes, and empty ones."""
+    """Texts with commas, quotes and line breaks, read by several tasks a file."""
     path = new_path(t.spark, "seed")
-    segment = F.nullif("c_mktsegment", F.lit("BUILDING")).alias("c_mktsegment")
-    note = F.concat(F.lit('say "'), "c_name", F.lit('", then\ngo on')).alias("note")
-    seed = t.customer.select("c_custkey", "c_name", segment, "c_acctbal", note)
-    seed.write.option("header", "true").option("escape", '"').csv(path)
-    return read_seed(t.spark, path, "c_custkey bigint, c_name string, c_mktsegment string, c_acctbal double, note string")
+    seed = t.documents.select("doc_id", "text", "lang", "n_chars").coalesce(2)
+    as_is = {"header": "true", "escape": '"', "quoteAll": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    seed.write.options(**as_is).csv(path)
+    return read_large_seed(t.spark, path, seed.schema, split_bytes=1 << 19)
 
 
 @query("json_documents", """
-SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, r.r_name, CAST(n_regionkey AS BIGINT) AS n_regionkey
-FROM nation JOIN region r ON n_regionkey = r_regionkey
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderpriority FROM orders
 """)
 def json_documents(t):
-    """Documents spread over several lines, one array of them per file."""
+    """Documents spread over several lines, in arrays of a thousand, one array to a file."""
     path = new_path(t.spark, "documents")
-    nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    document = F.struct("n_nationkey", "n_name", F.struct("r_name", "n_regionkey").alias("region"))
-    pretty = F.to_json(document, {"pretty": "true"})
-    # A file for each region: one array over many lines.
-    whole = nations.groupBy("n_regionkey").agg(F.concat(F.lit("["), F.array_join(F.collect_list(pretty), ","), F.lit("]")).alias("value"))
-    whole.write.partitionBy("n_regionkey").text(path)
+    document = F.struct("o_orderkey", "o_orderstatus", F.struct("o_custkey", "o_orderpriority").alias("customer"))
+    block = F.floor(F.col("o_orderkey") / 4_000).cast("int")  # a quarter of the numbers are in use
+    pretty = t.orders.select(block.alias("block"), F.to_json(document, {"pretty": "true"}).alias("one"))
+    arrays = pretty.groupBy("block").agg(F.concat(F.lit("["), F.array_join(F.collect_list("one"), ","), F.lit("]")).alias("value"))
+    arrays.write.partitionBy("block").text(path)
     read = read_json(t.spark, path, multi_line=True)
-    return read.select("n_nationkey", "n_name", F.col("region.r_name").alias("r_name"), F.col("region.n_regionkey").alias("n_regionkey"))
+    return read.select("o_orderkey", "o_orderstatus", F.col("customer.o_custkey").alias("o_custkey"),
+                       F.col("customer.o_orderpriority").alias("o_orderpriority"))
 
 
 @query("compact", "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_shipdate FROM lineitem")

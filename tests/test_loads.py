@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.plans.incremental import Loads, newer_than_target
+from millrace.plans.customers import customer_mart_of_kept, kept_customers
+from millrace.plans.incremental import CurrentRows, Loads, current_rows, newer_than_target
 from millrace.plans.kept import Kept, marks, summaries
 from millrace.plans.weather import KEYS, kept_loads, load_stream_of_records, publish_kept, summarise
 from millrace.sources.feed import WEATHER
-from millrace.streaming.ingest import load_stream, open_files
+from millrace.streaming.ingest import append_stream, load_stream, open_files, without_repeats
 from tests.conftest import bag
 
 FEED = "k string, t string, v double"
@@ -119,3 +121,48 @@ def test_weather_records_in_runs(spark, tmp_path):
     found = publish_kept(loads)
     assert found.columns == [*KEYS, "temperature", "windspeed", "number_of_rows", "modifiedon"]
     assert bag(found) == Counter({("Belgium", "r", "Gent", 4.0, 1.0, 2, "2024-01-01 11:00"): 1})
+
+
+def test_merged_current_rows_equal_those_of_all_rows(spark, tmp_path):
+    """Five deliveries, two of them repeated; buckets without new rows stay as they are."""
+    kept = CurrentRows(str(tmp_path / "current"), ("k", "j"), "t", buckets=4)
+    every = []
+    for number in range(5):
+        draw = random.Random(number)
+        rows = [(draw.choice(["a", "b", "c", None]), draw.randrange(3), draw.choice([None, *range(9)]), draw.randrange(3)) for _ in range(12)]
+        if number == 4:
+            rows = [("a", 1, 99, 0), ("a", 1, 99, 0), ("a", 1, 98, 0)]
+        every += rows
+        delta = spark.createDataFrame(rows, "k string, j int, t int, v int")
+        before = kept.versions(spark, number)
+        for _ in range(2 if number in (1, 3) else 1):
+            touched = kept.merge(delta, number)
+        after = kept.versions(spark)
+        assert all(after[b] == m for b, m in before.items() if b not in touched)
+        whole = current_rows(spark.createDataFrame(every, delta.schema), ["k", "j"], "t")
+        assert bag(kept.rows(spark, delta.schema)) == bag(whole)
+    assert len(touched) == 1 and len(after) > 1
+    read = kept.rows(spark, delta.schema, only=touched).inputFiles()
+    assert read and all(f"__bucket={touched[0]}/" in f for f in read)
+
+
+def test_a_delivery_without_customers(spark, tmp_path):
+    schema = "first_name string, last_name string, email string, last_update timestamp_ntz, active int"
+    kept = kept_customers(str(tmp_path / "kept"))
+    mart = customer_mart_of_kept(kept, spark.createDataFrame([], schema), 0)
+    assert mart.columns == ["customer_sk", "first_name", "last_name", "last_update"] and mart.isEmpty()
+    one = spark.createDataFrame([("An", "Bo", "an@x", datetime(2024, 1, 1), 0)], schema)
+    assert customer_mart_of_kept(kept, one, 1).count() == 1
+
+
+def test_repeated_messages_are_dropped_across_runs(spark, tmp_path):
+    source, path, checkpoint = (str(tmp_path / n) for n in ("source", "out", "checkpoint"))
+    schema = "key binary, timestamp timestamp, v int"
+    stamp = datetime(2024, 1, 1)
+    first = [(bytearray(b"%d" % i), stamp + timedelta(hours=i), i) for i in range(10)]
+    second = [(bytearray(b"%d" % i), stamp + timedelta(hours=i), i) for i in range(5, 15)]
+    for rows in (first + first, second + first[7:]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        stream = open_files(spark, source, spark.createDataFrame([], schema).schema)
+        append_stream(without_repeats(stream, ["key"], "timestamp", "1 day"), path, checkpoint, until_caught_up=True).awaitTermination()
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == list(range(15))

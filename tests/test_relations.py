@@ -16,6 +16,7 @@ from millrace.operators.relations import (
     latest_per_key,
     repeat_rows,
     single_value,
+    top_values,
     union_relations,
 )
 from tests.conftest import bag
@@ -143,3 +144,21 @@ def test_names_with_dots_and_blanks(spark):
     df = spark.createDataFrame([("g", 1, 5.0), ("g", 2, 6.0)], "`a.b` string, `c d` int, `e f` double")
     assert deduplicate(df, "a.b", F.col("`c d`").desc()).collect()[0][1] == 2
     assert latest_per_key(df, "a.b", "c d").collect()[0][1] == 2
+
+
+@pytest.mark.parametrize("tracked", [1 << 16, 64])
+@pytest.mark.parametrize("values", ["few heavy", "all alike", "one only", "none"])
+def test_top_values_are_exact_whatever_the_sketch_says(spark, values, tracked):
+    """With few tracked items and even counts the bound cannot decide, and all values are counted."""
+    number = {"few heavy": F.when(F.col("id") % 3 > 0, F.col("id") % 7).otherwise(F.col("id")), "all alike": F.col("id") % 1_000,
+              "one only": F.lit(5).cast("long"), "none": F.lit(None).cast("long")}[values]
+    df = spark.range(6_000).select(number.alias("v"))
+    found = [r["value"] for r in top_values(df, "v", 5, tracked=tracked).collect()]
+    assert found == [r["value"] for r in column_values(df, "v", max_records=5).collect()]
+
+
+def test_value_lists_are_bounded_unless_asked(spark):
+    df = spark.range(20_000)
+    with pytest.raises(ValueError, match="more than"):
+        column_value_list(df, "id")
+    assert len(column_value_list(df, "id", most=None)) == 20_000
