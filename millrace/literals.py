@@ -23,14 +23,24 @@ def constants(one_row: DataFrame) -> dict[str, Column]:
     Literals let a scan skip row groups, also where several are combined by OR; subqueries combined
     that way would not. They also fix the marks before anything is appended.
     """
-    fields = one_row.schema.fields
+    return {name: F.expr(text) for name, text in literal_texts(one_row.limit(1))[0].items()}
+
+
+def literal_texts(few_rows: DataFrame) -> list[dict[str, str]]:
+    """The values of a frame of a few rows as SQL literals of the same types."""
+    fields = few_rows.schema.fields
     moments = {f.name for f in fields if isinstance(f.dataType, TimestampType)}
 
     def text(name: str) -> Column:
         return F.unix_micros(quoted(name)) if name in moments else quoted(name).cast("string")
 
-    row = one_row.select([text(f.name).alias(f.name) for f in fields]).first()
-    return {
-        f.name: F.timestamp_micros(F.lit(row[f.name])) if f.name in moments else F.lit(row[f.name]).cast(f.dataType)
-        for f in fields
-    }
+    def literal(field, value) -> str:
+        if value is None:
+            return f"cast(null as {field.dataType.simpleString()})"
+        if field.name in moments:
+            return f"timestamp_micros({value}L)"
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"cast('{escaped}' as {field.dataType.simpleString()})"
+
+    rows = few_rows.select([text(f.name).alias(f.name) for f in fields]).collect()
+    return [{f.name: literal(f, row[f.name]) for f in fields} for row in rows]

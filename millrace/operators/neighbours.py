@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.columns import quoted
+from millrace.literals import literal_texts
 from millrace.session import shuffle_partitions, stage
 
 NEXT, COPIES = "__next", "__copies"
@@ -26,6 +27,9 @@ CHUNKS_PER_PARTITION, SAMPLED_PER_CHUNK = 4, 32
 #: The sketch tracks at least so many items, and so many per partition; it finds all that hold twice 3.5 / tracked of the rows.
 TRACKED, TRACKED_PER_PARTITION, MOST_TRACKED = 10_000, 20, 1_000_000
 _SAMPLE_SPACE = 1 << 30
+#: Cuts of a table without groups that are found by conditions on literals; among more, a search in an array goes on.
+TREE_CUTS = 63
+LITERAL_TYPES = ("byte", "short", "integer", "long", "float", "double", "decimal", "date", "timestamp", "timestamp_ntz", "string", "boolean")
 
 
 def with_next(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
@@ -34,22 +38,30 @@ def with_next(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     ``__next`` is NULL on the last row of a group; NULL sorts last. Each row of the result stands for
     ``__copies`` equal ones. Rows that are equal to a sort but written differently (letter case under a
     collation, signed zeros) stay apart. The table is read once for the sketch and once for the result, and
-    once or twice more where a group is heavy; stage it first if it is expensive to make.
+    two or three times more where a group is heavy; stage it first if it is expensive to make.
     """
     rows = df.select([quoted(c) for c in group + order])
-    total, groups, values = _heavy(rows, group, order)
-    counted = _with_heavy_values_counted(rows, group + order, values)
     inside = Window.partitionBy(*[quoted(c) for c in group]).orderBy(*_ascending(order))
-    if not groups and group:
-        near = counted.withColumn(NEXT, F.lead(_values(order)).over(inside))
+    total, groups = _heavy(rows, group or order)
+    if group and not groups:
+        return rows.withColumn(NEXT, F.lead(_values(order)).over(inside)).withColumn(COPIES, F.expr("1L"))
+    # A value can only be heavy in a heavy group.
+    values = _heavy(rows.where(_hash(group).isin(groups)), group + order, total)[1] if group else groups
+    counted = _with_heavy_values_counted(rows, group + order, values)
+    first = _first_rows(rows, group, order, total, groups, values)
+    if not group and all(rows.schema[c].dataType.typeName() in LITERAL_TYPES for c in order):
+        near = _in_chunks_by_literals(counted, first, order)
     else:
-        cuts = stage(_cuts(rows, group, order, total, groups, values), "cuts")
-        near = _with_next_in_chunks(counted, cuts, group, order)
-    return _one_row_per_successor(near, group, order)
+        near = _in_chunks_by_search(counted, first, group, order)
+    return _one_row_per_successor(near, group, order) if values else near
+
+
+def _name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _hash(names: list[str]) -> Column:
-    return F.xxhash64(*[quoted(c) for c in names])
+    return F.expr(f"xxhash64({', '.join(map(_name, names))})")
 
 
 def _ascending(names: list[str]) -> list[Column]:
@@ -60,26 +72,20 @@ def _values(names: list[str]) -> Column:
     return F.struct(*[quoted(c).alias(c) for c in names])
 
 
-def _sortable(names: list[str]) -> Column:
-    """The columns as one value that sorts as they do, NULLs last."""
-    return F.struct(*[c for n in names for c in (quoted(n).isNull().alias(f"{n} is null"), quoted(n).alias(n))])
+def _sortable(names: list[str]) -> str:
+    """The columns as one value that sorts as they do, NULLs last: ``n0``, whether the first is NULL, ``v0``, its value, and so on."""
+    parts = [f"'n{i}', {_name(n)} is null, 'v{i}', {_name(n)}" for i, n in enumerate(names)]
+    return f"named_struct({', '.join(parts)})"
 
 
-def _heavy(rows: DataFrame, group: list[str], order: list[str]) -> tuple[int, list[int], list[int]]:
-    """Number of rows, and hashes of groups and of whole rows that may hold more than a partition's share."""
+def _heavy(rows: DataFrame, names: list[str], total: int | None = None) -> tuple[int, list[int]]:
+    """Number of rows, and hashes of the columns' values that may hold more than a partition's share of ``total`` rows, or of these."""
     partitions = shuffle_partitions(rows.sparkSession)
     tracked = min(MOST_TRACKED, max(TRACKED, TRACKED_PER_PARTITION * partitions))
-
-    def frequent(names: list[str]) -> Column:
-        return F.call_function("approx_top_k", _hash(names), F.lit(min(2 * partitions, tracked)), F.lit(tracked))
-
-    sketches = [frequent(group + order).alias("values"), *([frequent(group).alias("groups")] if group else [])]
-    found = rows.agg(F.count(F.lit(1)).alias("total"), *sketches).first()
-
-    def above_share(items) -> list[int]:
-        return [i.item for i in items or [] if i["count"] * partitions > found.total]
-
-    return found.total, above_share(found.groups) if group else [], above_share(found["values"])
+    sketch = f"approx_top_k(xxhash64({', '.join(map(_name, names))}), {min(2 * partitions, tracked)}, {tracked}) as items"
+    found = rows.selectExpr("count(*) as total", sketch).first()
+    whole = found.total if total is None else total
+    return found.total, [i.item for i in found["items"] or [] if i["count"] * partitions > whole]
 
 
 def _spelling(df: DataFrame, names: list[str]) -> list[Column]:
@@ -92,7 +98,7 @@ def _spelling(df: DataFrame, names: list[str]) -> list[Column]:
 def _with_heavy_values_counted(rows: DataFrame, keys: list[str], values: list[int]) -> DataFrame:
     """The rows with ``__copies``; those of the given hashes are counted, by a grouping that combines before the shuffle."""
     if not values:
-        return rows.withColumn(COPIES, F.lit(1).cast("long"))
+        return rows.withColumn(COPIES, F.expr("1L"))
     heavy = _hash(keys).isin(values)
     spelt = _spelling(rows, keys)
     counted = rows.where(heavy).groupBy(*[quoted(c) for c in keys], *spelt).agg(
@@ -101,51 +107,100 @@ def _with_heavy_values_counted(rows: DataFrame, keys: list[str], values: list[in
     return rows.where(~heavy).withColumn(COPIES, F.lit(1).cast("long")).union(counted)
 
 
-def _cuts(rows: DataFrame, group: list[str], order: list[str], total: int, groups: list[int], values: list[int]) -> DataFrame:
-    """The heavy groups, as ``__g0`` and so on, with ``__cuts``: first rows of their chunks but the first, in order.
+def _first_rows(rows: DataFrame, group: list[str], order: list[str], total: int, groups: list[int], values: list[int]) -> DataFrame:
+    """The first rows of all chunks of heavy groups but the first chunk: group and order columns, and ``__slot``, which rises with them.
 
-    Every value has the same chance to be drawn, by its hash, and weighs as often as it occurs. The table has
-    two rows per partition at most, and as many cuts as there are chunks.
+    Every value has the same chance to be drawn, by its hash, and weighs as often as it occurs. There are about
+    as many rows as chunks, whatever the size of the table.
     """
     chunks = CHUNKS_PER_PARTITION * shuffle_partitions(rows.sparkSession)
-    mine = [quoted(c) for c in group]
-    heavy = rows.where(_hash(group).isin(groups)) if group else rows
+    mine, sort = [_name(c) for c in group], ", ".join(f"{_name(c)} asc nulls last" for c in order)
     share = min(1.0, SAMPLED_PER_CHUNK * chunks / max(1, total))
-    drawn = heavy.where(F.pmod(_hash(group + order), F.lit(_SAMPLE_SPACE)) < int(share * _SAMPLE_SPACE))
+    every = f"xxhash64({', '.join(map(_name, group + order))})"
+    drawn = rows.where(f"pmod({every}, {_SAMPLE_SPACE}) < {int(share * _SAMPLE_SPACE)}")
+    if group:
+        drawn = drawn.where(_hash(group).isin(groups))
     if values:
         drawn = drawn.where(~_hash(group + order).isin(values))
-    weighed = drawn.groupBy(*mine, *[quoted(c) for c in order]).agg(F.count(F.lit(1)).alias("__weight"))
-    along = Window.partitionBy(*mine).orderBy(*_ascending(order))
-    before = F.sum("__weight").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    whole = F.sum("__weight").over(Window.partitionBy(*mine))
-    slots = F.ceil(whole / F.lit(share) * F.lit(chunks) / F.lit(max(1, total)))
-    placed = weighed.withColumn("__slot", F.floor(F.coalesce(before, F.lit(0)) * slots / whole))
-    first = placed.groupBy(*mine, "__slot").agg(F.min(_sortable(order)).alias("__cut")).where("__slot > 0")
-    cuts = first.groupBy(*mine).agg(F.sort_array(F.collect_list("__cut")).alias("__cuts"))
-    return cuts.select(*[quoted(c).alias(f"__g{i}") for i, c in enumerate(group)], "__cuts")
-
-
-def _with_next_in_chunks(rows: DataFrame, cuts: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    weighed = drawn.groupBy(*[quoted(c) for c in group + order]).agg(F.expr("count(*) as __weight"))
+    inside = f"partition by {', '.join(mine)}" if mine else ""
+    along = f"({inside} order by {sort} rows between unbounded preceding and 1 preceding)"
+    placed = weighed.selectExpr("*", f"coalesce(sum(__weight) over {along}, 0L) as __before", f"sum(__weight) over ({inside}) as __whole")
+    slots = f"ceil(__whole / {share!r}D * {chunks} / {max(1, total)})"
+    placed = placed.selectExpr("*", f"floor(__before * {slots} / __whole) as __slot")
+    first = placed.selectExpr("*", f"lag(__slot, 1, 0L) over ({inside} order by {sort}) as __last").where("__slot > __last")
+    return first.select(*[quoted(c) for c in group + order], "__slot")
+
+
+def _next_in_chunk(placed: DataFrame, marks: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """The window per chunk. Each cut also stands, marked, at the end of the chunk before it, so the window sees what comes next."""
+    inside = Window.partitionBy("__chunk", *[quoted(c) for c in group]).orderBy(*_ascending(order))
+    near = placed.unionAll(marks).withColumn(NEXT, F.lead(_values(order)).over(inside))
+    return near.where("not __mark").select(*[quoted(c) for c in group + order], NEXT, COPIES)
+
+
+def _search(cuts: str, start: str, left: int, order: list[str]) -> str:
+    """How many cuts of a sorted array do not lie behind a row, by binary search from ``start`` on among ``left`` more."""
+    steps = ", ".join(str(1 << k) for k in reversed(range(left.bit_length())))
+    return f"aggregate(array({steps}), {start}, (c, s) -> if(try_element_at({cuts}, c + s) <= {_sortable(order)}, c + s, c))" if steps else start
+
+
+def _in_chunks_by_literals(rows: DataFrame, first: DataFrame, order: list[str]) -> DataFrame:
+    """A table without groups: the cuts are literals of the plan."""
+    found = literal_texts(first.selectExpr("__slot", *[f"{_name(c)} as c{j}" for j, c in enumerate(order)]))
+    found.sort(key=lambda cut: int(cut["__slot"].split("'")[1]))
+    stride = -(-len(found) // (TREE_CUTS + 1)) or 1
+    block = f"{_block(found[stride - 1::stride], order)} * {stride}"
+    values = [[cut[f"c{j}"] for j in range(len(order))] for cut in found]
+    sortable = ", ".join("named_struct(" + ", ".join(f"'n{j}', {v} is null, 'v{j}', {v}" for j, v in enumerate(cut)) + ")" for cut in values)
+    chunk = _search(f"array({sortable})", block, stride - 1, order)
+    placed = rows.selectExpr(*map(_name, order), COPIES, f"{chunk} as __chunk", "false as __mark")
+    named = ", ".join("named_struct(" + ", ".join(f"'v{j}', {v}" for j, v in enumerate(cut)) + f", 'place', {i})" for i, cut in enumerate(values))
+    if not found:
+        return _next_in_chunk(placed, placed.limit(0), [], order)
+    marks = rows.sparkSession.range(1).selectExpr(f"inline(array({named}))").selectExpr(
+        *[f"v{j} as {_name(c)}" for j, c in enumerate(order)], f"1L as {COPIES}", "place as __chunk", "true as __mark")
+    return _next_in_chunk(placed, marks, [], order)
+
+
+def _in_chunks_by_search(rows: DataFrame, first: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Heavy groups among others: the cuts of a group come as an array, two rows per shuffle partition at most."""
+    mine = [_name(c) for c in group]
+    cuts = first.selectExpr(*[f"{c} as __g{i}" for i, c in enumerate(mine)], f"{_sortable(order)} as __cut").groupBy(
+        *[f"__g{i}" for i in range(len(group))]).agg(F.expr("sort_array(collect_list(__cut)) as __cuts"))
+    cuts = stage(cuts, "cuts")
+    left = cuts.selectExpr("max(size(__cuts))").first()[0] or 0
     if group:
         same = reduce(operator.and_, [quoted(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(group)])
-        # Two rows per shuffle partition at most, whatever the size of the table.
         dealt = rows.join(F.broadcast(cuts), same, "left")
     else:
         dealt = rows.withColumn("__cuts", cuts.select("__cuts").scalar())
-    most = cuts.agg(F.max(F.size("__cuts"))).first()[0] or 0
-    steps = [1 << k for k in reversed(range(int(most).bit_length()))]
-    key = _sortable(order)
-
-    def searched(chunk: Column, step: Column) -> Column:
-        """One step of a binary search: the number of cuts known not to lie behind the row."""
-        return F.when(F.try_element_at("__cuts", chunk + step) <= key, chunk + step).otherwise(chunk)
-
-    chunk = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), searched) if steps else F.lit(0)
-    dealt = dealt.withColumn("__chunk", F.when(F.col("__cuts").isNull(), 0).otherwise(chunk))
-    inside = Window.partitionBy("__chunk", *[quoted(c) for c in group]).orderBy(*_ascending(order))
-    after = F.try_element_at("__cuts", F.col("__chunk") + 1)
-    across = F.when(after.isNotNull(), F.struct(*[after.getField(n).alias(n) for n in order]))
-    return dealt.withColumn(NEXT, F.coalesce(F.lead(_values(order)).over(inside), across))
+    chunk = f"if(__cuts is null, 0, {_search('__cuts', '0', left, order)})"
+    placed = dealt.selectExpr(*mine, *map(_name, order), COPIES, f"{chunk} as __chunk", "false as __mark")
+    marks = cuts.selectExpr("*", "posexplode(__cuts) as (__place, __cut)").selectExpr(
+        *[f"__g{i} as {c}" for i, c in enumerate(mine)], *[f"__cut.v{j} as {_name(c)}" for j, c in enumerate(order)],
+        f"1L as {COPIES}", "__place as __chunk", "true as __mark")
+    return _next_in_chunk(placed, marks, group, order)
+
+
+def _block(cuts: list[dict[str, str]], order: list[str]) -> str:
+    """How many of the cuts do not lie behind a row, as nested conditions on literals."""
+
+    def before(cut: dict[str, str]) -> str:
+        out = "false"
+        for j, name in reversed(list(enumerate(map(_name, order)))):
+            value = cut[f"c{j}"]
+            less = f"coalesce({name} < {value}, {name} is not null and {value} is null)"
+            out = f"({less} or ({name} <=> {value} and {out}))" if out != "false" else less
+        return out
+
+    def tree(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        middle = (low + high) // 2
+        return f"if({before(cuts[middle])}, {tree(low, middle)}, {tree(middle + 1, high)})"
+
+    return tree(0, len(cuts))
 
 
 def _one_row_per_successor(near: DataFrame, group: list[str], order: list[str]) -> DataFrame:

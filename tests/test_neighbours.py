@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import Window, functions as F
 
+from millrace.operators import neighbours
 from millrace.operators.neighbours import COPIES, NEXT, with_next
 from millrace.operators.quality import mutually_exclusive_ranges, sequential_values
 from millrace.operators.relations import repeat_rows
@@ -57,6 +58,21 @@ def test_next_row_without_groups(spark):
     assert Counter((r[0], None if r[NEXT] is None else tuple(r[NEXT])) for r in found.collect()) == followers(data, 0)
 
 
+@pytest.mark.parametrize("kind", ["int", "double", "string", "date", "timestamp", "timestamp_ntz", "decimal(9,2)", "array<int>"])
+def test_cuts_of_any_type_with_few_conditions(spark, monkeypatch, kind):
+    """More cuts than conditions on literals, so that the search in the array goes on; NULLs and quotes among the values."""
+    monkeypatch.setattr(neighbours, "TREE_CUTS", 3)
+    base = spark.range(400).select(F.pmod(F.hash("id"), F.lit(150)).alias("n"))
+    value = {"date": "date_add(date'2024-01-01', n)", "timestamp": "timestamp_seconds(n * 3601)", "array<int>": "array(n % 7, n)",
+             "timestamp_ntz": "cast(timestamp_seconds(n * 3601) as timestamp_ntz)",
+             "string": "concat(n, ' it\\'s \\\\ x')", "double": "if(n = 3, double('NaN'), n / 7)"}.get(kind, f"cast(n as {kind})")
+    df = base.selectExpr(f"if(n % 10 = 0, null, {value}) as x")
+    window = Window.orderBy(F.col("x").asc_nulls_last())
+    expected = bag(df.select(F.col("x").cast("string").alias("x"), F.lead(F.struct("x")).over(window).cast("string").alias("y")))
+    found = single_rows(with_next(df, [], ["x"]))
+    assert bag(found.select(F.col("x").cast("string").alias("x"), F.col(NEXT).cast("string").alias("y"))) == expected
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "g string, x int")
     assert with_next(df, ["g"], ["x"]).isEmpty()
