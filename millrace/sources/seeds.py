@@ -3,21 +3,17 @@
 A task that starts in the middle of a file cannot see whether it starts inside quotes, so Spark gives such files to one
 task each. Here the files are read as lines, by as many tasks as their size asks for. The quotes of each split are
 counted, and the sum over the splits before it tells whether a split starts inside quotes: a doubled quote counts two
-and changes nothing. From there each task puts lines together to records. Only what reaches over the edge of a split
-is sent anywhere, and joined.
+and changes nothing. From there the lines of each split are put together to records, one split to a task at most;
+what reaches over the edge of a split is joined afterwards.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 #: What a piece of a record is: all of it, its beginning, or what follows a beginning in an earlier split.
-WHOLE, BEGINNING, CONTINUED = 0, 2, 1
-PIECES = "file string, start long, place long, kind int, record string"
+WHOLE, CONTINUED, BEGINNING = 0, 1, 2
 
 # How the fields of a seed are written.
 FIELD_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""}
@@ -27,42 +23,6 @@ def _quotes(line) -> F.Column:
     return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], inside: dict[str, frozenset[int]]) -> Iterator[pa.RecordBatch]:
-    """Records, and parts of records at the edges of splits, of lines that come split by split and in order."""
-    split, held, place, kind, odd = None, [], 0, WHOLE, False
-
-    def row() -> tuple:
-        return (*split, place, kind, "\n".join(held))
-
-    for batch in batches:
-        out = []
-        files, starts, lines = (batch.column(c).to_pylist() for c in ("file", "start", "line"))
-        for file, start, line in zip(files, starts, lines, strict=True):
-            if (file, start) != split:
-                if held:  # the last record of a split goes on in the next one
-                    kind = BEGINNING if kind == WHOLE else kind
-                    out.append(row())
-                split, held, place = (file, start), [], 0
-                odd = start in inside.get(file, ())
-                kind = CONTINUED if odd else WHOLE
-            held.append(line)
-            odd ^= line.count('"') & 1
-            if not odd:
-                out.append(row())
-                held, place, kind = [], place + 1, WHOLE
-        yield _batch(out)
-    if held:
-        kind = BEGINNING if kind == WHOLE else kind
-        yield _batch([row()])
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string())
-    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                      names=["file", "start", "place", "kind", "record"])
-
-
 def read_large_seed(spark: SparkSession, path: str, schema: StructType | str, split_bytes: int | None = None) -> DataFrame:
     """CSV with a header line in every file. An empty field is NULL.
 
@@ -75,15 +35,23 @@ def read_large_seed(spark: SparkSession, path: str, schema: StructType | str, sp
         own.conf.set("spark.sql.files.minPartitionNum", "1")
         own.conf.set("spark.sql.files.openCostInBytes", str(split_bytes))
     text = own.read.option("lineSep", "\n").text(path)
-    lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
-    counted = lines.groupBy("file", "start").agg(F.sum(_quotes(F.col("line"))).alias("quotes"))
-    before = F.sum("quotes").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    # One number for each split that starts inside quotes, eight bytes or so for every split_bytes of input.
-    starts: dict[str, set[int]] = {}
-    for row in counted.select("file", "start", before.alias("before")).where("before % 2 = 1").collect():
-        starts.setdefault(row.file, set()).add(row.start)
-    inside = {file: frozenset(found) for file, found in starts.items()}
-    pieces = lines.mapInArrow(lambda batches: _pieces(batches, inside), PIECES)
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"),
+                        F.monotonically_increasing_id().alias("number"))
+    split, at = ["file", "start"], Window.partitionBy("file").orderBy("start")
+    lines = lines.withColumn("quotes", _quotes(F.col("line")))
+    counted = lines.groupBy(*split).agg(F.sum("quotes").alias("own"))
+    before = F.coalesce(F.sum("own").over(at.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counted.select(*split, before.alias("opened"))
+    # Lines of a split come to its task in order, and are numbered so.
+    inside = Window.partitionBy(*split).orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = lines.join(starts, split).withColumn("after", F.col("opened") + F.sum("quotes").over(inside))
+    begins = ((F.col("after") - F.col("quotes")) % 2 == 0).cast("int")
+    placed = known.withColumn("place", F.sum(begins).over(inside))
+    pieces = placed.groupBy(*split, "place").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("number", "line"))), lambda x: x["line"]), "\n").alias("record"),
+        F.max("after").alias("after"))
+    kind = F.when(F.col("place") == 0, CONTINUED).when(F.col("after") % 2 == 1, BEGINNING).otherwise(WHOLE)
+    pieces = pieces.select(*split, "place", kind.alias("kind"), "record")
 
     whole = pieces.where(F.col("kind") == WHOLE).select("file", "start", "place", "record")
     edges = pieces.where(F.col("kind") != WHOLE)
@@ -94,9 +62,9 @@ def read_large_seed(spark: SparkSession, path: str, schema: StructType | str, sp
         F.min("start").alias("start"), F.min_by("place", F.struct("start", "kind")).alias("place"),
         F.array_join(F.transform(parts, lambda p: p["record"]), "\n").alias("record"))
     records = whole.unionAll(joined.select("file", "start", "place", "record"))
-    # The header is the first record of a file; lines may end in a carriage return, and the last one may be empty.
+    # The header is the first record of a file; records may end in a carriage return, and the last line may be empty.
     record = F.regexp_replace("record", "\r$", "")
-    fields = records.where(((F.col("start") > 0) | (F.col("place") > 0)) & (record != "")).select(
+    fields = records.where(((F.col("start") > 0) | (F.col("place") > 1)) & (record != "")).select(
         F.from_csv(record, _ddl(own, schema), FIELD_OPTIONS).alias("row"))
     return fields.select("row.*")
 
