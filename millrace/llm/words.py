@@ -66,17 +66,21 @@ class Texts(NamedTuple):
 
 @dataclass
 class Words:
-    """Words in order of rows and places: byte range, row, and number in the dictionary of ``distinct`` normalised words."""
+    """Words in order of rows and places: byte range, row, and number in the dictionary of different normalised words."""
 
     start: np.ndarray
     end: np.ndarray
     row: np.ndarray
     index: np.ndarray
-    distinct: list[bytes]
+    dictionary: pa.Array
 
     def __len__(self) -> int:
         return len(self.row)
 
+    @cached_property
+    def distinct(self) -> list[bytes]:
+        return self.dictionary.to_pylist()
+
     @cached_property
     def hash(self) -> np.ndarray:
         """64 bits of each word's normalised bytes, the same in every slice."""
@@ -129,10 +133,9 @@ def _pieces(texts: Texts, table: np.ndarray) -> Iterator[tuple[int, int]]:
 def words(texts: Texts, table: np.ndarray) -> Words:
     parts = [_words_of_piece(texts, table, at, stop) for at, stop in _pieces(texts, table)]
     if not parts:
-        return Words(*(np.empty(0, np.int64) for _ in range(4)), [])
+        return Words(*(np.empty(0, np.int64) for _ in range(4)), pa.array([], pa.large_binary()))
     start, end, flat = (np.concatenate(p) if len(parts) > 1 else p[0] for p in zip(*parts, strict=True))
-    index, distinct = numbered(flat, end - start)
-    return Words(start, end, np.searchsorted(texts.bounds, start, "right") - 1, index, distinct)
+    return Words(start, end, np.searchsorted(texts.bounds, start, "right") - 1, *numbered(flat, end - start))
 
 
 def _words_of_piece(texts: Texts, table: np.ndarray, at: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,12 +153,12 @@ def _words_of_piece(texts: Texts, table: np.ndarray, at: int, stop: int) -> tupl
     return np.flatnonzero(first) + at, np.flatnonzero(last) + 1 + at, norm[inside]
 
 
-def numbered(flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """The number of each run of bytes in a dictionary of the different ones, which are numbered as they first occur."""
+def numbered(flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The number of each run of bytes in a dictionary of the different ones, which are numbered as they first occur; and that dictionary."""
     offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
     runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
     coded = runs.dictionary_encode()
-    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    return coded.indices.to_numpy(), coded.dictionary
 
 
 class Remembered:

@@ -31,7 +31,7 @@ def test_automaton_agrees_with_brute_force(seed):
         text = [draw.choice([*letters, b"99"]) for _ in range(draw.randrange(0, 40))]
         row = D.np.zeros(len(text), D.np.int64)
         distinct = sorted(set(text))
-        words = D.Words(row, row, row, D.np.array([distinct.index(w) for w in text], D.np.int64), distinct)
+        words = D.Words(row, row, row, D.np.array([distinct.index(w) for w in text], D.np.int64), D.pa.array(distinct, D.pa.large_binary()))
         hits, found = machine.scan(words, 1)
         places = {p for a, b in hits.get(0, []) for p in range(a, b)}
         assert (places, found[0]) == brute(text, items, window)
