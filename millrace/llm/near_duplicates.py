@@ -271,25 +271,28 @@ def _forest(a: np.ndarray, b: np.ndarray, part: np.ndarray) -> list[int]:
     return out
 
 
-def _links_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
+def _links_in_blocks(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links ``x``, ``y`` that join all members of a bucket which are linked, directly or through others.
 
-    ``members``: key, id, component, apart (not in the leader's component), cells. The members of
-    a bucket are dealt into blocks of about ``BLOCK``, those apart and the others separately, and every
-    two blocks of which one at least is apart meet in one group, so a large bucket is spread over tasks.
+    ``members``: key, id, component, apart (not in the leader's component). The members of a bucket are
+    dealt into blocks of about ``BLOCK``, those apart and the others separately, and every two blocks of
+    which one at least is apart meet in one group, so a large bucket is spread over tasks; a bucket of one
+    block's size is one group. The cells of ``sets`` join the members when these are dealt.
     """
+    apart, near, one = F.count_if("apart"), F.count_if(~F.col("apart")), F.count("*") <= BLOCK
     sizes = members.groupBy("key").agg(
-        F.ceil(F.count_if("apart") / BLOCK).cast("int").alias("n_apart"),
-        F.ceil(F.count_if(~F.col("apart")) / BLOCK).cast("int").alias("n_near"))
-    dealt = members.join(sizes, "key")
+        F.when(one, 1).otherwise(F.ceil(apart / BLOCK)).cast("int").alias("n_apart"),
+        F.when(one, 0).otherwise(F.ceil(near / BLOCK)).cast("int").alias("n_near"), one.alias("one"))
+    dealt = _with_key(members, sizes)
     draw = F.xxhash64("id", "key")
-    block = F.when(F.col("apart"), F.pmod(draw, F.col("n_apart"))).otherwise(
+    block = F.when(F.col("one"), 0).when(F.col("apart"), F.pmod(draw, F.col("n_apart"))).otherwise(
         F.col("n_apart") + F.pmod(draw, F.greatest("n_near", F.lit(1)))).cast("int")
     dealt = dealt.withColumn("block", block)
     others = F.when(F.col("apart"), F.sequence(F.lit(0), F.col("n_apart") + F.col("n_near") - 1)).otherwise(
         F.sequence(F.lit(0), F.col("n_apart") - 1))
     dealt = dealt.withColumn("other", F.explode(others)).select(
-        "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "component", "cells")
+        "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "component")
+    dealt = dealt.join(sets, "id")
     kind = members.schema["id"].dataType.simpleString()
     arrow_kind = to_arrow_type(members.schema["id"].dataType)
 
@@ -368,7 +371,7 @@ def near_duplicates(df: DataFrame, identity: str, text: str, threshold: float =
         if count > (1 - WORTH_A_ROUND) * before:
             break
     if count:
-        links = stage(links.union(_links_in_blocks(apart.join(sets, "id"), threshold)), "links")
+        links = stage(links.union(_links_in_blocks(apart, sets, threshold)), "links")
         parts = stage(components(links, "x", "y"), "components")
     release(members, checked, apart, sets, links)
 
