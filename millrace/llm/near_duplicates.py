@@ -347,12 +347,11 @@ def near_duplicates(df: DataFrame, identity: str, text: str, threshold: float =
 
     keyed = firsts.select("id", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader <> last")
-    every = stage(keyed.join(buckets.drop("last"), "key").where("id <> leader"), "members")
-    members = stage(_different_buckets(every), "members")
+    members = stage(keyed.join(buckets.drop("last"), "key").where("id <> leader"), "members")
     led = stage(members.select(F.col("leader").alias("x"), F.col("id").alias("y")).distinct(), "pairs")
     sets = cell_sets(df, identity, text, led.select(F.col("x").alias("id")).union(led.select("y")), weights)
     checked = stage(similarities(led, sets), "checked")
-    release(every, led)
+    release(led)
     links = checked.where(F.col("similarity") >= threshold).select("x", "y")
     parts = stage(components(links, "x", "y"), "components")
 
@@ -380,16 +379,6 @@ def near_duplicates(df: DataFrame, identity: str, text: str, threshold: float =
     return named.select(F.col("id").alias(identity), F.coalesce("component", "first", "id").alias("class_id"))
 
 
-def _different_buckets(members: DataFrame) -> DataFrame:
-    """The members of one bucket of each set of members: near-duplicates share many bands, and one of these tells all.
-
-    Sets are told apart by leader, size and two 64-bit sums.
-    """
-    sums = [F.sum(F.xxhash64(*seed, "id").cast("decimal(38,0)")).alias(f"sum{i}") for i, seed in enumerate(([], [F.lit(1)]))]
-    kept = members.groupBy("key", "leader").agg(F.count("*").alias("n"), *sums).groupBy("leader", "n", "sum0", "sum1").agg(F.min("key").alias("key"))
-    return members.join(kept.select("key"), "key", "left_semi")
-
-
 def _with_key(rows: DataFrame, per_key: DataFrame) -> DataFrame:
     """Rows of buckets joined with one row per bucket, the rows of a large bucket being spread over ``SALTS`` tasks."""
     salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
