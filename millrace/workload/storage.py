@@ -160,7 +160,7 @@ def json_infer(t):
 def csv_seed(t):
     """Texts with commas, quotes and line breaks, read by several tasks a file."""
     path = new_path(t.spark, "seed")
-    seed = t.documents.select("doc_id", "text", "lang", "n_chars").coalesce(2)
+    seed = t.documents.select("doc_id", "text", "lang", "n_chars")  # a file for each task of the scan, however many these are
     as_is = {"header": "true", "escape": '"', "quoteAll": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     seed.write.options(**as_is).csv(path)
     return read_large_seed(t.spark, path, seed.schema, split_bytes=1 << 19)

@@ -11,6 +11,7 @@ import pytest
 
 from millrace.sources.seeds import read_large_seed
 from millrace.sources.tables import read_seed
+from millrace.workload import REGISTRY
 from tests.conftest import bag
 
 SCHEMA = "id bigint, a string, b string"
@@ -51,3 +52,13 @@ def test_files_without_records(spark, tmp_path):
     written(tmp_path / "a.csv", [])
     (tmp_path / "b.csv").write_text("")
     assert read_large_seed(spark, str(tmp_path), SCHEMA).isEmpty()
+
+
+def test_the_seed_of_a_larger_table_has_more_files(spark, tmp_path):
+    schema = "doc_id bigint, text string, lang string, n_chars bigint"
+    docs = [(i, t, "en" if i % 3 else None, len(t)) for i, t, _ in texts(5, 200)]
+    spark.createDataFrame(docs, schema).repartition(16).write.parquet(str(tmp_path / "documents.parquet"))
+    tasks = spark.read.parquet(str(tmp_path / "documents.parquet")).rdd.getNumPartitions()
+    found = REGISTRY["csv_seed"].plan(spark, str(tmp_path))
+    assert len(found.inputFiles()) == tasks > 2
+    assert bag(found) == Counter((i, t or None, lang, n) for i, t, lang, n in docs)
