@@ -8,6 +8,7 @@ from millrace.plans.incremental import newer_than_any
 from millrace.plans.maintenance import compact, compact_small, file_listing, stale_files
 from millrace.session import new_path
 from millrace.sinks import append_partitioned, as_table, as_view, overwrite, write_incremental
+from millrace.sinks.tables import balanced
 from millrace.sources.feed import ENVELOPE
 from millrace.sources.seeds import read_large_seed
 from millrace.sources.tables import Source, read_json, read_table, refresh
@@ -15,6 +16,8 @@ from millrace.streaming.ingest import append_stream, ingest, open_files, without
 from millrace.workload.registry import Tables, query
 
 RECORD = "event_id bigint, event_type string, user_id bigint, value double"
+#: Rows of a table for each set of small files that ``compact_selective`` writes.
+ROWS_A_SLIVER = 1_000_000
 
 
 def envelope(events: DataFrame) -> DataFrame:
@@ -201,12 +204,16 @@ def compact_partitioned(t):
 
 @query("compact_selective", "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
 def compact_selective(t):
-    """Per folder one large file and many small ones, of which only the small ones are rewritten."""
+    """Per folder large files and many small ones, of which only the small ones are rewritten.
+
+    A larger table has more files of either kind, not larger ones.
+    """
     mixed, merged = new_path(t.spark, "mixed"), new_path(t.spark, "merged")
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
     old = F.pmod(F.col("l_orderkey"), F.lit(4)) > 0
-    rows.where(old).repartition("l_returnflag").write.partitionBy("l_returnflag").parquet(mixed)
-    rows.where(~old).repartition(16).write.mode("append").partitionBy("l_returnflag").parquet(mixed)
+    slivers = max(16, rows.count() // ROWS_A_SLIVER)
+    balanced(rows.where(old), "l_returnflag").write.partitionBy("l_returnflag").parquet(mixed)
+    rows.where(~old).repartition(slivers).write.mode("append").partitionBy("l_returnflag").parquet(mixed)
     largest = file_listing(t.spark, mixed).agg(F.max("length")).first()[0]
     return compact_small(t.spark, mixed, merged, ["l_returnflag"], target_bytes=largest, small_bytes=largest // 4)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.operators.relations import differences, differences_by_bucket
 from millrace.plans.maintenance import compact_small, live_files, read_live, stale_files
 from millrace.sources.tables import read_table
+from millrace.workload import REGISTRY
 from tests.conftest import bag, plan_of
 
 
@@ -66,3 +67,19 @@ def test_values_of_several_spellings_are_compared_in_full(spark):
     assert bag(differences_by_bucket(a.select("v"), b.select("v"))) == bag(differences(a.select("v"), b.select("v"))) == Counter()
     a, b = (d.withColumn("k", F.col("k").cast("string collate UTF8_LCASE")) for d in (a, b))
     assert differences_by_bucket(a, b).isEmpty()
+
+
+def test_files_of_the_selective_query_do_not_grow_with_the_table(spark, tmp_path):
+    line = spark.range(240_000).select(
+        F.xxhash64("id").alias("l_orderkey"), F.hash("id").alias("l_partkey"), F.lit(1).alias("l_linenumber"), F.rand(1).alias("l_quantity"),
+        F.when(F.col("id") % 2 > 0, "N").when(F.col("id") % 4 > 0, "A").otherwise("R").alias("l_returnflag"))
+    line.repartition(16).write.parquet(str(tmp_path / "lineitem.parquet"))
+    line = spark.read.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        found = REGISTRY["compact_selective"].plan(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {f.removeprefix("file://") for f in found.inputFiles()}
+    assert max(os.stat(f).st_size for f in files) < 600_000 and len(files) > 9  # "N" has 90,000 old rows of 2 MB
+    assert bag(found) == bag(line)
