@@ -56,8 +56,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     classes = stage(near_duplicates.near_duplicates(docs, "doc_id", "text"), "classes")
-    copies = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti").select(*[quoted(c) for c in docs.columns])
+    kept = near_duplicates.without(docs, "doc_id", classes.where("doc_id <> class_id").select("doc_id"))
     repeated = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
         return kept

@@ -223,6 +223,30 @@ def cell_sets(df: DataFrame, identity: str, text: str, ids: DataFrame, weights:
     return base.withColumn("hash", F.xxhash64("id")).mapInArrow(tidy(cells), f"id {kind}, cells array<bigint>")
 
 
+def without(df: DataFrame, identity: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose id is none of ``ids`` (one column), rows of a null id among them.
+
+    Only rows that a filter of bounded size takes for one of ``ids`` are joined; all others stay where they are, so
+    that their texts are not shuffled.
+    """
+    known = ids.toDF("id").where("id is not null").distinct()
+    count = known.count()
+    if not count:
+        return df
+    bits = _id_filter(known, count)
+    sent, size = df.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes()), len(bits)
+
+    @F.pandas_udf("boolean")
+    def listed(hashes: pd.Series) -> pd.Series:
+        place = _filter_place(hashes.to_numpy(np.int64), size)
+        return pd.Series(np.frombuffer(sent.value, np.uint8)[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1 == 1)
+
+    own = column(df, identity)
+    maybe = listed(F.xxhash64(own))
+    tested = df.where(maybe)
+    return df.where(~maybe).union(tested.join(known, column(tested, identity) == known["id"], "left_anti"))
+
+
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``x``, ``y`` and the exact similarity of each pair of documents; ``x`` may stand in many pairs."""
     left = pairs.join(sets.withColumnRenamed("id", "x"), "x").withColumnRenamed("cells", "x_cells")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -13,6 +14,7 @@ from millrace.llm import decontamination, pseudonyms
 from millrace.llm.workload import KEY_SETTING, QUERIES, SQL, pseudonym_key, quality_of_documents
 from millrace.llm.quality_model import _statistics_of
 from millrace.session import stage
+from tests.conftest import bag
 from tests.llm.test_near_duplicates import brute_classes
 from tools.compare import compare, oracle
 
@@ -88,6 +90,34 @@ def test_of_rows_of_one_id_the_smallest_text_stays(spark):
             (1, "apple one two three four five six", "a"), (2, "something else that stands alone here", "x"), (3, None, "q")]
 
 
+def _sent(plan, name):
+    """Rows that the exchanges of an executed plan sent, of those with a column of that name."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _sent(plan.executedPlan(), name)
+    if kind.endswith("QueryStageExec"):
+        return _sent(plan.plan(), name)
+    below = plan.children()
+    rows = sum(_sent(below.apply(i), name) for i in range(below.size()))
+    output = plan.output()
+    if kind == "ShuffleExchangeExec" and name in [output.apply(i).name() for i in range(output.size())]:
+        rows += plan.metrics().apply("shuffleRecordsWritten").value()
+    return rows
+
+
+def test_dedup_sends_no_text_of_documents_that_are_no_copies(spark):
+    alone = [(i, " ".join(f"w{i}x{j}" for j in range(8))) for i in range(400)]
+    copies = [(1000 + i, alone[i][1]) for i in range(20)]
+    docs = stage(spark.createDataFrame([*alone, *copies, (None, alone[0][1]), (None, None)], "doc_id long, text string"), "test")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = C.near_dedup(spark, docs, FOLDER)
+        assert bag(kept) == Counter([*alone, (None, alone[0][1]), (None, None)])
+        assert 20 <= _sent(kept._jdf.queryExecution().executedPlan(), "text") <= 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_without_a_key_a_random_one_is_used(spark, documents):
     spark.conf.unset(KEY_SETTING)
     assert len(pseudonym_key(spark)) == 32 and pseudonym_key(spark) == pseudonym_key(spark)
