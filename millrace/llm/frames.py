@@ -36,12 +36,14 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def append(df: DataFrame, fields: str, make: Callable[[], BatchFunction], drop: tuple[str, ...] = ()) -> DataFrame:
+def append(df: DataFrame, fields: str, make: Callable[[], BatchFunction], drop: tuple[str, ...] = (),
+           rows: int = SLICE_ROWS) -> DataFrame:
     """The frame with the columns of the DDL string ``fields``, which a Python function makes per Arrow batch.
 
     ``make`` runs once in every task and returns that function, so that a model is loaded once per
     task. A column of the frame that has the name of a new one, in any letter case, is replaced;
-    the function still sees it. ``drop`` names input columns that the result leaves out.
+    the function still sees it. ``drop`` names input columns that the result leaves out. The function
+    sees at most ``rows`` rows at a time.
     """
     added = T.StructType.fromDDL(fields)
     gone = {n.lower() for n in (*added.names, *drop)}
@@ -50,7 +52,7 @@ def append(df: DataFrame, fields: str, make: Callable[[], BatchFunction], drop:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, len(b), SLICE_ROWS)):
+        for batch in (b.slice(at, rows) for b in batches for at in range(0, len(b), rows)):
             new = work(batch)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *new], names=schema.names)
 
@@ -68,14 +70,19 @@ def tidy(run):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-            if trim:
-                trim(0)
+            give_back()
 
     return kept_small
 
 
+def give_back() -> None:
+    """Gives freed memory back to the system, which otherwise stays with the process."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def held_out_remainder(df: DataFrame, id_column: str, parts: int):
     """crc32 of the id as text, modulo ``parts``; of null the remainder is that of the empty text."""
     return F.crc32(F.coalesce(column(df, id_column).cast("string"), F.lit("")).cast("binary")) % parts

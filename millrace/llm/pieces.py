@@ -21,6 +21,7 @@ blank that encoding puts in front. Models whose normaliser rewrites characters a
 from __future__ import annotations
 
 import codecs
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -30,12 +31,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from millrace.llm.frames import append
+from millrace.llm.frames import append, give_back
 from millrace.llm.words import Remembered, mixed, numbered, slices, words
 
 BLANK = "▁"
-SLICE = 2 << 20
-CELLS = 1 << 18
+SLICE = 1 << 20
+#: Rows encoded at a time: ids, texts and what checking takes are held beside the remembered words for so many only.
+ROWS = 512
+CELLS = 1 << 16
 WORDS_AT_ONCE = 1 << 14
 REMEMBERED_WORDS = 1 << 19
 UNIGRAM, BPE = 1, 2
@@ -384,9 +387,19 @@ class Encoder:
         self.model = model
         self.memory = Remembered(self._encoded, REMEMBERED_WORDS)
 
-    def _encoded(self, keys: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def _key(gap: int, word: bytes) -> bytes:
+        """A word and the blanks before it as bytes, which take half the memory of a pair; no word holds byte 0."""
+        return word if gap == 1 else b"%d\0%s" % (gap, word)
+
+    @staticmethod
+    def _text(key: bytes) -> str:
+        gap, mark, word = key.partition(b"\0")
+        return BLANK * (int(gap) if mark else 1) + (word if mark else gap).replace(b"\xff", b"\0").decode().replace(" ", BLANK)
+
+    def _encoded(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words with some blanks before them."""
-        texts = [BLANK * gap + word.replace(b"\xff", b"\0").decode().replace(" ", BLANK) for gap, word in keys]
+        texts = [self._text(key) for key in keys]
         if self.model.kind == BPE and not self.model.regular:
             plain = [[p[0] for p in merged(t, self.model.ranks)] for t in texts]
             flat = np.array([self.model.index.get(p, -1 - ord(p)) if len(p) == 1 else self.model.index[p] for t in plain for p in t], np.int64)
@@ -401,16 +414,16 @@ class Encoder:
         column = column.cast(pa.large_string())
         return pc.replace_substring(column, BLANK, " ") if pc.any(pc.match_substring(column, BLANK)).as_py() else column
 
-    def __call__(self, column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    def __call__(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Flat ids and number of ids per row, slice by slice."""
-        return [self._slice(part) for part in slices(self.plain(column), SLICE)]
+        return (self._slice(part) for part in slices(self.plain(column), SLICE))
 
     def _slice(self, part) -> tuple[np.ndarray, np.ndarray]:
         row, gap, index, distinct = self._units(part)
         span = int(gap.max(initial=0)) + 1
         which, pairs = pd.factorize(index.astype(np.int64) * span + gap)
         word, blanks = np.divmod(pairs, span)
-        keys = [(g, distinct[i]) for i, g in zip(word.tolist(), blanks.tolist(), strict=True)]
+        keys = [self._key(g, distinct[i]) for i, g in zip(word.tolist(), blanks.tolist(), strict=True)]
         at = self.memory.places(keys)[which]
         size = self.memory.size[at]
         return self.memory.flat[_ranges(self.memory.start[at], size)], np.bincount(row, size, len(part)).astype(np.int64)
@@ -454,20 +467,24 @@ def encode(df: DataFrame, text: str, model: PieceModel, ids: str = "token_ids",
         encoder = Encoder(sent.value)
 
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
-            values = encoder.plain(batch.column(text))
-            parts = encoder(values)
-            flat = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int32)
-            sizes = np.concatenate([p[1] for p in parts]) if parts else np.empty(0, np.int64)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            out = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))]
+            give_back()
+            values = encoder.plain(batch.column(text)).fill_null("")
+            flat, sizes, same, at = [np.empty(0, np.int32)], [np.zeros(1, np.int64)], [], 0
+            for own, size in encoder(values):
+                if verified:  # slice by slice, so that only one decoded text of a slice is held
+                    same.append(pc.equal(decoded(encoder.model, own, size), values.slice(at, len(size))))
+                    at += len(size)
+                flat.append(own.astype(np.int32, copy=False))
+                sizes.append(size)
+            offsets = np.cumsum(np.concatenate(sizes)).astype(np.int32)
+            out = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flat)))]
             if verified:
-                back = pa.chunked_array([decoded(encoder.model, *p) for p in parts], pa.large_string())
-                out.append(pc.equal(back, values.fill_null("")).combine_chunks())
+                out.append(pa.chunked_array(same, pa.bool_()).combine_chunks())
             return out
 
         return work
 
-    return append(df, f"`{ids}` array<int>" + (f", `{verified}` boolean" if verified else ""), make, drop)
+    return append(df, f"`{ids}` array<int>" + (f", `{verified}` boolean" if verified else ""), make, drop, ROWS)
 
 
 def decoded(model: PieceModel, flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
