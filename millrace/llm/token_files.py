@@ -35,6 +35,7 @@ from millrace.llm.words import SPACED, Remembered, slices, words
 BLOCK_FIELDS = ("shard int, block int, first long, size int, checksum long, payload binary, "
                 "doc_ids array<{id}>, doc_sizes array<long>")
 REMEMBERED_WORDS = 1 << 20
+WORDS_AT_ONCE = 32
 
 #: A-Z are lower-cased, as the tokenizer does.
 SPACED_LOWER = SPACED.copy()
@@ -51,17 +52,32 @@ class RememberedWords:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory = Remembered(lambda words_: self.encoded([w.decode() for w in words_]), REMEMBERED_WORDS, np.uint32)
+        self.memory = Remembered(self.encoded_words, REMEMBERED_WORDS, np.uint32, kept=REMEMBERED_WORDS // 2)
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         size = np.array([len(i) for i in ids], np.int64)
         return np.fromiter((x for i in ids for x in i), np.uint32, int(size.sum())), size
 
+    def encoded_words(self, words_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Words with blanks between them in texts of ``WORDS_AT_ONCE``; an id is of the word in which it begins."""
+        groups = [[w.decode() for w in words_[a:a + WORDS_AT_ONCE]] for a in range(0, len(words_), WORDS_AT_ONCE)]
+        encoded = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        flat, size = [], []
+        for group, e in zip(groups, encoded, strict=True):
+            ends = np.cumsum([len(w) + 1 for w in group])
+            begins = np.fromiter((first for first, _ in e.offsets), np.int64, len(e.offsets))
+            flat.append(np.array(e.ids, np.uint32))
+            size.append(np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(group)))
+        return np.concatenate(flat), np.concatenate(size)
+
     def of_slice(self, part, lower: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the rows of a slice and their number."""
         found = words(part, SPACED_LOWER if lower else SPACED)
-        at = self.memory.places([w.replace(b"\xff", b"\0") for w in found.distinct])[found.index]
+        keys = found.distinct
+        if (part.data == 0).any():
+            keys = [w.replace(b"\xff", b"\0") for w in keys]
+        at = self.memory.places(keys)[found.index]
         size = self.memory.size[at]
         return self.memory.flat[_ranges(self.memory.start[at], size)], np.bincount(found.row, size, len(part)).astype(np.int64)
 
@@ -99,7 +115,7 @@ class _Writer:
             self.next_place += size
 
     def rows(self, final: bool) -> Iterator[pa.RecordBatch]:
-        group = range_coder.LANES * range_coder.BLOCK
+        group = range_coder.GROUP * range_coder.BLOCK
         while self.count >= group or (final and self.count):
             ids = np.concatenate(self.waiting)
             now, rest = ids[:group], ids[group:]
@@ -174,8 +190,8 @@ def documents(blocks: DataFrame, fields: str, digest) -> DataFrame:
         shard, place = None, 0
         for batch in batches:
             names = names or [f.name for f in schema.fields]
-            for first in range(0, len(batch), range_coder.LANES):
-                part = batch.slice(first, range_coder.LANES)
+            for first in range(0, len(batch), range_coder.GROUP):
+                part = batch.slice(first, range_coder.GROUP)
                 rows = {n: part.column(n).to_pylist() for n in ("shard", "size", "checksum", "before", "doc_ids", "doc_sizes")}
                 coded = [range_coder.Block(p.as_py(), s, c) for p, s, c in
                          zip(part.column("payload"), rows["size"], rows["checksum"], strict=True)]

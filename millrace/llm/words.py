@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -79,7 +80,7 @@ class Words:
 
     @cached_property
     def distinct(self) -> list[bytes]:
-        return self.dictionary.to_pylist()
+        return self.dictionary.to_numpy(zero_copy_only=False).tolist()
 
     @cached_property
     def hash(self) -> np.ndarray:
@@ -162,35 +163,49 @@ def numbered(flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, pa.Array]:
 
 
 class Remembered:
-    """Ids of the words met so far in this Python worker, by their bytes; all are forgotten when there are too many.
+    """Ids of the words met so far in this Python worker, by their bytes.
 
+    When there are too many, all are forgotten but the last ``kept`` of those met again since the last time.
     ``encode`` gives the flat ids of some words, and the number of ids of each. A word is remembered by a key
     that tells it apart from all others.
     """
 
-    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most_words: int, kind: type = np.int32):
-        self.encode, self.most_words, self.kind = encode, most_words, kind
-        self._forget()
-
-    def _forget(self) -> None:
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most_words: int, kind: type = np.int32, kept: int = 0):
+        self.encode, self.most_words, self.kind, self.kept = encode, most_words, kind, kept
         self.place: dict = {}
         self.held = 0
-        self.flat = np.empty(1 << 16, self.kind)
+        self.flat = np.empty(1 << 16, kind)
         self.start, self.size = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64)
+        self.again = np.empty(1 << 12, bool)
+
+    def _forget(self) -> None:
+        words_ = list(self.place)
+        kept = np.flatnonzero(self.again[:len(words_)])
+        kept = kept[max(0, len(kept) - self.kept):]
+        ids = np.cumsum(self.size[kept][::-1])[::-1]  # of a word and all behind it
+        kept = kept[ids <= 4 * self.most_words]
+        start, size = self.start[kept], self.size[kept]
+        stops = np.cumsum(size)
+        self.place = {words_[i]: at for at, i in enumerate(kept.tolist())}
+        self.held = int(stops[-1]) if len(kept) else 0
+        self.flat = self.flat[np.repeat(start - (stops - size), size) + np.arange(self.held)]
+        self.start, self.size, self.again = stops - size, size, np.zeros(len(kept), bool)
 
     def places(self, keys: list) -> np.ndarray:
         """Where ``start`` and ``size`` have the ids of each key in ``flat``."""
         if len(self.place) + len(keys) > self.most_words or self.held > 8 * self.most_words:
             self._forget()
         place = self.place
-        out = np.array([place.get(k, -1) for k in keys], np.int64)
+        out = np.fromiter(map(place.get, keys, repeat(-1)), np.int64, len(keys))
         new = np.flatnonzero(out < 0)
+        self.again[out[out >= 0]] = True
         if len(new):
             fresh = [keys[i] for i in new.tolist()]
             flat, size = self.encode(fresh)
             n, total = len(place), self.held + len(flat)
             self.flat = _with_room(self.flat, self.held, total)
-            self.start, self.size = (_with_room(a, n, n + len(fresh)) for a in (self.start, self.size))
+            self.start, self.size, self.again = (_with_room(a, n, n + len(fresh)) for a in (self.start, self.size, self.again))
+            self.again[n:n + len(fresh)] = False
             self.flat[self.held:total] = flat
             self.start[n:n + len(fresh)] = self.held + np.cumsum(size) - size
             self.size[n:n + len(fresh)] = size
