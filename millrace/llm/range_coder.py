@@ -26,7 +26,7 @@ import numpy as np
 
 STREAMS, SECTION = 64, 1024  # the most sections of a block, and the ids each of them has if there are fewer
 BLOCK = 65536
-GROUP = 96  # blocks that are coded in step
+GROUP = 128  # blocks that are coded in step
 CHUNK = 16
 RENEWAL = 1024
 TOTAL_BITS, ZERO_BITS = 24, 16
@@ -35,7 +35,7 @@ LEVELS = 1 << LEVEL_BITS
 #: What a confidence loses when its context was wrong (first half) or gains when it was right.
 STEP = np.array([-(s + 1 >> 1) for s in range(LEVELS)] + [int(s < LEVELS - 1) for s in range(LEVELS)], np.int32)
 #: Whether an entry stays, and goes on by its step.
-KEPT = np.array([s > 1 for s in range(LEVELS)] + [s > 0 for s in range(LEVELS)])
+KEPT = np.array([s > 1 for s in range(LEVELS)] + [True] * LEVELS)
 DIGIT, UNIT = np.uint64(32), np.uint64(TOTAL_BITS)
 ONE_DIGIT, LOW_DIGIT = np.uint64(1 << 32), np.uint64((1 << 32) - 1)
 
@@ -139,11 +139,11 @@ class _Group:
         return named2, named1, share2, share1
 
     def learn(self, stop: int, renewed: bool, symbol: np.ndarray, place2: np.ndarray, place1: np.ndarray,
-              entry2: np.ndarray, entry1: np.ndarray, tried1: np.ndarray) -> None:
+              entry2: np.ndarray, entry1: np.ndarray, given1: np.ndarray) -> None:
         """Learns from the symbols of the chunk that ends at ``stop``, with the contexts' places and entries.
 
-        ``tried1`` says where order 1 had a share and order 2 was not right. Of the places that share a context,
-        the last one changes its entry.
+        ``given1`` says where order 1 had a share, which counts if order 2 was not right. Of the places that share
+        a context, the last one changes its entry.
         """
         m = self.active[stop - 1]
         lane_level = self.lane_level[:m]
@@ -152,12 +152,14 @@ class _Group:
         fresh = (symbol * LEVELS + 1).astype(np.int32)
         for order, entries, place, entry in ((0, self.entries2, place2[:, :m], entry2[:, :m]), (1, self.entries1, place1[:, :m], entry1[:, :m])):
             sure = entry & (LEVELS - 1)
-            same = entry - sure + 1 == fresh
+            same = (entry - sure + 1 == fresh) & (sure > 0)
             step = sure + same * np.int32(LEVELS)
             level = (sure + lane_level) * 2 + same
             if order:
-                level = level[tried1[:, :m]]
+                level = level[tried]
             self.tried[order] += np.bincount(level.ravel(), minlength=self.blocks * LEVELS * 2).reshape(-1, 2)
+            if not order:
+                tried = given1[:, :m] & ~same
             entries[place] = np.where(KEPT.take(step), entry + STEP.take(step), fresh)
         self._renew_rates()
         if renewed:
@@ -209,6 +211,8 @@ def encode(blocks: list[np.ndarray]) -> list[Block]:
 def _encode(blocks: list[np.ndarray]) -> list[Block]:
     sizes = np.array([len(b) for b in blocks])
     numbered = [_numbered(b) for b in blocks]
+    if max(len(own) for own, _ in numbered) > 1 << ZERO_BITS:
+        raise ValueError("a block holds too many different ids")
     group = _Group(sizes, np.array([len(own) for own, _ in numbered]), decoding=False)
     lanes, places = group.lanes, group.places
     symbols = np.zeros((lanes, places + 2), np.int32)  # with two places before the first one
@@ -247,7 +251,7 @@ def _encode(blocks: list[np.ndarray]) -> list[Block]:
         digits.reshape(-1)[(np.arange(m) * (places + 2) + used[:m])[:, None] + np.arange(most)] += added.reshape(m, most).astype(np.uint64)
         used[:m] += passed[-1]
         if stop < places:
-            group.learn(stop, renewed, symbol, place2, place1, entry2, entry1, (share1 > 0) & ~hit2)
+            group.learn(stop, renewed, symbol, place2, place1, entry2, entry1, share1 > 0)
     coded: list[list[bytes]] = [[b""] * STREAMS for _ in blocks]
     for lane, (b, stream, n) in enumerate(zip(group.block.tolist(), group.stream.tolist(), (used + 2).tolist(), strict=True)):
         low, high = (int.from_bytes(d.astype(">u4").tobytes()) for d in (digits[lane, :n] & LOW_DIGIT, digits[lane, :n] >> DIGIT))
@@ -314,13 +318,13 @@ def _decode(blocks: list[Block]) -> list[np.ndarray]:
         digits[lane, :len(own)] = own
     span = np.full(lanes, ~np.uint64(0))
     code = digits[:, 0].astype(np.uint64) << DIGIT | digits[:, 1]
-    # Where the next digit of each lane stands; behind the last one a damaged block reads zeros.
-    ahead, edge = np.arange(lanes) * digits.shape[1] + 2, np.arange(1, lanes + 1) * digits.shape[1] - 1
+    # Where the next digit of each lane stands; a damaged block may read on in the next lane's.
+    ahead = np.arange(lanes) * digits.shape[1] + 2
     digits = digits.ravel()
     symbols = np.zeros((places, lanes), np.int32)
     symbol, place2, place1 = (np.zeros((CHUNK, lanes), np.int64) for _ in range(3))
     entry2, entry1 = (np.zeros((CHUNK, lanes), np.int32) for _ in range(2))
-    tried1 = np.zeros((CHUNK, lanes), bool)
+    given1 = np.zeros((CHUNK, lanes), bool)
     older, last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     sums, found = group.sums.reshape(-1), group.found
     for first, stop, renewed in _chunks(places):
@@ -340,16 +344,15 @@ def _decode(blocks: list[Block]) -> list[np.ndarray]:
             inner <<= ZERO_BITS
             inner -= 1
             inner = (inner / rest).astype(np.int64)
-            np.minimum(inner, (1 << ZERO_BITS) - 1, out=inner)
             inner += group.lane_zero[:m]
             now = symbol[t, :m]
-            now[:] = found.take(inner)
+            now[:] = found.take(inner, mode="clip")  # beyond its block only in a damaged one
             at = group.lane_sums[:m] + now
             below = rest * sums.take(at) >> ZERO_BITS
             at += 1
             width = (rest * sums.take(at) >> ZERO_BITS) - below
             below += both
-            np.greater(share1, 0, out=tried1[t, :m])
+            np.greater(share1, 0, out=given1[t, :m])
             named = np.flatnonzero(value < both)
             if len(named):
                 own2, own1 = share2[named], share1[named]
@@ -357,20 +360,20 @@ def _decode(blocks: list[Block]) -> list[np.ndarray]:
                 now[named] = np.where(by2, named2[named], named1[named])
                 below[named] = np.where(by2, 0, own2)
                 width[named] = np.where(by2, own2, own1)
-                tried1[t, named[by2]] = False
             code[:m] -= unit * below.astype(np.uint64)
             np.multiply(unit, width.astype(np.uint64), out=span[:m])
-            ready = np.flatnonzero(span[:m] < ONE_DIGIT)
-            at = ahead[ready]
-            code[ready] = code[ready] << DIGIT | digits.take(np.minimum(at, edge[ready]))
-            ahead[ready] = at + 1
-            span[ready] <<= DIGIT
+            short = span[:m] < ONE_DIGIT
+            shift = short * DIGIT
+            code[:m] <<= shift
+            code[:m] |= digits.take(ahead[:m], mode="clip") * short
+            ahead[:m] += short
+            span[:m] <<= shift
             older, last = last, now
         n = stop - first
         symbols[first:stop] = symbol[:n]
         older, last = older.copy(), last.copy()
         if stop < places:
-            group.learn(stop, renewed, symbols[first:stop], place2[:n], place1[:n], entry2[:n], entry1[:n], tried1[:n])
+            group.learn(stop, renewed, symbols[first:stop], place2[:n], place1[:n], entry2[:n], entry1[:n], given1[:n])
     out = [np.empty(n, np.uint32) for n in sizes]
     symbols = np.ascontiguousarray(symbols.T)
     for lane, (b, first, length) in enumerate(zip(group.block.tolist(), group.first.tolist(), group.length.tolist(), strict=True)):

@@ -16,6 +16,7 @@ holds the end id only. An empty table makes no blocks.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
@@ -30,20 +31,132 @@ from pyspark.sql import types as T
 from millrace.llm import range_coder
 from millrace.llm.frames import column, tidy
 from millrace.llm.pieces import _ranges
-from millrace.llm.words import SPACED, Remembered, slices, words
+from millrace.llm.words import SPACED, _with_room, mixed, slices, words
 
 BLOCK_FIELDS = ("shard int, block int, first long, size int, checksum long, payload binary, "
                 "doc_ids array<{id}>, doc_sizes array<long>")
-REMEMBERED_WORDS = 1 << 20
+REMEMBERED_WORDS, LONGEST_REMEMBERED = 1 << 21, 64
 WORDS_AT_ONCE = 32
 
 #: A-Z are lower-cased, as the tokenizer does.
 SPACED_LOWER = SPACED.copy()
 SPACED_LOWER[ord("A"):ord("Z") + 1] += 32
 
+#: Visible ASCII characters that are no capital letters.
+PLAIN = np.zeros(256, bool)
+PLAIN[0x21:0x7F] = True
+PLAIN[ord("A"):ord("Z") + 1] = False
+
 _REMEMBERED: dict[str, RememberedWords] = {}
 
 
+class KnownWords:
+    """Ids of words by their bytes, in arrays: a few dozen bytes a word where a dict of Python values takes hundreds.
+
+    ``slots`` holds the number of a word at the first free place from its hash on. Words are the same if their
+    bytes are, whatever their hashes. All are forgotten when there are too many.
+    """
+
+    def __init__(self, most_words: int = REMEMBERED_WORDS):
+        self.most_words = most_words
+        self._forget()
+
+    def _forget(self) -> None:
+        self.count = self.held = self.spelt = 0
+        self.slots = np.full(1 << 16, -1, np.int32)
+        self.hash, self.begin, self.length = np.empty(1 << 12, np.uint64), np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int32)
+        self.start, self.size = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int32)
+        self.letters, self.flat = np.empty(1 << 16, np.uint8), np.empty(1 << 16, np.uint32)
+
+    def places(self, data: np.ndarray, bounds: np.ndarray, encode) -> np.ndarray:
+        """Where ``start`` and ``size`` have the ids in ``flat`` of different words, which are ``data`` between ``bounds``.
+
+        ``encode`` gives the flat ids of the words of some numbers, in any order, and the first place and number of each word's.
+        """
+        count, length = len(bounds) - 1, np.diff(bounds)
+        if self.count + count > self.most_words or max(self.held // 8, self.spelt // 32) > self.most_words:
+            self._forget()
+        out = np.full(count, -1, np.int64)
+        short = np.flatnonzero(length <= LONGEST_REMEMBERED)
+        begin, length = bounds[short], length[short]
+        letters = data if len(short) == count else data[_ranges(begin, length)]
+        hashed = _hashed(letters, length)
+        out[short] = self._found(hashed, letters, np.cumsum(length) - length, length)
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            flat, start, size = encode(new)
+            at = self.count + np.arange(len(new))
+            total = self.held + len(flat)
+            self.flat = _with_room(self.flat, self.held, total)
+            self.flat[self.held:total] = flat
+            self.hash, self.begin, self.length, self.start, self.size = (
+                _with_room(a, self.count, self.count + len(new)) for a in (self.hash, self.begin, self.length, self.start, self.size))
+            self.start[at], self.size[at] = self.held + start, size
+            out[new] = at
+            self.count, self.held = self.count + len(new), total
+            # Long words are encoded each time; their numbers hold for this call.
+            fresh = np.flatnonzero(np.isin(short, new, assume_unique=True))
+            self._add(out[short[fresh]], hashed[fresh], letters[_ranges((np.cumsum(length) - length)[fresh], length[fresh])], length[fresh])
+        return out
+
+    def _found(self, hashed: np.ndarray, letters: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashed), -1, np.int64)
+        mask = len(self.slots) - 1
+        open_, slot = np.arange(len(hashed)), (hashed & np.uint64(mask)).astype(np.int64)
+        while len(open_):
+            known = self.slots.take(slot)
+            taken = known >= 0
+            open_, slot, known = open_[taken], slot[taken], known[taken]
+            like = np.flatnonzero((self.hash.take(known) == hashed[open_]) & (self.length.take(known) == length[open_]))
+            same = np.zeros(len(open_), bool)
+            if len(like):
+                own, size = open_[like], length[open_[like]]
+                equal = self.letters.take(_ranges(self.begin.take(known[like]), size)) == letters.take(_ranges(begin[own], size))
+                same[like] = np.logical_and.reduceat(equal, np.cumsum(size) - size)
+            out[open_[same]] = known[same]
+            open_, slot = open_[~same], slot[~same] + 1 & mask
+        return out
+
+    def _add(self, at: np.ndarray, hashed: np.ndarray, letters: np.ndarray, length: np.ndarray) -> None:
+        total = self.spelt + len(letters)
+        self.letters = _with_room(self.letters, self.spelt, total)
+        self.letters[self.spelt:total] = letters
+        self.hash[at], self.begin[at], self.length[at] = hashed, self.spelt + np.cumsum(length) - length, length
+        self.spelt = total
+        if 2 * self.count > len(self.slots):
+            every = self.slots[self.slots >= 0]
+            self.slots = np.full(1 << int(4 * self.count).bit_length() - 1, -1, np.int32)
+            at = np.concatenate([every, at])
+        at = at.astype(np.int32)
+        mask = len(self.slots) - 1
+        slot = (self.hash.take(at) & np.uint64(mask)).astype(np.int64)
+        while len(at):
+            free = self.slots.take(slot) < 0
+            self.slots[slot[free]] = at[free]
+            left = self.slots.take(slot) != at
+            at, slot = at[left], slot[left] + 1 & mask
+
+
+def _hashed(letters: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64 bits of each word's bytes; no word is empty."""
+    if not len(length):
+        return np.empty(0, np.uint64)
+    place = np.arange(len(letters)) - np.repeat(np.cumsum(length) - length, length)
+    factor = mixed(np.arange(LONGEST_REMEMBERED, dtype=np.uint64)) | np.uint64(1)
+    parts = (letters.astype(np.uint64) + np.uint64(1)) * factor.take(place)
+    return mixed(np.add.reduceat(parts, np.cumsum(length) - length))
+
+
+def _leaves_plain_words(normalizer: dict | None) -> bool:
+    """Whether a tokenizer's normaliser certainly leaves ``PLAIN`` words with single blanks between them as they are."""
+    if normalizer is None:
+        return False
+    if normalizer["type"] == "Sequence":
+        return all(map(_leaves_plain_words, normalizer["normalizers"]))
+    blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    return normalizer["type"] in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase") or normalizer == blanks
+
+
 class RememberedWords:
     """A tokenizer with the ids of the words it has met."""
 
@@ -52,32 +165,62 @@ class RememberedWords:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory = Remembered(self.encoded_words, REMEMBERED_WORDS, np.uint32, kept=REMEMBERED_WORDS // 2)
+        # Normalising takes a quarter of the time of a word that it leaves as it is.
+        self.plain = None
+        if _leaves_plain_words(json.loads(self.tokenizer.to_str())["normalizer"]):
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer = None
+        self.memory = KnownWords()
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         size = np.array([len(i) for i in ids], np.int64)
         return np.fromiter((x for i in ids for x in i), np.uint32, int(size.sum())), size
 
-    def encoded_words(self, words_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def encoded_words(tokenizer, words_: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words with blanks between them in texts of ``WORDS_AT_ONCE``; an id is of the word in which it begins."""
-        groups = [[w.decode() for w in words_[a:a + WORDS_AT_ONCE]] for a in range(0, len(words_), WORDS_AT_ONCE)]
-        encoded = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        groups = [words_[a:a + WORDS_AT_ONCE] for a in range(0, len(words_), WORDS_AT_ONCE)]
         flat, size = [], []
-        for group, e in zip(groups, encoded, strict=True):
-            ends = np.cumsum([len(w) + 1 for w in group])
-            begins = np.fromiter((first for first, _ in e.offsets), np.int64, len(e.offsets))
-            flat.append(np.array(e.ids, np.uint32))
-            size.append(np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(group)))
-        return np.concatenate(flat), np.concatenate(size)
+        for first in range(0, len(groups), 64):
+            some = groups[first:first + 64]
+            encoded = tokenizer.encode_batch([" ".join(g) for g in some], add_special_tokens=False)
+            ends = np.cumsum([len(w) + 1 for g in some for w in g])
+            before = 0
+            begins = []
+            for group, e in zip(some, encoded, strict=True):
+                begins += [before + a for a, _ in e.offsets]
+                before += sum(map(len, group)) + len(group)
+                flat += e.ids
+            size.append(np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(ends)))
+        return np.array(flat, np.uint32), np.concatenate(size)
 
     def of_slice(self, part, lower: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the rows of a slice and their number."""
         found = words(part, SPACED_LOWER if lower else SPACED)
-        keys = found.distinct
-        if (part.data == 0).any():
-            keys = [w.replace(b"\xff", b"\0") for w in keys]
-        at = self.memory.places(keys)[found.index]
+        if not len(found):
+            return np.empty(0, np.uint32), np.zeros(len(part), np.int64)
+        _, offsets, data = found.dictionary.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[found.dictionary.offset:found.dictionary.offset + len(found.dictionary) + 1]
+        letters = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]]
+        bounds = bounds - bounds[0]
+        whole = letters.tobytes().replace(b"\xff", b"\0")
+
+        plain = np.logical_and.reduceat(PLAIN[letters], bounds[:-1]) & (self.plain is not None)
+
+        def encode(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            flat, place, size = [], [], []
+            for tokenizer, some in ((self.plain, np.flatnonzero(plain[numbers])), (self.tokenizer, np.flatnonzero(~plain[numbers]))):
+                if len(some):
+                    edges = zip(bounds[numbers[some]].tolist(), bounds[numbers[some] + 1].tolist(), strict=True)
+                    ids, count = self.encoded_words(tokenizer, [whole[a:b].decode() for a, b in edges])
+                    flat.append(ids)
+                    place.append(some)
+                    size.append(count)
+            sizes, order = np.concatenate(size), np.argsort(np.concatenate(place))
+            return np.concatenate(flat), (np.cumsum(sizes) - sizes)[order], sizes[order]
+
+        at = self.memory.places(letters, bounds, encode)[found.index]
         size = self.memory.size[at]
         return self.memory.flat[_ranges(self.memory.start[at], size)], np.bincount(found.row, size, len(part)).astype(np.int64)
 

@@ -78,3 +78,55 @@ def test_empty_table(spark, odd):
     path = new_path(spark, "tokens")
     token_files.write(odd.limit(0), "doc_id", "text", path, PATH, 2)
     assert token_files.documents(token_files.read_blocks(spark, path), FIELDS, _digest).count() == 0
+
+
+def test_blocks_in_sections_do_not_depend_on_their_group():
+    draw = np.random.default_rng(5)
+    sizes = [R.BLOCK, 1, R.SECTION, R.SECTION + 1, 40_000, 65_535, 3_000, 9_001]
+    blocks = [np.minimum(draw.geometric(0.003, n), 40_000).astype(np.uint32) for n in sizes]
+    coded = R.encode(blocks)
+    assert all((a == b).all() for a, b in zip(blocks, R.decode(coded), strict=True))
+    assert [R.encode([b])[0] for b in blocks] == coded
+    assert all((R.decode([c])[0] == b).all() for b, c in zip(blocks, coded, strict=True))
+
+
+def test_models_learn_from_many_places_at_a_time(monkeypatch):
+    calls = []
+    monkeypatch.setattr(R._Group, "learn", lambda self, *a, real=R._Group.learn: calls.append(a[0]) or real(self, *a))
+    block = np.minimum(np.random.default_rng(6).geometric(0.01, 8192 * 4), 5000).astype(np.uint32)
+    coded = R.encode([block])
+    assert (R.decode(coded)[0] == block).all()
+    assert len(calls) < len(block) / 100
+
+
+def test_words_are_the_same_by_their_bytes_only(monkeypatch):
+    monkeypatch.setattr(token_files, "_hashed", lambda letters, length: np.zeros(len(length), np.uint64))
+    memory, draw = token_files.KnownWords(400), np.random.default_rng(7)
+    asked = 0
+
+    def encode_of(words):
+        def encode(numbers):
+            nonlocal asked
+            asked += len(numbers)
+            ids = [list(words[i]) for i in reversed(numbers.tolist())]  # any order will do
+            size = np.array([len(i) for i in ids])
+            return np.array(sum(ids, []), np.uint32), (np.cumsum(size) - size)[::-1], size[::-1]
+        return encode
+
+    for _ in range(30):
+        words = list({bytes(draw.integers(97, 100, draw.choice([1, 2, 3, 4, 64, 65, 90])).astype(np.uint8)) for _ in range(60)})
+        bounds = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+        at = memory.places(np.frombuffer(b"".join(words), np.uint8), bounds, encode_of(words))
+        assert [memory.flat[s:s + n].tolist() for s, n in zip(memory.start[at], memory.size[at], strict=True)] == [list(w) for w in words]
+    assert asked < 30 * 50
+
+
+def test_new_words_are_encoded_together_as_alone():
+    draw = np.random.default_rng(8)
+    letters = [*"abzAZ09.,'!<|>#İΣςẞéﬁ漢한😀", "'s", "\0", "\x1c", "\u0301", "\u00a0", "\u3000", "\u200d"]
+    texts = ["".join(draw.choice(letters, draw.integers(1, 9))) for _ in range(2000)]
+    remembered = token_files.RememberedWords(PATH)
+    for tokenizer, some in ((remembered.tokenizer, texts), (remembered.plain, ["a9.,", "don't", "x" * 100, "#!z"] * 20)):
+        flat, size = remembered.encoded_words(tokenizer, some)
+        alone, sizes = remembered.encoded(some)
+        assert flat.tolist() == alone.tolist() and size.tolist() == sizes.tolist()
