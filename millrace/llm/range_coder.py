@@ -353,13 +353,10 @@ def _decode(blocks: list[Block]) -> list[np.ndarray]:
             width = (rest * sums.take(at) >> ZERO_BITS) - below
             below += both
             np.greater(share1, 0, out=given1[t, :m])
-            named = np.flatnonzero(value < both)
-            if len(named):
-                own2, own1 = share2[named], share1[named]
-                by2 = value[named] < own2
-                now[named] = np.where(by2, named2[named], named1[named])
-                below[named] = np.where(by2, 0, own2)
-                width[named] = np.where(by2, own2, own1)
+            named, by2 = value < both, value < share2
+            np.copyto(now, np.where(by2, named2, named1), where=named)
+            np.copyto(below, np.where(by2, 0, share2), where=named)
+            np.copyto(width, np.where(by2, share2, share1), where=named)
             code[:m] -= unit * below.astype(np.uint64)
             np.multiply(unit, width.astype(np.uint64), out=span[:m])
             short = span[:m] < ONE_DIGIT

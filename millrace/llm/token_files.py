@@ -36,7 +36,7 @@ from millrace.llm.words import SPACED, _with_room, mixed, slices, words
 BLOCK_FIELDS = ("shard int, block int, first long, size int, checksum long, payload binary, "
                 "doc_ids array<{id}>, doc_sizes array<long>")
 REMEMBERED_WORDS, LONGEST_REMEMBERED = 1 << 21, 64
-WORDS_AT_ONCE = 32
+WORDS_AT_ONCE = 64
 
 #: A-Z are lower-cased, as the tokenizer does.
 SPACED_LOWER = SPACED.copy()
@@ -170,6 +170,11 @@ class RememberedWords:
         if _leaves_plain_words(json.loads(self.tokenizer.to_str())["normalizer"]):
             self.plain = Tokenizer.from_file(path)
             self.plain.normalizer = None
+            # Letters of the tokens, without the mark of the end of a word.
+            mark = getattr(self.plain.model, "end_of_word_suffix", None) or ""
+            self.length = np.ones(self.plain.get_vocab_size(), np.int64)
+            for token, number in self.plain.get_vocab().items():
+                self.length[number] = len(token.removesuffix(mark))
         self.memory = KnownWords()
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,14 +182,30 @@ class RememberedWords:
         size = np.array([len(i) for i in ids], np.int64)
         return np.fromiter((x for i in ids for x in i), np.uint32, int(size.sum())), size
 
-    @staticmethod
-    def encoded_words(tokenizer, words_: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encoded_plain(self, words_: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``PLAIN`` words, whose ids are told apart by the lengths of their tokens; by offsets where these do not spell the words."""
+        texts = [" ".join(words_[a:a + WORDS_AT_ONCE]) for a in range(0, len(words_), WORDS_AT_ONCE)]
+        flat: list[int] = []
+        for first in range(0, len(texts), 64):
+            for e in self.plain.encode_batch_fast(texts[first:first + 64], add_special_tokens=False):
+                flat += e.ids
+        ids = np.array(flat, np.uint32)
+        length = self.length.take(ids)
+        ends, stops = np.cumsum(length), np.cumsum([len(w) for w in words_])
+        if not length.all() or not np.array_equal(ends[-1:], stops[-1:]):
+            return self.encoded_words(words_)
+        last = np.searchsorted(ends, stops)  # the last id of each word
+        if (ends[last] != stops).any():
+            return self.encoded_words(words_)
+        return ids, np.diff(last, prepend=-1)
+
+    def encoded_words(self, words_: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words with blanks between them in texts of ``WORDS_AT_ONCE``; an id is of the word in which it begins."""
         groups = [words_[a:a + WORDS_AT_ONCE] for a in range(0, len(words_), WORDS_AT_ONCE)]
         flat, size = [], []
         for first in range(0, len(groups), 64):
             some = groups[first:first + 64]
-            encoded = tokenizer.encode_batch([" ".join(g) for g in some], add_special_tokens=False)
+            encoded = self.tokenizer.encode_batch([" ".join(g) for g in some], add_special_tokens=False)
             ends = np.cumsum([len(w) + 1 for g in some for w in g])
             before = 0
             begins = []
@@ -210,10 +231,10 @@ class RememberedWords:
 
         def encode(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             flat, place, size = [], [], []
-            for tokenizer, some in ((self.plain, np.flatnonzero(plain[numbers])), (self.tokenizer, np.flatnonzero(~plain[numbers]))):
+            for encoded, some in ((self.encoded_plain, np.flatnonzero(plain[numbers])), (self.encoded_words, np.flatnonzero(~plain[numbers]))):
                 if len(some):
                     edges = zip(bounds[numbers[some]].tolist(), bounds[numbers[some] + 1].tolist(), strict=True)
-                    ids, count = self.encoded_words(tokenizer, [whole[a:b].decode() for a, b in edges])
+                    ids, count = encoded([whole[a:b].decode() for a, b in edges])
                     flat.append(ids)
                     place.append(some)
                     size.append(count)
@@ -240,6 +261,15 @@ def _tokenised(values: pa.Array, path: str, apart: bool) -> Iterator[tuple[np.nd
             yield memory.encoded([t or "" for t in values.slice(first, 256).to_pylist()])
 
 
+def _with_ends(flat: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
+    """The ids with an end id behind each document."""
+    out = np.full(len(flat) + len(sizes), end_id, flat.dtype)
+    stops = np.cumsum(sizes).tolist()
+    for i, (a, b) in enumerate(zip([0, *stops], stops, strict=False)):
+        out[a + i:b + i] = flat[a:b]
+    return out
+
+
 class _Writer:
     """Gathers the ids of one shard and hands them on as rows of blocks."""
 
@@ -299,8 +329,7 @@ def write(df: DataFrame, identity: str, text: str, path: str, tokenizer: str, en
             at = 0
             for flat, sizes in _tokenised(batch.column("text"), tokenizer, apart):
                 if end_id is not None:
-                    flat = np.insert(flat, np.cumsum(sizes), end_id)
-                    sizes = sizes + 1
+                    flat, sizes = _with_ends(flat, sizes, end_id), sizes + 1
                 writer.add(flat, sizes, batch.column("id").slice(at, len(sizes)).to_pylist())
                 at += len(sizes)
                 yield from writer.rows(final=False)

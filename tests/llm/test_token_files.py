@@ -126,7 +126,10 @@ def test_new_words_are_encoded_together_as_alone():
     letters = [*"abzAZ09.,'!<|>#İΣςẞéﬁ漢한😀", "'s", "\0", "\x1c", "\u0301", "\u00a0", "\u3000", "\u200d"]
     texts = ["".join(draw.choice(letters, draw.integers(1, 9))) for _ in range(2000)]
     remembered = token_files.RememberedWords(PATH)
-    for tokenizer, some in ((remembered.tokenizer, texts), (remembered.plain, ["a9.,", "don't", "x" * 100, "#!z"] * 20)):
-        flat, size = remembered.encoded_words(tokenizer, some)
+    plain = [t for t in (t.encode("ascii", "ignore").decode().lower().replace("\0", "").replace("\x1c", "") for t in texts) if t]
+    for encode, some in ((remembered.encoded_words, texts), (remembered.encoded_plain, [*plain, "don't", "x" * 100, "<|endoftext|>a"])):
+        flat, size = encode(some)
         alone, sizes = remembered.encoded(some)
         assert flat.tolist() == alone.tolist() and size.tolist() == sizes.tolist()
+    remembered.length[:] = 1  # tokens whose lengths say nothing
+    assert [a.tolist() for a in remembered.encoded_plain(plain)] == [a.tolist() for a in remembered.encoded_words(plain)]
